@@ -261,3 +261,217 @@ now AS (SELECT repository, branch, commit_id FROM fx_refs r
         UNION ALL SELECT repository, branch, commit_id FROM last)
 SELECT * FROM now n WHERE NOT EXISTS (SELECT 1 FROM fx_refs r WHERE r.repository = n.repository AND r.branch = n.branch)""",
                                        "fx_requests", "fx_refs", "fx_commits")
+
+# ------------------------------------------------------------- listings ------
+M60 = 1 << 60
+
+
+def lane_sql(i: int, path: str, ck: str) -> str:
+    start = (1, 16)[i]
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {path}, {ck})), {start}, 15)) AS BIGINT)"
+
+
+def mod_sql(x: str) -> str:
+    return f"CAST((({x}) % {M60} + {M60}) % {M60} AS VARCHAR)"
+
+
+def listing_id_sql(l0: str, l1: str, n: str) -> str:
+    return f"sha256(concat_ws('|', {mod_sql(l0)}, {mod_sql(l1)}, CAST({n} AS VARCHAR)))"
+
+
+def classify_sql(b: str, s: str, d: str) -> str:
+    return f"""CASE WHEN {s} IS NOT DISTINCT FROM {d} AND {s} IS NOT DISTINCT FROM {b} THEN 'unchanged'
+            WHEN {s} IS NOT DISTINCT FROM {d} THEN 'same_change'
+            WHEN {d} IS NOT DISTINCT FROM {b} THEN 'take_source'
+            WHEN {s} IS NOT DISTINCT FROM {b} THEN 'keep_dest' ELSE 'conflict' END"""
+
+
+ORACLE["three_way"] = with_fixtures(f"""
+WITH g AS (SELECT repository, path, max(CASE WHEN side = 'base' THEN checksum END) AS b,
+                  max(CASE WHEN side = 'source' THEN checksum END) AS s,
+                  max(CASE WHEN side = 'dest' THEN checksum END) AS d
+           FROM fx_manifest GROUP BY repository, path)
+SELECT repository, {classify_sql('b', 's', 'd')} AS class, CAST(count(*) AS BIGINT) AS n FROM g GROUP BY 1, 2""",
+                                    "fx_manifest")
+
+ORACLE["listing_id"] = with_fixtures(f"""
+WITH s AS (SELECT repository, meta_range_id, CAST(count(*) AS BIGINT) AS n_entries,
+                  CAST(sum(size_bytes) AS BIGINT) AS total_bytes,
+                  sum({lane_sql(0, 'path', 'checksum')}) AS l0, sum({lane_sql(1, 'path', 'checksum')}) AS l1
+           FROM fx_entries GROUP BY 1, 2)
+SELECT repository, meta_range_id, n_entries, total_bytes, {listing_id_sql('l0', 'l1', 'n_entries')} AS listing_id
+FROM s""", "fx_entries")
+
+MAIN_LISTING = """
+mains AS (SELECT r.repository, r.branch, c.meta_range_id AS base_range
+          FROM fx_refs r JOIN fx_commits c ON c.repository = r.repository AND c.commit_id = r.commit_id
+          WHERE r.branch = 'main'),
+committed AS (SELECT m.repository, m.branch, e.path, e.checksum, e.size_bytes
+              FROM mains m JOIN fx_entries e ON e.repository = m.repository AND e.meta_range_id = m.base_range),
+last AS (SELECT s.repository, s.branch, s.path, s.op, s.checksum, s.size_bytes
+         FROM fx_staging s JOIN mains USING (repository, branch)
+         QUALIFY row_number() OVER (PARTITION BY s.repository, s.branch, s.path ORDER BY s.seq DESC) = 1)"""
+
+ORACLE["branch_view"] = with_fixtures(f"""
+WITH {MAIN_LISTING}
+SELECT repository, branch, path, checksum, size_bytes, 'committed' AS origin FROM committed c
+WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.repository = c.repository AND l.branch = c.branch AND l.path = c.path)
+UNION ALL
+SELECT repository, branch, path, checksum, size_bytes, 'staged' AS origin FROM last WHERE op = 'put'""",
+                                      "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+ORACLE["diff_branch"] = with_fixtures(f"""
+WITH {MAIN_LISTING},
+ch AS (SELECT l.repository, l.branch, l.path, c.checksum AS old_checksum,
+              CASE WHEN l.op = 'put' THEN l.checksum END AS new_checksum
+       FROM last l LEFT JOIN committed c USING (repository, branch, path))
+SELECT repository, branch, path,
+       CASE WHEN old_checksum IS NULL THEN 'added' WHEN new_checksum IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       old_checksum, new_checksum
+FROM ch WHERE new_checksum IS DISTINCT FROM old_checksum""",
+                                      "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+ORACLE["diff_refs"] = with_fixtures("""
+WITH req AS (SELECT r.repository, r.branch, cm.meta_range_id AS range_a, cb.meta_range_id AS range_b
+             FROM fx_refs r JOIN fx_refs m ON m.repository = r.repository AND m.branch = 'main'
+             LEFT JOIN fx_commits cm ON cm.repository = m.repository AND cm.commit_id = m.commit_id
+             LEFT JOIN fx_commits cb ON cb.repository = r.repository AND cb.commit_id = r.commit_id
+             WHERE r.branch <> 'main'),
+p AS (SELECT DISTINCT repository, range_a, range_b FROM req),
+d AS (SELECT p.repository, p.range_a, p.range_b, coalesce(a.path, b.path) AS path, a.checksum AS ck_a, b.checksum AS ck_b
+      FROM p
+      JOIN fx_entries a ON a.repository = p.repository AND a.meta_range_id = p.range_a
+      FULL JOIN fx_entries b ON b.repository = p.repository AND b.meta_range_id = p.range_b AND b.path = a.path),
+d2 AS (SELECT p.repository, p.range_a, p.range_b, x.path, x.ck_a, x.ck_b FROM p,
+       LATERAL (SELECT coalesce(a.path, b.path) AS path, a.checksum AS ck_a, b.checksum AS ck_b
+                FROM (SELECT path, checksum FROM fx_entries WHERE repository = p.repository AND meta_range_id = p.range_a) a
+                FULL JOIN (SELECT path, checksum FROM fx_entries WHERE repository = p.repository AND meta_range_id = p.range_b) b
+                ON a.path = b.path) x),
+c AS (SELECT repository, range_a, range_b,
+             count(*) FILTER (WHERE ck_a IS NULL) AS n_added,
+             count(*) FILTER (WHERE ck_b IS NULL) AS n_removed,
+             count(*) FILTER (WHERE ck_a <> ck_b) AS n_changed
+      FROM d2 GROUP BY 1, 2, 3)
+SELECT req.repository, req.branch, CAST(coalesce(n_added, 0) AS BIGINT) AS n_added,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_changed, 0) AS BIGINT) AS n_changed
+FROM req LEFT JOIN c USING (repository, range_a, range_b)""", "fx_refs", "fx_commits", "fx_entries")
+
+# -------------------------------------------------------------- commits ------
+RENDER_TS = "strftime({c}, '%Y-%m-%dT%H:%M:%S') || '+0000'"
+
+PARENT_TEXT = """(SELECT repository, commit_id, '[' || string_agg(parent_id, ', ' ORDER BY pos) || ']' AS parents
+                 FROM fx_parents GROUP BY 1, 2)"""
+
+COMMIT_ATTRS = f"""
+attrs AS (SELECT c.repository, c.commit_id, c.committer, c.message, c.meta_range_id,
+                 {RENDER_TS.format(c='c.creation_date')} AS creation_date,
+                 CAST(c.version AS BIGINT) AS version, CAST(c.generation AS BIGINT) AS generation,
+                 coalesce(p.parents, '[]') AS parents,
+                 '{{priority=' || c.k_priority || ', status=' || c.k_status || '}}' AS metadata
+          FROM fx_commits c LEFT JOIN {PARENT_TEXT} p USING (repository, commit_id))"""
+
+ORACLE["commit_attributes"] = with_fixtures(f"WITH {COMMIT_ATTRS} SELECT * FROM attrs",
+                                            "fx_commits", "fx_parents")
+
+ORACLE["metadata_map"] = with_fixtures("""
+WITH m AS (SELECT repository, id, list_filter([('author', author), ('description', description), ('title', title)],
+                                              lambda x: x[2] IS NOT NULL AND x[2] <> '') AS kv FROM fx_pull_requests)
+SELECT repository, id, '{' || array_to_string(list_transform(kv, lambda x: x[1] || '=' || x[2]), ', ') || '}' AS metadata,
+       CAST(len(kv) AS BIGINT) AS n_keys FROM m""", "fx_pull_requests")
+
+ORACLE["fetch_commits"] = with_fixtures(f"""
+WITH {COMMIT_ATTRS},
+q AS (SELECT seq, repository, md5(concat(repository, ':', seq)) AS commit_id FROM fx_requests)
+SELECT q.seq, q.repository, q.commit_id, a.committer, a.message, a.meta_range_id, a.creation_date, a.version,
+       a.generation, a.parents,
+       CASE WHEN a.commit_id IS NULL THEN 'not_found' ELSE 'fetched' END AS outcome, a.commit_id IS NOT NULL AS ok
+FROM q LEFT JOIN attrs a ON a.repository = q.repository AND a.commit_id = q.commit_id""",
+                                        "fx_requests", "fx_commits", "fx_parents")
+
+ANCESTORS = """
+anc(repository, seed, commit_id) AS (
+  SELECT repository, seed, seed FROM seeds
+  UNION
+  SELECT a.repository, a.seed, p.parent_id FROM anc a
+  JOIN fx_parents p ON p.repository = a.repository AND p.commit_id = a.commit_id)"""
+
+ORACLE["merge_base"] = "WITH RECURSIVE " + with_fixtures(f"""
+WITH pairs AS (SELECT r.repository, r.branch, r.commit_id AS a, m.commit_id AS b
+               FROM fx_refs r JOIN fx_refs m ON m.repository = r.repository AND m.branch = 'main'
+               WHERE r.branch <> 'main'),
+seeds AS (SELECT DISTINCT repository, a AS seed FROM pairs UNION SELECT DISTINCT repository, b FROM pairs),
+{ANCESTORS},
+best AS (SELECT p.repository, p.a, p.b,
+                first(c.commit_id ORDER BY c.generation DESC, c.commit_id) AS base_id,
+                max(c.generation) AS base_generation
+         FROM (SELECT DISTINCT repository, a, b FROM pairs) p
+         JOIN anc x ON x.repository = p.repository AND x.seed = p.a
+         JOIN anc y ON y.repository = p.repository AND y.seed = p.b AND y.commit_id = x.commit_id
+         JOIN fx_commits c ON c.repository = p.repository AND c.commit_id = x.commit_id
+         GROUP BY 1, 2, 3)
+SELECT p.repository, p.branch, p.a AS head, p.b AS main_head, best.base_id,
+       CAST(best.base_generation AS BIGINT) AS base_generation
+FROM pairs p LEFT JOIN best USING (repository, a, b)""", "fx_refs", "fx_commits", "fx_parents")[5:]
+
+ORACLE["log_commits"] = "WITH RECURSIVE " + with_fixtures(f"""
+WITH heads AS (SELECT repository, branch AS ref_name, commit_id FROM fx_refs WHERE branch = 'main'),
+seeds AS (SELECT DISTINCT repository, commit_id AS seed FROM heads),
+{ANCESTORS}
+SELECT h.repository, h.ref_name, c.commit_id, c.generation, c.message,
+       CAST(row_number() OVER (PARTITION BY h.repository, h.ref_name ORDER BY c.generation DESC, c.commit_id) AS BIGINT)
+         AS position
+FROM heads h JOIN anc a ON a.repository = h.repository AND a.seed = h.commit_id
+JOIN fx_commits c ON c.repository = a.repository AND c.commit_id = a.commit_id""",
+                                                        "fx_refs", "fx_commits", "fx_parents")[5:]
+
+
+def lane_delta_sql(i: int, path: str, old: str, new: str) -> str:
+    return (f"(CASE WHEN {new} IS NOT NULL THEN {lane_sql(i, path, new)} ELSE 0 END"
+            f" - CASE WHEN {old} IS NOT NULL THEN {lane_sql(i, path, old)} ELSE 0 END)")
+
+
+ORACLE["commit_branches"] = with_fixtures(f"""
+WITH q AS (SELECT seq, repository, CASE WHEN trim(b) = '' THEN NULL ELSE b END AS branch,
+                  concat('commit ', seq) AS message, 'unknown' AS committer,
+                  CAST(epoch_ms(ts) // 1000 AS BIGINT) AS date, seq % 3 = 0 AS force, seq % 4 = 0 AS allow_empty,
+                  'source=' || source AS metadata_text
+           FROM (SELECT *, CASE WHEN seq % 3 = 0 THEN 'main' ELSE branch END AS b FROM fx_requests WHERE op = 'commit')),
+v AS (SELECT q.*, {BRANCH_ERR} AS error_code, h.commit_id AS head, c.meta_range_id AS head_range,
+             c.generation AS head_generation
+      FROM q LEFT JOIN fx_refs h ON h.repository = q.repository AND h.branch = q.branch
+      LEFT JOIN fx_commits c ON c.repository = q.repository AND c.commit_id = h.commit_id),
+f AS (SELECT repository, branch, min(seq) AS first_seq FROM v WHERE error_code IS NULL AND head IS NOT NULL
+      GROUP BY 1, 2),
+v2 AS (SELECT v.*, v.head_range AS base_range, coalesce(v.error_code IS NULL AND v.head IS NOT NULL AND v.seq = f.first_seq, false) AS is_first
+       FROM v LEFT JOIN f USING (repository, branch)),
+firsts AS (SELECT repository, branch, head_range AS base_range FROM v2 WHERE is_first),
+last AS (SELECT s.repository, s.branch, s.path, s.op, s.checksum FROM fx_staging s JOIN firsts USING (repository, branch)
+         QUALIFY row_number() OVER (PARTITION BY s.repository, s.branch, s.path ORDER BY s.seq DESC) = 1),
+base AS (SELECT f.repository, f.branch, e.path, e.checksum FROM firsts f
+         JOIN fx_entries e ON e.repository = f.repository AND e.meta_range_id = f.base_range),
+ch AS (SELECT l.repository, l.branch, l.path, b.checksum AS old_ck, CASE WHEN l.op = 'put' THEN l.checksum END AS new_ck
+       FROM last l LEFT JOIN base b USING (repository, branch, path)
+       WHERE (CASE WHEN l.op = 'put' THEN l.checksum END) IS DISTINCT FROM b.checksum),
+delta AS (SELECT repository, branch, count(*) AS n_changes,
+                 sum({lane_delta_sql(0, 'path', 'old_ck', 'new_ck')}) AS d0,
+                 sum({lane_delta_sql(1, 'path', 'old_ck', 'new_ck')}) AS d1,
+                 sum(CAST(new_ck IS NOT NULL AS INTEGER) - CAST(old_ck IS NOT NULL AS INTEGER)) AS dn
+          FROM ch GROUP BY 1, 2),
+stats AS (SELECT e.repository, e.meta_range_id AS base_range, count(*) AS bn,
+                 sum({lane_sql(0, 'e.path', 'e.checksum')}) AS b0, sum({lane_sql(1, 'e.path', 'e.checksum')}) AS b1
+          FROM fx_entries e WHERE (e.repository, e.meta_range_id) IN (SELECT repository, base_range FROM firsts)
+          GROUP BY 1, 2),
+o AS (SELECT v2.*, CAST(coalesce(d.n_changes, 0) AS BIGINT) AS n_changes,
+             {listing_id_sql('coalesce(s.b0, 0) + coalesce(d.d0, 0)', 'coalesce(s.b1, 0) + coalesce(d.d1, 0)',
+                             'coalesce(s.bn, 0) + coalesce(d.dn, 0)')} AS new_range,
+             CASE WHEN error_code IS NOT NULL THEN 'invalid' WHEN head IS NULL THEN 'branch_not_found'
+                  WHEN NOT is_first THEN 'retry_next_batch'
+                  WHEN coalesce(d.n_changes, 0) = 0 AND NOT allow_empty THEN 'nothing_to_commit'
+                  ELSE 'committed' END AS outcome
+      FROM v2 LEFT JOIN delta d USING (repository, branch) LEFT JOIN stats s USING (repository, base_range))
+SELECT seq, repository, branch, outcome, outcome IN {OK_CODES} AS ok, head, n_changes,
+       CASE WHEN outcome = 'committed' THEN new_range END AS meta_range_id,
+       CAST(CASE WHEN outcome = 'committed' THEN head_generation + 1 END AS BIGINT) AS generation,
+       CASE WHEN outcome = 'committed' THEN sha256(concat_ws('|', repository, head, new_range, committer, message,
+                                                              CAST(date AS VARCHAR), metadata_text)) END AS commit_id
+FROM o""", "fx_requests", "fx_refs", "fx_commits", "fx_entries", "fx_staging")

@@ -112,3 +112,136 @@ def q_new_branches(spark, sf_dir):
     created = R.create_branches(_create_requests(fx), fx.refs, fx.commits)
     now = R.refs_after_create(created, fx.refs)
     return R.new_branches(now, fx.refs)
+
+
+# ------------------------------------------------------------- listings ------
+from strata.functions.render import metadata_map as _metadata_map  # noqa: E402
+from strata.functions.render import render_map  # noqa: E402
+from strata.operators import commits as C  # noqa: E402
+from strata.operators import listing as L  # noqa: E402
+
+
+@query
+def q_three_way(spark, sf_dir):
+    """Flagship: what would each repository's merge do, path by path, counted."""
+    fx = Fixtures(spark, sf_dir)
+    tw = L.three_way(fx.manifest.select("repository", "side", "path", "checksum"), ["repository"])
+    return tw.groupBy("repository", "class").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+@query
+def q_listing_id(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    st = L.listing_identity(L.listing_stats(fx.entries))
+    return st.select("repository", "meta_range_id", "n_entries", "total_bytes", "listing_id")
+
+
+def _main_branches(fx):
+    return fx.refs.where(F.col("branch") == "main").select("repository", "branch")
+
+
+@query
+def q_branch_view(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    v = L.branch_view(_main_branches(fx), fx.refs, fx.commits, fx.entries, fx.staging)
+    return v.select("repository", "branch", "path", "checksum", "size_bytes", "origin")
+
+
+@query
+def q_diff_branch(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    mains = _main_branches(fx)
+    heads = L.head_range(mains.join(fx.refs, ["repository", "branch"]).select("repository", "branch", "commit_id"),
+                         fx.commits, "commit_id")
+    base = L.listing_rows(heads, fx.entries).select("repository", "branch", "path", "checksum", "size_bytes")
+    last = C.last_staged_for(fx.staging, mains)
+    ch = L.staged_changes(last, base, ["repository", "branch"])
+    return ch.select("repository", "branch", "path", "change", "old_checksum", "new_checksum")
+
+
+@query
+def q_diff_refs(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    main = fx.refs.where(F.col("branch") == "main").select("repository", F.col("commit_id").alias("main_head"))
+    req = fx.refs.where(F.col("branch") != "main").select("repository", "branch", "commit_id").join(main, "repository")
+    req = L.head_range(req, fx.commits, "main_head", out="range_a")
+    req = L.head_range(req, fx.commits, "commit_id", out="range_b")
+    d = L.diff_ranges(req, fx.entries)
+    counts = d.groupBy("repository", "range_a", "range_b").agg(
+        *[F.count(F.when(F.col("change") == c, 1)).cast("long").alias(f"n_{c}")
+          for c in ("added", "removed", "changed")])
+    out = req.join(counts, ["repository", "range_a", "range_b"], "left")
+    return out.select("repository", "branch",
+                      *[F.coalesce(F.col(f"n_{c}"), F.lit(0)).cast("long").alias(f"n_{c}")
+                        for c in ("added", "removed", "changed")])
+
+
+# -------------------------------------------------------------- commits ------
+@query
+def q_commit_attributes(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return C.commit_attributes(fx.commits, fx.parents)
+
+
+@query
+def q_metadata_map(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    p = fx.pull_requests
+    m = _metadata_map(author=F.col("author"), description=F.col("description"), title=F.col("title"))
+    return p.select("repository", "id", render_map(m).alias("metadata"),
+                    F.size(m).cast("long").alias("n_keys"))
+
+
+@query
+def q_fetch_commits(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    req = fx.requests.select("seq", "repository",
+                             F.md5(F.concat(F.col("repository"), F.lit(":"), F.col("seq").cast("string")))
+                             .alias("commit_id"))
+    out = C.fetch_commits(req, fx.commits, fx.parents)
+    return out.select("seq", "repository", "commit_id", "committer", "message", "meta_range_id",
+                      "creation_date", "version", "generation", "parents", "outcome", "ok")
+
+
+def _branch_vs_main(fx):
+    main = fx.refs.where(F.col("branch") == "main").select("repository", F.col("commit_id").alias("b"))
+    return (fx.refs.where(F.col("branch") != "main")
+            .select("repository", "branch", F.col("commit_id").alias("a")).join(main, "repository"))
+
+
+@query
+def q_merge_base(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    pairs = _branch_vs_main(fx)
+    mb = C.merge_base(pairs, fx.commits, fx.parents)
+    return (pairs.join(mb, ["repository", "a", "b"], "left")
+            .select("repository", "branch", F.col("a").alias("head"), F.col("b").alias("main_head"),
+                    "base_id", F.col("base_generation").cast("long").alias("base_generation")))
+
+
+@query
+def q_log_commits(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    heads = fx.refs.where(F.col("branch") == "main").select(
+        "repository", F.col("branch").alias("ref_name"), "commit_id")
+    return C.log_commits(heads, fx.commits, fx.parents).select(
+        "repository", "ref_name", "commit_id", "generation", "message", "position")
+
+
+def _commit_requests(fx):
+    s = F.col("seq")
+    return fx.requests.where(F.col("op") == "commit").select(
+        "seq", "repository",
+        F.when(s % 3 == 0, F.lit("main")).otherwise(F.col("branch")).alias("branch"),
+        F.concat(F.lit("commit "), s.cast("string")).alias("message"),
+        C.epoch_seconds(F.col("ts")).alias("date"),
+        (s % 3 == 0).alias("force"), (s % 4 == 0).alias("allow_empty"),
+        F.create_map(F.lit("source"), F.col("source")).alias("metadata"))
+
+
+@query
+def q_commit_branches(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    out = C.commit_branches(_commit_requests(fx), fx.refs, fx.commits, fx.entries, fx.staging)
+    return out.select("seq", "repository", "branch", "outcome", "ok", "head", "n_changes",
+                      "meta_range_id", "generation", "commit_id")
