@@ -475,3 +475,139 @@ SELECT seq, repository, branch, outcome, outcome IN {OK_CODES} AS ok, head, n_ch
        CASE WHEN outcome = 'committed' THEN sha256(concat_ws('|', repository, head, new_range, committer, message,
                                                               CAST(date AS VARCHAR), metadata_text)) END AS commit_id
 FROM o""", "fx_requests", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+# --------------------------------------------------------------- merges ------
+def tw_summary_sql(triples: str = "triples") -> str:
+    """CTEs tsides/tw/tw_sum: per-triple class counts and source-side lane deltas."""
+    parts = []
+    for side, col in (("base", "base_range"), ("source", "source_range"), ("dest", "dest_range")):
+        parts.append(f"""SELECT t.repository, t.base_range, t.source_range, t.dest_range, '{side}' AS side, e.path, e.checksum
+  FROM {triples} t JOIN fx_entries e ON e.repository = t.repository AND e.meta_range_id = t.{col}""")
+    sides = "\n  UNION ALL ".join(parts)
+    deltas = []
+    for tag, cls in (("ts", "take_source"), ("cf", "conflict")):
+        for i in range(2):
+            deltas.append(f"sum(CASE WHEN class = '{cls}' THEN {lane_delta_sql(i, 'path', 'd', 's')} ELSE 0 END) AS {tag}_d{i}")
+        deltas.append(f"sum(CASE WHEN class = '{cls}' THEN CAST(s IS NOT NULL AS INTEGER) - CAST(d IS NOT NULL AS INTEGER)"
+                      f" ELSE 0 END) AS {tag}_d2")
+    counts = [f"count(*) FILTER (WHERE class = '{c}') AS n_{c}"
+              for c in ("unchanged", "same_change", "take_source", "keep_dest", "conflict")]
+    return f"""
+tsides AS ({sides}),
+tw AS (SELECT repository, base_range, source_range, dest_range, path,
+              max(CASE WHEN side = 'base' THEN checksum END) AS b, max(CASE WHEN side = 'source' THEN checksum END) AS s,
+              max(CASE WHEN side = 'dest' THEN checksum END) AS d
+       FROM tsides GROUP BY 1, 2, 3, 4, 5),
+twc AS (SELECT *, {classify_sql('b', 's', 'd')} AS class FROM tw),
+tw_sum AS (SELECT repository, base_range, source_range, dest_range, {', '.join(counts)}, {', '.join(deltas)}
+           FROM twc GROUP BY 1, 2, 3, 4)"""
+
+
+def merged_range_sql(force: str) -> str:
+    def lane(i):
+        return (f"coalesce(ds.d{i}, 0) + coalesce(w.ts_d{i}, 0) + CASE WHEN {force} THEN coalesce(w.cf_d{i}, 0) ELSE 0 END")
+    n = "coalesce(ds.dn, 0) + coalesce(w.ts_d2, 0) + CASE WHEN " + force + " THEN coalesce(w.cf_d2, 0) ELSE 0 END"
+    return listing_id_sql(lane(0), lane(1), n)
+
+
+DEST_STATS = f"""
+dstats AS (SELECT e.repository, e.meta_range_id AS dest_range, count(*) AS dn,
+                  sum({lane_sql(0, 'e.path', 'e.checksum')}) AS d0, sum({lane_sql(1, 'e.path', 'e.checksum')}) AS d1
+           FROM fx_entries e GROUP BY 1, 2)"""
+
+NCOLS = ", ".join(f"CAST(coalesce(w.n_{c}, 0) AS BIGINT) AS n_{c}"
+                  for c in ("unchanged", "same_change", "take_source", "keep_dest", "conflict"))
+
+MERGE_CORE = f"""
+q AS (SELECT seq, repository, CASE WHEN trim(branch) = '' THEN NULL ELSE branch END AS source_ref,
+             'main' AS destination_branch, concat('merge ', seq) AS message, 'unknown' AS committer,
+             CAST(epoch_ms(ts) // 1000 AS BIGINT) AS date, seq % 3 = 0 AS force, seq % 4 = 0 AS allow_empty
+      FROM fx_requests WHERE op = 'merge'),
+v AS (SELECT q.*, CASE WHEN q.source_ref IS NULL THEN 'empty:source_ref' END AS error_code,
+             coalesce(sb.commit_id, sc.commit_id) AS source_commit, d.commit_id AS dest_commit
+      FROM q LEFT JOIN fx_refs sb ON sb.repository = q.repository AND sb.branch = q.source_ref
+      LEFT JOIN fx_commits sc ON sc.repository = q.repository AND sc.commit_id = q.source_ref
+      LEFT JOIN fx_refs d ON d.repository = q.repository AND d.branch = q.destination_branch),
+v1 AS (SELECT *, error_code IS NULL AND source_commit IS NOT NULL AND dest_commit IS NOT NULL AS found FROM v),
+pairs AS (SELECT DISTINCT repository, source_commit AS a, dest_commit AS b FROM v1 WHERE found),
+seeds AS (SELECT repository, a AS seed FROM pairs UNION SELECT repository, b FROM pairs),
+{ANCESTORS},
+best AS (SELECT p.repository, p.a, p.b, first(c.commit_id ORDER BY c.generation DESC, c.commit_id) AS base_id
+         FROM pairs p
+         JOIN anc x ON x.repository = p.repository AND x.seed = p.a
+         JOIN anc y ON y.repository = p.repository AND y.seed = p.b AND y.commit_id = x.commit_id
+         JOIN fx_commits c ON c.repository = p.repository AND c.commit_id = x.commit_id
+         GROUP BY 1, 2, 3),
+v2 AS (SELECT v1.*, best.base_id, cs.meta_range_id AS source_range, cs.generation AS source_generation,
+              cd.meta_range_id AS dest_range, cd.generation AS dest_generation,
+              coalesce(cb.meta_range_id, '') AS base_range
+       FROM v1 LEFT JOIN best ON best.repository = v1.repository AND best.a = v1.source_commit AND best.b = v1.dest_commit
+       LEFT JOIN fx_commits cs ON cs.repository = v1.repository AND cs.commit_id = v1.source_commit
+       LEFT JOIN fx_commits cd ON cd.repository = v1.repository AND cd.commit_id = v1.dest_commit
+       LEFT JOIN fx_commits cb ON cb.repository = v1.repository AND cb.commit_id = best.base_id),
+triples AS (SELECT DISTINCT repository, base_range, source_range, dest_range FROM v2 WHERE found),
+{tw_summary_sql()},
+{DEST_STATS},
+v3 AS (SELECT v2.*, {NCOLS}, {merged_range_sql('v2.force')} AS merged_range
+       FROM v2 LEFT JOIN tw_sum w USING (repository, base_range, source_range, dest_range)
+       LEFT JOIN dstats ds USING (repository, dest_range)),
+v4 AS (SELECT *, found AND (n_take_source + n_conflict > 0 OR allow_empty) AND NOT (n_conflict > 0 AND NOT force)
+                 AS candidate FROM v3),
+ff AS (SELECT repository, destination_branch, min(seq) AS first_seq FROM v4 WHERE candidate GROUP BY 1, 2),
+mo AS (SELECT v4.*, CASE WHEN error_code IS NOT NULL THEN 'invalid' WHEN NOT found THEN 'ref_not_found'
+                         WHEN n_take_source + n_conflict = 0 AND NOT allow_empty THEN 'nothing_to_merge'
+                         WHEN n_conflict > 0 AND NOT force THEN 'conflict'
+                         WHEN v4.seq <> ff.first_seq THEN 'retry_next_batch' ELSE 'merged' END AS outcome
+       FROM v4 LEFT JOIN ff USING (repository, destination_branch))"""
+
+ORACLE["merge_refs"] = "WITH RECURSIVE " + with_fixtures(f"""
+WITH {MERGE_CORE}
+SELECT seq, repository, source_ref, destination_branch, outcome, outcome IN {OK_CODES} AS ok, base_id,
+       n_take_source, n_conflict, n_keep_dest, n_same_change, n_unchanged,
+       CASE WHEN outcome = 'merged' THEN merged_range END AS meta_range_id,
+       CAST(CASE WHEN outcome = 'merged' THEN greatest(dest_generation, source_generation) + 1 END AS BIGINT) AS generation,
+       CASE WHEN outcome = 'merged' THEN sha256(concat_ws('|', repository, dest_commit || ',' || source_commit,
+            merged_range, committer, message, CAST(date AS VARCHAR), '')) END AS commit_id
+FROM mo""", "fx_requests", "fx_refs", "fx_commits", "fx_parents", "fx_entries")[5:]
+
+ORACLE["merge_summary"] = "WITH RECURSIVE " + with_fixtures(f"""
+WITH {MERGE_CORE}
+SELECT repository, outcome, CAST(count(*) AS BIGINT) AS n, CAST(sum(n_conflict) AS BIGINT) AS conflicts,
+       CAST(sum(n_take_source) AS BIGINT) AS taken
+FROM mo GROUP BY 1, 2""", "fx_requests", "fx_refs", "fx_commits", "fx_parents", "fx_entries")[5:]
+
+
+def pick_sql(revert: bool) -> str:
+    base, source = ("target_range", "parent_range") if revert else ("parent_range", "target_range")
+    done, nothing = ("reverted", "nothing_to_revert") if revert else ("picked", "nothing_to_pick")
+    return with_fixtures(f"""
+WITH q AS (SELECT 0 AS seq, repository, branch, 'main' AS commit_ref, hidden AS force FROM fx_refs WHERE branch <> 'main'),
+v AS (SELECT q.*, coalesce(tb.commit_id, tc.commit_id) AS target_commit, d.commit_id AS dest_commit,
+             p.parent_id AS parent_commit
+      FROM q LEFT JOIN fx_refs tb ON tb.repository = q.repository AND tb.branch = q.commit_ref
+      LEFT JOIN fx_commits tc ON tc.repository = q.repository AND tc.commit_id = q.commit_ref
+      LEFT JOIN fx_refs d ON d.repository = q.repository AND d.branch = q.branch
+      LEFT JOIN fx_parents p ON p.repository = q.repository AND p.commit_id = coalesce(tb.commit_id, tc.commit_id)
+                             AND p.pos = 0),
+v1 AS (SELECT v.*, ct.meta_range_id AS target_range, cp.meta_range_id AS parent_range, cd.meta_range_id AS dest_range,
+              target_commit IS NOT NULL AND dest_commit IS NOT NULL AS found, parent_commit IS NOT NULL AS has_parent
+       FROM v LEFT JOIN fx_commits ct ON ct.repository = v.repository AND ct.commit_id = v.target_commit
+       LEFT JOIN fx_commits cp ON cp.repository = v.repository AND cp.commit_id = v.parent_commit
+       LEFT JOIN fx_commits cd ON cd.repository = v.repository AND cd.commit_id = v.dest_commit),
+v2 AS (SELECT v1.*, coalesce({base}, '') AS base_range, {source} AS source_range FROM v1),
+triples AS (SELECT DISTINCT repository, base_range, source_range, dest_range FROM v2 WHERE found AND has_parent),
+{tw_summary_sql()},
+{DEST_STATS},
+v3 AS (SELECT v2.*, {NCOLS}, {merged_range_sql('v2.force')} AS merged_range
+       FROM v2 LEFT JOIN tw_sum w USING (repository, base_range, source_range, dest_range)
+       LEFT JOIN dstats ds USING (repository, dest_range)),
+o AS (SELECT *, CASE WHEN NOT found THEN 'ref_not_found' WHEN NOT has_parent THEN 'no_parent'
+                     WHEN n_take_source + n_conflict = 0 THEN '{nothing}'
+                     WHEN n_conflict > 0 AND NOT force THEN 'conflict' ELSE '{done}' END AS outcome FROM v3)
+SELECT repository, branch, target_commit, outcome, outcome IN {OK_CODES} AS ok, n_take_source, n_conflict, n_keep_dest,
+       CASE WHEN outcome = '{done}' THEN merged_range END AS meta_range_id
+FROM o""", "fx_refs", "fx_commits", "fx_parents", "fx_entries")
+
+
+ORACLE["revert_commit"] = pick_sql(True)
+ORACLE["cherry_pick"] = pick_sql(False)

@@ -245,3 +245,59 @@ def q_commit_branches(spark, sf_dir):
     out = C.commit_branches(_commit_requests(fx), fx.refs, fx.commits, fx.entries, fx.staging)
     return out.select("seq", "repository", "branch", "outcome", "ok", "head", "n_changes",
                       "meta_range_id", "generation", "commit_id")
+
+
+# --------------------------------------------------------------- merges ------
+from strata.operators import merge as MG  # noqa: E402
+
+
+def _merge_requests(fx):
+    s = F.col("seq")
+    return fx.requests.where(F.col("op") == "merge").select(
+        "seq", "repository", F.col("branch").alias("source_ref"), F.lit("main").alias("destination_branch"),
+        F.concat(F.lit("merge "), s.cast("string")).alias("message"), C.epoch_seconds(F.col("ts")).alias("date"),
+        (s % 3 == 0).alias("force"), (s % 4 == 0).alias("allow_empty"))
+
+
+def _merge_outcomes(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return MG.merge_refs(_merge_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries)
+
+
+@query
+def q_merge_refs(spark, sf_dir):
+    out = _merge_outcomes(spark, sf_dir)
+    return out.select("seq", "repository", "source_ref", "destination_branch", "outcome", "ok", "base_id",
+                      "n_take_source", "n_conflict", "n_keep_dest", "n_same_change", "n_unchanged",
+                      "meta_range_id", "generation", "commit_id")
+
+
+@query
+def q_merge_summary(spark, sf_dir):
+    out = _merge_outcomes(spark, sf_dir)
+    return (out.groupBy("repository", "outcome")
+               .agg(F.count(F.lit(1)).cast("long").alias("n"),
+                    F.sum("n_conflict").cast("long").alias("conflicts"),
+                    F.sum("n_take_source").cast("long").alias("taken")))
+
+
+def _pick_requests(fx):
+    return (fx.refs.where(F.col("branch") != "main")
+            .select(F.lit(0).cast("long").alias("seq"), "repository", "branch",
+                    F.lit("main").alias("commit_ref"), F.col("hidden").alias("force")))
+
+
+@query
+def q_revert_commit(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    out = MG.revert_commit(_pick_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries)
+    return out.select("repository", "branch", "target_commit", "outcome", "ok", "n_take_source",
+                      "n_conflict", "n_keep_dest", "meta_range_id")
+
+
+@query
+def q_cherry_pick(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    out = MG.cherry_pick(_pick_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries)
+    return out.select("repository", "branch", "target_commit", "outcome", "ok", "n_take_source",
+                      "n_conflict", "n_keep_dest", "meta_range_id")
