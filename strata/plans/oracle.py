@@ -518,11 +518,13 @@ dstats AS (SELECT e.repository, e.meta_range_id AS dest_range, count(*) AS dn,
 NCOLS = ", ".join(f"CAST(coalesce(w.n_{c}, 0) AS BIGINT) AS n_{c}"
                   for c in ("unchanged", "same_change", "take_source", "keep_dest", "conflict"))
 
-MERGE_CORE = f"""
+MERGE_Q = """
 q AS (SELECT seq, repository, CASE WHEN trim(branch) = '' THEN NULL ELSE branch END AS source_ref,
              'main' AS destination_branch, concat('merge ', seq) AS message, 'unknown' AS committer,
              CAST(epoch_ms(ts) // 1000 AS BIGINT) AS date, seq % 3 = 0 AS force, seq % 4 = 0 AS allow_empty
-      FROM fx_requests WHERE op = 'merge'),
+      FROM fx_requests WHERE op = 'merge'),"""
+
+MERGE_TAIL = f"""
 v AS (SELECT q.*, CASE WHEN q.source_ref IS NULL THEN 'empty:source_ref' END AS error_code,
              coalesce(sb.commit_id, sc.commit_id) AS source_commit, d.commit_id AS dest_commit
       FROM q LEFT JOIN fx_refs sb ON sb.repository = q.repository AND sb.branch = q.source_ref
@@ -560,6 +562,8 @@ mo AS (SELECT v4.*, CASE WHEN error_code IS NOT NULL THEN 'invalid' WHEN NOT fou
                          WHEN v4.seq <> ff.first_seq THEN 'retry_next_batch' ELSE 'merged' END AS outcome
        FROM v4 LEFT JOIN ff USING (repository, destination_branch))"""
 
+MERGE_CORE = MERGE_Q + MERGE_TAIL
+
 ORACLE["merge_refs"] = "WITH RECURSIVE " + with_fixtures(f"""
 WITH {MERGE_CORE}
 SELECT seq, repository, source_ref, destination_branch, outcome, outcome IN {OK_CODES} AS ok, base_id,
@@ -611,3 +615,94 @@ FROM o""", "fx_refs", "fx_commits", "fx_parents", "fx_entries")
 
 ORACLE["revert_commit"] = pick_sql(True)
 ORACLE["cherry_pick"] = pick_sql(False)
+
+# -------------------------------------------------------- pull requests ------
+LPAD_SEQ = "concat('pr_', lpad(CAST(seq AS VARCHAR), 9, '0'))"
+
+ORACLE["create_pull_requests"] = with_fixtures(f"""
+WITH q AS (SELECT seq, repository, concat('title ', seq) AS title,
+                  {blank('branch')} AS source_branch,
+                  {blank("CASE WHEN seq % 7 = 0 THEN branch ELSE 'main' END")} AS destination_branch
+           FROM fx_requests WHERE op = 'merge'),
+q2 AS (SELECT seq, repository, title, coalesce(source_branch, 'main') AS source_branch,
+              coalesce(destination_branch, 'main') AS destination_branch FROM q),
+v AS (SELECT q2.*, s.branch IS NOT NULL AS src_ok, d.branch IS NOT NULL AS dst_ok
+      FROM q2 LEFT JOIN fx_refs s ON s.repository = q2.repository AND s.branch = q2.source_branch
+      LEFT JOIN fx_refs d ON d.repository = q2.repository AND d.branch = q2.destination_branch),
+o AS (SELECT *, CASE WHEN NOT (src_ok AND dst_ok) THEN 'branch_not_found'
+                     WHEN source_branch = destination_branch THEN 'same_branch' ELSE 'created' END AS outcome FROM v)
+SELECT seq, repository,
+       CASE WHEN outcome = 'created' THEN 'pr_' || substr(sha256(concat_ws('|', repository, CAST(seq AS VARCHAR), title)), 1, 16) END AS id,
+       title, source_branch, destination_branch, CASE WHEN outcome = 'created' THEN 'open' END AS status,
+       outcome, outcome IN {OK_CODES} AS ok
+FROM o""", "fx_requests", "fx_refs", "fx_commits")
+
+PR_ATTRS = f"""
+pa AS (SELECT repository, id, status, title, description, author, source_branch, destination_branch, merged_commit_id,
+              {RENDER_TS.format(c='creation_date')} AS creation_date,
+              CASE WHEN closed_date IS NOT NULL THEN {RENDER_TS.format(c='closed_date')} END AS closed_date
+       FROM fx_pull_requests)"""
+
+ORACLE["fetch_pull_requests"] = with_fixtures(f"""
+WITH {PR_ATTRS},
+q AS (SELECT seq, repository, {LPAD_SEQ} AS id FROM fx_requests)
+SELECT q.seq, q.repository, q.id, pa.status, pa.title, pa.description, pa.author, pa.source_branch,
+       pa.destination_branch, pa.merged_commit_id, pa.creation_date, pa.closed_date,
+       CASE WHEN pa.id IS NULL THEN 'not_found' ELSE 'fetched' END AS outcome, pa.id IS NOT NULL AS ok
+FROM q LEFT JOIN pa ON pa.repository = q.repository AND pa.id = q.id""", "fx_requests", "fx_pull_requests")
+
+ORACLE["list_pull_requests"] = with_fixtures(f"""
+WITH q AS (SELECT seq, repository,
+                  CASE seq % 3 WHEN 0 THEN '' WHEN 1 THEN 'pr_00000' ELSE 'pr_000001' END AS prefix,
+                  CASE WHEN seq % 2 = 0 THEN '' ELSE {LPAD_SEQ} END AS after,
+                  CAST(1 + seq % 5 AS INTEGER) AS amount,
+                  CASE seq % 3 WHEN 0 THEN 'open' WHEN 1 THEN 'closed' ELSE 'all' END AS status
+           FROM fx_requests WHERE op = 'fetch'),
+m AS (SELECT q.seq, q.repository, q.amount, p.id,
+             row_number() OVER (PARTITION BY q.seq ORDER BY p.id) AS position,
+             count(*) OVER (PARTITION BY q.seq) AS total
+      FROM q JOIN fx_pull_requests p ON p.repository = q.repository AND starts_with(p.id, q.prefix) AND p.id > q.after
+        AND (q.status = 'all' OR (q.status = 'open' AND p.status = 'open') OR (q.status = 'closed' AND p.status <> 'open'))),
+s AS (SELECT seq, max(total) > max(amount) AS has_more, max(CASE WHEN position = amount THEN id END) AS last_id
+      FROM m GROUP BY seq)
+SELECT m.seq, m.repository, m.id, CAST(m.position AS BIGINT) AS position, s.has_more,
+       CASE WHEN s.has_more THEN s.last_id END AS next_after
+FROM m JOIN s USING (seq) WHERE m.position <= m.amount""", "fx_requests", "fx_pull_requests")
+
+ORACLE["merge_pull_requests"] = "WITH RECURSIVE " + with_fixtures(f"""
+WITH r0 AS (SELECT seq, repository, {LPAD_SEQ} AS id, CAST(epoch_ms(ts) // 1000 AS BIGINT) AS date
+            FROM fx_requests WHERE op = 'create'),
+r1 AS (SELECT r0.*, p.status AS pr_status, p.source_branch, p.destination_branch, p.merged_commit_id AS pr_merged
+       FROM r0 LEFT JOIN fx_pull_requests p ON p.repository = r0.repository AND p.id = r0.id),
+q AS (SELECT seq, repository, source_branch AS source_ref, destination_branch, concat('merge ', id) AS message,
+             'unknown' AS committer, date, false AS force, false AS allow_empty
+      FROM r1 WHERE pr_status = 'open'),
+{MERGE_TAIL}
+SELECT r1.seq, r1.repository, r1.id,
+       CASE WHEN r1.pr_status IS NULL THEN 'not_found' WHEN r1.pr_status <> 'open' THEN 'not_open'
+            ELSE mo.outcome END AS outcome,
+       coalesce(CASE WHEN r1.pr_status IS NULL THEN 'not_found' WHEN r1.pr_status <> 'open' THEN 'not_open'
+            ELSE mo.outcome END IN {OK_CODES}, false) AS ok,
+       CASE WHEN mo.outcome = 'merged' THEN 'merged' ELSE r1.pr_status END AS status,
+       CASE WHEN mo.outcome = 'merged' THEN sha256(concat_ws('|', mo.repository, mo.dest_commit || ',' || mo.source_commit,
+            mo.merged_range, mo.committer, mo.message, CAST(mo.date AS VARCHAR), '')) ELSE r1.pr_merged END
+         AS merged_commit_id,
+       mo.n_conflict
+FROM r1 LEFT JOIN mo ON mo.seq = r1.seq""", "fx_requests", "fx_refs", "fx_commits", "fx_parents", "fx_entries",
+                                                                 "fx_pull_requests")[5:]
+
+ORACLE["update_pull_requests"] = with_fixtures(f"""
+WITH q AS (SELECT seq, repository, {LPAD_SEQ} AS id,
+                  CASE WHEN seq % 2 = 0 THEN concat('retitled ', seq) END AS title,
+                  CASE seq % 3 WHEN 0 THEN 'closed' WHEN 1 THEN 'open' END AS status
+           FROM fx_requests WHERE op = 'fetch'),
+v AS (SELECT q.*, p.status AS old_status, p.title AS old_title, p.description AS old_description
+      FROM q LEFT JOIN fx_pull_requests p ON p.repository = q.repository AND p.id = q.id),
+o AS (SELECT *, CASE WHEN old_status IS NULL THEN 'not_found'
+                     WHEN old_status = 'merged' AND status IS NOT NULL AND status <> 'merged' THEN 'bad_transition'
+                     ELSE 'updated' END AS outcome FROM v)
+SELECT seq, repository, id, outcome, outcome IN {OK_CODES} AS ok,
+       CASE WHEN outcome = 'updated' THEN coalesce(status, old_status) ELSE old_status END AS status,
+       CASE WHEN outcome = 'updated' THEN coalesce(title, old_title) ELSE old_title END AS title,
+       old_description AS description
+FROM o""", "fx_requests", "fx_pull_requests")

@@ -301,3 +301,72 @@ def q_cherry_pick(spark, sf_dir):
     out = MG.cherry_pick(_pick_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries)
     return out.select("repository", "branch", "target_commit", "outcome", "ok", "n_take_source",
                       "n_conflict", "n_keep_dest", "meta_range_id")
+
+
+# -------------------------------------------------------- pull requests ------
+from strata.operators import pulls as PR  # noqa: E402
+
+
+def _lpad_seq(c="seq"):
+    return F.concat(F.lit("pr_"), F.lpad(F.col(c).cast("string"), 9, "0"))
+
+
+@query
+def q_create_pull_requests(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    s = F.col("seq")
+    req = fx.requests.where(F.col("op") == "merge").select(
+        "seq", "repository", F.concat(F.lit("title "), s.cast("string")).alias("title"),
+        F.when(s % 2 == 0, F.concat(F.lit("about "), s.cast("string"))).alias("description"),
+        F.col("branch").alias("source_branch"),
+        F.when(s % 7 == 0, F.col("branch")).otherwise(F.lit("main")).alias("destination_branch"))
+    out = PR.create_pull_requests(req, fx.refs)
+    return out.select("seq", "repository", "id", "title", "source_branch", "destination_branch", "status",
+                      "outcome", "ok")
+
+
+@query
+def q_fetch_pull_requests(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    req = fx.requests.select("seq", "repository", _lpad_seq().alias("id"))
+    out = PR.fetch_pull_requests(req, fx.pull_requests)
+    return out.select("seq", "repository", "id", "status", "title", "description", "author", "source_branch",
+                      "destination_branch", "merged_commit_id", "creation_date", "closed_date", "outcome", "ok")
+
+
+def _list_requests(fx):
+    s = F.col("seq")
+    return fx.requests.where(F.col("op") == "fetch").select(
+        "seq", "repository",
+        F.when(s % 3 == 0, F.lit("")).when(s % 3 == 1, F.lit("pr_00000")).otherwise(F.lit("pr_000001"))
+         .alias("prefix"),
+        F.when(s % 2 == 0, F.lit("")).otherwise(_lpad_seq()).alias("after"),
+        (F.lit(1) + s % 5).cast("int").alias("amount"),
+        F.when(s % 3 == 0, F.lit("open")).when(s % 3 == 1, F.lit("closed")).otherwise(F.lit("all")).alias("status"))
+
+
+@query
+def q_list_pull_requests(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return PR.list_pull_requests(_list_requests(fx), fx.pull_requests)
+
+
+@query
+def q_merge_pull_requests(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    req = fx.requests.where(F.col("op") == "create").select(
+        "seq", "repository", _lpad_seq().alias("id"), C.epoch_seconds(F.col("ts")).alias("date"))
+    out = PR.merge_pull_requests(req, fx.pull_requests, fx.refs, fx.commits, fx.parents, fx.entries)
+    return out.select("seq", "repository", "id", "outcome", "ok", "status", "merged_commit_id", "n_conflict")
+
+
+@query
+def q_update_pull_requests(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    s = F.col("seq")
+    req = fx.requests.where(F.col("op") == "fetch").select(
+        "seq", "repository", _lpad_seq().alias("id"),
+        F.when(s % 2 == 0, F.concat(F.lit("retitled "), s.cast("string"))).alias("title"),
+        F.when(s % 3 == 0, F.lit("closed")).when(s % 3 == 1, F.lit("open")).alias("status"))
+    out = PR.update_pull_requests(req, fx.pull_requests)
+    return out.select("seq", "repository", "id", "outcome", "ok", "status", "title", "description")
