@@ -706,3 +706,112 @@ SELECT seq, repository, id, outcome, outcome IN {OK_CODES} AS ok,
        CASE WHEN outcome = 'updated' THEN coalesce(title, old_title) ELSE old_title END AS title,
        old_description AS description
 FROM o""", "fx_requests", "fx_pull_requests")
+
+# -------------------------------------------------------------- objects ------
+MAIN_VIEW = MAIN_LISTING + """,
+view AS (SELECT repository, branch, path, checksum, size_bytes FROM committed c
+         WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.repository = c.repository AND l.branch = c.branch AND l.path = c.path)
+         UNION ALL SELECT repository, branch, path, checksum, size_bytes FROM last WHERE op = 'put')"""
+
+ORACLE["put_objects"] = with_fixtures(f"""
+WITH {MAIN_VIEW},
+q AS (SELECT doc_id AS seq, repository, 'main' AS branch, regexp_replace(path, '/[^/]*$', '/latest.txt') AS path,
+             content, doc_id % 2 = 0 AS overwrite FROM fx_objects),
+v AS (SELECT q.*, b.branch IS NOT NULL AS branch_ok, w.checksum AS visible
+      FROM q LEFT JOIN fx_refs b ON b.repository = q.repository AND b.branch = q.branch
+      LEFT JOIN view w ON w.repository = q.repository AND w.branch = q.branch AND w.path = q.path),
+f AS (SELECT repository, branch, path, min(seq) AS first_seq FROM v WHERE branch_ok GROUP BY 1, 2, 3),
+o AS (SELECT v.*, CASE WHEN NOT branch_ok THEN 'branch_not_found'
+                       WHEN NOT overwrite AND (visible IS NOT NULL OR f.first_seq < v.seq) THEN 'exists'
+                       ELSE 'stored' END AS outcome
+      FROM v LEFT JOIN f USING (repository, branch, path))
+SELECT seq, repository, branch, path, sha256(content) AS checksum, CAST(octet_length(content) AS BIGINT) AS size_bytes,
+       outcome, outcome IN {OK_CODES} AS ok FROM o""", "fx_objects", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+ORACLE["fetch_objects"] = with_fixtures(f"""
+WITH staging2 AS (SELECT repository, branch, path, op, checksum, size_bytes, seq FROM fx_staging
+                  UNION ALL
+                  SELECT repository, 'main', path, 'put', sha256(content), size_bytes, doc_id FROM fx_objects
+                  WHERE repository IN (SELECT repository FROM fx_refs WHERE branch = 'main')),
+contents AS (SELECT DISTINCT sha256(content) AS checksum, content FROM fx_objects),
+q AS (SELECT doc_id AS seq, repository,
+             CASE WHEN doc_id % 4 = 0 THEN md5(concat(repository, ':1')) ELSE 'main' END AS ref, path FROM fx_objects),
+r AS (SELECT q.*, coalesce(rb.commit_id, rc.commit_id) AS ref_commit,
+             CASE WHEN rb.commit_id IS NOT NULL THEN 'branch' WHEN rc.commit_id IS NOT NULL THEN 'commit' END AS ref_kind
+      FROM q LEFT JOIN fx_refs rb ON rb.repository = q.repository AND rb.branch = q.ref
+      LEFT JOIN fx_commits rc ON rc.repository = q.repository AND rc.commit_id = q.ref),
+r2 AS (SELECT r.*, e.checksum AS c_ck FROM r
+       LEFT JOIN fx_commits c ON c.repository = r.repository AND c.commit_id = r.ref_commit
+       LEFT JOIN fx_entries e ON e.repository = r.repository AND e.meta_range_id = c.meta_range_id AND e.path = r.path),
+last AS (SELECT * FROM staging2 QUALIFY row_number() OVER (PARTITION BY repository, branch, path ORDER BY seq DESC) = 1),
+r3 AS (SELECT r2.*, CASE WHEN l.op IS NOT NULL THEN CASE WHEN l.op = 'put' THEN l.checksum END ELSE c_ck END AS checksum
+       FROM r2 LEFT JOIN last l ON r2.ref_kind = 'branch' AND l.repository = r2.repository AND l.branch = r2.ref
+                               AND l.path = r2.path),
+o AS (SELECT r3.*, CASE WHEN r3.ref_commit IS NULL THEN 'ref_not_found' WHEN r3.checksum IS NULL THEN 'path_not_found'
+                        ELSE 'fetched' END AS outcome, ct.content
+      FROM r3 LEFT JOIN contents ct ON ct.checksum = r3.checksum)
+SELECT seq, repository, ref, path, outcome, outcome = 'fetched' AS ok,
+       CASE WHEN outcome = 'fetched' THEN regexp_extract(path, '([^/]*)$', 1) END AS file_name,
+       CASE WHEN outcome = 'fetched' THEN CAST(octet_length(content) AS BIGINT) END AS file_length,
+       sha256(content) AS content_sha
+FROM o""", "fx_objects", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+PATH_REQ = f"""
+q AS (SELECT seq, repository, 'main' AS ref, 'main' AS branch,
+             concat('orders/', CASE WHEN seq % 2 = 0 THEN 'O' ELSE 'F' END, '/', seq) AS path FROM fx_requests),
+r AS (SELECT q.*, rb.commit_id AS ref_commit, CASE WHEN rb.commit_id IS NOT NULL THEN 'branch' END AS ref_kind
+      FROM q LEFT JOIN fx_refs rb ON rb.repository = q.repository AND rb.branch = q.ref),
+r3 AS (SELECT r.*, w.checksum, w.size_bytes FROM r
+       LEFT JOIN view w ON w.repository = r.repository AND w.branch = r.ref AND w.path = r.path),
+o AS (SELECT r3.*, CASE WHEN ref_commit IS NULL THEN 'ref_not_found' WHEN checksum IS NULL THEN 'path_not_found'
+                        ELSE 'fetched' END AS outcome FROM r3)"""
+
+ORACLE["stat_objects"] = with_fixtures(f"""
+WITH {MAIN_VIEW}, {PATH_REQ}
+SELECT seq, repository, ref, path, checksum, size_bytes, outcome, outcome = 'fetched' AS ok FROM o""",
+                                       "fx_requests", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+ORACLE["head_objects"] = with_fixtures(f"""
+WITH {MAIN_VIEW}, {PATH_REQ}
+SELECT seq, repository, path FROM o WHERE outcome = 'fetched'""",
+                                       "fx_requests", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+ORACLE["delete_objects"] = with_fixtures(f"""
+WITH {MAIN_VIEW}, {PATH_REQ},
+f AS (SELECT repository, branch, path, min(seq) AS first_seq FROM o WHERE outcome = 'fetched' GROUP BY 1, 2, 3)
+SELECT o.seq, o.repository, o.branch, o.path,
+       CASE WHEN ref_commit IS NULL THEN 'branch_not_found' WHEN checksum IS NULL OR f.first_seq <> o.seq
+            THEN 'path_not_found' ELSE 'deleted' END AS outcome,
+       ref_commit IS NOT NULL AND checksum IS NOT NULL AND f.first_seq = o.seq AS ok
+FROM o LEFT JOIN f USING (repository, branch, path)""",
+                                         "fx_requests", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+ORACLE["copy_objects"] = with_fixtures(f"""
+WITH {MAIN_VIEW}, {PATH_REQ}
+SELECT seq, repository, branch, path, concat('copies/', path) AS dest_path, checksum,
+       CASE WHEN ref_commit IS NULL THEN 'branch_not_found' WHEN checksum IS NULL THEN 'path_not_found'
+            ELSE 'copied' END AS outcome,
+       ref_commit IS NOT NULL AND checksum IS NOT NULL AS ok
+FROM o""", "fx_requests", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+ORACLE["reset_branch"] = with_fixtures("""
+SELECT s.repository, s.branch, s.path, s.op, s.checksum, s.size_bytes FROM fx_staging s
+WHERE NOT (starts_with(s.path, 'orders/O/')
+           AND EXISTS (SELECT 1 FROM fx_refs r WHERE r.repository = s.repository AND r.branch = s.branch
+                       AND r.branch = 'main'))""", "fx_staging", "fx_refs", "fx_commits")
+
+ORACLE["list_objects"] = with_fixtures(f"""
+WITH {MAIN_VIEW},
+x AS (SELECT repository, branch, size_bytes, substr(path, length('orders/') + 1) AS rest, path FROM view
+      WHERE starts_with(path, 'orders/') AND path > '')
+SELECT repository, branch,
+       CASE WHEN instr(rest, '/') > 0 THEN 'orders/' || substr(rest, 1, instr(rest, '/') - 1) || '/' ELSE path END AS entry,
+       CASE WHEN instr(rest, '/') > 0 THEN 'prefix' ELSE 'object' END AS kind,
+       CAST(count(*) AS BIGINT) AS n_objects, CAST(sum(size_bytes) AS BIGINT) AS total_bytes
+FROM x GROUP BY 1, 2, 3, 4""", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+ORACLE["symlink_manifest"] = with_fixtures(f"""
+WITH {MAIN_VIEW}
+SELECT repository, branch, regexp_replace(path, '/[^/]*$', '') AS dir, CAST(count(*) AS BIGINT) AS n_files,
+       CAST(sum(size_bytes) AS BIGINT) AS total_bytes
+FROM view GROUP BY 1, 2, 3""", "fx_refs", "fx_commits", "fx_entries", "fx_staging")

@@ -370,3 +370,97 @@ def q_update_pull_requests(spark, sf_dir):
         F.when(s % 3 == 0, F.lit("closed")).when(s % 3 == 1, F.lit("open")).alias("status"))
     out = PR.update_pull_requests(req, fx.pull_requests)
     return out.select("seq", "repository", "id", "outcome", "ok", "status", "title", "description")
+
+
+# -------------------------------------------------------------- objects ------
+from strata.operators import objects as OB  # noqa: E402
+
+
+@query
+def q_put_objects(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    req = fx.objects.select(F.col("doc_id").alias("seq"), "repository", F.lit("main").alias("branch"),
+                            F.regexp_replace("path", r"/[^/]*$", "/latest.txt").alias("path"), "content",
+                            (F.col("doc_id") % 2 == 0).alias("overwrite"))
+    out = OB.put_objects(req, fx.refs, fx.commits, fx.entries, fx.staging)
+    return out.select("seq", "repository", "branch", "path", "checksum", "size_bytes", "outcome", "ok")
+
+
+def _state_after_doc_puts(fx):
+    req = fx.objects.select(F.col("doc_id").alias("seq"), "repository", F.lit("main").alias("branch"),
+                            "path", "content", F.lit(True).alias("overwrite"))
+    d = OB.put_deltas(OB.put_objects(req, fx.refs, fx.commits, fx.entries, fx.staging))
+    return fx.staging.unionByName(d["staging"]), d["contents"]
+
+
+@query
+def q_fetch_objects(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    staging, contents = _state_after_doc_puts(fx)
+    ref = (F.when(F.col("doc_id") % 4 == 0, F.md5(F.concat(F.col("repository"), F.lit(":1"))))
+            .otherwise(F.lit("main")))
+    req = fx.objects.select(F.col("doc_id").alias("seq"), "repository", ref.alias("ref"), "path")
+    out = OB.fetch_objects(req, fx.refs, fx.commits, fx.entries, staging, contents)
+    return out.select("seq", "repository", "ref", "path", "outcome", "ok", "file_name", "file_length",
+                      F.sha2("content", 256).alias("content_sha"))
+
+
+def _path_requests(fx):
+    s = F.col("seq")
+    return fx.requests.select(
+        "seq", "repository", F.lit("main").alias("ref"), F.lit("main").alias("branch"),
+        F.concat(F.lit("orders/"), F.when(s % 2 == 0, F.lit("O")).otherwise(F.lit("F")), F.lit("/"),
+                 s.cast("string")).alias("path"))
+
+
+@query
+def q_stat_objects(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    out = OB.stat_objects(_path_requests(fx).drop("branch"), fx.refs, fx.commits, fx.entries, fx.staging)
+    return out.select("seq", "repository", "ref", "path", "checksum", "size_bytes", "outcome", "ok")
+
+
+@query
+def q_head_objects(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    out = OB.head_objects(_path_requests(fx).drop("branch"), fx.refs, fx.commits, fx.entries, fx.staging)
+    return out.select("seq", "repository", "path")
+
+
+@query
+def q_delete_objects(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    out = OB.delete_objects(_path_requests(fx).drop("ref"), fx.refs, fx.commits, fx.entries, fx.staging)
+    return out.select("seq", "repository", "branch", "path", "outcome", "ok")
+
+
+@query
+def q_copy_objects(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    req = _path_requests(fx).drop("ref").withColumn("dest_path", F.concat(F.lit("copies/"), F.col("path")))
+    out = OB.copy_objects(req, fx.refs, fx.commits, fx.entries, fx.staging)
+    return out.select("seq", "repository", "branch", "path", "dest_path", "checksum", "outcome", "ok")
+
+
+@query
+def q_reset_branch(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    req = _main_branches(fx).withColumn("prefix", F.lit("orders/O/"))
+    kept = OB.reset_branch(fx.staging, req)
+    return kept.select("repository", "branch", "path", "op", "checksum", "size_bytes")
+
+
+def _main_view(fx):
+    return L.branch_view(_main_branches(fx), fx.refs, fx.commits, fx.entries, fx.staging)
+
+
+@query
+def q_list_objects(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return OB.list_objects(_main_view(fx), prefix="orders/", delimiter="/")
+
+
+@query
+def q_symlink_manifest(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return OB.symlink_manifest(_main_view(fx))
