@@ -815,3 +815,45 @@ WITH {MAIN_VIEW}
 SELECT repository, branch, regexp_replace(path, '/[^/]*$', '') AS dir, CAST(count(*) AS BIGINT) AS n_files,
        CAST(sum(size_bytes) AS BIGINT) AS total_bytes
 FROM view GROUP BY 1, 2, 3""", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
+# ------------------------------------------------------------------ watch ----
+WAIT_SQL = """
+SELECT repository, branch, seq, observed_at, commit_id FROM (
+  SELECT *, lag(commit_id) OVER (PARTITION BY repository, branch ORDER BY seq) AS prev FROM fx_observations) t
+WHERE commit_id IS NOT NULL AND (prev IS NULL OR prev <> commit_id)"""
+
+ORACLE["wait_commits"] = with_fixtures(WAIT_SQL, "fx_observations")
+
+ORACLE["poll_sample"] = with_fixtures("""
+WITH s AS (SELECT repository, branch, date_trunc('hour', observed_at) AS window_start, seq, commit_id
+           FROM fx_observations
+           QUALIFY row_number() OVER (PARTITION BY repository, branch, date_trunc('hour', observed_at) ORDER BY seq DESC) = 1)
+SELECT repository, branch, window_start, commit_id FROM (
+  SELECT *, lag(commit_id) OVER (PARTITION BY repository, branch ORDER BY seq) AS prev FROM s) t
+WHERE commit_id IS NOT NULL AND (prev IS NULL OR prev <> commit_id)""", "fx_observations")
+
+ORACLE["changed_since"] = with_fixtures(f"""
+WITH cnt AS (SELECT repository, count(*) AS cnt FROM fx_commits GROUP BY 1),
+q AS (SELECT r.seq, r.repository, {blank('r.branch')} AS branch,
+             CASE WHEN r.seq % 4 = 0 THEN md5(r.repository || ':' ||
+                       CAST(1 + (TRY_CAST(substr(r.branch, 3, 20) AS BIGINT) * 37) % c.cnt AS VARCHAR))
+                  ELSE md5(concat(r.repository, ':', r.seq)) END AS previous_commit_id
+      FROM fx_requests r LEFT JOIN cnt c ON c.repository = r.repository WHERE r.op = 'fetch'),
+v AS (SELECT q.*, h.commit_id AS head FROM q LEFT JOIN fx_refs h ON h.repository = q.repository AND h.branch = q.branch)
+SELECT seq, repository, branch, previous_commit_id, head,
+       CASE WHEN branch IS NULL THEN 'invalid' WHEN head IS NULL THEN 'branch_not_found'
+            WHEN head IS NOT DISTINCT FROM previous_commit_id THEN 'unchanged' ELSE 'changed' END AS outcome,
+       branch IS NOT NULL AND head IS NOT NULL AS ok
+FROM v""", "fx_requests", "fx_refs", "fx_commits")
+
+ORACLE["stream_wait_commits"] = ORACLE["wait_commits"]
+
+ORACLE["stream_new_branches"] = with_fixtures(f"""
+WITH {CREATE_BASE},
+last AS (SELECT repository, branch, arg_max(source_commit, seq) AS commit_id FROM cout
+         WHERE outcome IN ('created', 'overwritten') GROUP BY repository, branch)
+SELECT repository, branch, commit_id FROM fx_refs
+UNION ALL
+SELECT repository, branch, commit_id FROM last l
+WHERE NOT EXISTS (SELECT 1 FROM fx_refs r WHERE r.repository = l.repository AND r.branch = l.branch)""",
+                                              "fx_requests", "fx_refs", "fx_commits")

@@ -464,3 +464,70 @@ def q_list_objects(spark, sf_dir):
 def q_symlink_manifest(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return OB.symlink_manifest(_main_view(fx))
+
+
+# ------------------------------------------------------------------ watch ----
+from strata.operators import wait as WT  # noqa: E402
+
+
+@query
+def q_wait_commits(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return WT.wait_commits(fx.observations).select("repository", "branch", "seq", "observed_at", "commit_id")
+
+
+@query
+def q_poll_sample(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    sampled = WT.poll_sample(fx.observations, "1 hour")
+    return WT.wait_commits(sampled).select("repository", "branch", "window_start", "commit_id")
+
+
+@query
+def q_changed_since(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    s = F.col("seq")
+    cnt = fx.commits.groupBy("repository").agg(F.count(F.lit(1)).alias("cnt"))
+    k = F.substring(F.col("branch"), 3, 20).try_cast("long")
+    req = (fx.requests.where(F.col("op") == "fetch").join(cnt, "repository", "left")
+           .select("seq", "repository", "branch",
+                   F.when(s % 4 == 0, F.md5(F.concat(F.col("repository"), F.lit(":"),
+                                                     (F.lit(1) + (k * 37) % F.col("cnt")).cast("string"))))
+                    .otherwise(F.md5(F.concat(F.col("repository"), F.lit(":"), s.cast("string"))))
+                    .alias("previous_commit_id")))
+    out = WT.changed_since(req, fx.refs)
+    return out.select("seq", "repository", "branch", "previous_commit_id", "head", "outcome", "ok")
+
+
+# -------------------------------------------------------------- streams ------
+from strata.session import scratch_path  # noqa: E402
+from strata.sources.fixtures import observations_from  # noqa: E402
+from strata.streaming import watch as ST  # noqa: E402
+
+
+@query
+def q_stream_wait_commits(spark, sf_dir):
+    """Events file as a stream → keyed state → parquet sink; read back."""
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .parquet(sf_dir.rstrip("/")))
+    out, ck = scratch_path(spark, "wait-out"), scratch_path(spark, "wait-ck")
+    ST.run_available(ST.wait_commits_stream(observations_from(events)), out, ck)
+    return spark.read.schema(ST.OUT_SCHEMA).parquet(out)
+
+
+@query
+def q_stream_new_branches(spark, sf_dir):
+    """Two branch listings (before / after a batch of creates) arrive as a
+    stream; the first emits every branch, the second only new ones."""
+    fx = Fixtures(spark, sf_dir)
+    before = fx.refs.select("repository", "branch", "commit_id")
+    created = R.create_branches(_create_requests(fx), fx.refs, fx.commits)
+    after = R.refs_after_create(created, fx.refs).select("repository", "branch", "commit_id")
+    src, out, ck = (scratch_path(spark, n) for n in ("listings", "new-out", "new-ck"))
+    schema = before.schema
+    for snap in (before, after):
+        snap.write.mode("append").parquet(src)
+        stream = ST.new_branches_stream(spark.readStream.schema(schema).parquet(src))
+        ST.run_available(stream, out, ck)
+    return spark.read.schema(schema).parquet(out)

@@ -36,6 +36,17 @@ def range_id(repository: Column, i: Column | int) -> Column:
     return F.md5(F.concat(F.lit("mr:"), repository, F.lit(":"), _s(i)))
 
 
+def observations_from(e: DataFrame) -> DataFrame:
+    """fx_observations from an events DataFrame (batch or streaming)."""
+    return e.select(
+        repo_of(F.col("user_id")).alias("repository"),
+        F.concat(F.lit("b_"), _s("user_id")).alias("branch"),
+        F.col("event_id").alias("seq"), F.col("ts").alias("observed_at"),
+        F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
+         .otherwise(F.md5(F.concat(F.lit("c"), _s(F.floor(F.col("value") / 60).cast("long")))))
+         .alias("commit_id"))
+
+
 class Fixtures:
     """Lazy fixture DataFrames for one scale-factor folder."""
 
@@ -185,14 +196,7 @@ class Fixtures:
     # -- observations and requests --------------------------------------------
     @cached_property
     def observations(self) -> DataFrame:
-        e = self.table("events")
-        return e.select(
-            repo_of(F.col("user_id")).alias("repository"),
-            F.concat(F.lit("b_"), _s("user_id")).alias("branch"),
-            F.col("event_id").alias("seq"), F.col("ts").alias("observed_at"),
-            F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
-             .otherwise(F.md5(F.concat(F.lit("c"), _s(F.floor(F.col("value") / 60).cast("long")))))
-             .alias("commit_id"))
+        return observations_from(self.table("events"))
 
     @cached_property
     def requests(self) -> DataFrame:
