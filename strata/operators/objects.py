@@ -61,12 +61,13 @@ def _path_outcome(found_ok: str) -> Column:
 
 
 LOOKUP_PARAMS = [Param("repository"), Param("ref"), Param("path")]
-_LOOKUP_RULES = [rule_required("repository"), rule_required("ref"), rule_required("path")]
+def _lookup_rules():
+    return [rule_required("repository"), rule_required("ref"), rule_required("path")]
 
 
 def stat_objects(requests, refs, commits, entries, staging) -> DataFrame:
     """Object metadata at (ref, path); absent → ``path_not_found``."""
-    r = validate(bind(requests, LOOKUP_PARAMS), _LOOKUP_RULES)
+    r = validate(bind(requests, LOOKUP_PARAMS), _lookup_rules())
     r = lookup_paths(r, refs, commits, entries, staging)
     return r.withColumn("outcome", _path_outcome(O.FETCHED)).withColumn("ok", O.ok_col())
 
@@ -224,8 +225,8 @@ def write_symlinks(view: DataFrame, location: str, num_partitions: int | None =
     tasks (each writes its own, internally sorted file), so one hot
     directory never lands in one task; no global sort."""
     n = num_partitions or int(view.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = view.select(_dir_of(F.col("path")).alias("dir"), "path",
-                       F.coalesce(F.col("physical_address"), F.col("checksum")).alias("value"))
+    addr = [F.col(c) for c in ("physical_address", "checksum") if c in view.columns]
+    rows = view.select(_dir_of(F.col("path")).alias("dir"), "path", F.coalesce(*addr).alias("value"))
     (rows.repartitionByRange(n, "dir", "path").sortWithinPartitions("dir", "path")
          .select("dir", "value").write.mode("overwrite").partitionBy("dir").text(location))
     return location
