@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import hashing as H
+from strata.functions.joins import small_side
 from strata.functions import outcomes as O
 from strata.functions.params import (BRANCH_NAME, Param, bind, rule_pattern,
                                      rule_required, validate)
@@ -173,12 +174,14 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
     first = (r.where(eligible).groupBy("repository", "branch").agg(F.min("seq").alias("_first")))
     r = r.join(first, ["repository", "branch"], "left")
     is_first = eligible & (F.col("seq") == F.col("_first"))
-    # staged changes of first requests only: one evaluation per branch
-    firsts = r.where(is_first).select("repository", "branch", "base_range")
-    last = last_staged_for(staging, firsts)
-    base = L.listing_rows(firsts, entries, "base_range").select("repository", "branch", "path", "checksum",
-                                                                "size_bytes")
-    ch = L.staged_changes(last, base, ["repository", "branch"])
+    # staged changes of first requests only: one evaluation per branch;
+    # the (few) first requests are the small side of every join below
+    firsts = small_side(r.where(is_first).select("repository", "branch", "base_range"))
+    # probe the base listing only at staged paths (fine key: listing, path)
+    last = last_staged_for(staging, firsts).join(firsts, ["repository", "branch"])
+    probe = entries.select("repository", F.col("meta_range_id").alias("base_range"), "path",
+                           F.col("checksum").alias("old_checksum"))
+    ch = L.changes_at(last, probe, ["repository", "base_range", "path"])
     d = L.change_lanes(F.col("path"), F.col("old_checksum"), F.col("new_checksum"))
     delta = ch.groupBy("repository", "branch").agg(
         F.count(F.lit(1)).cast("long").alias("n_changes"),
@@ -216,8 +219,12 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
 
 
 def last_staged_for(staging: DataFrame, branches: DataFrame) -> DataFrame:
-    s = staging.join(branches.select("repository", "branch").distinct(), ["repository", "branch"], "left_semi")
-    return L.last_staged(s)
+    """Last staged op per path of the given branches.  Aggregate first on the
+    fine key (repository, branch, path), then keep the wanted branches with
+    a size-checked broadcast of the branch list: staging is never shuffled
+    by branch alone."""
+    wanted = small_side(branches.select("repository", "branch").distinct())
+    return L.last_staged(staging).join(wanted, ["repository", "branch"], "left_semi")
 
 
 def commit_deltas(outcomes: DataFrame, entries: DataFrame, staging: DataFrame) -> dict[str, DataFrame]:

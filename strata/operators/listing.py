@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import hashing as H
+from strata.functions.joins import small_side
 
 PATH_KEY = ["repository", "path"]
 
@@ -51,7 +52,11 @@ def head_range(df: DataFrame, commits: DataFrame, commit_col: str, out: str = "m
 
 
 def listing_rows(keys: DataFrame, entries: DataFrame, range_col: str = "meta_range_id") -> DataFrame:
-    """Entries of the listings named by ``keys`` (one copy per key row)."""
+    """Entries of the listings named by ``keys`` (one copy per key row).
+
+    Few listings hold many entries, so ``keys`` is broadcast after a size
+    check instead of shuffling ``entries`` by listing id."""
+    keys = small_side(keys)
     e = entries.select(F.col("repository").alias("_l_repo"), F.col("meta_range_id").alias("_l_mr"),
                        "path", "checksum", "size_bytes",
                        F.coalesce(F.col("physical_address"), F.col("checksum")).alias("physical_address")
@@ -72,8 +77,8 @@ def branch_view(branches: DataFrame, refs: DataFrame, commits: DataFrame, entrie
     committed = listing_rows(heads, entries).select(
         "repository", "branch", "path", "checksum", "size_bytes", "physical_address",
         F.lit("committed").alias("origin"))
-    staged = last_staged(staging.join(branches.select("repository", "branch").distinct(),
-                                      ["repository", "branch"], "left_semi"))
+    staged = last_staged(staging).join(small_side(branches.select("repository", "branch").distinct()),
+                                       ["repository", "branch"], "left_semi")
     kept = committed.join(staged.select("repository", "branch", "path"),
                           ["repository", "branch", "path"], "left_anti")
     puts = staged.where(F.col("op") == "put").select(
@@ -103,6 +108,18 @@ def staged_changes(last: DataFrame, base: DataFrame, key: Sequence[str]) -> Data
                       .when(new_ck.isNull(), F.lit("removed")).otherwise(F.lit("changed")).alias("change")))
 
 
+def changes_at(last: DataFrame, probe: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Like ``staged_changes`` but the base is looked up per staged path:
+    ``probe`` has the ``on`` key columns and ``old_checksum``."""
+    j = last.join(probe, list(on), "left")
+    new_ck = F.when(F.col("op") == "put", F.col("checksum"))
+    return (j.where(~new_ck.eqNullSafe(F.col("old_checksum")))
+             .select(*[c for c in last.columns if c not in ("op", "checksum", "size_bytes", "physical_address")],
+                     "old_checksum", new_ck.alias("new_checksum"),
+                     F.when(F.col("op") == "put", F.col("size_bytes")).alias("new_size"),
+                     F.when(F.col("op") == "put", F.col("physical_address")).alias("new_address")))
+
+
 def change_lanes(old_path: Column, old_ck: Column, new_ck: Column) -> list[Column]:
     """Lane delta of replacing ``old_ck`` by ``new_ck`` at a path (nulls = absent)."""
     out = []
@@ -121,7 +138,7 @@ def listing_stats(entries: DataFrame, ranges: DataFrame | None = None) -> DataFr
     partial+final aggregate: listings never gather in one task."""
     e = entries
     if ranges is not None:
-        e = e.join(ranges.select("repository", "meta_range_id").distinct(),
+        e = e.join(small_side(ranges.select("repository", "meta_range_id").distinct()),
                    ["repository", "meta_range_id"], "left_semi")
     ls = H.lanes(F.col("path"), F.col("checksum"))
     return (e.groupBy("repository", "meta_range_id")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
+from strata.functions.joins import small_side
 from strata.functions.params import (BRANCH_NAME, Param, bind, rule_pattern,
                                      rule_required, validate)
 from strata.operators import listing as L
@@ -35,7 +36,7 @@ def lookup_paths(requests: DataFrame, refs: DataFrame, commits: DataFrame, entri
         F.coalesce(F.col("physical_address"), F.col("checksum")).alias("_c_addr"))
     r = r.join(committed, ["repository", "_ref_range", "path"], "left")
     wanted = r.where(F.col("ref_kind") == "branch").select("repository", F.col(ref).alias("branch")).distinct()
-    staged = L.last_staged(staging.join(wanted, ["repository", "branch"], "left_semi")).select(
+    staged = L.last_staged(staging).join(small_side(wanted), ["repository", "branch"], "left_semi").select(
         F.col("repository").alias("_s_repo"), F.col("branch").alias("_s_ref"), F.col("path").alias("_s_path"),
         F.col("op").alias("_s_op"),
         F.col("checksum").alias("_s_ck"), F.col("size_bytes").alias("_s_size"),

@@ -13,7 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.ordered import row_number_within
-from strata.sources.tables import read_table
+from strata.session import scratch_path
+from strata.sources.tables import read_table, write_state
+
+# (application id, scale folder, table) → parquet path of the stored table
+_STORED: dict[tuple[str, str, str], str] = {}
 
 SIDES = ("base", "source", "dest")
 
@@ -57,9 +61,25 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
+    def stored(self, name: str, build) -> DataFrame:
+        """Derive a state table once per session and keep it as parquet
+        (partitioned by repository) under the shared checkpoint folder, the
+        way state tables live in a deployment; later plans read the table
+        (partition pruning, pushdown) instead of re-deriving it."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        path = _STORED.get(key)
+        if path is None:
+            path = scratch_path(self.spark, f"state-{name}")
+            write_state(build(), path)
+            _STORED[key] = path
+        return self.spark.read.parquet(path)
+
     # -- commits ---------------------------------------------------------
     @cached_property
     def commits(self) -> DataFrame:
+        return self.stored("commits", self._build_commits)
+
+    def _build_commits(self) -> DataFrame:
         """fx_commits: n = row number of the order within its repository."""
         o = self.table("orders").select(
             repo_of(F.col("o_orderkey")).alias("repository"), "o_orderkey",
@@ -82,6 +102,9 @@ class Fixtures:
 
     @cached_property
     def parents(self) -> DataFrame:
+        return self.stored("parents", self._build_parents)
+
+    def _build_parents(self) -> DataFrame:
         """fx_parents: first parent n>>1; a second parent on every 7th commit."""
         c = self.commits.select("repository", "n", "commit_id")
         first = c.where(F.col("n") > 1).select(
@@ -94,6 +117,9 @@ class Fixtures:
 
     @cached_property
     def refs(self) -> DataFrame:
+        return self.stored("refs", self._build_refs)
+
+    def _build_refs(self) -> DataFrame:
         """fx_refs: a branch per customer, ``main`` for the first five."""
         cnt = self.commits.groupBy("repository").agg(F.count(F.lit(1)).alias("cnt"))
         c = self.table("customer").select(
@@ -111,6 +137,9 @@ class Fixtures:
     # -- listings ----------------------------------------------------------
     @cached_property
     def manifest(self) -> DataFrame:
+        return self.stored("manifest", self._build_manifest)
+
+    def _build_manifest(self) -> DataFrame:
         """fx_manifest: base / source / dest listings per repository."""
         k = F.col("o_orderkey")
         side = F.col("side")
@@ -132,6 +161,9 @@ class Fixtures:
 
     @cached_property
     def entries(self) -> DataFrame:
+        return self.stored("entries", self._build_entries)
+
+    def _build_entries(self) -> DataFrame:
         """fx_manifest as the ``entries`` state table keyed by meta_range_id."""
         m = self.manifest
         idx = F.when(F.col("side") == "base", 0).when(F.col("side") == "source", 1).otherwise(2)
@@ -141,6 +173,9 @@ class Fixtures:
 
     @cached_property
     def staging(self) -> DataFrame:
+        return self.stored("staging", self._build_staging)
+
+    def _build_staging(self) -> DataFrame:
         """fx_staging: uncommitted puts/deletes on ``main``; ``seq`` orders ops per path."""
         li = self.table("lineitem")
         s = li.select(
@@ -164,6 +199,9 @@ class Fixtures:
     # -- pull requests -------------------------------------------------------
     @cached_property
     def pull_requests(self) -> DataFrame:
+        return self.stored("pull_requests", self._build_pull_requests)
+
+    def _build_pull_requests(self) -> DataFrame:
         o = self.table("orders")
         k = F.col("o_orderkey")
         st = F.col("o_orderstatus")
@@ -184,6 +222,9 @@ class Fixtures:
     # -- objects ---------------------------------------------------------------
     @cached_property
     def objects(self) -> DataFrame:
+        return self.stored("objects", self._build_objects)
+
+    def _build_objects(self) -> DataFrame:
         """fx_objects: documents as object uploads (content = UTF-8 bytes)."""
         d = self.table("documents")
         return d.select(
