@@ -168,6 +168,7 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
     r = r.join(heads, ["repository", "branch"], "left")
     r = L.head_range(r, commits, "head", out="head_range", generation_out="head_generation")
     r = r.withColumn("base_range", F.coalesce(F.col("source_metarange"), F.col("head_range")))
+    r = r.checkpoint(eager=True)   # small request side, reused by every branch below
     valid = F.col("error_code").isNull()
     moved = (F.col("expected_head").isNotNull() & (F.col("expected_head") != F.col("head")) & ~F.col("force"))
     eligible = valid & F.col("head").isNotNull() & ~moved

@@ -83,7 +83,9 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
     r = resolve_refs(r, refs, commits, ref="source_ref", out="source_commit", kind="source_kind")
     dest = refs.select("repository", F.col("branch").alias("destination_branch"),
                        F.col("commit_id").alias("dest_commit"))
-    r = r.join(dest, ["repository", "destination_branch"], "left")
+    # requests are small next to listings: cut their lineage once (reliable
+    # checkpoint) so the merge-base loop and every later branch reuse them
+    r = r.join(dest, ["repository", "destination_branch"], "left").checkpoint(eager=True)
     found = F.col("error_code").isNull() & F.col("source_commit").isNotNull() & F.col("dest_commit").isNotNull()
     pairs = r.where(found).select("repository", F.col("source_commit").alias("a"), F.col("dest_commit").alias("b"))
     mb = C.merge_base(pairs, commits, parents).select(
@@ -91,7 +93,7 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
     r = r.join(mb, ["repository", "source_commit", "dest_commit"], "left")
     r = L.head_range(r, commits, "source_commit", out="source_range", generation_out="source_generation")
     r = L.head_range(r, commits, "dest_commit", out="dest_range", generation_out="dest_generation")
-    r = L.head_range(r, commits, "base_id", out="base_range")
+    r = L.head_range(r, commits, "base_id", out="base_range").checkpoint(eager=True)
     r = _with_summary(r, entries, found)
     moving = F.col("n_take_source") + F.col("n_conflict")
     blocked = (F.col("n_conflict") > 0) & ~F.col("force")
@@ -142,7 +144,7 @@ def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFram
     r = _first_parent(r, parents, "target_commit", "parent_commit")
     r = L.head_range(r, commits, "target_commit", out="target_range")
     r = L.head_range(r, commits, "parent_commit", out="parent_range")
-    r = L.head_range(r, commits, "dest_commit", out="dest_range")
+    r = L.head_range(r, commits, "dest_commit", out="dest_range").checkpoint(eager=True)
     if revert:   # undo target: base = target, source = its parent
         r = r.withColumn("base_range", F.col("target_range")).withColumn("source_range", F.col("parent_range"))
     else:        # replay target: base = its parent, source = target
