@@ -205,14 +205,106 @@ def triple_sides(triples: DataFrame, entries: DataFrame) -> DataFrame:
 TRIPLE = ["repository", "base_range", "source_range", "dest_range"]
 
 
-def three_way_summary(triples: DataFrame, entries: DataFrame) -> DataFrame:
+def bucket_of(path: Column, bits: int) -> Column:
+    """Path bucket: the top ``bits`` bits of md5(path) (uniform, order-free)."""
+    if bits <= 0:
+        return F.lit(0)
+    hexes = (bits + 3) // 4
+    v = F.conv(F.substring(F.md5(path), 1, hexes), 16, 10).cast("long")
+    return F.shiftright(v, hexes * 4 - bits).cast("int")
+
+
+def bucket_index(entries: DataFrame, ranges: DataFrame, bits: int) -> DataFrame:
+    """Per (repository, meta_range_id, bucket): count and lane sums — a
+    range-level summary of a listing (like the inner nodes of a metarange
+    tree).  One partial+final aggregate; ranges is a size-checked key side."""
+    e = entries.join(small_side(ranges.select("repository", "meta_range_id").distinct()),
+                     ["repository", "meta_range_id"], "left_semi")
+    ls = H.lanes(F.col("path"), F.col("checksum"))
+    return (e.withColumn("bucket", bucket_of(F.col("path"), bits))
+             .groupBy("repository", "meta_range_id", "bucket")
+             .agg(F.count(F.lit(1)).cast("long").alias("n"),
+                  *[H.mod_lane(F.sum(x)).alias(f"h{i}") for i, x in enumerate(ls)]))
+
+
+def _bucket_bits_for(mx: int, target: int = 64, max_bits: int = 20) -> int:
+    """Bucket resolution: about ``target`` entries per bucket in the largest
+    listing (``mx`` entries)."""
+    bits = 0
+    while bits < max_bits and (mx >> (bits + 1)) >= target:
+        bits += 1
+    return bits
+
+
+# Fixed threshold: listings at least this large use bucket skipping in "auto" mode.
+AUTO_SKIP_MIN_ENTRIES = 1 << 20
+
+
+def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bool | str = "auto") -> DataFrame:
     """Per distinct triple: class counts and the lane delta that turns the
-    dest listing into the merged one (take_source always, conflicts when forced)."""
-    tw = three_way(triple_sides(triples, entries), TRIPLE)
+    dest listing into the merged one (take_source always, conflicts when forced).
+
+    With ``skip_identical``, buckets whose summaries agree in base, source and
+    dest are counted as unchanged without reading their paths; only the other
+    buckets are classified path by path.  Work then follows the size of the
+    change, not of the listings.  ``"auto"`` (default; session setting
+    ``strata.threeWay.bucketSkip`` overrides) skips only when the largest
+    listing involved has at least ``AUTO_SKIP_MIN_ENTRIES`` entries: below
+    that, reading the paths costs less than building the bucket summaries."""
+    if skip_identical == "auto":
+        skip_identical = triples.sparkSession.conf.get("strata.threeWay.bucketSkip", "auto")
+    t = triples.select(*TRIPLE).distinct()
+    if skip_identical in (False, "false"):
+        return _summarize(three_way(triple_sides(t, entries), TRIPLE), None)
+    ranges = (t.select("repository", F.col("base_range").alias("meta_range_id"))
+              .unionByName(t.select("repository", F.col("source_range").alias("meta_range_id")))
+              .unionByName(t.select("repository", F.col("dest_range").alias("meta_range_id")))
+              .distinct())
+    sizes = (entries.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
+             .groupBy("repository", "meta_range_id").count())
+    mx = sizes.agg(F.max("count").alias("m")).first().m or 0
+    if skip_identical == "auto" and mx < AUTO_SKIP_MIN_ENTRIES:
+        return _summarize(three_way(triple_sides(t, entries), TRIPLE), None)
+    t = t.checkpoint(eager=True)
+    ranges = ranges.checkpoint(eager=True)
+    bits = _bucket_bits_for(mx)
+    idx = bucket_index(entries, ranges, bits)
+    sides = []
+    for side, col in (("b", "base_range"), ("s", "source_range"), ("d", "dest_range")):
+        i = idx.select("repository", F.col("meta_range_id").alias(col), "bucket",
+                       F.struct("n", "h0", "h1").alias("sum"))
+        sides.append(small_side(t).join(i, ["repository", col])
+                     .select(*TRIPLE, "bucket", F.lit(side).alias("side"), "sum"))
+    per_bucket = (sides[0].unionByName(sides[1]).unionByName(sides[2])
+                  .groupBy(*TRIPLE, "bucket")
+                  .agg(*[F.max(F.when(F.col("side") == sd, F.col("sum"))).alias(f"sum_{sd}") for sd in "bsd"]))
+    same = (F.col("sum_b").eqNullSafe(F.col("sum_s")) & F.col("sum_s").eqNullSafe(F.col("sum_d")))
+    per_bucket = per_bucket.withColumn("_same", same).checkpoint(eager=True)
+    skipped = (per_bucket.where(F.col("_same")).groupBy(*TRIPLE)
+               .agg(F.sum(F.col("sum_b.n")).cast("long").alias("_skipped")))
+    changed = per_bucket.where(~F.col("_same")).select(*TRIPLE, "bucket")
+    rows = (triple_sides(t, entries).withColumn("bucket", bucket_of(F.col("path"), bits))
+            .join(small_side(changed), [*TRIPLE, "bucket"], "left_semi"))
+    return _summarize(three_way(rows, TRIPLE), skipped, t)
+
+
+def _summarize(tw: DataFrame, skipped: DataFrame | None, triples: DataFrame | None = None) -> DataFrame:
     d = change_lanes(F.col("path"), F.col("ck_dest"), F.col("ck_source"))
     aggs = [F.count(F.when(F.col("class") == c, 1)).cast("long").alias(f"n_{c}") for c in CLASSES]
     for tag, cls in (("ts", TAKE_SOURCE), ("cf", CONFLICT)):
         for i, expr in enumerate(d):
             zero = F.lit(0).cast(H.DEC) if i < len(H.LANE_SLICES) else F.lit(0).cast("long")
             aggs.append(F.sum(F.when(F.col("class") == cls, expr).otherwise(zero)).alias(f"{tag}_d{i}"))
-    return tw.groupBy(*TRIPLE).agg(*aggs)
+    out = tw.groupBy(*TRIPLE).agg(*aggs)
+    if skipped is None:
+        return out
+    # triples whose buckets were all identical have no path rows at all
+    out = triples.join(out, TRIPLE, "left").join(skipped, TRIPLE, "left")
+    for c in CLASSES:
+        out = out.withColumn(f"n_{c}", F.coalesce(F.col(f"n_{c}"), F.lit(0)).cast("long"))
+    for tag in ("ts", "cf"):
+        for i in range(len(H.LANE_SLICES) + 1):
+            zero = F.lit(0).cast(H.DEC) if i < len(H.LANE_SLICES) else F.lit(0).cast("long")
+            out = out.withColumn(f"{tag}_d{i}", F.coalesce(F.col(f"{tag}_d{i}"), zero))
+    return (out.withColumn("n_unchanged", (F.col("n_unchanged") + F.coalesce("_skipped", F.lit(0))).cast("long"))
+               .drop("_skipped"))

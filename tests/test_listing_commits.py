@@ -125,3 +125,21 @@ def test_revert_and_cherry_pick(spark, revert):
     fn = MG.revert_commit if revert else MG.cherry_pick
     r = fn(req, refs, commits, parents, e).first()
     assert r.outcome == ("reverted" if revert else "picked")
+
+
+def test_bucket_skipping_equals_full_three_way(spark):
+    base = {f"p{i:05d}": str(i) for i in range(5000)}
+    src = dict(base, p00007="x", p00100="y")
+    src.pop("p00200")
+    dst = dict(base, p00007="z", p04000="w")
+    e = entries(spark, {"b": base, "s": src, "d": dst})
+    triples = spark.createDataFrame([("r", "b", "s", "d"), ("r", "b", "b", "b"), ("r", "d", "s", "b")],
+                                    "repository string, base_range string, source_range string, dest_range string")
+    cols = ["base_range", "source_range", "dest_range"] + [f"n_{c}" for c in L.CLASSES] + \
+        [f"{t}_d{i}" for t in ("ts", "cf") for i in range(3)]
+    fast = L.three_way_summary(triples, e, skip_identical=True)
+    full = L.three_way_summary(triples, e, skip_identical=False)
+    got = {r.base_range + r.source_range + r.dest_range: r for r in fast.collect()}
+    assert got["bsd"].n_unchanged == 4996 and got["bsd"].n_conflict == 1 and got["bsd"].n_take_source == 2
+    assert got["bbb"].n_unchanged == 5000
+    assert rows(fast.select(*cols)) == rows(full.select(*cols))
