@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import hashing as H
@@ -107,25 +107,51 @@ def ancestors(seeds: DataFrame, parents: DataFrame, max_steps: int = 100_000,
     return out
 
 
-def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame) -> DataFrame:
+def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame,
+               max_rounds: int = 1_000_000) -> DataFrame:
     """Best common ancestor of distinct (repository, a, b): the common
-    ancestor of largest generation, ties to the smallest id; null if none."""
+    ancestor of largest generation, ties to the smallest id; null if none.
+
+    Generation-ordered walk: per pair, the frontier holds commits with a side
+    mask (1 = reached from a, 2 = from b).  Each round pops the frontier's
+    highest generation; every child of a popped commit has a higher
+    generation, so its mask is complete.  The first popped level with a
+    mask-3 commit holds the answer, and the pair leaves the walk.  Rounds
+    follow the distance from the heads to their base (not the history
+    depth) and rows the frontier width (not the ancestor closure).  Each
+    frontier is a reliable checkpoint."""
     p = pairs.select("repository", "a", "b").distinct()
-    seeds = p.select("repository", F.col("a").alias("seed")).unionByName(
-        p.select("repository", F.col("b").alias("seed")))
-    anc = ancestors(seeds, parents)
     gen = commits.select("repository", "commit_id", "generation")
-    aa = anc.select("repository", F.col("seed").alias("a"), "commit_id")
-    bb = anc.select("repository", F.col("seed").alias("b"), "commit_id")
-    common = (p.join(aa, ["repository", "a"]).join(bb, ["repository", "b", "commit_id"])
-               .join(gen, CKEY))
-    best = (common.groupBy("repository", "a", "b")
-                  .agg(F.min_by(F.struct("commit_id", "generation"),
-                                F.struct((-F.col("generation")).alias("g"), F.col("commit_id").alias("c")))
-                       .alias("_b"))
-                  .select("repository", "a", "b", F.col("_b.commit_id").alias("base_id"),
-                          F.col("_b.generation").alias("base_generation")))
-    return p.join(best, ["repository", "a", "b"], "left")
+    edges = (parents.select("repository", F.col("commit_id").alias("_child"), F.col("parent_id").alias("commit_id"))
+             .join(gen, CKEY)
+             .select(F.col("repository").alias("_e_repo"), "_child", F.col("commit_id").alias("_parent"),
+                     F.col("generation").alias("_pgen"))
+             .checkpoint(eager=True))
+    pair = ["repository", "a", "b"]
+    start = (p.select(*pair, F.col("a").alias("commit_id"), F.lit(1).alias("mask"))
+             .unionByName(p.select(*pair, F.col("b").alias("commit_id"), F.lit(2).alias("mask"))))
+    frontier = (start.groupBy(*pair, "commit_id").agg(F.bit_or("mask").alias("mask"))
+                .join(gen, CKEY).checkpoint(eager=True))
+    found = []
+    for _ in range(max_rounds):
+        if frontier.isEmpty():
+            break
+        # a pair's frontier is small (its width), so a window per pair is cheap
+        f = frontier.withColumn("_top", F.max("generation").over(Window.partitionBy(*pair)))
+        popped = f.where(F.col("generation") == F.col("_top"))
+        hit = (popped.where(F.col("mask") == 3).groupBy(*pair)
+               .agg(F.min("commit_id").alias("base_id"), F.max("generation").alias("base_generation")))
+        found.append(hit)
+        grow = (popped.join(edges, (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_child")))
+                .select(*pair, F.col("_parent").alias("commit_id"), "mask", F.col("_pgen").alias("generation")))
+        rest = f.where(F.col("generation") < F.col("_top")).select(*pair, "commit_id", "mask", "generation")
+        frontier = (rest.unionByName(grow).join(hit.select(*pair), pair, "left_anti")
+                    .groupBy(*pair, "commit_id", "generation").agg(F.bit_or("mask").alias("mask"))
+                    .checkpoint(eager=True))
+    best = found[0]
+    for h in found[1:]:
+        best = best.unionByName(h)
+    return p.join(best.checkpoint(eager=True), pair, "left")
 
 
 def log_commits(heads: DataFrame, commits: DataFrame, parents: DataFrame) -> DataFrame:
