@@ -260,7 +260,8 @@ def commit_deltas(outcomes: DataFrame, entries: DataFrame, staging: DataFrame) -
     done = outcomes.where(F.col("outcome") == O.COMMITTED)
     new_commits = done.select(
         "repository", "commit_id", "committer", "message", "meta_range_id", "metadata",
-        F.timestamp_seconds("creation_seconds").cast("timestamp_ntz").alias("creation_date"),
+        F.timestamp_add("SECOND", F.col("creation_seconds"),
+                        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("creation_date"),
         F.lit(1).alias("version"), "generation", F.array("head").alias("parents"))
     new_refs = done.select("repository", "branch", "commit_id")
     firsts = done.select("repository", "branch", "base_range", F.col("meta_range_id").alias("new_range"))

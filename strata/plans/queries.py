@@ -85,7 +85,7 @@ def q_delete_branches(spark, sf_dir):
 def q_apply_ref_log(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     s = F.col("seq")
-    req = fx.requests.where(F.col("op").isin("create", "delete")).select(
+    req = fx.requests_where_op("create", "delete").select(
         "seq", "repository", "op", "branch", "source", (s % 3 == 0).alias("force"),
         (s % 2 == 0).alias("ignore_exists"), (s % 11 == 0).alias("hidden"))
     out = R.apply_ref_log(req, fx.refs, fx.commits)
@@ -230,7 +230,7 @@ def q_log_commits(spark, sf_dir):
 
 def _commit_requests(fx):
     s = F.col("seq")
-    return fx.requests.where(F.col("op") == "commit").select(
+    return fx.requests_where_op("commit").select(
         "seq", "repository",
         F.when(s % 3 == 0, F.lit("main")).otherwise(F.col("branch")).alias("branch"),
         F.concat(F.lit("commit "), s.cast("string")).alias("message"),
@@ -253,7 +253,7 @@ from strata.operators import merge as MG  # noqa: E402
 
 def _merge_requests(fx):
     s = F.col("seq")
-    return fx.requests.where(F.col("op") == "merge").select(
+    return fx.requests_where_op("merge").select(
         "seq", "repository", F.col("branch").alias("source_ref"), F.lit("main").alias("destination_branch"),
         F.concat(F.lit("merge "), s.cast("string")).alias("message"), C.epoch_seconds(F.col("ts")).alias("date"),
         (s % 3 == 0).alias("force"), (s % 4 == 0).alias("allow_empty"))
@@ -315,7 +315,7 @@ def _lpad_seq(c="seq"):
 def q_create_pull_requests(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     s = F.col("seq")
-    req = fx.requests.where(F.col("op") == "merge").select(
+    req = fx.requests_where_op("merge").select(
         "seq", "repository", F.concat(F.lit("title "), s.cast("string")).alias("title"),
         F.when(s % 2 == 0, F.concat(F.lit("about "), s.cast("string"))).alias("description"),
         F.col("branch").alias("source_branch"),
@@ -336,7 +336,7 @@ def q_fetch_pull_requests(spark, sf_dir):
 
 def _list_requests(fx):
     s = F.col("seq")
-    return fx.requests.where(F.col("op") == "fetch").select(
+    return fx.requests_where_op("fetch").select(
         "seq", "repository",
         F.when(s % 3 == 0, F.lit("")).when(s % 3 == 1, F.lit("pr_00000")).otherwise(F.lit("pr_000001"))
          .alias("prefix"),
@@ -354,7 +354,7 @@ def q_list_pull_requests(spark, sf_dir):
 @query
 def q_merge_pull_requests(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    req = fx.requests.where(F.col("op") == "create").select(
+    req = fx.requests_where_op("create").select(
         "seq", "repository", _lpad_seq().alias("id"), C.epoch_seconds(F.col("ts")).alias("date"))
     out = PR.merge_pull_requests(req, fx.pull_requests, fx.refs, fx.commits, fx.parents, fx.entries)
     return out.select("seq", "repository", "id", "outcome", "ok", "status", "merged_commit_id", "n_conflict")
@@ -364,7 +364,7 @@ def q_merge_pull_requests(spark, sf_dir):
 def q_update_pull_requests(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     s = F.col("seq")
-    req = fx.requests.where(F.col("op") == "fetch").select(
+    req = fx.requests_where_op("fetch").select(
         "seq", "repository", _lpad_seq().alias("id"),
         F.when(s % 2 == 0, F.concat(F.lit("retitled "), s.cast("string"))).alias("title"),
         F.when(s % 3 == 0, F.lit("closed")).when(s % 3 == 1, F.lit("open")).alias("status"))
@@ -489,7 +489,7 @@ def q_changed_since(spark, sf_dir):
     s = F.col("seq")
     cnt = fx.commits.groupBy("repository").agg(F.count(F.lit(1)).alias("cnt"))
     k = F.substring(F.col("branch"), 3, 20).try_cast("long")
-    req = (fx.requests.where(F.col("op") == "fetch").join(cnt, "repository", "left")
+    req = (fx.requests_where_op("fetch").join(cnt, "repository", "left")
            .select("seq", "repository", "branch",
                    F.when(s % 4 == 0, F.md5(F.concat(F.col("repository"), F.lit(":"),
                                                      (F.lit(1) + (k * 37) % F.col("cnt")).cast("string"))))

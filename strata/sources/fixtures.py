@@ -21,6 +21,10 @@ _STORED: dict[tuple[str, str, str], str] = {}
 
 SIDES = ("base", "source", "dest")
 
+# Fixed mapping of event types to request kinds (fx_requests).
+OP_OF_EVENT = {"signup": "create", "error": "delete", "purchase": "commit", "click": "fetch"}
+DEFAULT_OP = "merge"
+
 
 def _s(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
@@ -241,7 +245,18 @@ class Fixtures:
 
     @cached_property
     def requests(self) -> DataFrame:
-        e = self.table("events")
+        return self._requests(self.table("events"))
+
+    def requests_where_op(self, *ops: str) -> DataFrame:
+        """Requests of the given kinds, filtered on the source column so the
+        predicate reaches the parquet scan (the derived ``op`` cannot)."""
+        kinds = [k for k, v in OP_OF_EVENT.items() if v in ops]
+        cond = F.col("event_type").isin(*kinds) if kinds else F.lit(False)
+        if DEFAULT_OP in ops:
+            cond = cond | ~F.col("event_type").isin(*OP_OF_EVENT) | F.col("event_type").isNull()
+        return self._requests(self.table("events").where(cond)).where(F.col("op").isin(*ops))
+
+    def _requests(self, e: DataFrame) -> DataFrame:
         et = F.col("event_type")
         eid = F.col("event_id")
         return e.select(
@@ -257,7 +272,7 @@ class Fixtures:
     def requests_of(self, op: str) -> DataFrame:
         """Requests of one kind with the fixture flags bound."""
         s = F.col("seq")
-        return self.requests.where(F.col("op") == op).select(
+        return self.requests_where_op(op).select(
             "seq", "ts", "repository", "branch", "source",
             (s % 3 == 0).alias("force"), (s % 2 == 0).alias("ignore_exists"),
             (s % 11 == 0).alias("hidden"), (s % 4 == 0).alias("allow_empty"))
