@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.ordered import row_number_within
@@ -191,14 +191,14 @@ class Fixtures:
             F.md5(F.concat_ws(":", _s("l_orderkey"), _s("l_partkey"), _s("l_suppkey"))).alias("checksum"),
             F.floor("l_extendedprice").cast("long").alias("size_bytes"),
             "l_linenumber", "l_partkey", "l_suppkey")
-        w = Window.partitionBy("repository", "branch", "path").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "op", "size_bytes")
+        s = row_number_within(s, ["repository", "branch", "path"],
+                              ["l_linenumber", "l_partkey", "l_suppkey", "op", "size_bytes"], "seq")
         return s.select(
             "repository", "branch", "path", "op",
             F.when(F.col("op") == "put", F.col("checksum")).alias("physical_address"),
             F.when(F.col("op") == "put", F.col("checksum")).alias("checksum"),
             F.when(F.col("op") == "put", F.col("size_bytes")).alias("size_bytes"),
-            F.row_number().over(w).cast("long").alias("seq"))
+            "seq")
 
     # -- pull requests -------------------------------------------------------
     @cached_property
