@@ -37,23 +37,23 @@ def bind(requests: DataFrame, params: list[Param]) -> DataFrame:
 
     A value that does not parse as the parameter type is kept in
     ``_raw_<name>`` so ``validate`` can report it instead of silently
-    defaulting."""
+    defaulting.  All columns are added in two projections (one analysis each)."""
     cols = set(requests.columns)
     has_attrs = "attributes" in cols
-    out = requests
+    raws, typed = {}, {}
     for p in params:
         sources = []
         if p.name in cols:
             sources.append(_blank_to_null(F.col(p.name).cast("string")))
         if has_attrs:
             sources.append(_blank_to_null(F.element_at(F.col("attributes"), F.lit(p.attribute or p.name))))
-        raw = F.coalesce(*sources) if sources else F.lit(None).cast("string")
-        out = out.withColumn(f"_raw_{p.name}", raw)
-        typed = raw.try_cast(p.dtype) if p.dtype != "string" else raw
+        raws[f"_raw_{p.name}"] = F.coalesce(*sources) if sources else F.lit(None).cast("string")
+        t = F.col(f"_raw_{p.name}")
+        t = t.try_cast(p.dtype) if p.dtype != "string" else t
         if p.default is not None:
-            typed = F.coalesce(typed, F.lit(p.default).cast(p.dtype))
-        out = out.withColumn(p.name, typed)
-    return out
+            t = F.coalesce(t, F.lit(p.default).cast(p.dtype))
+        typed[p.name] = t
+    return requests.withColumns(raws).withColumns(typed)
 
 
 def rule_required(name: str) -> tuple[Column, str]:

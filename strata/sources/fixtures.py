@@ -16,8 +16,8 @@ from strata.functions.ordered import row_number_within
 from strata.session import scratch_path
 from strata.sources.tables import read_table, write_state
 
-# (application id, scale folder, table) → parquet path of the stored table
-_STORED: dict[tuple[str, str, str], str] = {}
+# (application id, scale folder, table) → the stored table, read once
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 SIDES = ("base", "source", "dest")
 
@@ -71,12 +71,12 @@ class Fixtures:
         way state tables live in a deployment; later plans read the table
         (partition pruning, pushdown) instead of re-deriving it."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        path = _STORED.get(key)
-        if path is None:
+        df = _STORED.get(key)
+        if df is None:
             path = scratch_path(self.spark, f"state-{name}")
             write_state(build(), path)
-            _STORED[key] = path
-        return self.spark.read.parquet(path)
+            df = _STORED[key] = self.spark.read.parquet(path)   # file listing and schema once
+        return df
 
     # -- commits ---------------------------------------------------------
     @cached_property

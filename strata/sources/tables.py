@@ -9,9 +9,19 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "benchmark", "labels", "conversations")
 
 
+_READ: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; Catalyst prunes columns and pushes filters into the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; Catalyst prunes columns and pushes filters into the
+    scan.  The relation (file listing, footer schema) is built once per
+    application and path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _READ.get(key)
+    if df is None:
+        df = _READ[key] = spark.read.parquet(path)
+    return df
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
