@@ -176,7 +176,8 @@ COMMIT_PARAMS = [
 
 
 def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, entries: DataFrame,
-                    staging: DataFrame, batch_seconds: Column | None = None) -> DataFrame:
+                    staging: DataFrame, batch_seconds: Column | None = None,
+                    listings: DataFrame | None = None) -> DataFrame:
     """Commit each branch's staged changes.
 
     Precedence: invalid → branch_not_found → head_moved → retry_next_batch
@@ -213,7 +214,8 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
     delta = ch.groupBy("repository", "branch").agg(
         F.count(F.lit(1)).cast("long").alias("n_changes"),
         *[F.sum(x).alias(f"_d{i}") for i, x in enumerate(d)])
-    stats = L.listing_stats(entries, firsts.select("repository", F.col("base_range").alias("meta_range_id")))
+    stats = L.stats_for(entries, firsts.select("repository", F.col("base_range").alias("meta_range_id")),
+                        listings)
     stats = stats.select("repository", F.col("meta_range_id").alias("base_range"),
                          F.col("n_entries").alias("_bn"), F.col("lane0").alias("_b0"), F.col("lane1").alias("_b1"))
     r = (r.join(delta, ["repository", "branch"], "left")

@@ -147,6 +147,15 @@ def listing_stats(entries: DataFrame, ranges: DataFrame | None = None) -> DataFr
                   *[F.sum(l).alias(f"lane{i}") for i, l in enumerate(ls)]))
 
 
+def stats_for(entries: DataFrame, ranges: DataFrame, listings: DataFrame | None = None) -> DataFrame:
+    """Stats of the listings in ``ranges``: from a stored ``listings`` table
+    when given (a small keyed lookup), else aggregated from ``entries``."""
+    if listings is None:
+        return listing_stats(entries, ranges)
+    keys = small_side(ranges.select("repository", "meta_range_id").distinct())
+    return listings.join(keys, ["repository", "meta_range_id"], "left_semi")
+
+
 def listing_identity(stats: DataFrame) -> DataFrame:
     return stats.withColumn("listing_id", H.listing_id(F.col("lane0"), F.col("lane1"), F.col("n_entries")))
 

@@ -42,8 +42,9 @@ def _with_summary(r: DataFrame, entries: DataFrame, ok_rows: Column) -> DataFram
     return r
 
 
-def _merged_range(r: DataFrame, entries: DataFrame, take_conflicts: Column) -> DataFrame:
-    stats = L.listing_stats(entries, r.select("repository", F.col("dest_range").alias("meta_range_id")))
+def _merged_range(r: DataFrame, entries: DataFrame, take_conflicts: Column,
+                  listings: DataFrame | None = None) -> DataFrame:
+    stats = L.stats_for(entries, r.select("repository", F.col("dest_range").alias("meta_range_id")), listings)
     stats = stats.select("repository", F.col("meta_range_id").alias("dest_range"),
                          F.col("n_entries").alias("_dn"), F.col("lane0").alias("_d0"),
                          F.col("lane1").alias("_d1"))
@@ -69,7 +70,8 @@ MERGE_PARAMS = [
 
 
 def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents: DataFrame,
-               entries: DataFrame, batch_seconds: Column | None = None) -> DataFrame:
+               entries: DataFrame, batch_seconds: Column | None = None,
+               listings: DataFrame | None = None) -> DataFrame:
     """Merge ``source_ref`` (branch or commit) into ``destination_branch``.
 
     Precedence: invalid → ref_not_found → nothing_to_merge → conflict (not
@@ -107,7 +109,7 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
         (~F.col("_is_first"), O.RETRY_NEXT_BATCH),
         default=O.MERGED)
     r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
-    r = _merged_range(r, entries, F.col("force"))
+    r = _merged_range(r, entries, F.col("force"), listings)
     done = F.col("outcome") == O.MERGED
     seconds = F.coalesce(F.col("date"), batch_seconds if batch_seconds is not None
                          else C.epoch_seconds(F.current_timestamp().cast("timestamp_ntz")))
@@ -134,7 +136,7 @@ PICK_PARAMS = [Param("repository"), Param("branch"), Param("commit_ref"), Param(
 
 
 def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents: DataFrame,
-                         entries: DataFrame, revert: bool) -> DataFrame:
+                         entries: DataFrame, revert: bool, listings: DataFrame | None = None) -> DataFrame:
     r = validate(bind(requests, PICK_PARAMS),
                  [rule_required("repository"), rule_required("branch"), rule_required("commit_ref"),
                   rule_pattern("branch", BRANCH_NAME)])
@@ -165,17 +167,17 @@ def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFram
         (~F.col("_is_first"), O.RETRY_NEXT_BATCH),
         default=O.REVERTED if revert else O.PICKED)
     r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
-    r = _merged_range(r, entries, F.col("force"))
+    r = _merged_range(r, entries, F.col("force"), listings)
     done = F.col("outcome") == (O.REVERTED if revert else O.PICKED)
     return (r.withColumn("meta_range_id", F.when(done, F.col("_merged_range")))
              .drop("_merged_range", "_is_first", "target_kind"))
 
 
-def revert_commit(requests, refs, commits, parents, entries) -> DataFrame:
+def revert_commit(requests, refs, commits, parents, entries, listings=None) -> DataFrame:
     """Undo ``commit_ref`` on ``branch`` (three-way: base = commit, source = its parent)."""
-    return _single_commit_merge(requests, refs, commits, parents, entries, revert=True)
+    return _single_commit_merge(requests, refs, commits, parents, entries, True, listings)
 
 
-def cherry_pick(requests, refs, commits, parents, entries) -> DataFrame:
+def cherry_pick(requests, refs, commits, parents, entries, listings=None) -> DataFrame:
     """Replay ``commit_ref`` onto ``branch`` (three-way: base = its parent, source = commit)."""
-    return _single_commit_merge(requests, refs, commits, parents, entries, revert=False)
+    return _single_commit_merge(requests, refs, commits, parents, entries, False, listings)

@@ -137,7 +137,7 @@ MERGE_PR_PARAMS = [Param("repository"), Param("id"), Param("date", "long"), Para
 
 
 def merge_pull_requests(requests: DataFrame, prs: DataFrame, refs: DataFrame, commits: DataFrame,
-                        parents: DataFrame, entries: DataFrame) -> DataFrame:
+                        parents: DataFrame, entries: DataFrame, listings: DataFrame | None = None) -> DataFrame:
     """not_found → not_open → the merge's own outcome; a merged PR becomes
     ``merged`` with its merge commit and closed date."""
     r = validate(bind(requests, MERGE_PR_PARAMS), [rule_required("repository"), rule_required("id")])
@@ -149,7 +149,7 @@ def merge_pull_requests(requests: DataFrame, prs: DataFrame, refs: DataFrame, co
         "seq", "repository", F.col("source_branch").alias("source_ref"), "destination_branch",
         F.concat(F.lit("merge "), F.col("id")).alias("message"), "date", "force",
         F.lit(False).alias("allow_empty"))
-    mo = merge_refs(mreq, refs, commits, parents, entries).select(
+    mo = merge_refs(mreq, refs, commits, parents, entries, listings=listings).select(
         "seq", F.col("outcome").alias("merge_outcome"), F.col("commit_id").alias("merge_commit"), "n_conflict")
     r = r.join(mo, "seq", "left")
     outcome = F.coalesce(F.when(F.col("error_code").isNotNull(), F.lit(O.INVALID))

@@ -242,7 +242,8 @@ def _commit_requests(fx):
 @query
 def q_commit_branches(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    out = C.commit_branches(_commit_requests(fx), fx.refs, fx.commits, fx.entries, fx.staging)
+    out = C.commit_branches(_commit_requests(fx), fx.refs, fx.commits, fx.entries, fx.staging,
+                            listings=fx.listings)
     return out.select("seq", "repository", "branch", "outcome", "ok", "head", "n_changes",
                       "meta_range_id", "generation", "commit_id")
 
@@ -261,7 +262,7 @@ def _merge_requests(fx):
 
 def _merge_outcomes(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return MG.merge_refs(_merge_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries)
+    return MG.merge_refs(_merge_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries, listings=fx.listings)
 
 
 @query
@@ -290,7 +291,7 @@ def _pick_requests(fx):
 @query
 def q_revert_commit(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    out = MG.revert_commit(_pick_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries)
+    out = MG.revert_commit(_pick_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries, fx.listings)
     return out.select("repository", "branch", "target_commit", "outcome", "ok", "n_take_source",
                       "n_conflict", "n_keep_dest", "meta_range_id")
 
@@ -298,7 +299,7 @@ def q_revert_commit(spark, sf_dir):
 @query
 def q_cherry_pick(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    out = MG.cherry_pick(_pick_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries)
+    out = MG.cherry_pick(_pick_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries, fx.listings)
     return out.select("repository", "branch", "target_commit", "outcome", "ok", "n_take_source",
                       "n_conflict", "n_keep_dest", "meta_range_id")
 
@@ -356,7 +357,8 @@ def q_merge_pull_requests(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     req = fx.requests_where_op("create").select(
         "seq", "repository", _lpad_seq().alias("id"), C.epoch_seconds(F.col("ts")).alias("date"))
-    out = PR.merge_pull_requests(req, fx.pull_requests, fx.refs, fx.commits, fx.parents, fx.entries)
+    out = PR.merge_pull_requests(req, fx.pull_requests, fx.refs, fx.commits, fx.parents, fx.entries,
+                                 fx.listings)
     return out.select("seq", "repository", "id", "outcome", "ok", "status", "merged_commit_id", "n_conflict")
 
 

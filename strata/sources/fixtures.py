@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.ordered import row_number_within
+from strata.operators.listing import listing_identity, listing_stats
 from strata.session import scratch_path
 from strata.sources.tables import read_table, write_state
 
@@ -200,6 +201,12 @@ class Fixtures:
             F.when(F.col("op") == "put", F.col("size_bytes")).alias("size_bytes"),
             "seq")
 
+    @cached_property
+    def listings(self) -> DataFrame:
+        """Per listing: entry count, bytes, lane sums and id — computed once
+        when a listing is stored, then read by commits and merges."""
+        return self.stored("listings", lambda: listing_identity(listing_stats(self.entries)))
+
     # -- pull requests -------------------------------------------------------
     @cached_property
     def pull_requests(self) -> DataFrame:
