@@ -143,3 +143,22 @@ def test_bucket_skipping_equals_full_three_way(spark):
     assert got["bsd"].n_unchanged == 4996 and got["bsd"].n_conflict == 1 and got["bsd"].n_take_source == 2
     assert got["bbb"].n_unchanged == 5000
     assert rows(fast.select(*cols)) == rows(full.select(*cols))
+
+
+def test_conflict_free_merge_is_symmetric(spark):
+    e = entries(spark, {"base": {"a": "1", "b": "1", "c": "1"},
+                        "src": {"a": "2", "b": "1", "c": "1", "n": "1"},
+                        "dst": {"a": "1", "b": "3"}})
+    commits = spark.createDataFrame([
+        ("r", "c0", "u", "m", "base", 1, 1, None), ("r", "cs", "u", "m", "src", 2, 1, None),
+        ("r", "cd", "u", "m", "dst", 2, 1, None)], COMMITS)
+    parents = spark.createDataFrame([("r", "cs", 0, "c0"), ("r", "cd", 0, "c0")], PARENTS)
+    refs = spark.createDataFrame([("r", "main", "cd", False), ("r", "feat", "cs", False)], REFS)
+    req = spark.createDataFrame([(1, "r", "feat", "main"), (2, "r", "main", "feat")],
+                                "seq long, repository string, source_ref string, destination_branch string")
+    out = {r.seq: r for r in MG.merge_refs(req.withColumn("date", F.lit(1).cast("long")),
+                                            refs, commits, parents, e).collect()}
+    assert out[1].outcome == out[2].outcome == "merged"
+    assert out[1].meta_range_id == out[2].meta_range_id
+    want = entries(spark, {"x": {"a": "2", "b": "3", "n": "1"}})
+    assert out[1].meta_range_id == L.listing_identity(L.listing_stats(want)).first().listing_id
