@@ -249,11 +249,30 @@ def _bucket_bits_for(mx: int, target: int = 64, max_bits: int = 20) -> int:
 AUTO_SKIP_MIN_ENTRIES = 1 << 20
 
 
+def triple_rows(t: DataFrame, entries: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Per (triple, path): base / source / dest checksums.
+
+    Entries of the involved listings are shuffled once by (repository,
+    path) into a map listing → checksum (at most one entry per listing),
+    then each path is expanded over its repository's triples map-side (the
+    triples are a size-checked broadcast).  Many triples share few
+    listings, so this moves each entry once instead of once per triple."""
+    ent = entries.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
+    per_path = (ent.groupBy("repository", "path")
+                   .agg(F.map_from_entries(F.collect_list(F.struct("meta_range_id", "checksum"))).alias("_cks")))
+    rows = per_path.join(small_side(t), "repository").select(
+        *TRIPLE, "path",
+        F.col("_cks")[F.col("base_range")].alias("ck_base"),
+        F.col("_cks")[F.col("source_range")].alias("ck_source"),
+        F.col("_cks")[F.col("dest_range")].alias("ck_dest"))
+    return rows.where(F.col("ck_base").isNotNull() | F.col("ck_source").isNotNull() | F.col("ck_dest").isNotNull())
+
+
 def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bool | str = "auto") -> DataFrame:
     """Per distinct triple: class counts and the lane delta that turns the
     dest listing into the merged one (take_source always, conflicts when forced).
 
-    With ``skip_identical``, buckets whose summaries agree in base, source and
+    With bucket skipping, buckets whose summaries agree in base, source and
     dest are counted as unchanged without reading their paths; only the other
     buckets are classified path by path.  Work then follows the size of the
     change, not of the listings.  ``"auto"`` (default; session setting
@@ -262,20 +281,22 @@ def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bo
     that, reading the paths costs less than building the bucket summaries."""
     if skip_identical == "auto":
         skip_identical = triples.sparkSession.conf.get("strata.threeWay.bucketSkip", "auto")
-    t = triples.select(*TRIPLE).distinct()
-    if skip_identical in (False, "false"):
-        return _summarize(three_way(triple_sides(t, entries), TRIPLE), None)
+    t = triples.select(*TRIPLE).distinct().checkpoint(eager=True)
     ranges = (t.select("repository", F.col("base_range").alias("meta_range_id"))
               .unionByName(t.select("repository", F.col("source_range").alias("meta_range_id")))
               .unionByName(t.select("repository", F.col("dest_range").alias("meta_range_id")))
-              .distinct())
+              .distinct().checkpoint(eager=True))
+
+    def classified(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("class", classify(F.col("ck_base"), F.col("ck_source"), F.col("ck_dest")))
+
+    if skip_identical in (False, "false"):
+        return _summarize(classified(triple_rows(t, entries, ranges)), None)
     sizes = (entries.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
              .groupBy("repository", "meta_range_id").count())
     mx = sizes.agg(F.max("count").alias("m")).first().m or 0
     if skip_identical == "auto" and mx < AUTO_SKIP_MIN_ENTRIES:
-        return _summarize(three_way(triple_sides(t, entries), TRIPLE), None)
-    t = t.checkpoint(eager=True)
-    ranges = ranges.checkpoint(eager=True)
+        return _summarize(classified(triple_rows(t, entries, ranges)), None)
     bits = _bucket_bits_for(mx)
     idx = bucket_index(entries, ranges, bits)
     sides = []
@@ -292,9 +313,9 @@ def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bo
     skipped = (per_bucket.where(F.col("_same")).groupBy(*TRIPLE)
                .agg(F.sum(F.col("sum_b.n")).cast("long").alias("_skipped")))
     changed = per_bucket.where(~F.col("_same")).select(*TRIPLE, "bucket")
-    rows = (triple_sides(t, entries).withColumn("bucket", bucket_of(F.col("path"), bits))
+    rows = (triple_rows(t, entries, ranges).withColumn("bucket", bucket_of(F.col("path"), bits))
             .join(small_side(changed), [*TRIPLE, "bucket"], "left_semi"))
-    return _summarize(three_way(rows, TRIPLE), skipped, t)
+    return _summarize(classified(rows), skipped, t)
 
 
 def _summarize(tw: DataFrame, skipped: DataFrame | None, triples: DataFrame | None = None) -> DataFrame:
