@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import hashing as H
-from strata.functions.joins import small_side
+from strata.functions.joins import MAX_BROADCAST_KEYS, small_side
 from strata.functions import outcomes as O
 from strata.functions.params import (BRANCH_NAME, Param, bind, rule_pattern,
                                      rule_required, validate)
@@ -88,18 +88,23 @@ def ancestors(seeds: DataFrame, parents: DataFrame, max_steps: int = 100_000,
     frontier = (seeds.select("repository", "seed").distinct()
                 .withColumn("commit_id", F.col("seed")).checkpoint(eager=True))
     visited = [frontier]
+    frontier_small = frontier.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
     for _ in range(max_steps):
         seen = visited[0]
         for v in visited[1:]:
             seen = seen.unionByName(v)
-        step = (frontier.join(edges, (frontier["repository"] == edges["_e_repo"])
-                              & (frontier["commit_id"] == edges["_e_child"]))
+        # the frontier is small: broadcast it (size-checked) so the edge table is never re-shuffled
+        front = F.broadcast(frontier) if frontier_small else frontier
+        step = (front.join(edges, (front["repository"] == edges["_e_repo"])
+                           & (front["commit_id"] == edges["_e_child"]))
                 .select("repository", "seed", F.col("_e_parent").alias("commit_id"))
                 .distinct()
                 .join(seen, ["repository", "seed", "commit_id"], "left_anti"))
         frontier = step.checkpoint(eager=True)
-        if frontier.isEmpty():
+        n = frontier.limit(MAX_BROADCAST_KEYS + 1).count()
+        if n == 0:
             break
+        frontier_small = n <= MAX_BROADCAST_KEYS
         visited.append(frontier)
     out = visited[0]
     for v in visited[1:]:
@@ -134,11 +139,15 @@ def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame,
                 .join(gen, CKEY).checkpoint(eager=True))
     found = []
     for _ in range(max_rounds):
-        if frontier.isEmpty():
+        n = frontier.limit(MAX_BROADCAST_KEYS + 1).count()   # reads the checkpoint
+        if n == 0:
             break
+        small = n <= MAX_BROADCAST_KEYS
         # a pair's frontier is small (its width), so a window per pair is cheap
         f = frontier.withColumn("_top", F.max("generation").over(Window.partitionBy(*pair)))
         popped = f.where(F.col("generation") == F.col("_top"))
+        if small:      # a subset of the checked frontier: same bound
+            popped = F.broadcast(popped)
         hit = (popped.where(F.col("mask") == 3).groupBy(*pair)
                .agg(F.min("commit_id").alias("base_id"), F.max("generation").alias("base_generation")))
         found.append(hit)
