@@ -72,3 +72,20 @@ def test_poll_sample_stream_equals_batch(spark, tmp_path):
     # the newest window per run are final
     last = want.agg(F.max("window_start")).first()[0]
     assert rows(got, *cols) == rows(want.where(F.col("window_start") < last), *cols)
+
+
+def test_wait_stream_ignores_late_looks(spark, tmp_path):
+    schema = "repository string, branch string, seq long, observed_at timestamp_ntz, commit_id string"
+    src = str(tmp_path / "obs")
+    ts = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    first = spark.createDataFrame([("r", "a", 5, "c1"), ("r", "a", 6, "c2")],
+                                  "repository string, branch string, seq long, commit_id string")
+    late = spark.createDataFrame([("r", "a", 4, "c9"), ("r", "a", 7, "c2"), ("r", "a", 8, "c3")],
+                                 "repository string, branch string, seq long, commit_id string")
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    for df in (first, late):
+        df.withColumn("observed_at", ts).select("repository", "branch", "seq", "observed_at", "commit_id") \
+          .coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        ST.run_available(ST.wait_commits_stream(stream), out, ck)
+    assert rows(spark.read.parquet(out), "seq", "commit_id") == [(5, "c1"), (6, "c2"), (8, "c3")]
