@@ -175,6 +175,22 @@ def copy_objects(requests: DataFrame, refs, commits, entries, staging) -> DataFr
     return r.withColumn("outcome", outcome).withColumn("ok", O.ok_col()).drop("ref")
 
 
+def mutation_deltas(outcomes: DataFrame) -> DataFrame:
+    """Staging rows of ``delete_objects`` / ``copy_objects`` outcomes: a
+    'delete' per deleted path, a 'put' at ``dest_path`` with the source's
+    address (no bytes move) per copy."""
+    deleted = outcomes.where(F.col("outcome") == O.DELETED).select(
+        "repository", "branch", "path", F.lit("delete").alias("op"),
+        F.lit(None).cast("string").alias("physical_address"), F.lit(None).cast("string").alias("checksum"),
+        F.lit(None).cast("long").alias("size_bytes"), "seq")
+    if "dest_path" not in outcomes.columns:
+        return deleted
+    copied = outcomes.where(F.col("outcome") == O.COPIED).select(
+        "repository", "branch", F.col("dest_path").alias("path"), F.lit("put").alias("op"),
+        "physical_address", "checksum", "size_bytes", "seq")
+    return deleted.unionByName(copied)
+
+
 def reset_branch(staging: DataFrame, requests: DataFrame) -> DataFrame:
     """Drop staged changes of (repository, branch) requests, all or under an
     optional ``prefix``; returns the staging rows that remain."""

@@ -162,3 +162,29 @@ def test_conflict_free_merge_is_symmetric(spark):
     assert out[1].meta_range_id == out[2].meta_range_id
     want = entries(spark, {"x": {"a": "2", "b": "3", "n": "1"}})
     assert out[1].meta_range_id == L.listing_identity(L.listing_stats(want)).first().listing_id
+
+
+def test_commit_source_metarange_and_head_moved(spark):
+    e, commits, parents, refs = _repo(spark)
+    staging = spark.createDataFrame([], STAGING)
+    req = spark.createDataFrame([(1, "r", "main", "src", None), (2, "r", "feat", None, "zz"),
+                                 (3, "r", "feat", None, "cs")],
+                                "seq long, repository string, branch string, source_metarange string, "
+                                "expected_head string")
+    out = {r.seq: r for r in C.commit_branches(req.withColumn("date", F.lit(1).cast("long")), refs, commits, e,
+                                               staging).collect()}
+    src_id = L.listing_identity(L.listing_stats(e)).where("meta_range_id = 'src'").first().listing_id
+    assert out[1].outcome == "committed" and out[1].meta_range_id == src_id
+    assert out[2].outcome == "head_moved"
+    assert out[3].outcome == "nothing_to_commit"
+
+
+def test_merge_from_commit_id_equals_branch(spark):
+    e, commits, parents, refs = _repo(spark)
+    req = spark.createDataFrame([(1, "r", "feat", "main"), (2, "r", "cs", "main")],
+                                "seq long, repository string, source_ref string, destination_branch string")
+    out = MG.merge_refs(req.withColumn("force", F.lit(True)).withColumn("date", F.lit(1).cast("long")),
+                        refs, commits, parents, e)
+    got = {r.seq: r for r in out.collect()}
+    assert got[1].n_conflict == got[2].n_conflict == 1 and got[1].base_id == got[2].base_id == "c0"
+    assert got[1].outcome == "merged" and got[2].outcome == "retry_next_batch"

@@ -116,3 +116,23 @@ def test_binary_file_source_and_symlinks(spark, tmp_path):
     assert rows(OB.symlink_manifest(view), "dir", "n_files") == [("d1", 2), ("d2/x", 1)]
     lo = OB.list_objects(view, prefix="d", delimiter="/")
     assert rows(lo, "entry", "kind", "n_objects") == [("d1/", "prefix", 2), ("d2/", "prefix", 1)]
+
+
+def test_delete_copy_deltas_and_list_once(spark):
+    refs, commits, entries, staging = _objects_state(spark)
+    req = spark.createDataFrame([(1, "r", "main", "a/x.txt", "b/copy.txt"), (2, "r", "main", "nope", "z")],
+                                "seq long, repository string, branch string, path string, dest_path string")
+    cp = OB.copy_objects(req, refs, commits, entries, staging)
+    assert rows(cp, "seq", "outcome") == [(1, "copied"), (2, "path_not_found")]
+    d = OB.mutation_deltas(cp)
+    assert rows(d, "path", "op", "physical_address") == [("b/copy.txt", "put", "k1")]
+    de = OB.delete_objects(req.drop("dest_path"), refs, commits, entries, staging)
+    staging2 = staging.unionByName(OB.mutation_deltas(de))
+    st = OB.stat_objects(req.select("seq", "repository", F.col("branch").alias("ref"), "path"),
+                         refs, commits, entries, staging2)
+    assert rows(st, "seq", "outcome") == [(1, "path_not_found"), (2, "path_not_found")]
+    prs = _prs(spark, 50)
+    once = PR.list_pull_requests_once(prs, "r", prefix="pr_0001", after="pr_00012", amount=3, status="all")
+    want = sorted(r.id for r in prs.collect() if r.repository == "r" and r.id.startswith("pr_0001")
+                  and r.id > "pr_00012")[:3]
+    assert [r.id for r in once.collect()] == want
