@@ -15,8 +15,18 @@ from pyspark.sql import functions as F
 from strata.functions import outcomes as O
 from strata.functions.params import (BRANCH_NAME, REPOSITORY_NAME, Param, bind,
                                      rule_pattern, rule_required, validate)
+from strata.functions.render import metadata_map as _metadata_map
+from strata.functions.render import render_map
+from strata.operators import commits as C
+from strata.operators import listing as L
+from strata.operators import merge as MG
+from strata.operators import objects as OB
+from strata.operators import pulls as PR
 from strata.operators import refs as R
-from strata.sources.fixtures import Fixtures
+from strata.operators import wait as WT
+from strata.session import scratch_path
+from strata.sources.fixtures import Fixtures, observations_from
+from strata.streaming import watch as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -115,10 +125,6 @@ def q_new_branches(spark, sf_dir):
 
 
 # ------------------------------------------------------------- listings ------
-from strata.functions.render import metadata_map as _metadata_map  # noqa: E402
-from strata.functions.render import render_map  # noqa: E402
-from strata.operators import commits as C  # noqa: E402
-from strata.operators import listing as L  # noqa: E402
 
 
 @query
@@ -249,7 +255,6 @@ def q_commit_branches(spark, sf_dir):
 
 
 # --------------------------------------------------------------- merges ------
-from strata.operators import merge as MG  # noqa: E402
 
 
 def _merge_requests(fx):
@@ -305,7 +310,6 @@ def q_cherry_pick(spark, sf_dir):
 
 
 # -------------------------------------------------------- pull requests ------
-from strata.operators import pulls as PR  # noqa: E402
 
 
 def _lpad_seq(c="seq"):
@@ -375,7 +379,6 @@ def q_update_pull_requests(spark, sf_dir):
 
 
 # -------------------------------------------------------------- objects ------
-from strata.operators import objects as OB  # noqa: E402
 
 
 @query
@@ -469,7 +472,6 @@ def q_symlink_manifest(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ watch ----
-from strata.operators import wait as WT  # noqa: E402
 
 
 @query
@@ -502,9 +504,6 @@ def q_changed_since(spark, sf_dir):
 
 
 # -------------------------------------------------------------- streams ------
-from strata.session import scratch_path  # noqa: E402
-from strata.sources.fixtures import observations_from  # noqa: E402
-from strata.streaming import watch as ST  # noqa: E402
 
 
 @query
