@@ -276,11 +276,11 @@ def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bo
     dest are counted as unchanged without reading their paths; only the other
     buckets are classified path by path.  Work then follows the size of the
     change, not of the listings.  ``"auto"`` (default; session setting
-    ``strata.threeWay.bucketSkip`` overrides) skips only when the largest
+    ``spark.strata.threeWay.bucketSkip`` overrides) skips only when the largest
     listing involved has at least ``AUTO_SKIP_MIN_ENTRIES`` entries: below
     that, reading the paths costs less than building the bucket summaries."""
     if skip_identical == "auto":
-        skip_identical = triples.sparkSession.conf.get("strata.threeWay.bucketSkip", "auto")
+        skip_identical = triples.sparkSession.conf.get("spark.strata.threeWay.bucketSkip", "auto")
     t = triples.select(*TRIPLE).distinct().checkpoint(eager=True)
     ranges = (t.select("repository", F.col("base_range").alias("meta_range_id"))
               .unionByName(t.select("repository", F.col("source_range").alias("meta_range_id")))
@@ -312,8 +312,16 @@ def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bo
     per_bucket = per_bucket.withColumn("_same", same).checkpoint(eager=True)
     skipped = (per_bucket.where(F.col("_same")).groupBy(*TRIPLE)
                .agg(F.sum(F.col("sum_b.n")).cast("long").alias("_skipped")))
-    changed = per_bucket.where(~F.col("_same")).select(*TRIPLE, "bucket")
-    rows = (triple_rows(t, entries, ranges).withColumn("bucket", bucket_of(F.col("path"), bits))
+    changed = per_bucket.where(~F.col("_same")).select(*TRIPLE, "bucket").checkpoint(eager=True)
+    # keep only entries in buckets some triple must read, before any shuffle
+    needed = (changed.select("repository", F.col("base_range").alias("meta_range_id"), "bucket")
+              .unionByName(changed.select("repository", F.col("source_range").alias("meta_range_id"), "bucket"))
+              .unionByName(changed.select("repository", F.col("dest_range").alias("meta_range_id"), "bucket"))
+              .distinct())
+    ent = (entries.withColumn("bucket", bucket_of(F.col("path"), bits))
+                  .join(small_side(needed), ["repository", "meta_range_id", "bucket"], "left_semi")
+                  .drop("bucket"))
+    rows = (triple_rows(t, ent, ranges).withColumn("bucket", bucket_of(F.col("path"), bits))
             .join(small_side(changed), [*TRIPLE, "bucket"], "left_semi"))
     return _summarize(classified(rows), skipped, t)
 
