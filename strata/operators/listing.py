@@ -249,25 +249,56 @@ def _bucket_bits_for(mx: int, target: int = 64, max_bits: int = 20) -> int:
 AUTO_SKIP_MIN_ENTRIES = 1 << 20
 
 
-def triple_rows(t: DataFrame, entries: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Per (triple, path): base / source / dest checksums.
+def triple_rows(t: DataFrame, entries: DataFrame, ranges: DataFrame, with_entries: bool = False) -> DataFrame:
+    """Per (triple, path): base / source / dest checksums (and with
+    ``with_entries`` the whole entry structs ``e_base/e_source/e_dest``).
 
     Entries of the involved listings are shuffled once by (repository,
-    path) into a map listing → checksum (at most one entry per listing),
-    then each path is expanded over its repository's triples map-side (the
-    triples are a size-checked broadcast).  Many triples share few
-    listings, so this moves each entry once instead of once per triple."""
+    path) into a map listing → entry (at most one per listing), then each
+    path is expanded over its repository's triples map-side (the triples
+    are a size-checked broadcast).  Many triples share few listings, so this
+    moves each entry once instead of once per triple."""
     ent = entries.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
+    value = F.struct("checksum", "size_bytes",
+                     F.coalesce(F.col("physical_address"), F.col("checksum")).alias("physical_address")) \
+        if with_entries else F.col("checksum")
     per_path = (ent.groupBy("repository", "path")
-                   .agg(F.map_from_entries(F.collect_list(F.struct("meta_range_id", "checksum"))).alias("_cks")))
-    rows = per_path.join(small_side(t), "repository").select(
-        *TRIPLE, "path",
-        F.col("_cks")[F.col("base_range")].alias("ck_base"),
-        F.col("_cks")[F.col("source_range")].alias("ck_source"),
-        F.col("_cks")[F.col("dest_range")].alias("ck_dest"))
+                   .agg(F.map_from_entries(F.collect_list(F.struct("meta_range_id", value.alias("v"))))
+                        .alias("_cks")))
+    cols = [*TRIPLE, "path"]
+    for side, col in (("base", "base_range"), ("source", "source_range"), ("dest", "dest_range")):
+        v = F.col("_cks")[F.col(col)]
+        if with_entries:
+            cols += [v.alias(f"e_{side}"), v["checksum"].alias(f"ck_{side}")]
+        else:
+            cols.append(v.alias(f"ck_{side}"))
+    rows = per_path.join(small_side(t), "repository").select(*cols)
     return rows.where(F.col("ck_base").isNotNull() | F.col("ck_source").isNotNull() | F.col("ck_dest").isNotNull())
 
 
+def merged_listing(done: DataFrame, entries: DataFrame) -> DataFrame:
+    """Entries of merged listings: ``done`` has the triple columns, ``force``
+    and the announced ``meta_range_id``.  Per path the source entry wins for
+    take_source (and forced conflicts), else the dest entry; absent = no row.
+    Listing ids already stored are not written again."""
+    d = done.select(*TRIPLE, "force", F.col("meta_range_id").alias("new_range")).distinct()
+    t = d.select(*TRIPLE).distinct()
+    ranges = (t.select("repository", F.col("base_range").alias("meta_range_id"))
+              .unionByName(t.select("repository", F.col("source_range").alias("meta_range_id")))
+              .unionByName(t.select("repository", F.col("dest_range").alias("meta_range_id"))).distinct())
+    rows = triple_rows(t, entries, ranges, with_entries=True).join(small_side(d), TRIPLE)
+    cls = classify(F.col("ck_base"), F.col("ck_source"), F.col("ck_dest"))
+    take = (cls == TAKE_SOURCE) | ((cls == CONFLICT) & F.col("force"))
+    chosen = F.when(take, F.col("e_source")).otherwise(F.col("e_dest"))
+    out = (rows.select("repository", F.col("new_range").alias("meta_range_id"), "path", chosen.alias("_e"))
+               .where(F.col("_e").isNotNull())
+               .select("repository", "meta_range_id", "path", "_e.physical_address", "_e.checksum",
+                       "_e.size_bytes")
+               .dropDuplicates(["repository", "meta_range_id", "path"]))
+    stored = entries.select("repository", "meta_range_id").distinct()
+    return out.join(stored, ["repository", "meta_range_id"], "left_anti")
+
+
 def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bool | str = "auto") -> DataFrame:
     """Per distinct triple: class counts and the lane delta that turns the
     dest listing into the merged one (take_source always, conflicts when forced).

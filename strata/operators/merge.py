@@ -124,6 +124,19 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
              .drop("_merged_range", "_is_first", "source_kind"))
 
 
+def merge_deltas(outcomes: DataFrame, entries: DataFrame) -> dict[str, DataFrame]:
+    """State deltas of ``merge_refs`` outcomes: new two-parent commits, the
+    destination refs moved to them, and the merged listings' entries."""
+    done = outcomes.where(F.col("outcome") == O.MERGED)
+    commits = done.select(
+        "repository", "commit_id", "committer", "message", "meta_range_id", "metadata",
+        F.timestamp_add("SECOND", F.col("creation_seconds"),
+                        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("creation_date"),
+        F.lit(1).alias("version"), "generation", F.array("dest_commit", "source_commit").alias("parents"))
+    refs = done.select("repository", F.col("destination_branch").alias("branch"), "commit_id")
+    return {"commits": commits, "refs": refs, "entries": L.merged_listing(done, entries)}
+
+
 def _first_parent(commits_rows: DataFrame, parents: DataFrame, commit_col: str, out: str) -> DataFrame:
     p = parents.where(F.col("pos") == 0).select(
         F.col("repository").alias("_p_repo"), F.col("commit_id").alias("_p_child"), F.col("parent_id").alias(out))

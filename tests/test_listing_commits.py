@@ -188,3 +188,18 @@ def test_merge_from_commit_id_equals_branch(spark):
     got = {r.seq: r for r in out.collect()}
     assert got[1].n_conflict == got[2].n_conflict == 1 and got[1].base_id == got[2].base_id == "c0"
     assert got[1].outcome == "merged" and got[2].outcome == "retry_next_batch"
+
+
+def test_merge_deltas_materialize_the_announced_listing(spark):
+    e, commits, parents, refs = _repo(spark)
+    req = spark.createDataFrame([(1, "r", "feat", "main", True)],
+                                "seq long, repository string, source_ref string, destination_branch string, "
+                                "force boolean")
+    out = MG.merge_refs(req.withColumn("date", F.lit(1).cast("long")), refs, commits, parents, e)
+    d = MG.merge_deltas(out, e)
+    got = out.first()
+    assert rows(d["entries"], "path", "checksum") == [("a", "2"), ("b", "3"), ("c", "5"), ("n", "1")]
+    assert L.listing_identity(L.listing_stats(d["entries"])).first().listing_id == got.meta_range_id
+    c = d["commits"].first()
+    assert c.parents == ["cd", "cs"] and c.commit_id == got.commit_id
+    assert rows(d["refs"], "branch", "commit_id") == [("main", got.commit_id)]
