@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
-from strata.functions.ordered import running_sum
+from strata.functions.ordered import previous_value, running_sum
 from strata.functions.params import (BRANCH_NAME, Param, bind, rule_allowed,
                                      rule_pattern, rule_positive, rule_required,
                                      validate)
@@ -158,9 +158,66 @@ def merge_pull_requests(requests: DataFrame, prs: DataFrame, refs: DataFrame, co
                          F.col("merge_outcome"))
     r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
     done = F.col("outcome") == O.MERGED
+    closed = F.timestamp_add("SECOND", F.col("date"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")) \
+        if "date" in r.columns else F.current_timestamp().cast("timestamp_ntz")
     return (r.withColumn("status", F.when(done, F.lit(MERGED)).otherwise(F.col("pr_status")))
              .withColumn("merged_commit_id", F.when(done, F.col("merge_commit"))
-                         .otherwise(F.col("pr_merged_commit_id"))))
+                         .otherwise(F.col("pr_merged_commit_id")))
+             .withColumn("closed_date", F.when(done, closed)))
+
+
+def apply_pr_outcomes(prs: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """New ``pull_requests`` state after merge or update outcomes: changed
+    PRs (last successful request per id by ``seq``) replace their rows."""
+    done = outcomes.where(F.col("outcome").isin(O.MERGED, O.UPDATED))
+    fields = [c for c in ("status", "title", "description", "merged_commit_id", "closed_date") if c in done.columns]
+    last = (done.groupBy(*PKEY).agg(F.max_by(F.struct(*fields), F.col("seq")).alias("_n"))
+                .select(*PKEY, *[F.col(f"_n.{c}").alias(f"_new_{c}") for c in fields]))
+    j = prs.join(last, PKEY, "left")
+    for c in fields:
+        j = j.withColumn(c, F.when(F.col("_new_status").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)))
+    return j.drop(*[f"_new_{c}" for c in fields])
+
+
+UPDATE_PARAMS = [Param("repository"), Param("id"), Param("title"), Param("description"), Param("status")]
+UPDATE_FIELDS = ("title", "description", "status")
+
+
+def update_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
+    """invalid → not_found → bad_transition (a merged PR cannot change
+    status) → updated.  Each row shows the PR after the request: a field is
+    the value set by this or the last earlier successful update of the same
+    PR in the batch, else the stored value."""
+    r = validate(bind(requests, UPDATE_PARAMS),
+                 [rule_required("repository"), rule_required("id"), rule_allowed("status", [OPEN, CLOSED])])
+    p = prs.select("repository", "id", *[F.col(f).alias(f"old_{f}") for f in UPDATE_FIELDS])
+    r = r.join(p, PKEY, "left")
+    outcome = O.first_match(
+        (F.col("error_code").isNotNull(), O.INVALID),
+        (F.col("old_status").isNull(), O.NOT_FOUND),
+        ((F.col("old_status") == MERGED) & F.col("status").isNotNull() & (F.col("status") != MERGED),
+         O.BAD_TRANSITION),
+        default=O.UPDATED)
+    r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
+    done = F.col("outcome") == O.UPDATED
+    r = r.withColumns({f"_u_{f}": F.when(done, F.col(f)) for f in UPDATE_FIELDS})
+    for f in UPDATE_FIELDS:
+        r = previous_value(r, PKEY, "seq", f"_u_{f}", f"_p_{f}", ignore_nulls=True)
+    r = r.withColumns({f: F.coalesce(F.col(f"_u_{f}"), F.col(f"_p_{f}"), F.col(f"old_{f}")) for f in UPDATE_FIELDS})
+    return r.drop(*[f"{pre}{f}" for pre in ("_u_", "_p_", "old_") for f in UPDATE_FIELDS])
+
+
+def apply_pr_outcomes(prs: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """New ``pull_requests`` state after merge or update outcomes: changed
+    PRs (last successful request per id by ``seq``) replace their rows."""
+    done = outcomes.where(F.col("outcome").isin(O.MERGED, O.UPDATED))
+    fields = [c for c in ("status", "title", "description", "merged_commit_id", "closed_date") if c in done.columns]
+    last = (done.groupBy(*PKEY).agg(F.max_by(F.struct(*fields), F.col("seq")).alias("_n"))
+                .select(*PKEY, *[F.col(f"_n.{c}").alias(f"_new_{c}") for c in fields]))
+    j = prs.join(last, PKEY, "left")
+    for c in fields:
+        j = j.withColumn(c, F.when(F.col("_new_status").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)))
+    return j.drop(*[f"_new_{c}" for c in fields])
 
 
 UPDATE_PARAMS = [Param("repository"), Param("id"), Param("title"), Param("description"), Param("status")]

@@ -136,3 +136,19 @@ def test_delete_copy_deltas_and_list_once(spark):
     want = sorted(r.id for r in prs.collect() if r.repository == "r" and r.id.startswith("pr_0001")
                   and r.id > "pr_00012")[:3]
     assert [r.id for r in once.collect()] == want
+
+
+def test_apply_pr_outcomes(spark):
+    first = F.col("id") == "pr_00000"
+    prs = (_prs(spark, 4).withColumn("status", F.when(first, "open").otherwise(F.col("status")))
+           .withColumn("repository", F.when(first, "r").otherwise(F.col("repository"))))
+    up = spark.createDataFrame([(1, "r", "pr_00000", "retitled", "closed"), (2, "r", "pr_00000", "again", None)],
+                               "seq long, repository string, id string, title string, status string")
+    out = PR.update_pull_requests(up, prs)
+    new = {r.id: r for r in PR.apply_pr_outcomes(prs, out).collect()}
+    old = {r.id: r for r in prs.collect()}
+    # the second update sees the first one's status
+    assert new["pr_00000"].title == "again" and new["pr_00000"].status == "closed"
+    got = {r.seq: r for r in out.collect()}
+    assert got[1].title == "retitled" and got[2].status == "closed"
+    assert new["pr_00001"] == old["pr_00001"] and len(new) == len(old)
