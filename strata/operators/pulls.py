@@ -205,41 +205,3 @@ def update_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
         r = previous_value(r, PKEY, "seq", f"_u_{f}", f"_p_{f}", ignore_nulls=True)
     r = r.withColumns({f: F.coalesce(F.col(f"_u_{f}"), F.col(f"_p_{f}"), F.col(f"old_{f}")) for f in UPDATE_FIELDS})
     return r.drop(*[f"{pre}{f}" for pre in ("_u_", "_p_", "old_") for f in UPDATE_FIELDS])
-
-
-def apply_pr_outcomes(prs: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """New ``pull_requests`` state after merge or update outcomes: changed
-    PRs (last successful request per id by ``seq``) replace their rows."""
-    done = outcomes.where(F.col("outcome").isin(O.MERGED, O.UPDATED))
-    fields = [c for c in ("status", "title", "description", "merged_commit_id", "closed_date") if c in done.columns]
-    last = (done.groupBy(*PKEY).agg(F.max_by(F.struct(*fields), F.col("seq")).alias("_n"))
-                .select(*PKEY, *[F.col(f"_n.{c}").alias(f"_new_{c}") for c in fields]))
-    j = prs.join(last, PKEY, "left")
-    for c in fields:
-        j = j.withColumn(c, F.when(F.col("_new_status").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)))
-    return j.drop(*[f"_new_{c}" for c in fields])
-
-
-UPDATE_PARAMS = [Param("repository"), Param("id"), Param("title"), Param("description"), Param("status")]
-
-
-def update_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
-    """invalid → not_found → bad_transition (a merged PR cannot change
-    status) → updated; unset fields keep their value."""
-    r = validate(bind(requests, UPDATE_PARAMS),
-                 [rule_required("repository"), rule_required("id"), rule_allowed("status", [OPEN, CLOSED])])
-    p = prs.select("repository", "id", F.col("status").alias("old_status"), F.col("title").alias("old_title"),
-                   F.col("description").alias("old_description"))
-    r = r.join(p, PKEY, "left")
-    outcome = O.first_match(
-        (F.col("error_code").isNotNull(), O.INVALID),
-        (F.col("old_status").isNull(), O.NOT_FOUND),
-        ((F.col("old_status") == MERGED) & F.col("status").isNotNull() & (F.col("status") != MERGED),
-         O.BAD_TRANSITION),
-        default=O.UPDATED)
-    r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
-    done = F.col("outcome") == O.UPDATED
-    return (r.withColumn("status", F.when(done, F.coalesce("status", "old_status")).otherwise(F.col("old_status")))
-             .withColumn("title", F.when(done, F.coalesce("title", "old_title")).otherwise(F.col("old_title")))
-             .withColumn("description", F.when(done, F.coalesce("description", "old_description"))
-                         .otherwise(F.col("old_description"))))
