@@ -145,7 +145,8 @@ def _first_parent(commits_rows: DataFrame, parents: DataFrame, commit_col: str,
             .drop("_p_repo", "_p_child"))
 
 
-PICK_PARAMS = [Param("repository"), Param("branch"), Param("commit_ref"), Param("force", "boolean", False)]
+PICK_PARAMS = [Param("repository"), Param("branch"), Param("commit_ref"), Param("force", "boolean", False),
+               Param("message"), Param("committer", default="unknown"), Param("date", "long")]
 
 
 def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents: DataFrame,
@@ -159,7 +160,8 @@ def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFram
     r = _first_parent(r, parents, "target_commit", "parent_commit")
     r = L.head_range(r, commits, "target_commit", out="target_range")
     r = L.head_range(r, commits, "parent_commit", out="parent_range")
-    r = L.head_range(r, commits, "dest_commit", out="dest_range").checkpoint(eager=True)
+    r = L.head_range(r, commits, "dest_commit", out="dest_range", generation_out="dest_generation")
+    r = r.checkpoint(eager=True)
     if revert:   # undo target: base = target, source = its parent
         r = r.withColumn("base_range", F.col("target_range")).withColumn("source_range", F.col("parent_range"))
     else:        # replay target: base = its parent, source = target
@@ -182,10 +184,33 @@ def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFram
     r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
     r = _merged_range(r, entries, F.col("force"), listings)
     done = F.col("outcome") == (O.REVERTED if revert else O.PICKED)
+    verb = "revert " if revert else "cherry-pick "
+    message = F.coalesce(F.col("message"), F.concat(F.lit(verb), F.col("target_commit")))
+    seconds = F.coalesce(F.col("date"), C.epoch_seconds(F.current_timestamp().cast("timestamp_ntz")))
     return (r.withColumn("meta_range_id", F.when(done, F.col("_merged_range")))
+             .withColumn("message", message)
+             .withColumn("creation_seconds", F.when(done, seconds))
+             .withColumn("generation", F.when(done, F.col("dest_generation") + 1).cast("long"))
+             .withColumn("commit_id", F.when(done, H.commit_id(
+                 F.col("repository"), F.col("dest_commit"), F.col("_merged_range"), F.col("committer"),
+                 message, seconds, F.lit(""))))
              .drop("_merged_range", "_is_first", "target_kind"))
 
 
+def single_commit_deltas(outcomes: DataFrame, entries: DataFrame) -> dict[str, DataFrame]:
+    """State deltas of revert / cherry-pick outcomes: a one-parent commit on
+    the branch, the branch moved to it, and the new listing's entries."""
+    done = outcomes.where(F.col("outcome").isin(O.REVERTED, O.PICKED))
+    commits = done.select(
+        "repository", "commit_id", "committer", "message", "meta_range_id",
+        F.create_map().cast("map<string,string>").alias("metadata"),
+        F.timestamp_add("SECOND", F.col("creation_seconds"),
+                        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("creation_date"),
+        F.lit(1).alias("version"), "generation", F.array("dest_commit").alias("parents"))
+    refs = done.select("repository", "branch", "commit_id")
+    return {"commits": commits, "refs": refs, "entries": L.merged_listing(done, entries)}
+
+
 def revert_commit(requests, refs, commits, parents, entries, listings=None) -> DataFrame:
     """Undo ``commit_ref`` on ``branch`` (three-way: base = commit, source = its parent)."""
     return _single_commit_merge(requests, refs, commits, parents, entries, True, listings)

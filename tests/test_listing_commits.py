@@ -203,3 +203,19 @@ def test_merge_deltas_materialize_the_announced_listing(spark):
     c = d["commits"].first()
     assert c.parents == ["cd", "cs"] and c.commit_id == got.commit_id
     assert rows(d["refs"], "branch", "commit_id") == [("main", got.commit_id)]
+
+
+def test_revert_deltas_restore_the_parent_listing(spark):
+    e, commits, parents, refs = _repo(spark)
+    # revert feat's head (cs) on feat itself: the result is cs's parent listing (base)
+    req = spark.createDataFrame([(1, "r", "feat", "cs", False)],
+                                "seq long, repository string, branch string, commit_ref string, force boolean")
+    out = MG.revert_commit(req.withColumn("date", F.lit(5).cast("long")), refs, commits, parents, e)
+    r = out.first()
+    assert r.outcome == "reverted" and r.commit_id is not None and r.generation == 3
+    d = MG.single_commit_deltas(out, e)
+    want = L.listing_identity(L.listing_stats(e)).where("meta_range_id = 'base'").first().listing_id
+    assert r.meta_range_id == want
+    assert rows(d["entries"]) == [] or \
+        L.listing_identity(L.listing_stats(d["entries"])).first().listing_id == want
+    assert d["commits"].first().parents == ["cs"]
