@@ -82,11 +82,24 @@ def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
+def content_prefix(checksum: Column) -> Column:
+    """Partition key of ``contents``: the first two hex characters."""
+    return F.substring(checksum, 1, 2)
+
+
 def fetch_objects(requests, refs, commits, entries, staging, contents) -> DataFrame:
-    """Read objects: metadata lookup, then join ``contents`` on the address."""
+    """Read objects: metadata lookup, then join ``contents`` on the address.
+
+    When ``contents`` is stored partitioned by ``prefix`` the join also
+    matches on it, so dynamic partition pruning reads only the partitions
+    that hold requested objects (never every stored byte)."""
     r = stat_objects(requests, refs, commits, entries, staging)
-    c = contents.select(F.col("checksum").alias("_k"), "content")
-    r = r.join(c, r["physical_address"] == c["_k"], "left").drop("_k")
+    c = contents.select(F.col("checksum").alias("_k"), "content",
+                        *([F.col("prefix").alias("_p")] if "prefix" in contents.columns else []))
+    cond = r["physical_address"] == c["_k"]
+    if "_p" in c.columns:
+        cond = cond & (content_prefix(r["physical_address"]) == c["_p"])
+    r = r.join(c, cond, "left").drop("_k", "_p")
     return (r.withColumn("file_name", F.when(F.col("ok"), file_name(F.col("path"))))
              .withColumn("file_length", F.when(F.col("ok"), F.octet_length("content").cast("long"))))
 
@@ -134,7 +147,7 @@ def put_deltas(outcomes: DataFrame, contents: DataFrame | None = None) -> dict[s
     new_contents = stored.select("checksum", "content").dropDuplicates(["checksum"])
     if contents is not None:
         new_contents = new_contents.join(contents.select("checksum"), "checksum", "left_anti")
-    new_contents = new_contents.withColumn("prefix", F.substring("checksum", 1, 2))
+    new_contents = new_contents.withColumn("prefix", content_prefix(F.col("checksum")))
     return {"staging": staged, "contents": new_contents}
 
 

@@ -394,8 +394,11 @@ def q_put_objects(spark, sf_dir):
 def _state_after_doc_puts(fx):
     req = fx.objects.select(F.col("doc_id").alias("seq"), "repository", F.lit("main").alias("branch"),
                             "path", "content", F.lit(True).alias("overwrite"))
-    d = OB.put_deltas(OB.put_objects(req, fx.refs, fx.commits, fx.entries, fx.staging))
-    return fx.staging.unionByName(d["staging"]), d["contents"]
+    out = OB.put_objects(req, fx.refs, fx.commits, fx.entries, fx.staging)
+    staged = OB.put_deltas(out)["staging"]
+    # bytes are stored once per checksum, partitioned by checksum prefix
+    contents = fx.stored("contents", lambda: OB.put_deltas(out)["contents"], partition_by=("prefix",))
+    return fx.staging.unionByName(staged), contents
 
 
 @query

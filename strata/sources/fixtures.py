@@ -66,7 +66,7 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
-    def stored(self, name: str, build) -> DataFrame:
+    def stored(self, name: str, build, partition_by: tuple[str, ...] = ("repository",)) -> DataFrame:
         """Derive a state table once per session and keep it as parquet
         (partitioned by repository) under the shared checkpoint folder, the
         way state tables live in a deployment; later plans read the table
@@ -75,7 +75,7 @@ class Fixtures:
         df = _STORED.get(key)
         if df is None:
             path = scratch_path(self.spark, f"state-{name}")
-            write_state(build(), path)
+            write_state(build(), path, partition_by)
             df = _STORED[key] = self.spark.read.parquet(path)   # file listing and schema once
         return df
 

@@ -49,3 +49,9 @@ def test_listing_lookup_broadcasts_the_key_side(spark):
     plan = _plan(L.listing_rows(keys.select("repository", "meta_range_id"), fx.entries))
     assert "BroadcastHashJoin" in plan
     assert not re.search(r"Exchange hashpartitioning\(_l_repo[^)]*_l_mr", plan)
+
+
+def test_object_reads_prune_content_partitions(spark):
+    plan = _plan(entry.queries()["fetch_objects"](spark, SF_SMALL))
+    scan = [ln for ln in plan.splitlines() if "FileScan" in ln and "state-contents" in ln][0]
+    assert "dynamicpruningexpression(prefix" in scan
