@@ -216,8 +216,12 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
     firsts = small_side(r.where(is_first).select("repository", "branch", "base_range"))
     # probe the base listing only at staged paths (fine key: listing, path)
     last = last_staged_for(staging, firsts).join(firsts, ["repository", "branch"])
-    probe = entries.select("repository", F.col("meta_range_id").alias("base_range"), "path",
-                           F.col("checksum").alias("old_checksum"))
+    # semi join on the (few) base listings first: a broadcast on the partition
+    # columns, so only those listings' files are read (dynamic pruning)
+    bases = small_side(firsts.select("repository", F.col("base_range").alias("meta_range_id")).distinct())
+    probe = (entries.join(bases, ["repository", "meta_range_id"], "left_semi")
+             .select("repository", F.col("meta_range_id").alias("base_range"), "path",
+                     F.col("checksum").alias("old_checksum")))
     ch = L.changes_at(last, probe, ["repository", "base_range", "path"])
     d = L.change_lanes(F.col("path"), F.col("old_checksum"), F.col("new_checksum"))
     delta = ch.groupBy("repository", "branch").agg(

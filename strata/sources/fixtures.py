@@ -166,7 +166,8 @@ class Fixtures:
 
     @cached_property
     def entries(self) -> DataFrame:
-        return self.stored("entries", self._build_entries)
+        # one directory per listing: lookups of a few listings prune the rest
+        return self.stored("entries", self._build_entries, partition_by=("repository", "meta_range_id"))
 
     def _build_entries(self) -> DataFrame:
         """fx_manifest as the ``entries`` state table keyed by meta_range_id."""
