@@ -392,13 +392,18 @@ def q_put_objects(spark, sf_dir):
 
 
 def _state_after_doc_puts(fx):
-    req = fx.objects.select(F.col("doc_id").alias("seq"), "repository", F.lit("main").alias("branch"),
-                            "path", "content", F.lit(True).alias("overwrite"))
-    out = OB.put_objects(req, fx.refs, fx.commits, fx.entries, fx.staging)
-    staged = OB.put_deltas(out)["staging"]
-    # bytes are stored once per checksum, partitioned by checksum prefix
-    contents = fx.stored("contents", lambda: OB.put_deltas(out)["contents"], partition_by=("prefix",))
-    return fx.staging.unionByName(staged), contents
+    """State after uploading every document to ``main``: staging with the
+    staged puts, and content bytes once per checksum (partitioned by
+    checksum prefix).  Written once, as a put batch would write them."""
+    def puts():
+        req = fx.objects.select(F.col("doc_id").alias("seq"), "repository", F.lit("main").alias("branch"),
+                                "path", "content", F.lit(True).alias("overwrite"))
+        return OB.put_deltas(OB.put_objects(req, fx.refs, fx.commits, fx.entries, fx.staging))
+    staging = fx.stored("staging_after_puts", lambda: fx.staging.unionByName(puts()["staging"]),
+                        cluster_by=("path",))
+    contents = fx.stored("contents", lambda: puts()["contents"], partition_by=("prefix",),
+                         cluster_by=("checksum",))
+    return staging, contents
 
 
 @query

@@ -66,7 +66,8 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
-    def stored(self, name: str, build, partition_by: tuple[str, ...] = ("repository",)) -> DataFrame:
+    def stored(self, name: str, build, partition_by: tuple[str, ...] = ("repository",),
+               cluster_by: tuple[str, ...] = ()) -> DataFrame:
         """Derive a state table once per session and keep it as parquet
         (partitioned by repository) under the shared checkpoint folder, the
         way state tables live in a deployment; later plans read the table
@@ -75,14 +76,14 @@ class Fixtures:
         df = _STORED.get(key)
         if df is None:
             path = scratch_path(self.spark, f"state-{name}")
-            write_state(build(), path, partition_by)
+            write_state(build(), path, partition_by, cluster_by=cluster_by)
             df = _STORED[key] = self.spark.read.parquet(path)   # file listing and schema once
         return df
 
     # -- commits ---------------------------------------------------------
     @cached_property
     def commits(self) -> DataFrame:
-        return self.stored("commits", self._build_commits)
+        return self.stored("commits", self._build_commits, cluster_by=("commit_id",))
 
     def _build_commits(self) -> DataFrame:
         """fx_commits: n = row number of the order within its repository."""
@@ -107,7 +108,7 @@ class Fixtures:
 
     @cached_property
     def parents(self) -> DataFrame:
-        return self.stored("parents", self._build_parents)
+        return self.stored("parents", self._build_parents, cluster_by=("commit_id",))
 
     def _build_parents(self) -> DataFrame:
         """fx_parents: first parent n>>1; a second parent on every 7th commit."""
@@ -122,7 +123,7 @@ class Fixtures:
 
     @cached_property
     def refs(self) -> DataFrame:
-        return self.stored("refs", self._build_refs)
+        return self.stored("refs", self._build_refs, cluster_by=("branch",))
 
     def _build_refs(self) -> DataFrame:
         """fx_refs: a branch per customer, ``main`` for the first five."""
@@ -142,7 +143,7 @@ class Fixtures:
     # -- listings ----------------------------------------------------------
     @cached_property
     def manifest(self) -> DataFrame:
-        return self.stored("manifest", self._build_manifest)
+        return self.stored("manifest", self._build_manifest, cluster_by=("path",))
 
     def _build_manifest(self) -> DataFrame:
         """fx_manifest: base / source / dest listings per repository."""
@@ -167,7 +168,8 @@ class Fixtures:
     @cached_property
     def entries(self) -> DataFrame:
         # one directory per listing: lookups of a few listings prune the rest
-        return self.stored("entries", self._build_entries, partition_by=("repository", "meta_range_id"))
+        return self.stored("entries", self._build_entries, partition_by=("repository", "meta_range_id"),
+                           cluster_by=("path",))
 
     def _build_entries(self) -> DataFrame:
         """fx_manifest as the ``entries`` state table keyed by meta_range_id."""
@@ -179,7 +181,7 @@ class Fixtures:
 
     @cached_property
     def staging(self) -> DataFrame:
-        return self.stored("staging", self._build_staging)
+        return self.stored("staging", self._build_staging, cluster_by=("path",))
 
     def _build_staging(self) -> DataFrame:
         """fx_staging: uncommitted puts/deletes on ``main``; ``seq`` orders ops per path."""
@@ -206,12 +208,13 @@ class Fixtures:
     def listings(self) -> DataFrame:
         """Per listing: entry count, bytes, lane sums and id — computed once
         when a listing is stored, then read by commits and merges."""
-        return self.stored("listings", lambda: listing_identity(listing_stats(self.entries)))
+        return self.stored("listings", lambda: listing_identity(listing_stats(self.entries)),
+                           cluster_by=("meta_range_id",))
 
     # -- pull requests -------------------------------------------------------
     @cached_property
     def pull_requests(self) -> DataFrame:
-        return self.stored("pull_requests", self._build_pull_requests)
+        return self.stored("pull_requests", self._build_pull_requests, cluster_by=("id",))
 
     def _build_pull_requests(self) -> DataFrame:
         o = self.table("orders")
@@ -234,7 +237,7 @@ class Fixtures:
     # -- objects ---------------------------------------------------------------
     @cached_property
     def objects(self) -> DataFrame:
-        return self.stored("objects", self._build_objects)
+        return self.stored("objects", self._build_objects, cluster_by=("path",))
 
     def _build_objects(self) -> DataFrame:
         """fx_objects: documents as object uploads (content = UTF-8 bytes)."""

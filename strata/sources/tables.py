@@ -30,8 +30,17 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_state(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("repository",),
-                mode: str = "overwrite") -> None:
-    """Write a state table partitioned by repository (the leading key of every table)."""
+                mode: str = "overwrite", cluster_by: tuple[str, ...] = ()) -> None:
+    """Write a state table partitioned by repository (the leading key of every table).
+
+    Rows are range-partitioned on (partition columns, ``cluster_by``) and
+    sorted within files, so each directory gets few files, files are sorted
+    by the lookup key (row-group min/max pruning), and a huge partition
+    value is still split over several writer tasks."""
+    keys = [*partition_by, *cluster_by]
+    if keys:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
