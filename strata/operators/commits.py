@@ -146,12 +146,12 @@ def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame,
         # a pair's frontier is small (its width), so a window per pair is cheap
         f = frontier.withColumn("_top", F.max("generation").over(Window.partitionBy(*pair)))
         popped = f.where(F.col("generation") == F.col("_top"))
-        if small:      # a subset of the checked frontier: same bound
-            popped = F.broadcast(popped)
         hit = (popped.where(F.col("mask") == 3).groupBy(*pair)
                .agg(F.min("commit_id").alias("base_id"), F.max("generation").alias("base_generation")))
         found.append(hit)
-        grow = (popped.join(edges, (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_child")))
+        # the popped level is a subset of the checked frontier: same size bound
+        expand = F.broadcast(popped) if small else popped
+        grow = (expand.join(edges, (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_child")))
                 .select(*pair, F.col("_parent").alias("commit_id"), "mask", F.col("_pgen").alias("generation")))
         rest = f.where(F.col("generation") < F.col("_top")).select(*pair, "commit_id", "mask", "generation")
         frontier = (rest.unionByName(grow).join(hit.select(*pair), pair, "left_anti")
