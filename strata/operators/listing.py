@@ -299,7 +299,8 @@ def merged_listing(done: DataFrame, entries: DataFrame) -> DataFrame:
     return out.join(stored, ["repository", "meta_range_id"], "left_anti")
 
 
-def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bool | str = "auto") -> DataFrame:
+def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bool | str = "auto",
+                      listings: DataFrame | None = None) -> DataFrame:
     """Per distinct triple: class counts and the lane delta that turns the
     dest listing into the merged one (take_source always, conflicts when forced).
 
@@ -323,8 +324,12 @@ def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bo
 
     if skip_identical in (False, "false"):
         return _summarize(classified(triple_rows(t, entries, ranges)), None)
-    sizes = (entries.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
-             .groupBy("repository", "meta_range_id").count())
+    if listings is not None:   # stored per-listing counts: a keyed lookup, no scan of entries
+        sizes = (listings.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
+                 .select(F.col("n_entries").alias("count")))
+    else:
+        sizes = (entries.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
+                 .groupBy("repository", "meta_range_id").count())
     mx = sizes.agg(F.max("count").alias("m")).first().m or 0
     if skip_identical == "auto" and mx < AUTO_SKIP_MIN_ENTRIES:
         return _summarize(classified(triple_rows(t, entries, ranges)), None)

@@ -31,11 +31,12 @@ def _first_per_key(df: DataFrame, cond: Column, key: list[str], out: str) -> Dat
               .drop("_first_seq"))
 
 
-def _with_summary(r: DataFrame, entries: DataFrame, ok_rows: Column) -> DataFrame:
+def _with_summary(r: DataFrame, entries: DataFrame, ok_rows: Column,
+                  listings: DataFrame | None = None) -> DataFrame:
     """Attach per-triple class counts and lane deltas (zero for other rows)."""
     r = r.withColumn("base_range", F.coalesce(F.col("base_range"), F.lit(NO_RANGE)))
     triples = r.where(ok_rows).select(*L.TRIPLE).distinct()
-    summary = L.three_way_summary(triples, entries)
+    summary = L.three_way_summary(triples, entries, listings=listings)
     r = r.join(summary, L.TRIPLE, "left")
     for c in L.CLASSES:
         r = r.withColumn(f"n_{c}", F.coalesce(F.col(f"n_{c}"), F.lit(0)).cast("long"))
@@ -96,7 +97,7 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
     r = L.head_range(r, commits, "source_commit", out="source_range", generation_out="source_generation")
     r = L.head_range(r, commits, "dest_commit", out="dest_range", generation_out="dest_generation")
     r = L.head_range(r, commits, "base_id", out="base_range").checkpoint(eager=True)
-    r = _with_summary(r, entries, found)
+    r = _with_summary(r, entries, found, listings)
     moving = F.col("n_take_source") + F.col("n_conflict")
     blocked = (F.col("n_conflict") > 0) & ~F.col("force")
     candidate = found & ((moving > 0) | F.col("allow_empty")) & ~blocked
@@ -168,7 +169,7 @@ def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFram
         r = r.withColumn("base_range", F.col("parent_range")).withColumn("source_range", F.col("target_range"))
     found = F.col("error_code").isNull() & F.col("target_commit").isNotNull() & F.col("dest_commit").isNotNull()
     has_parent = F.col("parent_commit").isNotNull()
-    r = _with_summary(r, entries, found & has_parent)
+    r = _with_summary(r, entries, found & has_parent, listings)
     moving = F.col("n_take_source") + F.col("n_conflict")
     blocked = (F.col("n_conflict") > 0) & ~F.col("force")
     candidate = found & has_parent & (moving > 0) & ~blocked
