@@ -260,3 +260,22 @@ def write_symlinks(view: DataFrame, location: str, num_partitions: int | None =
     (rows.repartitionByRange(n, "dir", "path").sortWithinPartitions("dir", "path")
          .select("dir", "value").write.mode("overwrite").partitionBy("dir").text(location))
     return location
+
+
+def read_at_ref(view: DataFrame, prefix: str, address_to_path=None, fmt: str = "parquet",
+                **options) -> DataFrame:
+    """Table form of A13: read the data files a ref shows under ``prefix``
+    (e.g. the parquet files of one table) as one DataFrame.
+
+    ``view`` is a ``branch_view`` / listing of the ref.  Only the file list
+    (one path per object, the same metadata Spark's own file index keeps on
+    the driver) is gathered; executors read the rows.  ``address_to_path``
+    maps a physical address to a storage path (identity by default)."""
+    spark = view.sparkSession
+    files = (view.where(F.col("path").startswith(prefix))
+                 .select(F.coalesce(F.col("physical_address"), F.col("checksum")).alias("a"))
+                 .distinct())
+    paths = sorted((address_to_path or (lambda a: a))(r.a) for r in files.toLocalIterator())
+    if not paths:
+        return spark.createDataFrame([], "value string")
+    return spark.read.format(fmt).options(**options).load(paths)

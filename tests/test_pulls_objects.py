@@ -152,3 +152,14 @@ def test_apply_pr_outcomes(spark):
     got = {r.seq: r for r in out.collect()}
     assert got[1].title == "retitled" and got[2].status == "closed"
     assert new["pr_00001"] == old["pr_00001"] and len(new) == len(old)
+
+
+def test_read_at_ref_reads_the_listed_files(spark, tmp_path):
+    a, b, c = (str(tmp_path / n) for n in ("a", "b", "c"))
+    spark.range(3).write.parquet(a)
+    spark.range(10, 12).write.parquet(b)
+    spark.range(100, 101).write.parquet(c)
+    view = spark.createDataFrame([("tables/t/part-0", a), ("tables/t/part-1", b), ("other/x", c)],
+                                 "path string, physical_address string")
+    got = OB.read_at_ref(view, "tables/t/")
+    assert sorted(r.id for r in got.collect()) == [0, 1, 2, 10, 11]
