@@ -272,9 +272,8 @@ def read_at_ref(view: DataFrame, prefix: str, address_to_path=None, fmt: str = "
     the driver) is gathered; executors read the rows.  ``address_to_path``
     maps a physical address to a storage path (identity by default)."""
     spark = view.sparkSession
-    files = (view.where(F.col("path").startswith(prefix))
-                 .select(F.coalesce(F.col("physical_address"), F.col("checksum")).alias("a"))
-                 .distinct())
+    addr = [F.col(c) for c in ("physical_address", "checksum") if c in view.columns]
+    files = view.where(F.col("path").startswith(prefix)).select(F.coalesce(*addr).alias("a")).distinct()
     paths = sorted((address_to_path or (lambda a: a))(r.a) for r in files.toLocalIterator())
     if not paths:
         return spark.createDataFrame([], "value string")
