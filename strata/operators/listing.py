@@ -236,6 +236,32 @@ def bucket_index(entries: DataFrame, ranges: DataFrame, bits: int) -> DataFrame:
                   *[H.mod_lane(F.sum(x)).alias(f"h{i}") for i, x in enumerate(ls)]))
 
 
+# Fixed resolution of stored bucket indexes (coarsened exactly at merge time).
+STORED_BUCKET_BITS = 16
+
+
+def listing_buckets(entries: DataFrame) -> DataFrame:
+    """Stored range-level summary of every listing at ``STORED_BUCKET_BITS``
+    (written once per listing, like ``listings``)."""
+    ls = H.lanes(F.col("path"), F.col("checksum"))
+    return (entries.withColumn("bucket", bucket_of(F.col("path"), STORED_BUCKET_BITS))
+                   .groupBy("repository", "meta_range_id", "bucket")
+                   .agg(F.count(F.lit(1)).cast("long").alias("n"),
+                        *[H.mod_lane(F.sum(x)).alias(f"h{i}") for i, x in enumerate(ls)]))
+
+
+def coarsen_buckets(stored: DataFrame, ranges: DataFrame, bits: int) -> DataFrame:
+    """Bucket index at ``bits`` (≤ stored bits) from the stored fine index:
+    lane sums are additive, so coarsening is exact."""
+    shift = STORED_BUCKET_BITS - bits
+    idx = stored.join(small_side(ranges.select("repository", "meta_range_id").distinct()),
+                      ["repository", "meta_range_id"], "left_semi")
+    return (idx.withColumn("bucket", F.shiftright("bucket", shift).cast("int"))
+               .groupBy("repository", "meta_range_id", "bucket")
+               .agg(F.sum("n").cast("long").alias("n"),
+                    *[H.mod_lane(F.sum(f"h{i}")).alias(f"h{i}") for i in range(len(H.LANE_SLICES))]))
+
+
 def _bucket_bits_for(mx: int, target: int = 64, max_bits: int = 20) -> int:
     """Bucket resolution: about ``target`` entries per bucket in the largest
     listing (``mx`` entries)."""
@@ -300,7 +326,7 @@ def merged_listing(done: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bool | str = "auto",
-                      listings: DataFrame | None = None) -> DataFrame:
+                      listings: DataFrame | None = None, buckets=None) -> DataFrame:
     """Per distinct triple: class counts and the lane delta that turns the
     dest listing into the merged one (take_source always, conflicts when forced).
 
@@ -334,7 +360,11 @@ def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bo
     if skip_identical == "auto" and mx < AUTO_SKIP_MIN_ENTRIES:
         return _summarize(classified(triple_rows(t, entries, ranges)), None)
     bits = _bucket_bits_for(mx)
-    idx = bucket_index(entries, ranges, bits)
+    if buckets is not None and bits <= STORED_BUCKET_BITS:
+        # stored index (a DataFrame, or a callable that yields it): no scan of entries
+        idx = coarsen_buckets(buckets() if callable(buckets) else buckets, ranges, bits)
+    else:
+        idx = bucket_index(entries, ranges, bits)
     sides = []
     for side, col in (("b", "base_range"), ("s", "source_range"), ("d", "dest_range")):
         i = idx.select("repository", F.col("meta_range_id").alias(col), "bucket",

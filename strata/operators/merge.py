@@ -32,11 +32,11 @@ def _first_per_key(df: DataFrame, cond: Column, key: list[str], out: str) -> Dat
 
 
 def _with_summary(r: DataFrame, entries: DataFrame, ok_rows: Column,
-                  listings: DataFrame | None = None) -> DataFrame:
+                  listings: DataFrame | None = None, buckets=None) -> DataFrame:
     """Attach per-triple class counts and lane deltas (zero for other rows)."""
     r = r.withColumn("base_range", F.coalesce(F.col("base_range"), F.lit(NO_RANGE)))
     triples = r.where(ok_rows).select(*L.TRIPLE).distinct()
-    summary = L.three_way_summary(triples, entries, listings=listings)
+    summary = L.three_way_summary(triples, entries, listings=listings, buckets=buckets)
     r = r.join(summary, L.TRIPLE, "left")
     for c in L.CLASSES:
         r = r.withColumn(f"n_{c}", F.coalesce(F.col(f"n_{c}"), F.lit(0)).cast("long"))
@@ -72,7 +72,7 @@ MERGE_PARAMS = [
 
 def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents: DataFrame,
                entries: DataFrame, batch_seconds: Column | None = None,
-               listings: DataFrame | None = None) -> DataFrame:
+               listings: DataFrame | None = None, buckets=None) -> DataFrame:
     """Merge ``source_ref`` (branch or commit) into ``destination_branch``.
 
     Precedence: invalid → ref_not_found → nothing_to_merge → conflict (not
@@ -97,7 +97,7 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
     r = L.head_range(r, commits, "source_commit", out="source_range", generation_out="source_generation")
     r = L.head_range(r, commits, "dest_commit", out="dest_range", generation_out="dest_generation")
     r = L.head_range(r, commits, "base_id", out="base_range").checkpoint(eager=True)
-    r = _with_summary(r, entries, found, listings)
+    r = _with_summary(r, entries, found, listings, buckets)
     moving = F.col("n_take_source") + F.col("n_conflict")
     blocked = (F.col("n_conflict") > 0) & ~F.col("force")
     candidate = found & ((moving > 0) | F.col("allow_empty")) & ~blocked

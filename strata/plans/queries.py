@@ -267,7 +267,8 @@ def _merge_requests(fx):
 
 def _merge_outcomes(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return MG.merge_refs(_merge_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries, listings=fx.listings)
+    return MG.merge_refs(_merge_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries, listings=fx.listings,
+                         buckets=lambda: fx.listing_buckets)
 
 
 @query

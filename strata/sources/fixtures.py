@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.ordered import row_number_within
-from strata.operators.listing import listing_identity, listing_stats
+from strata.operators.listing import listing_buckets, listing_identity, listing_stats
 from strata.session import scratch_path
 from strata.sources.tables import read_table, write_state
 
@@ -211,6 +211,12 @@ class Fixtures:
         return self.stored("listings", lambda: listing_identity(listing_stats(self.entries)),
                            cluster_by=("meta_range_id",))
 
+    @cached_property
+    def listing_buckets(self) -> DataFrame:
+        """Stored per-listing bucket index (range-level summary)."""
+        return self.stored("listing_buckets", lambda: listing_buckets(self.entries),
+                           cluster_by=("meta_range_id", "bucket"))
+
     # -- pull requests -------------------------------------------------------
     @cached_property
     def pull_requests(self) -> DataFrame:

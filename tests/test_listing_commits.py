@@ -219,3 +219,13 @@ def test_revert_deltas_restore_the_parent_listing(spark):
     assert rows(d["entries"]) == [] or \
         L.listing_identity(L.listing_stats(d["entries"])).first().listing_id == want
     assert d["commits"].first().parents == ["cs"]
+
+
+def test_stored_bucket_index_coarsens_exactly(spark):
+    base = {f"p{i:05d}": str(i) for i in range(3000)}
+    e = entries(spark, {"b": base, "s": dict(base, p00001="z")})
+    ranges = spark.createDataFrame([("r", "b"), ("r", "s")], "repository string, meta_range_id string")
+    fine = L.listing_buckets(e)
+    for bits in (0, 3, 9, 16):
+        got = rows(L.coarsen_buckets(fine, ranges, bits))
+        assert got == rows(L.bucket_index(e, ranges, bits))
