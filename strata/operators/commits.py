@@ -287,8 +287,10 @@ def commit_deltas(outcomes: DataFrame, entries: DataFrame, staging: DataFrame) -
             .select("repository", "branch", "new_range", "path", "checksum", "size_bytes", "physical_address"))
     listing = kept.select("repository", "branch", "new_range", "path", "checksum", "size_bytes",
                           "physical_address").unionByName(puts)
+    # two branches may reach the same content-addressed listing: store it once
     new_entries = (listing.select("repository", F.col("new_range").alias("meta_range_id"), "path",
                                   "physical_address", "checksum", "size_bytes")
+                   .dropDuplicates(["repository", "meta_range_id", "path"])
                    .join(entries.select("repository", "meta_range_id").distinct(),
                          ["repository", "meta_range_id"], "left_anti"))
     staging_left = staging.join(done.select("repository", "branch"), ["repository", "branch"], "left_anti")
