@@ -163,3 +163,16 @@ def test_read_at_ref_reads_the_listed_files(spark, tmp_path):
                                  "path string, physical_address string")
     got = OB.read_at_ref(view, "tables/t/")
     assert sorted(r.id for r in got.collect()) == [0, 1, 2, 10, 11]
+
+
+def test_hot_symlink_directory_is_split_across_tasks(spark, tmp_path):
+    view = spark.createDataFrame([(f"hot/f{i:04d}", f"a{i:04d}") for i in range(400)] + [("cold/x", "c")],
+                                 "path string, physical_address string")
+    loc = str(tmp_path / "links")
+    OB.write_symlinks(view, loc, num_partitions=4)
+    hot = os.path.join(loc, [d for d in os.listdir(loc) if d.startswith("dir=hot")][0])
+    parts = sorted(f for f in os.listdir(hot) if f.startswith("part-"))
+    assert len(parts) > 1                           # one directory, several writer tasks
+    chunks = [open(os.path.join(hot, f)).read().split() for f in parts]
+    assert all(c == sorted(c) for c in chunks)      # each file in path order
+    assert sorted(sum(chunks, [])) == [f"a{i:04d}" for i in range(400)]
