@@ -36,7 +36,7 @@ def test_wait_stream_multi_batch_and_restart(spark, tmp_path):
 def test_entry_contract(spark):
     df = entry.entry(spark)
     assert df.count() > 0
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) == set(entry.queries()) and len(entry.queries()) == 43
     assert not any(k.startswith("op") for k in entry.queries())
 
 
