@@ -72,3 +72,41 @@ def test_fetch_list_new_resolve(spark):
                                "seq long, repository string, ref string")
     assert rows(R.resolve_refs(rr, refs, commits), "seq", "resolved_kind", "resolved_commit") == [
         (1, "branch", "c2"), (2, "commit", "c3"), (3, None, None)]
+
+
+def test_ref_log_equals_sequential_processing(spark):
+    import random
+    rnd = random.Random(11)
+    refs, commits = _state(spark)
+    snapshot = {("r", "main"), ("r", "dev")}
+    reqs = []
+    for seq in range(1, 400):
+        branch = rnd.choice(["main", "dev", "x", "y", "z", ""])
+        op = rnd.choice(["create", "delete"])
+        source = rnd.choice(["main", "c3", "nope"])
+        reqs.append((seq, "r", op, branch, source, rnd.random() < 0.3, rnd.random() < 0.5))
+    df = spark.createDataFrame(reqs, "seq long, repository string, op string, branch string, source string, "
+                                     "force boolean, ignore_exists boolean")
+    got = {r.seq: r.outcome for r in R.apply_ref_log(df, refs, commits).collect()}
+    state, want = set(snapshot), {}
+    for seq, repo, op, branch, source, force, ignore in reqs:
+        key = (repo, branch)
+        if branch == "":
+            want[seq] = "invalid"
+        elif op == "create":
+            if source == "nope":
+                want[seq] = "source_not_found"
+            elif key not in state:
+                want[seq] = "created"
+            elif force:
+                want[seq] = "overwritten"
+            elif ignore:
+                want[seq] = "ignored"
+            else:
+                want[seq] = "branch_exists"
+            if source != "nope":
+                state.add(key)
+        else:
+            want[seq] = "deleted" if key in state else "branch_not_found"
+            state.discard(key)
+    assert got == want
