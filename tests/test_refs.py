@@ -110,3 +110,38 @@ def test_ref_log_equals_sequential_processing(spark):
             want[seq] = "deleted" if key in state else "branch_not_found"
             state.discard(key)
     assert got == want
+
+
+def test_create_and_delete_equal_sequential_processing(spark):
+    import random
+    rnd = random.Random(5)
+    refs, commits = _state(spark)
+    creates = [(s, "r", rnd.choice(["main", "dev", "x", "y", ""]), rnd.choice(["main", "c3", "nope"]),
+                rnd.random() < 0.3, rnd.random() < 0.5) for s in range(1, 300)]
+    df = spark.createDataFrame(creates, "seq long, repository string, branch string, source string, "
+                                        "force boolean, ignore_exists boolean")
+    got = {r.seq: r.outcome for r in R.create_branches(df, refs, commits).collect()}
+    state, want = {("r", "main"), ("r", "dev")}, {}
+    for seq, repo, branch, source, force, ignore in creates:
+        if branch == "":
+            want[seq] = "invalid"
+            continue
+        if source == "nope":
+            want[seq] = "source_not_found"
+            continue
+        exists = (repo, branch) in state
+        want[seq] = ("created" if not exists else "overwritten" if force else
+                     "ignored" if ignore else "branch_exists")
+        state.add((repo, branch))
+    assert got == want
+    deletes = [(s, "r", rnd.choice(["main", "dev", "x", ""])) for s in range(1, 100)]
+    dd = spark.createDataFrame(deletes, "seq long, repository string, branch string")
+    got = {r.seq: r.outcome for r in R.delete_branches(dd, refs).collect()}
+    state, want = {("r", "main"), ("r", "dev")}, {}
+    for seq, repo, branch in deletes:
+        if branch == "":
+            want[seq] = "invalid"
+        else:
+            want[seq] = "deleted" if (repo, branch) in state else "branch_not_found"
+            state.discard((repo, branch))
+    assert got == want
