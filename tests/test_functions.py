@@ -97,3 +97,22 @@ def test_wait_state_is_per_branch_with_seed(spark):
     assert rows(W.wait_commits(obs), "seq") == [(1,), (2,), (5,), (6,)]
     seed = spark.createDataFrame([("r", "a", "c1")], "repository string, branch string, commit_id string")
     assert rows(W.wait_commits(obs, seed), "seq") == [(2,), (5,), (6,)]
+
+
+def test_wait_commits_equals_simulation_on_a_hot_branch(spark):
+    import random
+    rnd = random.Random(3)
+    looks = []
+    for seq in range(2000):
+        branch = "main" if rnd.random() < 0.6 else f"b{rnd.randint(0, 9)}"
+        head = None if rnd.random() < 0.15 else f"c{rnd.randint(0, 3)}"
+        looks.append(("r", branch, seq, head))
+    obs = spark.createDataFrame(looks, "repository string, branch string, seq long, commit_id string") \
+        .withColumn("observed_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    got = sorted(r.seq for r in W.wait_commits(obs).collect())
+    last, want = {}, []
+    for repo, branch, seq, head in looks:
+        if head is not None and last.get(branch) != head:
+            want.append(seq)
+        last[branch] = head
+    assert got == want
