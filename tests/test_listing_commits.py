@@ -229,3 +229,28 @@ def test_stored_bucket_index_coarsens_exactly(spark):
     for bits in (0, 3, 9, 16):
         got = rows(L.coarsen_buckets(fine, ranges, bits))
         assert got == rows(L.bucket_index(e, ranges, bits))
+
+
+def test_branch_view_equals_simulation_with_a_hot_path(spark):
+    import random
+    rnd = random.Random(9)
+    e, commits, parents, refs = _repo(spark)            # main → listing dst {a:1, b:3, c:6}
+    ops, seq = [], 0
+    for _ in range(600):
+        seq += 1
+        path = "hot" if rnd.random() < 0.5 else rnd.choice(["a", "b", "c", "d"])
+        if rnd.random() < 0.3:
+            ops.append(("r", "main", path, "delete", None, None, None, seq))
+        else:
+            ck = f"k{rnd.randint(0, 5)}"
+            ops.append(("r", "main", path, "put", ck, ck, 1, seq))
+    staging = spark.createDataFrame(ops, STAGING)
+    view = L.branch_view(spark.createDataFrame([("r", "main")], "repository string, branch string"),
+                         refs, commits, e, staging)
+    want = {"a": "1", "b": "3", "c": "6"}
+    for _, _, path, op, _, ck, _, _ in ops:
+        if op == "put":
+            want[path] = ck
+        else:
+            want.pop(path, None)
+    assert rows(view, "path", "checksum") == sorted(want.items())
