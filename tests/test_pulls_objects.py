@@ -176,3 +176,19 @@ def test_hot_symlink_directory_is_split_across_tasks(spark, tmp_path):
     chunks = [open(os.path.join(hot, f)).read().split() for f in parts]
     assert all(c == sorted(c) for c in chunks)      # each file in path order
     assert sorted(sum(chunks, [])) == [f"a{i:04d}" for i in range(400)]
+
+
+def test_put_outcomes_equal_sequential_processing(spark):
+    import random
+    rnd = random.Random(4)
+    refs, commits, entries, staging = _objects_state(spark)      # a/x.txt is committed on main
+    reqs = [(s, "r", "main", rnd.choice(["a/x.txt", "b/1", "b/2", "b/3"]), bytearray(f"v{s}".encode()),
+             rnd.random() < 0.3) for s in range(1, 120)]
+    df = spark.createDataFrame(reqs, "seq long, repository string, branch string, path string, "
+                                     "content binary, overwrite boolean")
+    got = {r.seq: r.outcome for r in OB.put_objects(df, refs, commits, entries, staging).collect()}
+    visible, want = {"a/x.txt"}, {}
+    for seq, _, _, path, _, overwrite in reqs:
+        want[seq] = "stored" if overwrite or path not in visible else "exists"
+        visible.add(path)
+    assert got == want
