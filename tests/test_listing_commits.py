@@ -254,3 +254,50 @@ def test_branch_view_equals_simulation_with_a_hot_path(spark):
         else:
             want.pop(path, None)
     assert rows(view, "path", "checksum") == sorted(want.items())
+
+
+def test_commit_outcomes_equal_simulation(spark):
+    import random
+    rnd = random.Random(21)
+    e, commits, parents, refs = _repo(spark)
+    heads = {"main": "cd", "feat": "cs"}
+    listing = {"main": {"a": "1", "b": "3", "c": "6"}, "feat": {"a": "2", "b": "1", "c": "5", "n": "1"}}
+    ops = []
+    for s in range(1, 200):
+        br, path = rnd.choice(["main", "feat"]), rnd.choice(["a", "b", "c", "n", "q"])
+        if rnd.random() < 0.3:
+            ops.append(("r", br, path, "delete", None, None, None, s))
+        else:
+            ck = rnd.choice(["1", "2", "3", "5", "6", "9"])
+            ops.append(("r", br, path, "put", ck, ck, 1, s))
+    staging = spark.createDataFrame(ops, STAGING)
+    reqs = [(s, "r", rnd.choice(["main", "feat", "zz", ""]), rnd.random() < 0.3, rnd.random() < 0.3,
+             rnd.choice([None, "cd", "cs", "bad"])) for s in range(1, 40)]
+    df = spark.createDataFrame(reqs, "seq long, repository string, branch string, allow_empty boolean, "
+                                     "force boolean, expected_head string").withColumn("date", F.lit(1).cast("long"))
+    got = {r.seq: (r.outcome, r.n_changes) for r in C.commit_branches(df, refs, commits, e, staging).collect()}
+    last = {}
+    for _, br, path, op, _, ck, _, _ in ops:
+        last[(br, path)] = (op, ck)
+    want, done = {}, set()
+    for seq, _, br, allow, force, expected in reqs:
+        if br == "":
+            want[seq] = ("invalid", 0)
+        elif br not in heads:
+            want[seq] = ("branch_not_found", 0)
+        elif expected is not None and expected != heads[br] and not force:
+            want[seq] = ("head_moved", 0)
+        elif br in done:
+            want[seq] = ("retry_next_batch", 0)
+        else:
+            done.add(br)
+            n = 0
+            for (b, path), (op, ck) in last.items():
+                if b == br and ((op == "put" and listing[br].get(path) != ck) or
+                                (op == "delete" and path in listing[br])):
+                    n += 1
+            want[seq] = ("nothing_to_commit" if n == 0 and not allow else "committed", n)
+    for seq, (outcome, n) in want.items():
+        assert got[seq][0] == outcome, (seq, got[seq], outcome)
+        if outcome in ("committed", "nothing_to_commit"):
+            assert got[seq][1] == n
