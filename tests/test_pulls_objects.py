@@ -192,3 +192,20 @@ def test_put_outcomes_equal_sequential_processing(spark):
         want[seq] = "stored" if overwrite or path not in visible else "exists"
         visible.add(path)
     assert got == want
+
+
+def test_list_objects_equals_simulation(spark):
+    import random
+    rnd = random.Random(8)
+    paths = sorted({"/".join(rnd.choice(["a", "b", "c"]) for _ in range(rnd.randint(1, 4))) + f".{i}"
+                    for i in range(300)})
+    view = spark.createDataFrame([(p, 1) for p in paths], "path string, size_bytes long")
+    for prefix, after in (("", ""), ("a/", ""), ("a/b", "a/b/c"), ("zzz", "")):
+        got = {(r.entry, r.kind): r.n_objects for r in OB.list_objects(view, prefix, "/", after).collect()}
+        want = {}
+        for p in paths:
+            if p.startswith(prefix) and p > after:
+                rest = p[len(prefix):]
+                key = (prefix + rest[:rest.index("/") + 1], "prefix") if "/" in rest else (p, "object")
+                want[key] = want.get(key, 0) + 1
+        assert got == want, prefix
