@@ -301,3 +301,34 @@ def test_commit_outcomes_equal_simulation(spark):
         assert got[seq][0] == outcome, (seq, got[seq], outcome)
         if outcome in ("committed", "nothing_to_commit"):
             assert got[seq][1] == n
+
+
+def test_three_way_and_merged_listing_equal_simulation(spark):
+    import random
+    rnd = random.Random(13)
+    names = [f"p{i}" for i in range(200)]
+
+    def listing():
+        return {p: rnd.choice("123") for p in names if rnd.random() < 0.8}
+    base = listing()
+    src = {p: (rnd.choice("1234") if rnd.random() < 0.3 else c) for p, c in base.items() if rnd.random() < 0.9}
+    dst = {p: (rnd.choice("1234") if rnd.random() < 0.3 else c) for p, c in base.items() if rnd.random() < 0.9}
+    src.update({f"s{i}": "7" for i in range(5)})
+    dst.update({"s0": "7", "s1": "8"})
+    e = entries(spark, {"b": base, "s": src, "d": dst})
+    t = spark.createDataFrame([("r", "b", "s", "d")], "repository string, base_range string, source_range string, "
+                                                      "dest_range string")
+    got = L.three_way_summary(t, e, skip_identical=False).first()
+    counts, merged = {c: 0 for c in L.CLASSES}, {}
+    for p in set(base) | set(src) | set(dst):
+        b, s, d = base.get(p), src.get(p), dst.get(p)
+        cls = ("unchanged" if s == d == b else "same_change" if s == d else "take_source" if d == b
+               else "keep_dest" if s == b else "conflict")
+        counts[cls] += 1
+        v = s if cls in ("take_source", "conflict") else d          # forced merge
+        if v is not None:
+            merged[p] = v
+    assert {c: getattr(got, f"n_{c}") for c in L.CLASSES} == counts
+    done = t.withColumn("force", F.lit(True)).withColumn("meta_range_id", F.lit("m"))
+    out = L.merged_listing(done, e)
+    assert rows(out, "path", "checksum") == sorted(merged.items())
