@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact, mixing
+from strata.llm import chat, exact, mixing, pieces, token_counts
 from strata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,19 @@ FROM norm JOIN groups USING (t)""")
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents; of equal texts the largest id stays."""
     return exact.exact_groups(read(spark, sf_dir, "documents"), keep="largest")
+
+
+# --- 7 SentencePiece encoding and decoding ----------------------------------
+
+@query()
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes all documents and reads them back."""
+    return pieces.digests(read(spark, sf_dir, "documents"))
+
+
+# --- 9 token counts ---------------------------------------------------------
+
+@query()
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    return token_counts.token_counts(read(spark, sf_dir, "documents"))
