@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact, mixing, pieces, token_counts
+from strata.llm import chat, exact, mixing, pieces, token_counts, topk
 from strata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +140,22 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
+
+
+# --- 10 exact top-k search --------------------------------------------------
+
+@query("""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q, len(embedding) AS dim
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.dim = b.dim AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+WHERE rank <= 10""")
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 by integer inner product for every 100th vector."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
