@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact, mixing, pieces, token_counts, topk
+from strata.llm import chat, exact, mixing, pieces, quality, token_counts, topk
 from strata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read(spark, sf_dir, "documents"), keep="largest")
 
 
+# --- 5 quality classifier ---------------------------------------------------
+
+@query()
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores all documents with a model learnt from two thirds of the labels."""
+    return quality.classified(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 # --- 7 SentencePiece encoding and decoding ----------------------------------
 
 @query()
