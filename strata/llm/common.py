@@ -187,55 +187,138 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 
 # --- packed exchange --------------------------------------------------------
+#
+# Many small (hash, document, position) entries move as compressed blocks: a
+# map task deals its entries out by hash into ``parts``, Spark shuffles the
+# blocks by part, and a task reduces one part at a time with array operations.
 
-#: A packed row: ``part`` says which task reduces it, ``data`` holds arrays.
-PACKED = "part int, data binary"
+#: A packed row: ``part`` is dealt out, ``kind`` is the caller's, ``data`` holds arrays.
+PACKED = "part int, kind int, data binary"
+PARTS_PER_PARTITION = 4
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Equal-length integer arrays as one compressed block: sorted by the first
-    array, bytes of equal weight side by side."""
+    """Equal-length integer arrays as one compressed block: the first as
+    differences, bytes of equal weight side by side."""
     import zstandard
     n = len(arrays[0])
-    body = [np.array([n, *[a.dtype.itemsize for a in arrays]], np.int64).tobytes()]
+    body = [np.array([n], np.int64).tobytes()]
     for i, a in enumerate(arrays):
-        if i == 0:
-            a = np.diff(a, prepend=a.dtype.type(0))
-        body.append(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(n, a.dtype.itemsize).T).tobytes())
-    return len(arrays).to_bytes(1, "little") + zstandard.compress(b"".join(body), 1)
+        a = np.diff(a, prepend=a.dtype.type(0)) if i == 0 else np.ascontiguousarray(a)
+        body.append(a.view(np.uint8).reshape(n, a.dtype.itemsize).T.tobytes())
+    return zstandard.compress(b"".join(body), 1)
 
 
-def unpack(data: bytes, *types: type) -> list[np.ndarray]:
+def unpack(data: bytes, kinds: list[type]) -> list[np.ndarray]:
     import zstandard
-    k = data[0]
-    raw = zstandard.decompress(data[1:])
-    head = np.frombuffer(raw, np.int64, k + 1)
-    n, at, out = int(head[0]), 8 * (k + 1), []
-    for i, kind in enumerate(types):
-        size = int(head[i + 1])
+    raw = zstandard.decompress(data)
+    n, at, out = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
+    for i, kind in enumerate(kinds):
+        size = np.dtype(kind).itemsize
         a = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T.copy().view(kind).reshape(n)
         out.append(np.cumsum(a, dtype=kind) if i == 0 else a)
         at += n * size
     return out
 
 
-def packed_rows(parts: int, hashes: np.ndarray, *more: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows ``PACKED`` that deal the entries out by the high bits of their
-    hash, which is uniform, so that parts are even."""
-    order = np.argsort(hashes, kind="stable")
-    hashes, more = hashes[order], [m[order] for m in more]
-    part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
-    cuts = np.flatnonzero(np.diff(part, prepend=-1))
-    for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True):
+def unpacked(blocks: list[bytes], kinds: list[type]) -> list[np.ndarray]:
+    """All blocks' arrays, one after another."""
+    each = [unpack(b, kinds) for b in blocks]
+    return [np.concatenate([e[i] for e in each]) if each else np.zeros(0, k) for i, k in enumerate(kinds)]
+
+
+def packed_rows(parts: int, deal: np.ndarray, arrays: list[np.ndarray], kind: int = 0) -> Iterator[pa.RecordBatch]:
+    """Rows ``PACKED``: entries dealt out by the high bits of ``deal``, a uniform
+    hash, so that parts are even; in a part in the order of the first array."""
+    if not len(deal):
+        return
+    part = ((deal >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+    order = np.lexsort((arrays[0], part))
+    part, arrays = part[order], [a[order] for a in arrays]
+    cuts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    ends = [*cuts[1:], len(part)]
+    for at in range(0, len(cuts), 64):
+        some = list(zip(cuts[at:at + 64], ends[at:at + 64], strict=True))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part[a]], pa.int32()), pa.array([pack(hashes[a:b], *[m[a:b] for m in more])], pa.binary())],
-            ["part", "data"])
+            [pa.array([int(part[a]) for a, _ in some], pa.int32()), pa.array([kind] * len(some), pa.int32()),
+             pa.array([pack(*[x[a:b] for x in arrays]) for a, b in some], pa.binary())], ["part", "kind", "data"])
 
 
-def exchanged(df: DataFrame, parts: int) -> DataFrame:
-    """Packed rows brought together by ``part``."""
-    return df.repartition(parts, "part")
+def parts_of(spark: SparkSession) -> int:
+    return partitions(spark) * PARTS_PER_PARTITION
 
 
-def spread(part: Column | str, parts: int) -> Column:
-    return F.pmod(F.xxhash64(part), F.lit(parts)).cast("int")
+def reduced(packed: DataFrame, reduce, schema: str) -> DataFrame:
+    """Brings the rows of each part together and reduces them:
+    ``reduce(blocks)`` gets the part's blocks by kind and yields record batches."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[int, list[bytes]]] = {}
+        for batch in batches:
+            for part, kind, data in zip(*[batch.column(c).to_pylist() for c in ("part", "kind", "data")], strict=True):
+                held.setdefault(part, {}).setdefault(kind, []).append(data)
+        for part in sorted(held):
+            yield from reduce(held.pop(part))
+
+    return packed.repartition(partitions(packed.sparkSession), "part").mapInArrow(run, schema)
+
+
+#: A document is known by its id and, where ids repeat, a hash of its text.
+NO_ID = np.int64((1 << 63) - 1)
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, ``_ord`` (the id; null is the largest) and ``_salt`` (0, or
+    a hash of the text where the id may not be unique)."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("_ord", F.coalesce("doc_id", F.lit(int(NO_ID))))
+    twice = rows.groupBy("_ord").count().filter("count > 1").select("_ord")
+    if twice.isEmpty():
+        return rows.withColumn("_salt", F.lit(0).cast("long"))
+    rows = with_member_flag(rows, "_ord", member_pages(twice, "_ord"), "_twice")
+    return rows.withColumn("_salt", F.when(F.col("_twice"), F.xxhash64("text")).otherwise(0)).drop("_twice")
+
+
+#: Entries of one document: id, salt, position (and a flag of the caller's).
+ANSWER = [np.int64, np.int64, np.int32, np.int8]
+
+
+def answers(parts: int, ords: np.ndarray, salts: np.ndarray, at: np.ndarray, flags: np.ndarray | None = None,
+            kind: int = 0) -> Iterator[pa.RecordBatch]:
+    """Packed rows that take entries back to their documents."""
+    flags = np.zeros(len(ords), np.int8) if flags is None else flags.astype(np.int8)
+    yield from packed_rows(parts, mixed(ords.view(np.uint64)), [ords, salts, at.astype(np.int32), flags], kind)
+
+
+def by_document(packed: DataFrame) -> DataFrame:
+    """_ord, _salt, at (binary int32, ascending, distinct), flags (binary int8)
+    from the rows of ``answers``: one row per document."""
+    def run(blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        ords, salts, at, flags = unpacked([b for bs in blocks.values() for b in bs], ANSWER)
+        order = np.lexsort((flags, at, salts, ords))
+        ords, salts, at, flags = ords[order], salts[order], at[order], flags[order]
+        new = np.ones(len(ords), bool)
+        new[1:] = (ords[1:] != ords[:-1]) | (salts[1:] != salts[:-1])
+        more = new.copy()
+        more[1:] |= (at[1:] != at[:-1]) | (flags[1:] != flags[:-1])
+        ords, salts, at, flags, new = ords[more], salts[more], at[more], flags[more], new[more]
+        cuts = np.flatnonzero(new).tolist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ords[new]), pa.array(salts[new]),
+             pa.array([at[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True)], pa.binary()),
+             pa.array([flags[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True)], pa.binary())],
+            ["_ord", "_salt", "at", "flags"])
+
+    return reduced(packed, run, "_ord long, _salt long, at binary, flags binary")
+
+
+def with_answers(rows: DataFrame, found: DataFrame, only: bool, bits: int = 1 << 23) -> DataFrame:
+    """``keyed`` rows with their answers (``only``: the rows that have some).
+    Texts without an answer are not moved: a bitmap of fixed size over the
+    answered ids holds them back."""
+    flagged = with_member_flag(rows, "_ord", member_pages(found, "_ord", bits), "_maybe", bits)
+    moved = flagged.filter("_maybe").drop("_maybe").join(found, ["_ord", "_salt"], "inner" if only else "left")
+    if only:
+        return moved
+    still = (flagged.filter("NOT _maybe").drop("_maybe")
+             .withColumn("at", F.lit(None).cast("binary")).withColumn("flags", F.lit(None).cast("binary")))
+    return moved.unionByName(still)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact, mixing, pieces, quality, token_counts, topk
+from strata.llm import chat, exact, mixing, pieces, quality, substring, token_counts, topk
 from strata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,29 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read(spark, sf_dir, "documents"), keep="largest")
 
 
+# --- 4 substring dedup ------------------------------------------------------
+
+@query(r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+windows AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM docs WHERE len(w) >= 13)),
+firsts AS (SELECT win, min(doc_id) AS first FROM windows GROUP BY win),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS i
+  FROM windows JOIN firsts USING (win) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs),
+left_over AS (SELECT words.* FROM words ANTI JOIN covered ON words.doc_id = covered.doc_id AND words.i = covered.i),
+texts AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM left_over GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM docs d LEFT JOIN texts ON d.doc_id = texts.doc_id""")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes the words of 13-word windows that an earlier document has."""
+    return substring.deduplicated(read(spark, sf_dir, "documents")).drop("spans")
+
+
 # --- 5 quality classifier ---------------------------------------------------
 
 @query()
