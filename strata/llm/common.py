@@ -250,14 +250,14 @@ def parts_of(spark: SparkSession) -> int:
 
 def reduced(packed: DataFrame, reduce, schema: str) -> DataFrame:
     """Brings the rows of each part together and reduces them:
-    ``reduce(blocks)`` gets the part's blocks by kind and yields record batches."""
+    ``reduce(part, blocks)`` gets the part's blocks by kind and yields record batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict[int, list[bytes]]] = {}
         for batch in batches:
             for part, kind, data in zip(*[batch.column(c).to_pylist() for c in ("part", "kind", "data")], strict=True):
                 held.setdefault(part, {}).setdefault(kind, []).append(data)
         for part in sorted(held):
-            yield from reduce(held.pop(part))
+            yield from reduce(part, held.pop(part))
 
     return packed.repartition(partitions(packed.sparkSession), "part").mapInArrow(run, schema)
 
@@ -292,7 +292,7 @@ def answers(parts: int, ords: np.ndarray, salts: np.ndarray, at: np.ndarray, fla
 def by_document(packed: DataFrame) -> DataFrame:
     """_ord, _salt, at (binary int32, ascending, distinct), flags (binary int8)
     from the rows of ``answers``: one row per document."""
-    def run(blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+    def run(part: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
         ords, salts, at, flags = unpacked([b for bs in blocks.values() for b in bs], ANSWER)
         order = np.lexsort((flags, at, salts, ords))
         ords, salts, at, flags = ords[order], salts[order], at[order], flags[order]
@@ -319,6 +319,40 @@ def with_answers(rows: DataFrame, found: DataFrame, only: bool, bits: int = 1 <<
     moved = flagged.filter("_maybe").drop("_maybe").join(found, ["_ord", "_salt"], "inner" if only else "left")
     if only:
         return moved
-    still = (flagged.filter("NOT _maybe").drop("_maybe")
-             .withColumn("at", F.lit(None).cast("binary")).withColumn("flags", F.lit(None).cast("binary")))
+    still = flagged.filter("NOT _maybe").drop("_maybe").select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema.fields if f.name not in ("_ord", "_salt")])
     return moved.unionByName(still)
+
+
+def passed_on(part: int, blocks: list[bytes], kind: int = 0) -> Iterator[pa.RecordBatch]:
+    """Blocks that were dealt by document already, as they are."""
+    for data in blocks:
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([kind], pa.int32()),
+                                          pa.array([data], pa.binary())], ["part", "kind", "data"])
+
+
+class Held:
+    """Entries of a map task, handed to ``send`` when many or at the end."""
+
+    def __init__(self, send, limit: int = 3_000_000):
+        self.send, self.limit, self.rows, self.size = send, limit, [], 0
+
+    def add(self, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.rows.append(arrays)
+        self.size += len(arrays[0])
+        if self.size >= self.limit:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            arrays = [np.concatenate(a) for a in zip(*self.rows, strict=True)]
+            self.rows, self.size = [], 0
+            yield from self.send(*arrays)
+
+
+def runs(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs [start, stop) covered by windows of ``length`` at ``at`` (ascending)."""
+    if not len(at):
+        return at, at
+    gap = np.flatnonzero(at[1:] > at[:-1] + length)
+    return at[np.append(0, gap + 1)], at[np.append(gap, len(at) - 1)] + length

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact, mixing, pieces, quality, substring, token_counts, topk
+from strata.llm import chat, exact, mixing, pieces, quality, substring, suffix, token_counts, topk
 from strata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +165,35 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(read(spark, sf_dir, "documents"))
 
 
+# --- 8 suffix-array dedup ---------------------------------------------------
+
+@query("""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS row, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+windows AS (
+  SELECT row, p, md5(substr(h, 2 * p + 1, 400)) AS win
+  FROM (SELECT row, h, unnest(range(0, n - 199)) AS p FROM docs WHERE n >= 200)),
+again AS (SELECT row, p FROM windows JOIN (SELECT win FROM windows GROUP BY win HAVING count(*) > 1) USING (win)),
+marked AS (
+  SELECT row, p, CASE WHEN p > lag(p) OVER (PARTITION BY row ORDER BY p) + 200 THEN 1
+                      WHEN lag(p) OVER (PARTITION BY row ORDER BY p) IS NULL THEN 1 ELSE 0 END AS new FROM again),
+spans AS (
+  SELECT row, min(p) AS a, max(p) + 200 AS b
+  FROM (SELECT row, p, sum(new) OVER (PARTITION BY row ORDER BY p) AS s FROM marked) GROUP BY row, s),
+pieces AS (
+  SELECT row, a, b, lag(b, 1, 0) OVER (PARTITION BY row ORDER BY a) AS since FROM spans),
+parts AS (
+  SELECT d.row, count(*) AS spans, sum(b - a) AS removed, max(b) AS upto,
+         string_agg(substr(h, CAST(2 * since + 1 AS BIGINT), CAST(2 * (a - since) AS BIGINT)), '' ORDER BY a) AS before
+  FROM docs d JOIN pieces p ON d.row = p.row GROUP BY d.row)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN p.row IS NULL THEN h ELSE concat(before, substr(h, CAST(2 * upto + 1 AS BIGINT))) END)) AS kept_sha256
+FROM docs d LEFT JOIN parts p ON d.row = p.row""")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes the bytes of 200-byte strings that start anywhere else too."""
+    return suffix.deduplicated(read(spark, sf_dir, "documents")).drop("spans")
+
+
 # --- 9 token counts ---------------------------------------------------------
 
 @query()

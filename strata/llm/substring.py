@@ -34,13 +34,16 @@ from pyspark.sql import DataFrame
 
 from strata.llm.common import (
     PACKED,
+    Held,
     answers,
     by_document,
     gram_hashes,
     keyed,
     packed_rows,
     parts_of,
+    passed_on,
     reduced,
+    runs,
     slices,
     text_bytes,
     unpacked,
@@ -50,7 +53,6 @@ from strata.llm.common import (
 )
 
 ENTRY = [np.uint64, np.int64, np.int64, np.int32]  # hash, id, salt, position
-FLUSH = 3_000_000  # entries that a task holds before it sends them
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, min_words: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,25 +81,6 @@ def _groups(hashes: np.ndarray, ords: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, np.cumsum(new) - 1, ords[order][new]
 
 
-class _Held:
-    """Entries of a task, sent when many or at the end."""
-
-    def __init__(self, send):
-        self.send, self.rows, self.size = send, [], 0
-
-    def add(self, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.rows.append(arrays)
-        self.size += len(arrays[0])
-        if self.size >= FLUSH:
-            yield from self.flush()
-
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.size:
-            arrays = [np.concatenate(a) for a in zip(*self.rows, strict=True)]
-            self.rows, self.size = [], 0
-            yield from self.send(*arrays)
-
-
 def _seeds(parts: int, min_words: int, k: int):
     """Map side of the anchor join."""
     def send(h: np.ndarray, ords: np.ndarray, salts: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -114,7 +97,7 @@ def _seeds(parts: int, min_words: int, k: int):
         yield from packed_rows(parts, h[sent], [h[sent], ords[sent], salts[sent], np.where(known, -1, at)[sent].astype(np.int32)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(send)
+        held = Held(send)
         for batch in slices(batches, "text"):
             raw, ends = text_bytes(batch["text"])
             starts, stops, first = words_of(raw, ends)
@@ -133,10 +116,8 @@ def _seeds(parts: int, min_words: int, k: int):
 
 def _shared_seeds(parts: int):
     """Reduce side: anchors of two or more documents, back to these."""
-    def run(blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        for data in blocks.get(1, []):
-            yield pa.RecordBatch.from_arrays([pa.array([_part_of(data, parts)], pa.int32()), pa.array([0], pa.int32()),
-                                              pa.array([data], pa.binary())], ["part", "kind", "data"])
+    def run(part: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        yield from passed_on(part, blocks.get(1, []))
         h, ords, salts, at = unpacked(blocks.get(0, []), ENTRY)
         order, group, least = _groups(h, ords)
         ords, salts, at = ords[order], salts[order], at[order]
@@ -147,13 +128,6 @@ def _shared_seeds(parts: int):
     return run
 
 
-def _part_of(data: bytes, parts: int) -> int:
-    """The document part of a block of answers (all its entries have the same)."""
-    from strata.llm.common import ANSWER, mixed, unpack
-    ords = unpack(data, ANSWER)[0][:1]
-    return int((mixed(ords.view(np.uint64))[0] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32))
-
-
 def _extensions(parts: int, min_words: int, k: int):
     """Map side of the comparison of windows at shared anchors."""
     def send(h: np.ndarray, ords: np.ndarray, salts: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -164,7 +138,7 @@ def _extensions(parts: int, min_words: int, k: int):
         yield from packed_rows(parts, h[~later], [h[~later], ords[~later], salts[~later], at[~later]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(send)
+        held = Held(send)
         for batch in slices(batches, "text"):
             raw, ends = text_bytes(batch["text"])
             starts, stops, first = words_of(raw, ends)
@@ -185,10 +159,8 @@ def _extensions(parts: int, min_words: int, k: int):
 
 def _later_windows(parts: int):
     """Reduce side: windows that a document with a smaller id has too."""
-    def run(blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        for data in blocks.get(1, []):
-            yield pa.RecordBatch.from_arrays([pa.array([_part_of(data, parts)], pa.int32()), pa.array([0], pa.int32()),
-                                              pa.array([data], pa.binary())], ["part", "kind", "data"])
+    def run(part: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        yield from passed_on(part, blocks.get(1, []))
         h, ords, salts, at = unpacked(blocks.get(0, []), ENTRY)
         order, group, least = _groups(h, ords)
         ords, salts, at = ords[order], salts[order], at[order]
@@ -210,14 +182,6 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     return with_answers(rows, by_document(later), only=False)
 
 
-def runs(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs [start, stop) covered by windows of ``length`` at ``at`` (ascending)."""
-    if not len(at):
-        return at, at
-    gap = np.flatnonzero(at[1:] > at[:-1] + length)
-    return at[np.append(0, gap + 1)], at[np.append(gap, len(at) - 1)] + length
-
-
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 13, k: int = 5,
                  with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one
