@@ -194,7 +194,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 #: A packed row: ``part`` is dealt out, ``kind`` is the caller's, ``data`` holds arrays.
 PACKED = "part int, kind int, data binary"
-PARTS_PER_PARTITION = 4
+PART_BYTES = 2 << 20
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -244,8 +244,13 @@ def packed_rows(parts: int, deal: np.ndarray, arrays: list[np.ndarray], kind: in
              pa.array([pack(*[x[a:b] for x in arrays]) for a, b in some], pa.binary())], ["part", "kind", "data"])
 
 
-def parts_of(spark: SparkSession) -> int:
-    return partitions(spark) * PARTS_PER_PARTITION
+def parts_of(docs: DataFrame) -> int:
+    """How many parts the entries of ``docs`` are dealt to: one for each 2 MB of
+    (estimated) input up to 4096 parts, then as many as keep them under 64 MB.
+    It follows the data, not the cluster, so parts fit in memory and blocks do
+    not get smaller when there are more tasks.  Results do not depend on it."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return min(1 << 16, max(16, min(size // PART_BYTES, 4096), size // (32 * PART_BYTES)))
 
 
 def reduced(packed: DataFrame, reduce, schema: str) -> DataFrame:

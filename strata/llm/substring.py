@@ -175,7 +175,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     if not 0 < k <= min_words:
         raise ValueError("k: from 1 to min_words")
     rows = keyed(docs, id_col, text_col)
-    parts = parts_of(docs.sparkSession)
+    parts = parts_of(docs)
     seeds = reduced(rows.mapInArrow(_seeds(parts, min_words, k), PACKED), _shared_seeds(parts), PACKED)
     seeded = with_answers(rows, by_document(seeds), only=True)
     later = reduced(seeded.mapInArrow(_extensions(parts, min_words, k), PACKED), _later_windows(parts), PACKED)

@@ -407,7 +407,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     if not 8 <= k <= length < 30_000:
         raise ValueError("k: from 8 to length")
     rows = keyed(docs, id_col, text_col)
-    parts = parts_of(docs.sparkSession)
+    parts = parts_of(docs)
     shared = reduced(rows.mapInArrow(_phrases(parts, length, k), PACKED), _with_parts(_shared_phrases, parts), PACKED)
     strings = reduced(shared, _strings, "_ord long, _salt long, at array<int>, gap array<int>, name array<long>, lefts array<long>")
     strings = stored(strings.withColumn("sid", F.monotonically_increasing_id()), "phrase-strings")
