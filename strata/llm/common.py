@@ -249,7 +249,7 @@ def parts_of(docs: DataFrame) -> int:
     (estimated) input up to 4096 parts, then as many as keep them under 64 MB.
     It follows the data, not the cluster, so parts fit in memory and blocks do
     not get smaller when there are more tasks.  Results do not depend on it."""
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return min(1 << 16, max(16, min(size // PART_BYTES, 4096), size // (32 * PART_BYTES)))
 
 
