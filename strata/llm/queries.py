@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact, mixing, pieces, quality, substring, suffix, token_counts, topk
+from strata.llm import chat, exact, jaccard, mixing, pieces, quality, substring, suffix, token_counts, topk
 from strata.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +157,34 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+# --- 6 n-gram Jaccard join --------------------------------------------------
+
+@query(r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS p FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+texts AS (SELECT doc_id, md5(string_agg(s, chr(10) ORDER BY s)) AS t FROM shingles GROUP BY doc_id),
+classes AS (SELECT t, min(doc_id) AS rep FROM texts GROUP BY t),
+own AS (SELECT doc_id, s FROM shingles WHERE doc_id IN (SELECT rep FROM classes)),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM own a JOIN own b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY x, y),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 85 * (p.n + q.n - k)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT rep, rep FROM classes UNION SELECT r.x, b.y FROM reach r JOIN ways b ON r.y = b.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
+FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN texts t ON t.doc_id = d.doc_id
+LEFT JOIN classes c ON c.t = t.t LEFT JOIN least l ON l.x = c.rep""")
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies of all documents: 4-word shingles, Jaccard 0.85 or more."""
+    return jaccard.linked(read(spark, sf_dir, "documents")).drop("class_id")
+
+
 # --- 7 SentencePiece encoding and decoding ----------------------------------
 
 @query()
