@@ -361,3 +361,22 @@ def runs(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         return at, at
     gap = np.flatnonzero(at[1:] > at[:-1] + length)
     return at[np.append(0, gap + 1)], at[np.append(gap, len(at) - 1)] + length
+
+
+# --- rows by key ------------------------------------------------------------
+
+KEY = "__row_key"
+
+
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with a hash of id and text, the same in every scan."""
+    return docs.withColumn(KEY, F.xxhash64(F.col(id_col), F.col(text_col)))
+
+
+def without_keys(docs: DataFrame, keys: DataFrame, bits: int = 1 << 23) -> DataFrame:
+    """``docs`` (with ``KEY``) without the rows whose key is among ``keys``.  Rows
+    whose key is surely not are not moved."""
+    pages = member_pages(keys, KEY, bits)
+    flagged = with_member_flag(docs, KEY, pages, "__maybe", bits)
+    left = flagged.filter("__maybe").join(keys.select(KEY).distinct(), KEY, "left_anti")
+    return left.select(*docs.columns).unionByName(flagged.filter("NOT __maybe").select(*docs.columns))

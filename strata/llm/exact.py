@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import LOWER, UPPER, member_pages, stored, with_member_flag
+from strata.llm.common import KEY, LOWER, UPPER, member_pages, stored, with_key, with_member_flag, without_keys
 
 
 def normalised(text: Column | str) -> Column:
@@ -36,16 +36,18 @@ def content_hash(norm: Column) -> Column:
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  keep: str = "smallest", hash_of=content_hash, bits: int = 1 << 23) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256
+    (and ``KEY``, the hash of id and text).
 
     ``keep``: whether the row with the ``smallest`` or the ``largest`` id of
     equal texts stays.  ``hash_of`` makes the group hash from the normalised
     text (tests pass weak ones)."""
     if keep not in ("smallest", "largest"):
         raise ValueError("keep: smallest or largest")
-    norm = docs.select(F.col(id_col).alias("doc_id"), normalised(text_col).alias("_norm"))
+    norm = docs.select(F.col(id_col).alias("doc_id"), normalised(text_col).alias("_norm"),
+                       F.xxhash64(id_col, text_col).alias(KEY))
     norm = norm.withColumn("_h", hash_of(F.col("_norm")))
-    prints = stored(norm.select("doc_id", "_h", F.sha2("_norm", 256).alias("text_sha256"),
+    prints = stored(norm.select("doc_id", "_h", KEY, F.sha2("_norm", 256).alias("text_sha256"),
                                 F.monotonically_increasing_id().alias("_row")), "exact-prints")
     repeated = prints.groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1").select("_h")
     pages = member_pages(repeated, "_h", bits)
@@ -64,8 +66,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 .withColumn("_class", F.when(F.col("_text").isNull(), F.col("_h"))
                             .otherwise(F.concat("_h", F.unhex("text_sha256"), "_text"))))
     pick = F.max if keep == "largest" else F.min
-    groups = rows.groupBy("_class").agg(F.count("*").alias("group_size"),
-                                        pick(F.struct("doc_id", "_row")).alias("_keep"))
+    # stored, so that both sides of the join are plain shuffles, which Spark splits where a class is hot
+    groups = stored(rows.groupBy("_class").agg(F.count("*").alias("group_size"),
+                                               pick(F.struct("doc_id", "_row")).alias("_keep")), "exact-groups")
     return (rows.join(groups, "_class")
             .select("doc_id", F.col("_keep.doc_id").alias("keep_id"), "group_size",
-                    (F.col("_row") == F.col("_keep._row")).alias("kept"), "text_sha256"))
+                    (F.col("_row") == F.col("_keep._row")).alias("kept"), "text_sha256", KEY))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    found = exact_groups(docs, id_col, text_col, keep)
+    per = stored(found.groupBy(KEY).agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "exact-decisions")
+    rows = with_key(docs, id_col, text_col)
+    left = without_keys(rows, per.filter("NOT kept OR n > 1"))
+    # rows that are equal in id and text, one of which stays
+    again = per.filter("kept AND n > 1")
+    one = (with_member_flag(rows, KEY, member_pages(again, KEY), "__maybe").filter("__maybe").select(*rows.columns)
+           .join(again.select(KEY), KEY, "left_semi").dropDuplicates([KEY]))
+    return left.unionByName(one.select(*rows.columns)).drop(KEY)

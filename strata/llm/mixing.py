@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.ordered import running_sum
-from strata.llm.common import WORD, stored
+from strata.llm.common import KEY, WORD, stored, with_key
 
 BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 16
@@ -108,10 +108,12 @@ def apportion(votes: DataFrame, keys: list[str], order: list[str], out: str = "s
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         targets=source_targets, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
         seed: int = 7) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken."""
+    """One row per document: doc_id, source, size, source_size, target, taken
+    (and ``KEY``, the hash of id and text)."""
     sizes = stored(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
+        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(id_col, text_col).alias(KEY)), "mix-sizes")
     per = targets(sizes)
     # null sources join as a number: the sources' order
     per = running_sum(per.withColumn("_null", F.col("source").isNull().cast("int")),
@@ -137,4 +139,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rest = F.col("_blocks") - rounds * F.col("_ring")
     part = F.greatest(F.lit(0), F.least("_end", rest) - (F.col("_end") - F.col("size")))
     return rows.select("doc_id", "source", "size", "source_size", "target",
-                       (rounds * F.col("size") + part).cast("long").alias("taken"))
+                       (rounds * F.col("size") + part).cast("long").alias("taken"), KEY)
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: each as many times as its
+    taken words make up its size, rounded (0, 1 or 2 times; rows equal in id
+    and text share their mean)."""
+    taken = (mix(docs, id_col, text_col, source_col, **options).filter("size > 0")
+             .groupBy(KEY).agg((F.floor(F.sum("taken") / F.sum("size") + 0.5)).cast("int").alias("__times"))
+             .filter("__times > 0"))
+    rows = with_key(docs, id_col, text_col).join(taken, KEY)
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)

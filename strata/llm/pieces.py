@@ -173,8 +173,10 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def encoded(docs: DataFrame, text_col: str = "text", path: str | None = None, out: str = "token_ids") -> DataFrame:
-    """``docs`` with ``out`` array<int>: the ids of the whole text."""
+def encoded(docs: DataFrame, text_col: str = "text", path: str | None = None, out: str = "token_ids",
+            check: str | None = None) -> DataFrame:
+    """``docs`` with ``out`` array<int>: the ids of the whole text, and on request
+    ``check`` boolean: decoding gave the text back."""
     where = path
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,12 +185,16 @@ def encoded(docs: DataFrame, text_col: str = "text", path: str | None = None, ou
             ids = [e.encode(t.as_py() or "") for t in batch.column(text_col)]
             ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(ids), np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), values)],
-                                             [*batch.schema.names, out])
-
-    kept = docs.drop(out)
+            columns = [*batch.columns, pa.ListArray.from_arrays(pa.array(ends), values)]
+            if check:
+                columns.append(pa.array([e.decode(np.frombuffer(x, np.int32)) == (t.as_py() or "")
+                                         for x, t in zip(ids, batch.column(text_col), strict=True)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *added])
+
+    added = [out, *[check] * bool(check)]
+    kept = docs.drop(*added)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(encode, f"{fields}, `{out}` array<int>")
+    return kept.mapInArrow(encode, f"{fields}, `{out}` array<int>" + f", `{check}` boolean" * bool(check))
 
 
 def decoded(rows: DataFrame, ids_col: str = "token_ids", path: str | None = None, out: str = "decoded") -> DataFrame:

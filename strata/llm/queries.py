@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import chat, exact, jaccard, mixing, pieces, quality, substring, suffix, token_counts, topk
-from strata.llm.common import read
+from strata.llm.common import KEY, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,7 +110,7 @@ SELECT doc_id, source, size, source_size, target,
 FROM placed""")
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixing of all documents: sources weigh 5, 2, 1, share 150 % of all words."""
-    return mixing.mix(read(spark, sf_dir, "documents"))
+    return mixing.mix(read(spark, sf_dir, "documents")).drop(KEY)
 
 
 # --- 3 exact dedup ----------------------------------------------------------
@@ -123,7 +123,7 @@ SELECT doc_id, keep_id, n AS group_size, doc_id = keep_id AS kept, sha256(t) AS
 FROM norm JOIN groups USING (t)""")
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents; of equal texts the largest id stays."""
-    return exact.exact_groups(read(spark, sf_dir, "documents"), keep="largest")
+    return exact.exact_groups(read(spark, sf_dir, "documents"), keep="largest").drop(KEY)
 
 
 # --- 4 substring dedup ------------------------------------------------------
@@ -182,7 +182,7 @@ FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN texts t ON t.doc_
 LEFT JOIN classes c ON c.t = t.t LEFT JOIN least l ON l.x = c.rep""")
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies of all documents: 4-word shingles, Jaccard 0.85 or more."""
-    return jaccard.linked(read(spark, sf_dir, "documents")).drop("class_id")
+    return jaccard.linked(read(spark, sf_dir, "documents")).drop("class_id", KEY)
 
 
 # --- 7 SentencePiece encoding and decoding ----------------------------------
