@@ -22,6 +22,7 @@ COMMITTED = "committed"
 NOTHING_TO_COMMIT = "nothing_to_commit"
 HEAD_MOVED = "head_moved"
 RETRY_NEXT_BATCH = "retry_next_batch"
+METARANGE_NOT_FOUND = "metarange_not_found"
 MERGED = "merged"
 NOTHING_TO_MERGE = "nothing_to_merge"
 CONFLICT = "conflict"
@@ -41,7 +42,7 @@ PICKED = "picked"
 NOTHING_TO_PICK = "nothing_to_pick"
 
 SUCCESS = frozenset({CREATED, OVERWRITTEN, IGNORED, DELETED, FETCHED, COMMITTED, MERGED,
-                     UPDATED, STORED, COPIED, CHANGED, UNCHANGED, REVERTED, PICKED})
+                     UPDATED, STORED, COPIED, CHANGED, REVERTED, PICKED})
 
 
 def ok_col(outcome: Column | str = "outcome") -> Column:
@@ -59,10 +60,24 @@ def first_match(*cases: tuple[Column, str], default: str) -> Column:
 
 def route(df: DataFrame, outcome: str = "outcome") -> tuple[DataFrame, DataFrame]:
     """Split outcomes into (success, failure) DataFrames; failures are kept."""
-    ok = ok_col(outcome)
+    ok = F.coalesce(ok_col(outcome), F.lit(False))   # a null outcome is a failure
     return df.where(ok), df.where(~ok)
 
 
+def route_each(write_ok, write_failed, outcome: str = "outcome"):
+    """``foreachBatch`` function for streams: each micro-batch is computed once
+    and its two routes go to the two writers (called with rows and batch id)."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            ok, failed = route(batch, outcome)
+            write_ok(ok, batch_id)
+            write_failed(failed, batch_id)
+        finally:
+            batch.unpersist()
+    return run
+
+
 def route_counts(df: DataFrame, outcome: str = "outcome") -> DataFrame:
     """Outcome histogram (the relation sizes of the success/failure routes)."""
     return (df.groupBy(F.col(outcome).alias("outcome"))

@@ -15,10 +15,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed name patterns (branch/repository/ref names).
-BRANCH_NAME = r"^[A-Za-z0-9][A-Za-z0-9_.\-]*$"
-REPOSITORY_NAME = r"^[a-z0-9][a-z0-9_\-]{2,62}$"
-
 
 @dataclass(frozen=True)
 class Param:
@@ -35,12 +31,13 @@ def _blank_to_null(c: Column) -> Column:
 def bind(requests: DataFrame, params: list[Param]) -> DataFrame:
     """Add/overwrite one typed column per parameter: column → attribute → default.
 
-    A value that does not parse as the parameter type is kept in
-    ``_raw_<name>`` so ``validate`` can report it instead of silently
-    defaulting.  All columns are added in two projections (one analysis each)."""
+    A given value that does not parse as the parameter type is noted in
+    ``_bad_type`` before any default applies, so ``validate`` reports it
+    instead of silently defaulting.  All columns are added in two projections
+    (one analysis each)."""
     cols = set(requests.columns)
     has_attrs = "attributes" in cols
-    raws, typed = {}, {}
+    raws, typed, bad = {}, {}, F.lit(None).cast("string")
     for p in params:
         sources = []
         if p.name in cols:
@@ -49,11 +46,13 @@ def bind(requests: DataFrame, params: list[Param]) -> DataFrame:
             sources.append(_blank_to_null(F.element_at(F.col("attributes"), F.lit(p.attribute or p.name))))
         raws[f"_raw_{p.name}"] = F.coalesce(*sources) if sources else F.lit(None).cast("string")
         t = F.col(f"_raw_{p.name}")
-        t = t.try_cast(p.dtype) if p.dtype != "string" else t
+        if p.dtype != "string":
+            bad = F.coalesce(bad, F.when(t.isNotNull() & t.try_cast(p.dtype).isNull(), F.lit(f"bad_type:{p.name}")))
+            t = t.try_cast(p.dtype)
         if p.default is not None:
             t = F.coalesce(t, F.lit(p.default).cast(p.dtype))
         typed[p.name] = t
-    return requests.withColumns(raws).withColumns(typed)
+    return requests.withColumns(raws).withColumns(typed | {"_bad_type": bad})
 
 
 def rule_required(name: str) -> tuple[Column, str]:
@@ -61,16 +60,6 @@ def rule_required(name: str) -> tuple[Column, str]:
     return (c.isNull() | (F.trim(c.cast("string")) == "")), f"empty:{name}"
 
 
-def rule_pattern(name: str, pattern: str) -> tuple[Column, str]:
-    c = F.col(name)
-    return (c.isNotNull() & ~c.rlike(pattern)), f"bad_name:{name}"
-
-
-def rule_parses(name: str) -> tuple[Column, str]:
-    """The raw text was given but did not parse as the parameter type."""
-    return (F.col(f"_raw_{name}").isNotNull() & F.col(name).isNull()), f"bad_type:{name}"
-
-
 def rule_positive(name: str) -> tuple[Column, str]:
     c = F.col(name)
     return (c.isNotNull() & (c <= 0)), f"not_positive:{name}"
@@ -82,12 +71,13 @@ def rule_allowed(name: str, values: list[str]) -> tuple[Column, str]:
 
 
 def validate(df: DataFrame, rules: list[tuple[Column, str]], out: str = "error_code") -> DataFrame:
-    """``error_code`` = code of the first failing rule (null when valid)."""
-    expr = F.lit(None).cast("string")
+    """``error_code`` = code of the first failing rule, else of a value that
+    ``bind`` could not parse (null when valid)."""
+    expr = F.col("_bad_type") if "_bad_type" in df.columns else F.lit(None).cast("string")
     for cond, code in reversed(rules):
         expr = F.when(cond, F.lit(code)).otherwise(expr)
     res = df.withColumn(out, expr)
-    return res.drop(*[c for c in res.columns if c.startswith("_raw_")])
+    return res.drop("_bad_type", *[c for c in res.columns if c.startswith("_raw_")])
 
 
 def self_requests(spark: SparkSession, **values: Any) -> DataFrame:

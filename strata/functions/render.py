@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed output format of rendered timestamps (second precision, numeric zone).
-DATE_PATTERN = "yyyy-MM-dd'T'HH:mm:ss"
+# Fixed zone of rendered timestamps (second precision, numeric zone).
 ZONE_SUFFIX = "+0000"
 
 
@@ -14,7 +13,29 @@ def render_ts(c: Column | str) -> Column:
     """State timestamps are naive UTC: render them as ``2023-11-14T22:13:20+0000``.
     Null stays null (open pull requests have no closed date)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isNotNull(), F.concat(F.date_format(c, DATE_PATTERN), F.lit(ZONE_SUFFIX)))
+    # by fields, not date_format: that reads a naive time in the session zone and shifts it in a DST gap
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    text = F.concat(F.lpad(F.year(c).cast("string"), 4, "0"), F.lit("-"), two(F.month(c)), F.lit("-"), two(F.day(c)),
+                    F.lit("T"), two(F.hour(c)), F.lit(":"), two(F.minute(c)), F.lit(":"), two(F.second(c)))
+    return F.when(c.isNotNull(), F.concat(text, F.lit(ZONE_SUFFIX)))
+
+
+def with_attributes(df: DataFrame, *names: str, prefix: str = "") -> DataFrame:
+    """``df`` with the columns ``names`` written into its ``attributes`` map as
+    text (later ones win; nulls are left out)."""
+    new = F.map_filter(F.map_from_arrays(F.array(*[F.lit(prefix + n) for n in names]),
+                                         F.array(*[F.col(n).cast("string") for n in names])),
+                       lambda k, v: v.isNotNull())
+    if "attributes" not in df.columns:
+        return df.withColumn("attributes", new)
+    old = F.map_filter(F.coalesce("attributes", F.create_map().cast("map<string,string>")), lambda k, v: ~F.map_contains_key(new, k))
+    return df.withColumn("attributes", F.map_concat(old, new))
+
+
+def kept_metadata(c: Column | str) -> Column:
+    """A metadata map without empty and null values; null is the empty map."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.map_filter(F.coalesce(c, F.create_map().cast("map<string,string>")), lambda k, v: v.isNotNull() & (v != ""))
 
 
 def render_list(c: Column | str) -> Column:

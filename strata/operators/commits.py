@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import hashing as H
-from strata.functions.joins import MAX_BROADCAST_KEYS, small_side
+from strata.functions.joins import small_side
 from strata.functions import outcomes as O
-from strata.functions.params import (BRANCH_NAME, Param, bind, rule_pattern,
-                                     rule_required, validate)
-from strata.functions.render import (render_list, render_map, render_ts,
-                                     sorted_metadata_text)
+from strata.functions.params import Param, bind, rule_positive, rule_required, validate
+from strata.functions.render import kept_metadata, render_list, render_map, render_ts, sorted_metadata_text
 from strata.operators import listing as L
 
 CKEY = ["repository", "commit_id"]
@@ -55,111 +53,104 @@ def fetch_commits(requests: DataFrame, commits: DataFrame, parents: DataFrame) -
              .drop("_a_repository", "_a_commit_id"))
 
 
-def hop_edges(parents: DataFrame, hops: int = 2) -> DataFrame:
-    """Edges child → ancestor reachable in 1..``hops`` parent steps (deduped).
-
-    Walking these instead of single parent edges cuts the number of
-    breadth-first rounds by ``hops``; each commit has few parents, so the
-    table stays a small multiple of ``parents``.  Checkpointed once."""
-    e1 = parents.select("repository", F.col("commit_id").alias("child"),
-                        F.col("parent_id").alias("ancestor")).distinct()
-    edges = e1
-    for _ in range(hops - 1):
-        nxt = (edges.alias("x").join(e1.alias("y"), (F.col("x.repository") == F.col("y.repository"))
-                                     & (F.col("x.ancestor") == F.col("y.child")))
-               .select(F.col("x.repository").alias("repository"), F.col("x.child").alias("child"),
-                       F.col("y.ancestor").alias("ancestor")))
-        edges = edges.unionByName(nxt).distinct()
-    return edges.checkpoint(eager=True)
+def key_history(parents: DataFrame, keep: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The history of the repositories of ``keep`` (repository, commit_id) with
+    its linear stretches contracted: (edges, owners).
+
+    A commit with one child and one parent that is not in ``keep`` is a chain
+    commit; all others are key commits.  ``edges`` (repository, child, ancestor)
+    lead from each key commit to the next key commits below it; ``owners``
+    (repository, commit_id, owner) name the key commit above each chain commit.
+    Owners are found by pointer doubling, so a linear history of n commits takes
+    log2(n) rounds."""
+    repos = keep.select("repository").distinct()
+    e = (parents.select("repository", F.col("commit_id").alias("child"), F.col("parent_id").alias("parent")).distinct()
+         .join(repos, "repository", "left_semi").checkpoint(eager=True))
+    ups = e.groupBy("repository", F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("_ups"))
+    downs = (e.groupBy("repository", F.col("parent").alias("node"))
+             .agg(F.count(F.lit(1)).alias("_downs"), F.min("child").alias("ptr")))
+    chain = (downs.where("_downs = 1").join(ups.where("_ups = 1"), ["repository", "node"])
+             .join(keep.select("repository", F.col("commit_id").alias("node")).distinct(), ["repository", "node"], "left_anti")
+             .select("repository", "node", "ptr"))
+    members = chain.checkpoint(eager=True)
+    owners = members
+    while True:
+        up = owners.select("repository", F.col("node").alias("ptr"), F.col("ptr").alias("_next"))
+        step = owners.join(up, ["repository", "ptr"], "left")
+        owners = step.select("repository", "node", F.coalesce("_next", "ptr").alias("ptr")).checkpoint(eager=True)
+        if owners.join(members.select("repository", F.col("node").alias("ptr")), ["repository", "ptr"], "left_semi").isEmpty():
+            break
+    owned = owners.select("repository", F.col("node").alias("child"), F.col("ptr").alias("_owner"))
+    edges = (e.join(members.select("repository", F.col("node").alias("parent")), ["repository", "parent"], "left_anti")
+             .join(owned, ["repository", "child"], "left")
+             .select("repository", F.coalesce("_owner", "child").alias("child"), F.col("parent").alias("ancestor"))
+             .distinct().checkpoint(eager=True))
+    return edges, owners.select("repository", F.col("node").alias("commit_id"), F.col("ptr").alias("owner"))
 
 
-def ancestors(seeds: DataFrame, parents: DataFrame, max_steps: int = 100_000,
-              hops: int = 2) -> DataFrame:
+def ancestors(seeds: DataFrame, parents: DataFrame) -> DataFrame:
     """Ancestor closure (seed included) of distinct (repository, seed) commits.
 
-    Breadth-first by iterative join on ``hop_edges``: each round keeps only
-    commits not seen before for that seed (anti join), so merge commits never
-    multiply paths.  Each frontier is written with a reliable ``checkpoint()``;
-    visited = union of checkpointed frontiers, so the plan stays shallow and a
-    lost executor recomputes at most one round."""
-    edges = hop_edges(parents, hops).select(
-        F.col("repository").alias("_e_repo"), F.col("child").alias("_e_child"),
-        F.col("ancestor").alias("_e_parent"))
-    frontier = (seeds.select("repository", "seed").distinct()
-                .withColumn("commit_id", F.col("seed")).checkpoint(eager=True))
-    visited = [frontier]
-    frontier_small = frontier.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
-    for _ in range(max_steps):
-        seen = visited[0]
-        for v in visited[1:]:
-            seen = seen.unionByName(v)
-        # the frontier is small: broadcast it (size-checked) so the edge table is never re-shuffled
-        front = F.broadcast(frontier) if frontier_small else frontier
-        step = (front.join(edges, (front["repository"] == edges["_e_repo"])
-                           & (front["commit_id"] == edges["_e_child"]))
-                .select("repository", "seed", F.col("_e_parent").alias("commit_id"))
-                .distinct()
-                .join(seen, ["repository", "seed", "commit_id"], "left_anti"))
-        frontier = step.checkpoint(eager=True)
-        n = frontier.limit(MAX_BROADCAST_KEYS + 1).count()
-        if n == 0:
-            break
-        frontier_small = n <= MAX_BROADCAST_KEYS
-        visited.append(frontier)
-    out = visited[0]
-    for v in visited[1:]:
-        out = out.unionByName(v)
-    return out
-
-
-def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame,
-               max_rounds: int = 1_000_000) -> DataFrame:
+    Breadth-first over the contracted history (``key_history``): each round
+    keeps only commits not seen before for that seed (anti join), so merge
+    commits never multiply paths; the loop ends when no commit is new.  Chain
+    commits then follow from their owners in one join.  Frontiers are reliable
+    checkpoints, so the plan stays shallow."""
+    start = seeds.select("repository", "seed").distinct().withColumn("commit_id", F.col("seed"))
+    edges, owners = key_history(parents, start.select("repository", "commit_id"))
+    edges = edges.select(F.col("repository").alias("_e_repo"), F.col("child").alias("_e_child"), F.col("ancestor").alias("_e_parent"))
+    frontier = start.checkpoint(eager=True)
+    seen = frontier
+    while not frontier.isEmpty():
+        step = (frontier.join(edges, (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_e_child")))
+                .select("repository", "seed", F.col("_e_parent").alias("commit_id")).distinct())
+        frontier = step.join(seen, ["repository", "seed", "commit_id"], "left_anti").checkpoint(eager=True)
+        seen = seen.unionByName(frontier).checkpoint(eager=True)
+    own = owners.select("repository", F.col("owner").alias("commit_id"), F.col("commit_id").alias("_member"))
+    inner = seen.join(own, ["repository", "commit_id"]).select("repository", "seed", F.col("_member").alias("commit_id"))
+    return seen.unionByName(inner)
+
+
+def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame) -> DataFrame:
     """Best common ancestor of distinct (repository, a, b): the common
     ancestor of largest generation, ties to the smallest id; null if none.
 
-    Generation-ordered walk: per pair, the frontier holds commits with a side
-    mask (1 = reached from a, 2 = from b).  Each round pops the frontier's
-    highest generation; every child of a popped commit has a higher
-    generation, so its mask is complete.  The first popped level with a
-    mask-3 commit holds the answer, and the pair leaves the walk.  Rounds
-    follow the distance from the heads to their base (not the history
-    depth) and rows the frontier width (not the ancestor closure).  Each
-    frontier is a reliable checkpoint."""
+    Generation-ordered walk over the contracted history (``key_history``; a
+    chain commit is never the best common ancestor, because its only child is
+    common too): per pair, the frontier holds commits with a side mask (1 =
+    reached from a, 2 = from b).  Each round pops the frontier's highest
+    generation; every child of a popped commit has a higher generation, so its
+    mask is complete.  The first popped level with a mask-3 commit holds the
+    answer, and the pair leaves the walk; the walk ends when no commit is
+    left.  Each frontier is a reliable checkpoint."""
     p = pairs.select("repository", "a", "b").distinct()
+    pair = ["repository", "a", "b"]
+    ends = p.select("repository", F.col("a").alias("commit_id")).unionByName(p.select("repository", F.col("b").alias("commit_id")))
     gen = commits.select("repository", "commit_id", "generation")
-    edges = (parents.select("repository", F.col("commit_id").alias("_child"), F.col("parent_id").alias("commit_id"))
-             .join(gen, CKEY)
-             .select(F.col("repository").alias("_e_repo"), "_child", F.col("commit_id").alias("_parent"),
+    links, _ = key_history(parents, ends)
+    edges = (links.withColumnRenamed("ancestor", "commit_id").join(gen, CKEY)
+             .select(F.col("repository").alias("_e_repo"), F.col("child").alias("_child"), F.col("commit_id").alias("_parent"),
                      F.col("generation").alias("_pgen"))
              .checkpoint(eager=True))
-    pair = ["repository", "a", "b"]
     start = (p.select(*pair, F.col("a").alias("commit_id"), F.lit(1).alias("mask"))
              .unionByName(p.select(*pair, F.col("b").alias("commit_id"), F.lit(2).alias("mask"))))
     frontier = (start.groupBy(*pair, "commit_id").agg(F.bit_or("mask").alias("mask"))
-                .join(gen, CKEY).checkpoint(eager=True))
-    found = []
-    for _ in range(max_rounds):
-        n = frontier.limit(MAX_BROADCAST_KEYS + 1).count()   # reads the checkpoint
-        if n == 0:
-            break
-        small = n <= MAX_BROADCAST_KEYS
+                .join(gen, CKEY).select(*pair, "commit_id", "mask", "generation").checkpoint(eager=True))
+    best = frontier.select(*pair, F.col("commit_id").alias("base_id"), F.col("generation").alias("base_generation")).limit(0)
+    while not frontier.isEmpty():
         # a pair's frontier is small (its width), so a window per pair is cheap
         f = frontier.withColumn("_top", F.max("generation").over(Window.partitionBy(*pair)))
         popped = f.where(F.col("generation") == F.col("_top"))
         hit = (popped.where(F.col("mask") == 3).groupBy(*pair)
-               .agg(F.min("commit_id").alias("base_id"), F.max("generation").alias("base_generation")))
-        found.append(hit)
-        # the popped level is a subset of the checked frontier: same size bound
-        expand = F.broadcast(popped) if small else popped
-        grow = (expand.join(edges, (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_child")))
+               .agg(F.min("commit_id").alias("base_id"), F.max("generation").alias("base_generation"))
+               .checkpoint(eager=True))
+        best = best.unionByName(hit)
+        grow = (popped.join(edges, (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_child")))
                 .select(*pair, F.col("_parent").alias("commit_id"), "mask", F.col("_pgen").alias("generation")))
         rest = f.where(F.col("generation") < F.col("_top")).select(*pair, "commit_id", "mask", "generation")
         frontier = (rest.unionByName(grow).join(hit.select(*pair), pair, "left_anti")
                     .groupBy(*pair, "commit_id", "generation").agg(F.bit_or("mask").alias("mask"))
-                    .checkpoint(eager=True))
-    best = found[0]
-    for h in found[1:]:
-        best = best.unionByName(h)
+                    .select(*pair, "commit_id", "mask", "generation").checkpoint(eager=True))
     return p.join(best.checkpoint(eager=True), pair, "left")
 
 
@@ -189,17 +180,19 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
                     listings: DataFrame | None = None) -> DataFrame:
     """Commit each branch's staged changes.
 
-    Precedence: invalid → branch_not_found → head_moved → retry_next_batch
-    (only the first eligible request per branch commits in a batch, since the
-    next commit id depends on this one) → nothing_to_commit → committed.
-    Changes are computed for staged paths only (left join with the base
-    listing); the new listing id is the base id plus the lane delta."""
+    Precedence: invalid → branch_not_found → metarange_not_found →
+    head_moved → nothing_to_commit → retry_next_batch (only the first request
+    per branch that has something to commit does so in a batch, since the next
+    commit id depends on this one) → committed.  Changes are computed for
+    staged paths only (left join with the base listing), once per branch and
+    base; the new listing id is the base id plus the lane delta.  Empty
+    metadata values are dropped."""
     cols = requests.columns
     req = requests if "metadata" in cols else requests.withColumn(
         "metadata", F.create_map().cast("map<string,string>"))
     r = validate(bind(req, COMMIT_PARAMS),
-                 [rule_required("repository"), rule_required("branch"),
-                  rule_pattern("branch", BRANCH_NAME)])
+                 [rule_required("repository"), rule_required("branch"), rule_positive("date")])
+    r = r.withColumn("metadata", kept_metadata("metadata"))
     heads = refs.select("repository", "branch", F.col("commit_id").alias("head"))
     r = r.join(heads, ["repository", "branch"], "left")
     r = L.head_range(r, commits, "head", out="head_range", generation_out="head_generation")
@@ -207,13 +200,16 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
     r = r.checkpoint(eager=True)   # small request side, reused by every branch below
     valid = F.col("error_code").isNull()
     moved = (F.col("expected_head").isNotNull() & (F.col("expected_head") != F.col("head")) & ~F.col("force"))
-    eligible = valid & F.col("head").isNotNull() & ~moved
-    first = (r.where(eligible).groupBy("repository", "branch").agg(F.min("seq").alias("_first")))
-    r = r.join(first, ["repository", "branch"], "left")
-    is_first = eligible & (F.col("seq") == F.col("_first"))
-    # staged changes of first requests only: one evaluation per branch;
-    # the (few) first requests are the small side of every join below
-    firsts = small_side(r.where(is_first).select("repository", "branch", "base_range"))
+    named = r.where(F.col("source_metarange").isNotNull()).select(
+        "repository", F.col("source_metarange").alias("meta_range_id")).distinct()
+    known = ((listings if listings is not None else entries).select("repository", "meta_range_id")
+             .join(named, ["repository", "meta_range_id"], "left_semi").distinct()
+             .select("repository", F.col("meta_range_id").alias("source_metarange"), F.lit(True).alias("_known")))
+    r = r.join(known, ["repository", "source_metarange"], "left")
+    unknown = F.col("source_metarange").isNotNull() & F.col("_known").isNull()
+    eligible = valid & F.col("head").isNotNull() & ~unknown & ~moved
+    # one evaluation per branch and base; these few keys are the small side of every join below
+    firsts = small_side(r.where(eligible).select("repository", "branch", "base_range").distinct())
     # probe the base listing only at staged paths (fine key: listing, path)
     last = last_staged_for(staging, firsts).join(firsts, ["repository", "branch"])
     # semi join on the (few) base listings first: a broadcast on the partition
@@ -224,14 +220,14 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
                      F.col("checksum").alias("old_checksum")))
     ch = L.changes_at(last, probe, ["repository", "base_range", "path"])
     d = L.change_lanes(F.col("path"), F.col("old_checksum"), F.col("new_checksum"))
-    delta = ch.groupBy("repository", "branch").agg(
+    delta = ch.groupBy("repository", "branch", "base_range").agg(
         F.count(F.lit(1)).cast("long").alias("n_changes"),
         *[F.sum(x).alias(f"_d{i}") for i, x in enumerate(d)])
     stats = L.stats_for(entries, firsts.select("repository", F.col("base_range").alias("meta_range_id")),
                         listings)
     stats = stats.select("repository", F.col("meta_range_id").alias("base_range"),
                          F.col("n_entries").alias("_bn"), F.col("lane0").alias("_b0"), F.col("lane1").alias("_b1"))
-    r = (r.join(delta, ["repository", "branch"], "left")
+    r = (r.join(delta, ["repository", "branch", "base_range"], "left")
           .join(stats, ["repository", "base_range"], "left"))
     zero = F.lit(0).cast(H.DEC)
     new_range = H.listing_id(F.coalesce("_b0", zero) + F.coalesce("_d0", zero),
@@ -239,12 +235,16 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
                              F.coalesce("_bn", F.lit(0)) + F.coalesce("_d2", F.lit(0)))
     n_changes = F.coalesce(F.col("n_changes"), F.lit(0)).cast("long")
     differing = F.col("source_metarange").isNotNull() & ~F.col("source_metarange").eqNullSafe(F.col("head_range"))
+    nothing = (n_changes == 0) & ~F.col("allow_empty") & ~differing
+    candidates = r.where(eligible & ~nothing).groupBy("repository", "branch").agg(F.min("seq").alias("_first"))
+    r = r.join(candidates, ["repository", "branch"], "left")
     outcome = O.first_match(
         (~valid, O.INVALID),
         (F.col("head").isNull(), O.BRANCH_NOT_FOUND),
+        (unknown, O.METARANGE_NOT_FOUND),
         (moved, O.HEAD_MOVED),
-        (~is_first, O.RETRY_NEXT_BATCH),
-        ((n_changes == 0) & ~F.col("allow_empty") & ~differing, O.NOTHING_TO_COMMIT),
+        (nothing, O.NOTHING_TO_COMMIT),
+        (F.col("seq") != F.col("_first"), O.RETRY_NEXT_BATCH),
         default=O.COMMITTED)
     seconds = F.coalesce(F.col("date"), batch_seconds if batch_seconds is not None
                          else epoch_seconds(F.current_timestamp().cast("timestamp_ntz")))
@@ -257,7 +257,7 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
           .withColumn("commit_id", F.when(done, H.commit_id(
               F.col("repository"), F.col("head"), new_range, F.col("committer"), F.col("message"),
               seconds, sorted_metadata_text("metadata")))))
-    return r.drop("_first", "_bn", "_b0", "_b1", "_d0", "_d1", "_d2")
+    return r.drop("_first", "_known", "_bn", "_b0", "_b1", "_d0", "_d1", "_d2")
 
 
 def last_staged_for(staging: DataFrame, branches: DataFrame) -> DataFrame:

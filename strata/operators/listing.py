@@ -77,7 +77,8 @@ def branch_view(branches: DataFrame, refs: DataFrame, commits: DataFrame, entrie
     committed = listing_rows(heads, entries).select(
         "repository", "branch", "path", "checksum", "size_bytes", "physical_address",
         F.lit("committed").alias("origin"))
-    staged = last_staged(staging).join(small_side(branches.select("repository", "branch").distinct()),
+    # only branches that exist: a deleted branch shows nothing, staged or not
+    staged = last_staged(staging).join(small_side(heads.select("repository", "branch").distinct()),
                                        ["repository", "branch"], "left_semi")
     kept = committed.join(staged.select("repository", "branch", "path"),
                           ["repository", "branch", "path"], "left_anti")
@@ -148,12 +149,19 @@ def listing_stats(entries: DataFrame, ranges: DataFrame | None = None) -> DataFr
 
 
 def stats_for(entries: DataFrame, ranges: DataFrame, listings: DataFrame | None = None) -> DataFrame:
-    """Stats of the listings in ``ranges``: from a stored ``listings`` table
-    when given (a small keyed lookup), else aggregated from ``entries``."""
+    """Stats of the listings in ``ranges``: from the stored ``listings`` table
+    where it has them, else aggregated from ``entries`` (a listing that was
+    stored without its row in ``listings`` is never taken for an empty one)."""
     if listings is None:
         return listing_stats(entries, ranges)
-    keys = small_side(ranges.select("repository", "meta_range_id").distinct())
-    return listings.join(keys, ["repository", "meta_range_id"], "left_semi")
+    key = ["repository", "meta_range_id"]
+    wanted = ranges.select(*key).distinct()
+    cols = [*key, "n_entries", "total_bytes", "lane0", "lane1"]
+    known = listings.join(small_side(wanted), key, "left_semi").select(*cols)
+    missing = wanted.join(listings.select(*key), key, "left_anti").checkpoint(eager=True)
+    if missing.isEmpty():
+        return known
+    return known.unionByName(listing_stats(entries, missing).select(*cols))
 
 
 def listing_identity(stats: DataFrame) -> DataFrame:
@@ -200,215 +208,82 @@ def three_way(sides: DataFrame, group: Sequence[str]) -> DataFrame:
     return g.withColumn("class", classify(F.col("ck_base"), F.col("ck_source"), F.col("ck_dest")))
 
 
-def triple_sides(triples: DataFrame, entries: DataFrame) -> DataFrame:
-    """Tagged listing rows for distinct (repository, base_range, source_range, dest_range)."""
-    t = triples.select("repository", "base_range", "source_range", "dest_range").distinct()
-    parts = []
-    for side, col in (("base", "base_range"), ("source", "source_range"), ("dest", "dest_range")):
-        parts.append(listing_rows(t, entries, col).select(
-            "repository", "base_range", "source_range", "dest_range",
-            F.lit(side).alias("side"), "path", "checksum"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
 TRIPLE = ["repository", "base_range", "source_range", "dest_range"]
 
 
-def bucket_of(path: Column, bits: int) -> Column:
-    """Path bucket: the top ``bits`` bits of md5(path) (uniform, order-free)."""
-    if bits <= 0:
-        return F.lit(0)
-    hexes = (bits + 3) // 4
-    v = F.conv(F.substring(F.md5(path), 1, hexes), 16, 10).cast("long")
-    return F.shiftright(v, hexes * 4 - bits).cast("int")
-
-
-def bucket_index(entries: DataFrame, ranges: DataFrame, bits: int) -> DataFrame:
-    """Per (repository, meta_range_id, bucket): count and lane sums — a
-    range-level summary of a listing (like the inner nodes of a metarange
-    tree).  One partial+final aggregate; ranges is a size-checked key side."""
-    e = entries.join(small_side(ranges.select("repository", "meta_range_id").distinct()),
-                     ["repository", "meta_range_id"], "left_semi")
-    ls = H.lanes(F.col("path"), F.col("checksum"))
-    return (e.withColumn("bucket", bucket_of(F.col("path"), bits))
-             .groupBy("repository", "meta_range_id", "bucket")
-             .agg(F.count(F.lit(1)).cast("long").alias("n"),
-                  *[H.mod_lane(F.sum(x)).alias(f"h{i}") for i, x in enumerate(ls)]))
-
-
-# Fixed resolution of stored bucket indexes (coarsened exactly at merge time).
-STORED_BUCKET_BITS = 16
-
-
-def listing_buckets(entries: DataFrame) -> DataFrame:
-    """Stored range-level summary of every listing at ``STORED_BUCKET_BITS``
-    (written once per listing, like ``listings``)."""
-    ls = H.lanes(F.col("path"), F.col("checksum"))
-    return (entries.withColumn("bucket", bucket_of(F.col("path"), STORED_BUCKET_BITS))
-                   .groupBy("repository", "meta_range_id", "bucket")
-                   .agg(F.count(F.lit(1)).cast("long").alias("n"),
-                        *[H.mod_lane(F.sum(x)).alias(f"h{i}") for i, x in enumerate(ls)]))
-
-
-def coarsen_buckets(stored: DataFrame, ranges: DataFrame, bits: int) -> DataFrame:
-    """Bucket index at ``bits`` (≤ stored bits) from the stored fine index:
-    lane sums are additive, so coarsening is exact."""
-    shift = STORED_BUCKET_BITS - bits
-    idx = stored.join(small_side(ranges.select("repository", "meta_range_id").distinct()),
-                      ["repository", "meta_range_id"], "left_semi")
-    return (idx.withColumn("bucket", F.shiftright("bucket", shift).cast("int"))
-               .groupBy("repository", "meta_range_id", "bucket")
-               .agg(F.sum("n").cast("long").alias("n"),
-                    *[H.mod_lane(F.sum(f"h{i}")).alias(f"h{i}") for i in range(len(H.LANE_SLICES))]))
-
-
-def _bucket_bits_for(mx: int, target: int = 64, max_bits: int = 20) -> int:
-    """Bucket resolution: about ``target`` entries per bucket in the largest
-    listing (``mx`` entries)."""
-    bits = 0
-    while bits < max_bits and (mx >> (bits + 1)) >= target:
-        bits += 1
-    return bits
-
-
-# Fixed threshold: listings at least this large use bucket skipping in "auto" mode.
-AUTO_SKIP_MIN_ENTRIES = 1 << 20
-
-
-def triple_rows(t: DataFrame, entries: DataFrame, ranges: DataFrame, with_entries: bool = False) -> DataFrame:
-    """Per (triple, path): base / source / dest checksums (and with
-    ``with_entries`` the whole entry structs ``e_base/e_source/e_dest``).
-
-    Entries of the involved listings are shuffled once by (repository,
-    path) into a map listing → entry (at most one per listing), then each
-    path is expanded over its repository's triples map-side (the triples
-    are a size-checked broadcast).  Many triples share few listings, so this
-    moves each entry once instead of once per triple."""
-    ent = entries.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
-    value = F.struct("checksum", "size_bytes",
-                     F.coalesce(F.col("physical_address"), F.col("checksum")).alias("physical_address")) \
-        if with_entries else F.col("checksum")
-    per_path = (ent.groupBy("repository", "path")
-                   .agg(F.map_from_entries(F.collect_list(F.struct("meta_range_id", value.alias("v"))))
-                        .alias("_cks")))
-    cols = [*TRIPLE, "path"]
-    for side, col in (("base", "base_range"), ("source", "source_range"), ("dest", "dest_range")):
-        v = F.col("_cks")[F.col(col)]
-        if with_entries:
-            cols += [v.alias(f"e_{side}"), v["checksum"].alias(f"ck_{side}")]
-        else:
-            cols.append(v.alias(f"ck_{side}"))
-    rows = per_path.join(small_side(t), "repository").select(*cols)
-    return rows.where(F.col("ck_base").isNotNull() | F.col("ck_source").isNotNull() | F.col("ck_dest").isNotNull())
-
-
-def merged_listing(done: DataFrame, entries: DataFrame) -> DataFrame:
+def _renamed(diffs: DataFrame, side: str) -> DataFrame:
+    """Path changes base → ``side`` under the triple's column names."""
+    return diffs.select("repository", F.col("range_a").alias("base_range"), F.col("range_b").alias(f"{side}_range"),
+                        "path", F.col("ck_a").alias(f"_b_{side}"), F.col("ck_b").alias(f"ck_{side}"),
+                        F.lit(True).alias(f"_in_{side}"))
+
+
+def triple_changes(t: DataFrame, entries: DataFrame) -> DataFrame:
+    """Per (triple, path) that differs between base and source or base and
+    dest: base / source / dest checksums (null = absent).
+
+    Each distinct pair of listings (base, source), (base, dest) is compared
+    once; a triple then joins its two small change sets.  Work is paths ×
+    distinct pairs + changes × triples, never paths × triples, and no listing
+    gathers in one row."""
+    pairs = (t.select("repository", F.col("base_range").alias("range_a"), F.col("source_range").alias("range_b"))
+             .unionByName(t.select("repository", F.col("base_range").alias("range_a"),
+                                   F.col("dest_range").alias("range_b")))
+             .where(F.col("range_a") != F.col("range_b")).distinct())
+    diffs = diff_ranges(pairs, entries).drop("change").checkpoint(eager=True)
+    src = t.join(_renamed(diffs, "source"), ["repository", "base_range", "source_range"])
+    dst = t.join(_renamed(diffs, "dest"), ["repository", "base_range", "dest_range"])
+    both = src.join(dst, [*TRIPLE, "path"], "full_outer")
+    base = F.coalesce("_b_source", "_b_dest")
+    return both.select(*TRIPLE, "path", base.alias("ck_base"),
+                       F.when(F.col("_in_source"), F.col("ck_source")).otherwise(base).alias("ck_source"),
+                       F.when(F.col("_in_dest"), F.col("ck_dest")).otherwise(base).alias("ck_dest"))
+
+
+def merged_listing(done: DataFrame, entries: DataFrame, listings: DataFrame | None = None) -> DataFrame:
     """Entries of merged listings: ``done`` has the triple columns, ``force``
-    and the announced ``meta_range_id``.  Per path the source entry wins for
-    take_source (and forced conflicts), else the dest entry; absent = no row.
-    Listing ids already stored are not written again."""
-    d = done.select(*TRIPLE, "force", F.col("meta_range_id").alias("new_range")).distinct()
-    t = d.select(*TRIPLE).distinct()
-    ranges = (t.select("repository", F.col("base_range").alias("meta_range_id"))
-              .unionByName(t.select("repository", F.col("source_range").alias("meta_range_id")))
-              .unionByName(t.select("repository", F.col("dest_range").alias("meta_range_id"))).distinct())
-    rows = triple_rows(t, entries, ranges, with_entries=True).join(small_side(d), TRIPLE)
+    and the announced ``meta_range_id``.  A merged listing is the dest listing
+    with the source's entry (or none) at the paths taken from the source.
+    Listing ids that are stored already are left out before any path is read."""
+    key = ["repository", "meta_range_id"]
+    stored = (listings if listings is not None else entries).select(*key).distinct()
+    d = (done.select(*TRIPLE, "force", "meta_range_id").dropDuplicates(key)
+         .join(stored, key, "left_anti").checkpoint(eager=True))
+    changes = triple_changes(d.select(*TRIPLE).distinct(), entries).join(d, TRIPLE)
     cls = classify(F.col("ck_base"), F.col("ck_source"), F.col("ck_dest"))
-    take = (cls == TAKE_SOURCE) | ((cls == CONFLICT) & F.col("force"))
-    chosen = F.when(take, F.col("e_source")).otherwise(F.col("e_dest"))
-    out = (rows.select("repository", F.col("new_range").alias("meta_range_id"), "path", chosen.alias("_e"))
-               .where(F.col("_e").isNotNull())
-               .select("repository", "meta_range_id", "path", "_e.physical_address", "_e.checksum",
-                       "_e.size_bytes")
-               .dropDuplicates(["repository", "meta_range_id", "path"]))
-    stored = entries.select("repository", "meta_range_id").distinct()
-    return out.join(stored, ["repository", "meta_range_id"], "left_anti")
-
-
-def three_way_summary(triples: DataFrame, entries: DataFrame, skip_identical: bool | str = "auto",
-                      listings: DataFrame | None = None, buckets=None) -> DataFrame:
+    taken = (changes.where((cls == TAKE_SOURCE) | ((cls == CONFLICT) & F.col("force")))
+             .select(*key, "path", "source_range", "ck_source").checkpoint(eager=True))
+    cols = [*key, "path", "physical_address", "checksum", "size_bytes"]
+    kept = (listing_rows(d.select(*key, "dest_range"), entries, "dest_range")
+            .join(taken.select(*key, "path"), [*key, "path"], "left_anti").select(*cols))
+    src = entries.select("repository", F.col("meta_range_id").alias("source_range"), "path", "checksum", "size_bytes",
+                         F.coalesce(F.col("physical_address"), F.col("checksum")).alias("physical_address"))
+    put = (taken.where(F.col("ck_source").isNotNull()).join(src, ["repository", "source_range", "path"]).select(*cols))
+    return kept.unionByName(put)
+
+
+def three_way_summary(triples: DataFrame, entries: DataFrame, listings: DataFrame | None = None) -> DataFrame:
     """Per distinct triple: class counts and the lane delta that turns the
-    dest listing into the merged one (take_source always, conflicts when forced).
-
-    With bucket skipping, buckets whose summaries agree in base, source and
-    dest are counted as unchanged without reading their paths; only the other
-    buckets are classified path by path.  Work then follows the size of the
-    change, not of the listings.  ``"auto"`` (default; session setting
-    ``spark.strata.threeWay.bucketSkip`` overrides) skips only when the largest
-    listing involved has at least ``AUTO_SKIP_MIN_ENTRIES`` entries: below
-    that, reading the paths costs less than building the bucket summaries."""
-    if skip_identical == "auto":
-        skip_identical = triples.sparkSession.conf.get("spark.strata.threeWay.bucketSkip", "auto")
+    dest listing into the merged one (take_source always, conflicts when
+    forced).  Only changed paths are classified; the unchanged ones are the
+    base listing's entries without them."""
     t = triples.select(*TRIPLE).distinct().checkpoint(eager=True)
-    ranges = (t.select("repository", F.col("base_range").alias("meta_range_id"))
-              .unionByName(t.select("repository", F.col("source_range").alias("meta_range_id")))
-              .unionByName(t.select("repository", F.col("dest_range").alias("meta_range_id")))
-              .distinct().checkpoint(eager=True))
-
-    def classified(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("class", classify(F.col("ck_base"), F.col("ck_source"), F.col("ck_dest")))
-
-    if skip_identical in (False, "false"):
-        return _summarize(classified(triple_rows(t, entries, ranges)), None)
-    if listings is not None:   # stored per-listing counts: a keyed lookup, no scan of entries
-        sizes = (listings.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
-                 .select(F.col("n_entries").alias("count")))
-    else:
-        sizes = (entries.join(small_side(ranges), ["repository", "meta_range_id"], "left_semi")
-                 .groupBy("repository", "meta_range_id").count())
-    mx = sizes.agg(F.max("count").alias("m")).first().m or 0
-    if skip_identical == "auto" and mx < AUTO_SKIP_MIN_ENTRIES:
-        return _summarize(classified(triple_rows(t, entries, ranges)), None)
-    bits = _bucket_bits_for(mx)
-    if buckets is not None and bits <= STORED_BUCKET_BITS:
-        # stored index (a DataFrame, or a callable that yields it): no scan of entries
-        idx = coarsen_buckets(buckets() if callable(buckets) else buckets, ranges, bits)
-    else:
-        idx = bucket_index(entries, ranges, bits)
-    sides = []
-    for side, col in (("b", "base_range"), ("s", "source_range"), ("d", "dest_range")):
-        i = idx.select("repository", F.col("meta_range_id").alias(col), "bucket",
-                       F.struct("n", "h0", "h1").alias("sum"))
-        sides.append(small_side(t).join(i, ["repository", col])
-                     .select(*TRIPLE, "bucket", F.lit(side).alias("side"), "sum"))
-    per_bucket = (sides[0].unionByName(sides[1]).unionByName(sides[2])
-                  .groupBy(*TRIPLE, "bucket")
-                  .agg(*[F.max(F.when(F.col("side") == sd, F.col("sum"))).alias(f"sum_{sd}") for sd in "bsd"]))
-    same = (F.col("sum_b").eqNullSafe(F.col("sum_s")) & F.col("sum_s").eqNullSafe(F.col("sum_d")))
-    per_bucket = per_bucket.withColumn("_same", same).checkpoint(eager=True)
-    skipped = (per_bucket.where(F.col("_same")).groupBy(*TRIPLE)
-               .agg(F.sum(F.col("sum_b.n")).cast("long").alias("_skipped")))
-    changed = per_bucket.where(~F.col("_same")).select(*TRIPLE, "bucket").checkpoint(eager=True)
-    # keep only entries in buckets some triple must read, before any shuffle
-    needed = (changed.select("repository", F.col("base_range").alias("meta_range_id"), "bucket")
-              .unionByName(changed.select("repository", F.col("source_range").alias("meta_range_id"), "bucket"))
-              .unionByName(changed.select("repository", F.col("dest_range").alias("meta_range_id"), "bucket"))
-              .distinct())
-    ent = (entries.withColumn("bucket", bucket_of(F.col("path"), bits))
-                  .join(small_side(needed), ["repository", "meta_range_id", "bucket"], "left_semi")
-                  .drop("bucket"))
-    rows = (triple_rows(t, ent, ranges).withColumn("bucket", bucket_of(F.col("path"), bits))
-            .join(small_side(changed), [*TRIPLE, "bucket"], "left_semi"))
-    return _summarize(classified(rows), skipped, t)
-
-
-def _summarize(tw: DataFrame, skipped: DataFrame | None, triples: DataFrame | None = None) -> DataFrame:
+    rows = triple_changes(t, entries)
+    rows = rows.withColumn("class", classify(F.col("ck_base"), F.col("ck_source"), F.col("ck_dest")))
     d = change_lanes(F.col("path"), F.col("ck_dest"), F.col("ck_source"))
-    aggs = [F.count(F.when(F.col("class") == c, 1)).cast("long").alias(f"n_{c}") for c in CLASSES]
+    aggs = [F.count(F.when(F.col("class") == c, 1)).cast("long").alias(f"n_{c}") for c in CLASSES[1:]]
+    aggs.append(F.count("ck_base").cast("long").alias("_base_changed"))
+    zeros = {}
     for tag, cls in (("ts", TAKE_SOURCE), ("cf", CONFLICT)):
         for i, expr in enumerate(d):
             zero = F.lit(0).cast(H.DEC) if i < len(H.LANE_SLICES) else F.lit(0).cast("long")
+            zeros[f"{tag}_d{i}"] = zero
             aggs.append(F.sum(F.when(F.col("class") == cls, expr).otherwise(zero)).alias(f"{tag}_d{i}"))
-    out = tw.groupBy(*TRIPLE).agg(*aggs)
-    if skipped is None:
-        return out
-    # triples whose buckets were all identical have no path rows at all
-    out = triples.join(out, TRIPLE, "left").join(skipped, TRIPLE, "left")
-    for c in CLASSES:
-        out = out.withColumn(f"n_{c}", F.coalesce(F.col(f"n_{c}"), F.lit(0)).cast("long"))
-    for tag in ("ts", "cf"):
-        for i in range(len(H.LANE_SLICES) + 1):
-            zero = F.lit(0).cast(H.DEC) if i < len(H.LANE_SLICES) else F.lit(0).cast("long")
-            out = out.withColumn(f"{tag}_d{i}", F.coalesce(F.col(f"{tag}_d{i}"), zero))
-    return (out.withColumn("n_unchanged", (F.col("n_unchanged") + F.coalesce("_skipped", F.lit(0))).cast("long"))
-               .drop("_skipped"))
+    stats = (stats_for(entries, t.select("repository", F.col("base_range").alias("meta_range_id")), listings)
+             .select("repository", F.col("meta_range_id").alias("base_range"), F.col("n_entries").alias("_n_base")))
+    out = (t.join(rows.groupBy(*TRIPLE).agg(*aggs), TRIPLE, "left")
+           .join(stats, ["repository", "base_range"], "left"))
+    zeros |= {f"n_{c}": F.lit(0).cast("long") for c in CLASSES[1:]} | {c: F.lit(0).cast("long") for c in ("_base_changed", "_n_base")}
+    out = out.withColumns({c: F.coalesce(F.col(c), z) for c, z in zeros.items()})
+    return (out.withColumn(f"n_{UNCHANGED}", (F.col("_n_base") - F.col("_base_changed")).cast("long"))
+               .drop("_n_base", "_base_changed"))

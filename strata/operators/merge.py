@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from strata.functions import hashing as H
 from strata.functions import outcomes as O
-from strata.functions.params import (BRANCH_NAME, Param, bind, rule_pattern,
-                                     rule_required, validate)
-from strata.functions.render import sorted_metadata_text
+from strata.functions.params import Param, bind, rule_positive, rule_required, validate
+from strata.functions.render import kept_metadata, sorted_metadata_text
 from strata.operators import commits as C
 from strata.operators import listing as L
 from strata.operators.refs import resolve_refs
@@ -32,11 +31,11 @@ def _first_per_key(df: DataFrame, cond: Column, key: list[str], out: str) -> Dat
 
 
 def _with_summary(r: DataFrame, entries: DataFrame, ok_rows: Column,
-                  listings: DataFrame | None = None, buckets=None) -> DataFrame:
+                  listings: DataFrame | None = None) -> DataFrame:
     """Attach per-triple class counts and lane deltas (zero for other rows)."""
     r = r.withColumn("base_range", F.coalesce(F.col("base_range"), F.lit(NO_RANGE)))
     triples = r.where(ok_rows).select(*L.TRIPLE).distinct()
-    summary = L.three_way_summary(triples, entries, listings=listings, buckets=buckets)
+    summary = L.three_way_summary(triples, entries, listings=listings)
     r = r.join(summary, L.TRIPLE, "left")
     for c in L.CLASSES:
         r = r.withColumn(f"n_{c}", F.coalesce(F.col(f"n_{c}"), F.lit(0)).cast("long"))
@@ -72,7 +71,7 @@ MERGE_PARAMS = [
 
 def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents: DataFrame,
                entries: DataFrame, batch_seconds: Column | None = None,
-               listings: DataFrame | None = None, buckets=None) -> DataFrame:
+               listings: DataFrame | None = None) -> DataFrame:
     """Merge ``source_ref`` (branch or commit) into ``destination_branch``.
 
     Precedence: invalid → ref_not_found → nothing_to_merge → conflict (not
@@ -82,7 +81,8 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
         "metadata", F.create_map().cast("map<string,string>"))
     r = validate(bind(req, MERGE_PARAMS),
                  [rule_required("repository"), rule_required("source_ref"),
-                  rule_required("destination_branch"), rule_pattern("destination_branch", BRANCH_NAME)])
+                  rule_required("destination_branch"), rule_positive("date")])
+    r = r.withColumn("metadata", kept_metadata("metadata"))
     r = resolve_refs(r, refs, commits, ref="source_ref", out="source_commit", kind="source_kind")
     dest = refs.select("repository", F.col("branch").alias("destination_branch"),
                        F.col("commit_id").alias("dest_commit"))
@@ -97,7 +97,7 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
     r = L.head_range(r, commits, "source_commit", out="source_range", generation_out="source_generation")
     r = L.head_range(r, commits, "dest_commit", out="dest_range", generation_out="dest_generation")
     r = L.head_range(r, commits, "base_id", out="base_range").checkpoint(eager=True)
-    r = _with_summary(r, entries, found, listings, buckets)
+    r = _with_summary(r, entries, found, listings)
     moving = F.col("n_take_source") + F.col("n_conflict")
     blocked = (F.col("n_conflict") > 0) & ~F.col("force")
     candidate = found & ((moving > 0) | F.col("allow_empty")) & ~blocked
@@ -153,8 +153,7 @@ PICK_PARAMS = [Param("repository"), Param("branch"), Param("commit_ref"), Param(
 def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents: DataFrame,
                          entries: DataFrame, revert: bool, listings: DataFrame | None = None) -> DataFrame:
     r = validate(bind(requests, PICK_PARAMS),
-                 [rule_required("repository"), rule_required("branch"), rule_required("commit_ref"),
-                  rule_pattern("branch", BRANCH_NAME)])
+                 [rule_required("repository"), rule_required("branch"), rule_required("commit_ref"), rule_positive("date")])
     r = resolve_refs(r, refs, commits, ref="commit_ref", out="target_commit", kind="target_kind")
     r = r.join(refs.select("repository", "branch", F.col("commit_id").alias("dest_commit")),
                ["repository", "branch"], "left")

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
 from strata.functions.joins import small_side
-from strata.functions.params import (BRANCH_NAME, Param, bind, rule_pattern,
-                                     rule_required, validate)
+from strata.functions.ordered import row_number_within
+from strata.functions.params import Param, bind, rule_required, validate
 from strata.operators import listing as L
 from strata.operators.refs import resolve_refs
 
@@ -117,7 +117,6 @@ def put_objects(requests: DataFrame, refs, commits, entries, staging) -> DataFra
     by ``seq`` stays visible."""
     r = validate(bind(requests, PUT_PARAMS),
                  [rule_required("repository"), rule_required("branch"), rule_required("path"),
-                  rule_pattern("branch", BRANCH_NAME),
                   (F.col("content").isNull(), "empty:content")])
     r = r.withColumn("ref", F.col("branch"))
     looked = lookup_paths(r.select("seq", "repository", "ref", "path"), refs, commits, entries, staging)
@@ -153,8 +152,7 @@ def put_deltas(outcomes: DataFrame, contents: DataFrame | None = None) -> dict[s
 
 def _mutation_requests(requests: DataFrame, extra: list[Param]) -> DataFrame:
     r = validate(bind(requests, [Param("repository"), Param("branch"), Param("path")] + extra),
-                 [rule_required("repository"), rule_required("branch"), rule_required("path"),
-                  rule_pattern("branch", BRANCH_NAME)])
+                 [rule_required("repository"), rule_required("branch"), rule_required("path")])
     return r.withColumn("ref", F.col("branch"))
 
 
@@ -215,9 +213,11 @@ def reset_branch(staging: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def list_objects(view: DataFrame, prefix: str = "", delimiter: str | None = "/",
-                 after: str = "") -> DataFrame:
-    """Entries under ``prefix`` (path > ``after``); with a delimiter, deeper
-    paths collapse into common prefixes ``kind = 'prefix'`` with counts."""
+                 after: str = "", amount: int | None = None) -> DataFrame:
+    """Entries under ``prefix``; with a delimiter, deeper paths collapse into
+    common prefixes ``kind = 'prefix'`` with counts.  ``after`` is the last entry
+    of the page before (entries up to it are left out whole, so paging
+    advances); ``amount`` limits the entries per listing, in order."""
     v = view.where(F.col("path").startswith(prefix) & (F.col("path") > after))
     rest = F.substring(F.col("path"), len(prefix) + 1, 1 << 30)
     if delimiter:
@@ -228,14 +228,19 @@ def list_objects(view: DataFrame, prefix: str = "", delimiter: str | None = "/",
     else:
         entry, kind = F.col("path"), F.lit("object")
     keys = [c for c in ("repository", "branch") if c in view.columns]
-    return (v.select(*keys, entry.alias("entry"), kind.alias("kind"), "size_bytes")
-             .groupBy(*keys, "entry", "kind")
-             .agg(F.count(F.lit(1)).cast("long").alias("n_objects"),
-                  F.sum("size_bytes").cast("long").alias("total_bytes")))
+    out = (v.select(*keys, entry.alias("entry"), kind.alias("kind"), "size_bytes").where(F.col("entry") > after)
+            .groupBy(*keys, "entry", "kind")
+            .agg(F.count(F.lit(1)).cast("long").alias("n_objects"),
+                 F.sum("size_bytes").cast("long").alias("total_bytes")))
+    if amount is None:
+        return out
+    return (row_number_within(out, keys, ["entry"], "_at") if keys else out.orderBy("entry").limit(amount).withColumn("_at", F.lit(1))) \
+        .where(F.col("_at") <= amount).drop("_at")
 
 
 def _dir_of(path: Column) -> Column:
-    return F.regexp_replace(path, r"/[^/]*$", "")
+    """Directory of a path; the root directory is the empty text."""
+    return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
 def symlink_manifest(view: DataFrame) -> DataFrame:

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
 from strata.functions.ordered import previous_value, running_sum
-from strata.functions.params import (BRANCH_NAME, Param, bind, rule_allowed,
-                                     rule_pattern, rule_positive, rule_required,
-                                     validate)
+from strata.functions.params import Param, bind, rule_allowed, rule_positive, rule_required, validate
 from strata.functions.render import render_ts
-from strata.operators.merge import merge_refs
+from strata.operators.merge import merge_deltas, merge_refs
 
 PKEY = ["repository", "id"]
 OPEN, CLOSED, MERGED, ALL = "open", "closed", "merged", "all"
@@ -30,8 +28,7 @@ def pr_id(repository: Column, seq: Column, title: Column) -> Column:
 def create_pull_requests(requests: DataFrame, refs: DataFrame) -> DataFrame:
     """invalid → branch_not_found (either side) → same_branch → created (open)."""
     r = validate(bind(requests, CREATE_PARAMS),
-                 [rule_required("repository"), rule_required("title"),
-                  rule_pattern("source_branch", BRANCH_NAME), rule_pattern("destination_branch", BRANCH_NAME)])
+                 [rule_required("repository"), rule_required("title")])
     names = refs.select("repository", "branch")
     src = names.select("repository", F.col("branch").alias("source_branch"), F.lit(True).alias("_src"))
     dst = names.select("repository", F.col("branch").alias("destination_branch"), F.lit(True).alias("_dst"))
@@ -80,6 +77,10 @@ LIST_PARAMS = [Param("repository"), Param("prefix", default=""), Param("after",
                Param("amount", "int", 1), Param("status", default=ALL)]
 
 
+# Fixed: ranks per block of the page join.
+RANK_BLOCK = 1024
+
+
 def _status_class(status: Column) -> Column:
     return F.when(status == OPEN, F.lit(OPEN)).otherwise(F.lit(CLOSED))
 
@@ -88,18 +89,23 @@ def list_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
     """One page per request: ids > ``after`` starting with ``prefix`` in
     status class open / closed (= not open) / all, ascending, first
     ``amount`` (default 1), with ``has_more`` and the ``next_after`` cursor.
+    Every request has at least one row with its outcome (``id`` null if it is
+    invalid or its page is empty).
 
     Ids with a prefix form one contiguous run of the sorted ids, so the page
     starts after ``lo = max(#ids < prefix, #ids <= after)``.  PR ranks and
     both counts come from one running count over PR rows and probe rows
-    (hot-key safe); the page is then an equi-join on rank — never all
-    request × PR pairs."""
+    (hot-key safe); the page is then a range of ranks, joined by blocks of
+    ``RANK_BLOCK`` ranks that end with the last PR — never all request × PR
+    pairs, and no row per unit of a caller's ``amount``."""
     r = validate(bind(requests, LIST_PARAMS),
                  [rule_required("repository"), rule_positive("amount"),
                   rule_allowed("status", [OPEN, CLOSED, ALL])])
     valid = r.where(F.col("error_code").isNull())
+    # only repositories that some valid request names are ranked
+    asked = prs.join(valid.select("repository").distinct(), "repository", "left_semi")
     classes = F.array(F.lit(ALL), _status_class(F.col("status")))
-    pr_rows = prs.select("repository", F.explode(classes).alias("class"), F.col("id").alias("key"),
+    pr_rows = asked.select("repository", F.explode(classes).alias("class"), F.col("id").alias("key"),
                          F.lit(1).alias("kind"), F.lit(None).cast("long").alias("seq"), F.lit(1).alias("w"))
     probes = valid.select("repository", F.col("status").alias("class"), "seq", "prefix", "after")
     lo_prefix = probes.select("repository", "class", F.col("prefix").alias("key"), F.lit(0).alias("kind"),
@@ -110,18 +116,25 @@ def list_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
     ranked = running_sum(u, ["repository", "class"], ["key", "kind", "seq"], "w", "rank")
     ranks = ranked.where(F.col("kind") == 1).select("repository", "class", "rank", F.col("key").alias("id"))
     lo = (ranked.where(F.col("kind") != 1).groupBy("seq").agg(F.max("rank").alias("lo")))
-    page = (valid.join(lo, "seq")
-            .select("seq", "repository", F.col("status").alias("class"), "prefix", "amount", "lo",
-                    F.explode(F.sequence(F.col("lo") + 1, F.col("lo") + F.col("amount").cast("long") + 1)).alias("rank"))
-            .join(ranks, ["repository", "class", "rank"])
-            .where(F.col("id").startswith(F.col("prefix")))
+    total = ranks.groupBy("repository", "class").agg(F.max("rank").alias("_total"))
+    blocks = ranks.withColumn("_block", F.floor(F.col("rank") / RANK_BLOCK).cast("long"))
+    want = (valid.join(lo, "seq").withColumnRenamed("status", "class").join(total, ["repository", "class"])
+            .withColumn("_hi", F.least(F.col("lo") + F.col("amount").cast("long") + 1, F.col("_total")))
+            .where(F.col("_hi") > F.col("lo")))
+    page = (want.select("seq", "repository", "class", "prefix", "amount", "lo", "_hi",
+                        F.explode(F.sequence(F.floor((F.col("lo") + 1) / RANK_BLOCK).cast("long"),
+                                             F.floor(F.col("_hi") / RANK_BLOCK).cast("long"))).alias("_block"))
+            .join(blocks, ["repository", "class", "_block"])
+            .where((F.col("rank") > F.col("lo")) & (F.col("rank") <= F.col("_hi")) & F.col("id").startswith(F.col("prefix")))
             .withColumn("position", (F.col("rank") - F.col("lo")).cast("long")))
     summary = page.groupBy("seq").agg(
         (F.max("position") > F.max("amount")).alias("has_more"),
         F.max(F.when(F.col("position") == F.col("amount"), F.col("id"))).alias("_last"))
-    return (page.where(F.col("position") <= F.col("amount")).join(summary, "seq")
-            .select("seq", "repository", "id", "position", "has_more",
-                    F.when(F.col("has_more"), F.col("_last")).alias("next_after")))
+    found = (page.where(F.col("position") <= F.col("amount")).join(summary, "seq")
+             .select("seq", "id", "position", "has_more", F.when(F.col("has_more"), F.col("_last")).alias("next_after")))
+    outcome = F.when(F.col("error_code").isNotNull(), F.lit(O.INVALID)).otherwise(F.lit(O.FETCHED))
+    return (r.select("seq", "repository", outcome.alias("outcome")).withColumn("ok", O.ok_col())
+            .join(found, "seq", "left").withColumn("has_more", F.coalesce("has_more", F.lit(False))))
 
 
 def list_pull_requests_once(prs: DataFrame, repository: str, prefix: str = "", after: str = "",
@@ -139,8 +152,9 @@ MERGE_PR_PARAMS = [Param("repository"), Param("id"), Param("date", "long"), Para
 def merge_pull_requests(requests: DataFrame, prs: DataFrame, refs: DataFrame, commits: DataFrame,
                         parents: DataFrame, entries: DataFrame, listings: DataFrame | None = None) -> DataFrame:
     """not_found → not_open → the merge's own outcome; a merged PR becomes
-    ``merged`` with its merge commit and closed date."""
-    r = validate(bind(requests, MERGE_PR_PARAMS), [rule_required("repository"), rule_required("id")])
+    ``merged`` with its merge commit and closed date.  ``merge`` holds the merge's
+    own row, from which ``merge_pr_deltas`` makes the state deltas."""
+    r = validate(bind(requests, MERGE_PR_PARAMS), [rule_required("repository"), rule_required("id"), rule_positive("date")])
     p = prs.select("repository", "id", F.col("status").alias("pr_status"), "source_branch",
                    "destination_branch", F.col("merged_commit_id").alias("pr_merged_commit_id"))
     r = r.join(p, PKEY, "left")
@@ -150,7 +164,8 @@ def merge_pull_requests(requests: DataFrame, prs: DataFrame, refs: DataFrame, co
         F.concat(F.lit("merge "), F.col("id")).alias("message"), "date", "force",
         F.lit(False).alias("allow_empty"))
     mo = merge_refs(mreq, refs, commits, parents, entries, listings=listings).select(
-        "seq", F.col("outcome").alias("merge_outcome"), F.col("commit_id").alias("merge_commit"), "n_conflict")
+        "seq", F.col("outcome").alias("merge_outcome"), F.col("commit_id").alias("merge_commit"), "n_conflict",
+        F.struct(*MERGE_FIELDS).alias("merge"))
     r = r.join(mo, "seq", "left")
     outcome = F.coalesce(F.when(F.col("error_code").isNotNull(), F.lit(O.INVALID))
                           .when(F.col("pr_status").isNull(), F.lit(O.NOT_FOUND))
@@ -158,14 +173,25 @@ def merge_pull_requests(requests: DataFrame, prs: DataFrame, refs: DataFrame, co
                          F.col("merge_outcome"))
     r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
     done = F.col("outcome") == O.MERGED
-    closed = F.timestamp_add("SECOND", F.col("date"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")) \
-        if "date" in r.columns else F.current_timestamp().cast("timestamp_ntz")
+    # the merge's own time: the request's date, or the batch time if it has none
+    closed = F.timestamp_add("SECOND", F.col("merge.creation_seconds"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     return (r.withColumn("status", F.when(done, F.lit(MERGED)).otherwise(F.col("pr_status")))
              .withColumn("merged_commit_id", F.when(done, F.col("merge_commit"))
                          .otherwise(F.col("pr_merged_commit_id")))
              .withColumn("closed_date", F.when(done, closed)))
 
 
+MERGE_FIELDS = ["outcome", "commit_id", "committer", "message", "metadata", "meta_range_id", "generation", "creation_seconds",
+                "dest_commit", "source_commit", "base_range", "source_range", "dest_range", "force", "destination_branch"]
+
+
+def merge_pr_deltas(outcomes: DataFrame, entries: DataFrame, listings: DataFrame | None = None) -> dict[str, DataFrame]:
+    """State deltas of merged pull requests: those of the merges; the pull
+    requests themselves change by ``apply_pr_outcomes``."""
+    done = outcomes.where(F.col("outcome") == O.MERGED).select("repository", "merge.*")
+    return merge_deltas(done, entries, listings)
+
+
 def apply_pr_outcomes(prs: DataFrame, outcomes: DataFrame) -> DataFrame:
     """New ``pull_requests`` state after merge or update outcomes: changed
     PRs (last successful request per id by ``seq``) replace their rows."""

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
 from strata.functions.ordered import previous_value
-from strata.functions.params import (BRANCH_NAME, Param, bind, rule_pattern,
-                                     rule_required, validate)
+from strata.functions.params import Param, bind, rule_allowed, rule_required, validate
 
 KEY = ["repository", "branch"]
 
@@ -52,10 +51,9 @@ CREATE_PARAMS = [
 ]
 
 
-def _bind_branch_requests(requests: DataFrame, params: list[Param]) -> DataFrame:
+def _bind_branch_requests(requests: DataFrame, params: list[Param], *rules) -> DataFrame:
     r = bind(requests, params)
-    return validate(r, [rule_required("repository"), rule_required("branch"),
-                        rule_pattern("branch", BRANCH_NAME)])
+    return validate(r, [rule_required("repository"), rule_required("branch"), *rules])
 
 
 def _create_outcome(exists_before: Column) -> Column:
@@ -131,9 +129,9 @@ def apply_ref_log(requests: DataFrame, refs: DataFrame, commits: DataFrame) -> D
     Every request's effect on existence is known without the state: a valid
     create with a resolvable source leaves the branch present, a valid delete
     leaves it absent.  Existence before a request is the last such effect
-    earlier in the batch, else the snapshot."""
+    earlier in the batch, else the snapshot.  Any other ``op`` is invalid."""
     params = CREATE_PARAMS + [Param("op")]
-    r = _bind_branch_requests(requests, params)
+    r = _bind_branch_requests(requests, params, rule_required("op"), rule_allowed("op", ["create", "delete"]))
     r = resolve_refs(r, refs, commits, ref="source", out="source_commit", kind="source_kind")
     r = _snapshot_head(r, refs)
     valid = F.col("error_code").isNull()
@@ -144,13 +142,36 @@ def apply_ref_log(requests: DataFrame, refs: DataFrame, commits: DataFrame) -> D
     exists_before = F.coalesce(F.col("_prior"), F.col("head").isNotNull())
     delete_outcome = O.first_match((~valid, O.INVALID), (exists_before, O.DELETED),
                                    default=O.BRANCH_NOT_FOUND)
-    r = r.withColumn("outcome", F.when(F.col("op") == "create", _create_outcome(exists_before))
+    r = r.withColumn("outcome", F.when(F.col("op").eqNullSafe("create"), _create_outcome(exists_before))
                                  .otherwise(delete_outcome))
     return (r.withColumn("ok", O.ok_col())
              .withColumn("exists_before", exists_before)
+             .withColumn("commit_id", F.when(F.col("outcome").isin(O.CREATED, O.OVERWRITTEN), F.col("source_commit")))
              .drop("_effect", "_prior", "source_kind"))
 
 
+def refs_after_log(outcomes: DataFrame, refs: DataFrame) -> DataFrame:
+    """New ``refs`` state after ``apply_ref_log``: per key the last request
+    that created, overwrote or deleted it decides."""
+    last = (outcomes.where(F.col("outcome").isin(O.CREATED, O.OVERWRITTEN, O.DELETED))
+            .groupBy(*KEY).agg(F.max_by(F.struct("outcome", "commit_id", "hidden"), F.col("seq")).alias("_v"))
+            .select(*KEY, "_v.outcome", "_v.commit_id", "_v.hidden"))
+    kept = refs.select(*KEY, "commit_id", "hidden").join(last.select(*KEY), KEY, "left_anti")
+    return kept.unionByName(last.where(F.col("outcome") != O.DELETED).drop("outcome"))
+
+
+def staging_after_delete(staging: DataFrame, refs_now: DataFrame) -> DataFrame:
+    """Staged rows of branches that still exist: a deleted branch takes its
+    uncommitted changes with it, so re-creating it does not revive them."""
+    return staging.join(refs_now.select(*KEY), KEY, "left_semi")
+
+
+def branch_attributes(refs: DataFrame) -> DataFrame:
+    """Branch → flat attributes."""
+    return refs.select("repository", F.col("branch").alias("branch_id"), F.col("commit_id").alias("branch_commit_id"),
+                       F.coalesce(F.col("hidden"), F.lit(False)).cast("string").alias("hidden"))
+
+
 FETCH_PARAMS = [Param("repository"), Param("branch")]
 
 

@@ -34,6 +34,18 @@ def wait_commits(observations: DataFrame, seed: DataFrame | None = None) -> Data
     return o.where(emit).drop("_prev", "_first", "_seed")
 
 
+def with_commit(emitted: DataFrame, commits: DataFrame, parents: DataFrame, head: str = "commit_id") -> DataFrame:
+    """Emissions (or ``changed_since`` rows) with the head commit's attributes;
+    null where the commit is not known.  Works on streams too (``commits`` and
+    ``parents`` are static)."""
+    from strata.operators.commits import commit_attributes
+    a = commit_attributes(commits, parents)
+    a = a.select(F.col("repository").alias("_a_repo"), F.col("commit_id").alias("_a_id"),
+                 *[F.col(c) for c in a.columns if c not in ("repository", "commit_id")])
+    return (emitted.join(a, (emitted["repository"] == a["_a_repo"]) & (emitted[head] == a["_a_id"]), "left")
+            .drop("_a_repo", "_a_id"))
+
+
 def poll_sample(observations: DataFrame, interval: str = "1 hour") -> DataFrame:
     """At most one look per branch and interval: the newest one (a null
     head survives as the newest look, so it is wrapped in a struct)."""
@@ -44,7 +56,8 @@ def poll_sample(observations: DataFrame, interval: str = "1 hour") -> DataFrame:
 
 
 def changed_since(requests: DataFrame, refs: DataFrame) -> DataFrame:
-    """Per request: has the branch head moved away from ``previous_commit_id``?"""
+    """Per request: has the branch head moved away from ``previous_commit_id``?
+    ``unchanged`` is not a success: such a request is not passed on."""
     r = validate(bind(requests, [Param("repository"), Param("branch"), Param("previous_commit_id")]),
                  [rule_required("repository"), rule_required("branch")])
     heads = refs.select(*KEY, F.col("commit_id").alias("head"))

@@ -122,8 +122,6 @@ def with_fixtures(body: str, *names: str) -> str:
 
 
 # ----------------------------------------------------------------- queries --
-from strata.functions.params import BRANCH_NAME, REPOSITORY_NAME  # noqa: E402
-
 ORACLE: dict[str, str] = {}
 
 _BLANK = "CASE WHEN trim({c}) = '' THEN NULL ELSE {c} END"
@@ -134,20 +132,26 @@ def blank(c: str) -> str:
 
 
 BRANCH_ERR = f"""CASE WHEN q.repository IS NULL OR trim(q.repository) = '' THEN 'empty:repository'
-     WHEN q.branch IS NULL OR trim(q.branch) = '' THEN 'empty:branch'
-     WHEN NOT regexp_matches(q.branch, '{BRANCH_NAME}') THEN 'bad_name:branch' END"""
+     WHEN q.branch IS NULL OR trim(q.branch) = '' THEN 'empty:branch' END"""
 
 ORACLE["bind_validate"] = with_fixtures(f"""
-SELECT seq, repository, op, branch, source, force, ignore_exists, hidden, allow_empty, error_code,
+SELECT seq, repository, op, branch, source, coalesce(TRY_CAST(force_text AS BOOLEAN), false) AS force, ignore_exists,
+       TRY_CAST(date_text AS BIGINT) AS date, coalesce(TRY_CAST(amount_text AS INTEGER), 1) AS amount, error_code,
        error_code IS NULL AS valid
 FROM (SELECT *, CASE WHEN repository IS NULL OR trim(repository) = '' THEN 'empty:repository'
-                     WHEN NOT regexp_matches(repository, '{REPOSITORY_NAME}') THEN 'bad_name:repository'
                      WHEN branch IS NULL THEN 'empty:branch'
-                     WHEN NOT regexp_matches(branch, '{BRANCH_NAME}') THEN 'bad_name:branch' END AS error_code
-      FROM (SELECT seq, repository, op, {blank('branch')} AS branch,
+                     WHEN TRY_CAST(date_text AS BIGINT) <= 0 THEN 'not_positive:date'
+                     WHEN coalesce(TRY_CAST(amount_text AS INTEGER), 1) <= 0 THEN 'not_positive:amount'
+                     WHEN TRY_CAST(force_text AS BOOLEAN) IS NULL THEN 'bad_type:force'
+                     WHEN TRY_CAST(date_text AS BIGINT) IS NULL THEN 'bad_type:date'
+                     WHEN TRY_CAST(amount_text AS INTEGER) IS NULL THEN 'bad_type:amount' END AS error_code
+      FROM (SELECT seq, repository, op,
+                   CASE WHEN seq % 23 = 0 THEN 'feature/x' WHEN seq % 29 = 0 THEN '_tmp' ELSE {blank('branch')} END AS branch,
                    coalesce({blank('source')}, 'main') AS source,
-                   seq % 3 = 0 AS force, seq % 2 = 0 AS ignore_exists, seq % 11 = 0 AS hidden,
-                   seq % 4 = 0 AS allow_empty
+                   CASE WHEN seq % 13 = 0 THEN 'maybe' WHEN seq % 3 = 0 THEN 'true' ELSE 'false' END AS force_text,
+                   seq % 2 = 0 AS ignore_exists,
+                   CASE WHEN seq % 17 = 0 THEN 'abc' WHEN seq % 19 = 0 THEN '-5' ELSE CAST(seq + 1 AS VARCHAR) END AS date_text,
+                   CASE WHEN seq % 31 = 0 THEN 'many' WHEN seq % 37 = 0 THEN '0' ELSE '3' END AS amount_text
             FROM fx_requests) b) v""", "fx_requests")
 
 ORACLE["resolve_refs"] = with_fixtures("""
@@ -186,7 +190,7 @@ cout AS (
                    ELSE 'branch_exists' END AS outcome
   FROM cres c LEFT JOIN cfirst f ON f.repository = c.repository AND f.branch = c.branch)"""
 
-OK_CODES = "('created','overwritten','ignored','deleted','fetched','committed','merged','updated','stored','copied','changed','unchanged','reverted','picked')"
+OK_CODES = "('created','overwritten','ignored','deleted','fetched','committed','merged','updated','stored','copied','changed','reverted','picked')"
 
 ORACLE["create_branches"] = with_fixtures(f"""
 WITH {CREATE_BASE}
@@ -440,11 +444,8 @@ v AS (SELECT q.*, {BRANCH_ERR} AS error_code, h.commit_id AS head, c.meta_range_
              c.generation AS head_generation
       FROM q LEFT JOIN fx_refs h ON h.repository = q.repository AND h.branch = q.branch
       LEFT JOIN fx_commits c ON c.repository = q.repository AND c.commit_id = h.commit_id),
-f AS (SELECT repository, branch, min(seq) AS first_seq FROM v WHERE error_code IS NULL AND head IS NOT NULL
-      GROUP BY 1, 2),
-v2 AS (SELECT v.*, v.head_range AS base_range, coalesce(v.error_code IS NULL AND v.head IS NOT NULL AND v.seq = f.first_seq, false) AS is_first
-       FROM v LEFT JOIN f USING (repository, branch)),
-firsts AS (SELECT repository, branch, head_range AS base_range FROM v2 WHERE is_first),
+v2 AS (SELECT v.*, v.head_range AS base_range FROM v),
+firsts AS (SELECT DISTINCT repository, branch, head_range AS base_range FROM v2 WHERE error_code IS NULL AND head IS NOT NULL),
 last AS (SELECT s.repository, s.branch, s.path, s.op, s.checksum FROM fx_staging s JOIN firsts USING (repository, branch)
          QUALIFY row_number() OVER (PARTITION BY s.repository, s.branch, s.path ORDER BY s.seq DESC) = 1),
 base AS (SELECT f.repository, f.branch, e.path, e.checksum FROM firsts f
@@ -461,14 +462,15 @@ stats AS (SELECT e.repository, e.meta_range_id AS base_range, count(*) AS bn,
                  sum({lane_sql(0, 'e.path', 'e.checksum')}) AS b0, sum({lane_sql(1, 'e.path', 'e.checksum')}) AS b1
           FROM fx_entries e WHERE (e.repository, e.meta_range_id) IN (SELECT repository, base_range FROM firsts)
           GROUP BY 1, 2),
-o AS (SELECT v2.*, CAST(coalesce(d.n_changes, 0) AS BIGINT) AS n_changes,
+o0 AS (SELECT v2.*, CAST(coalesce(d.n_changes, 0) AS BIGINT) AS n_changes,
              {listing_id_sql('coalesce(s.b0, 0) + coalesce(d.d0, 0)', 'coalesce(s.b1, 0) + coalesce(d.d1, 0)',
                              'coalesce(s.bn, 0) + coalesce(d.dn, 0)')} AS new_range,
              CASE WHEN error_code IS NOT NULL THEN 'invalid' WHEN head IS NULL THEN 'branch_not_found'
-                  WHEN NOT is_first THEN 'retry_next_batch'
-                  WHEN coalesce(d.n_changes, 0) = 0 AND NOT allow_empty THEN 'nothing_to_commit'
-                  ELSE 'committed' END AS outcome
-      FROM v2 LEFT JOIN delta d USING (repository, branch) LEFT JOIN stats s USING (repository, base_range))
+                  WHEN coalesce(d.n_changes, 0) = 0 AND NOT allow_empty THEN 'nothing_to_commit' END AS no
+      FROM v2 LEFT JOIN delta d USING (repository, branch) LEFT JOIN stats s USING (repository, base_range)),
+f AS (SELECT repository, branch, min(seq) AS first_seq FROM o0 WHERE no IS NULL GROUP BY 1, 2),
+o AS (SELECT o0.*, coalesce(no, CASE WHEN seq = first_seq THEN 'committed' ELSE 'retry_next_batch' END) AS outcome
+      FROM o0 LEFT JOIN f USING (repository, branch))
 SELECT seq, repository, branch, outcome, outcome IN {OK_CODES} AS ok, head, n_changes,
        CASE WHEN outcome = 'committed' THEN new_range END AS meta_range_id,
        CAST(CASE WHEN outcome = 'committed' THEN head_generation + 1 END AS BIGINT) AS generation,
@@ -665,9 +667,9 @@ m AS (SELECT q.seq, q.repository, q.amount, p.id,
         AND (q.status = 'all' OR (q.status = 'open' AND p.status = 'open') OR (q.status = 'closed' AND p.status <> 'open'))),
 s AS (SELECT seq, max(total) > max(amount) AS has_more, max(CASE WHEN position = amount THEN id END) AS last_id
       FROM m GROUP BY seq)
-SELECT m.seq, m.repository, m.id, CAST(m.position AS BIGINT) AS position, s.has_more,
-       CASE WHEN s.has_more THEN s.last_id END AS next_after
-FROM m JOIN s USING (seq) WHERE m.position <= m.amount""", "fx_requests", "fx_pull_requests")
+SELECT q.seq, q.repository, 'fetched' AS outcome, true AS ok, m.id, CAST(m.position AS BIGINT) AS position,
+       coalesce(s.has_more, false) AS has_more, CASE WHEN s.has_more THEN s.last_id END AS next_after
+FROM q LEFT JOIN m ON m.seq = q.seq AND m.position <= q.amount LEFT JOIN s ON s.seq = q.seq""", "fx_requests", "fx_pull_requests")
 
 ORACLE["merge_pull_requests"] = "WITH RECURSIVE " + with_fixtures(f"""
 WITH r0 AS (SELECT seq, repository, {LPAD_SEQ} AS id, CAST(epoch_ms(ts) // 1000 AS BIGINT) AS date
@@ -812,7 +814,7 @@ FROM x GROUP BY 1, 2, 3, 4""", "fx_refs", "fx_commits", "fx_entries", "fx_stagin
 
 ORACLE["symlink_manifest"] = with_fixtures(f"""
 WITH {MAIN_VIEW}
-SELECT repository, branch, regexp_replace(path, '/[^/]*$', '') AS dir, CAST(count(*) AS BIGINT) AS n_files,
+SELECT repository, branch, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, CAST(count(*) AS BIGINT) AS n_files,
        CAST(sum(size_bytes) AS BIGINT) AS total_bytes
 FROM view GROUP BY 1, 2, 3""", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
 
@@ -843,7 +845,7 @@ v AS (SELECT q.*, h.commit_id AS head FROM q LEFT JOIN fx_refs h ON h.repository
 SELECT seq, repository, branch, previous_commit_id, head,
        CASE WHEN branch IS NULL THEN 'invalid' WHEN head IS NULL THEN 'branch_not_found'
             WHEN head IS NOT DISTINCT FROM previous_commit_id THEN 'unchanged' ELSE 'changed' END AS outcome,
-       branch IS NOT NULL AND head IS NOT NULL AS ok
+       branch IS NOT NULL AND head IS NOT NULL AND head IS DISTINCT FROM previous_commit_id AS ok
 FROM v""", "fx_requests", "fx_refs", "fx_commits")
 
 ORACLE["stream_wait_commits"] = ORACLE["wait_commits"]

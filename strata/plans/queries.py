@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
-from strata.functions.params import (BRANCH_NAME, REPOSITORY_NAME, Param, bind,
-                                     rule_pattern, rule_required, validate)
+from strata.functions.params import Param, bind, rule_positive, rule_required, validate
 from strata.functions.render import metadata_map as _metadata_map
 from strata.functions.render import render_map
 from strata.operators import commits as C
@@ -41,14 +40,16 @@ def query(fn):
 def q_bind_validate(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     s = F.col("seq")
-    req = fx.requests.select("seq", "repository", "op", "branch", "source",
-                             (s % 3 == 0).alias("force"), (s % 2 == 0).alias("ignore_exists"),
-                             (s % 11 == 0).alias("hidden"), (s % 4 == 0).alias("allow_empty"))
+    branch = F.when(s % 23 == 0, "feature/x").when(s % 29 == 0, "_tmp").otherwise(F.col("branch"))
+    req = fx.requests.select(
+        "seq", "repository", "op", branch.alias("branch"), "source", (s % 2 == 0).alias("ignore_exists"),
+        F.when(s % 13 == 0, "maybe").when(s % 3 == 0, "true").otherwise("false").alias("force"),
+        F.when(s % 17 == 0, "abc").when(s % 19 == 0, "-5").otherwise((s + 1).cast("string")).alias("date"),
+        F.when(s % 31 == 0, "many").when(s % 37 == 0, "0").otherwise("3").alias("amount"))
     b = bind(req, [Param("repository"), Param("op"), Param("branch"), Param("source", default="main"),
                    Param("force", "boolean", False), Param("ignore_exists", "boolean", True),
-                   Param("hidden", "boolean", False), Param("allow_empty", "boolean", False)])
-    v = validate(b, [rule_required("repository"), rule_pattern("repository", REPOSITORY_NAME),
-                     rule_required("branch"), rule_pattern("branch", BRANCH_NAME)])
+                   Param("date", "long"), Param("amount", "int", 1)])
+    v = validate(b, [rule_required("repository"), rule_required("branch"), rule_positive("date"), rule_positive("amount")])
     return v.withColumn("valid", F.col("error_code").isNull())
 
 
@@ -267,8 +268,7 @@ def _merge_requests(fx):
 
 def _merge_outcomes(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return MG.merge_refs(_merge_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries, listings=fx.listings,
-                         buckets=lambda: fx.listing_buckets)
+    return MG.merge_refs(_merge_requests(fx), fx.refs, fx.commits, fx.parents, fx.entries, listings=fx.listings)
 
 
 @query

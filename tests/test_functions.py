@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
-from strata.functions.params import (Param, bind, rule_allowed, rule_parses, rule_positive,
+from strata.functions.params import (Param, bind, rule_allowed, rule_positive,
                                      rule_required, self_requests, validate)
 from strata.functions.render import metadata_map, render_list, render_map, render_ts
 from strata.operators import commits as C
@@ -17,12 +17,12 @@ def test_bind_precedence_and_types(spark):
         "seq long, branch string, attributes map<string,string>")
     b = bind(df, [Param("branch", default="main"), Param("amount", "int", 1),
                   Param("status", default="all")])
-    v = validate(b, [rule_parses("amount"), rule_positive("amount"),
+    v = validate(b, [rule_positive("amount"),
                      rule_allowed("status", ["open", "closed", "all"])])
     assert rows(v, "seq", "branch", "amount", "status", "error_code") == [
         (1, "a", 5, "open", None), (2, "main", 1, "all", None), (3, "main", 1, "all", None)]
     b2 = bind(df, [Param("amount", "int")])
-    v2 = validate(b2, [rule_parses("amount"), rule_required("amount")])
+    v2 = validate(b2, [rule_required("amount")])
     assert rows(v2, "seq", "error_code") == [(1, None), (2, "bad_type:amount"), (3, "empty:amount")]
 
 

@@ -127,7 +127,7 @@ def test_revert_and_cherry_pick(spark, revert):
     assert r.outcome == ("reverted" if revert else "picked")
 
 
-def test_bucket_skipping_equals_full_three_way(spark):
+def test_three_way_summary_counts_only_changed_paths(spark):
     base = {f"p{i:05d}": str(i) for i in range(5000)}
     src = dict(base, p00007="x", p00100="y")
     src.pop("p00200")
@@ -135,14 +135,14 @@ def test_bucket_skipping_equals_full_three_way(spark):
     e = entries(spark, {"b": base, "s": src, "d": dst})
     triples = spark.createDataFrame([("r", "b", "s", "d"), ("r", "b", "b", "b"), ("r", "d", "s", "b")],
                                     "repository string, base_range string, source_range string, dest_range string")
-    cols = ["base_range", "source_range", "dest_range"] + [f"n_{c}" for c in L.CLASSES] + \
-        [f"{t}_d{i}" for t in ("ts", "cf") for i in range(3)]
-    fast = L.three_way_summary(triples, e, skip_identical=True)
-    full = L.three_way_summary(triples, e, skip_identical=False)
-    got = {r.base_range + r.source_range + r.dest_range: r for r in fast.collect()}
+    got = {r.base_range + r.source_range + r.dest_range: r for r in L.three_way_summary(triples, e).collect()}
     assert got["bsd"].n_unchanged == 4996 and got["bsd"].n_conflict == 1 and got["bsd"].n_take_source == 2
     assert got["bbb"].n_unchanged == 5000
-    assert rows(fast.select(*cols)) == rows(full.select(*cols))
+    sides = [(t, s, p, c) for t, n in (("bsd", "bsd"), ("dsb", "dsb"))
+             for s, side in zip(("base", "source", "dest"), n) for p, c in {"b": base, "s": src, "d": dst}[side].items()]
+    df = spark.createDataFrame(sides, "t string, side string, path string, checksum string")
+    for r in L.three_way(df, ["t"]).groupBy("t", "class").count().collect():
+        assert got[r.t][f"n_{r['class']}"] == r["count"]
 
 
 def test_conflict_free_merge_is_symmetric(spark):
@@ -221,14 +221,36 @@ def test_revert_deltas_restore_the_parent_listing(spark):
     assert d["commits"].first().parents == ["cs"]
 
 
-def test_stored_bucket_index_coarsens_exactly(spark):
-    base = {f"p{i:05d}": str(i) for i in range(3000)}
-    e = entries(spark, {"b": base, "s": dict(base, p00001="z")})
-    ranges = spark.createDataFrame([("r", "b"), ("r", "s")], "repository string, meta_range_id string")
-    fine = L.listing_buckets(e)
-    for bits in (0, 3, 9, 16):
-        got = rows(L.coarsen_buckets(fine, ranges, bits))
-        assert got == rows(L.bucket_index(e, ranges, bits))
+def test_history_of_any_depth(spark):
+    """A linear history far longer than any cap, with a side branch."""
+    n = 3000
+    edges = [("r", f"c{i:05d}", 0, f"c{i - 1:05d}") for i in range(1, n)]
+    edges += [("r", "s0", 0, "c00010")] + [("r", f"s{i}", 0, f"s{i - 1}") for i in range(1, 40)]
+    parents = spark.createDataFrame(edges, "repository string, commit_id string, pos int, parent_id string")
+    gens = [("r", f"c{i:05d}", i + 1) for i in range(n)] + [("r", f"s{i}", 12 + i) for i in range(40)]
+    commits = spark.createDataFrame(gens, "repository string, commit_id string, generation long")
+    pairs = spark.createDataFrame([("r", f"c{n - 1:05d}", "s39"), ("r", f"c{n - 1:05d}", "c00500"), ("r", "s3", "s3")],
+                                  "repository string, a string, b string")
+    assert sorted(r.base_id for r in C.merge_base(pairs, commits, parents).collect()) == ["c00010", "c00500", "s3"]
+    seeds = spark.createDataFrame([("r", f"c{n - 1:05d}"), ("r", "s39")], "repository string, seed string")
+    got = {r.seed: r["count"] for r in C.ancestors(seeds, parents).groupBy("seed").count().collect()}
+    assert got == {f"c{n - 1:05d}": n, "s39": 40 + 11}
+
+
+def test_merge_base_of_no_pairs(spark):
+    none = spark.createDataFrame([], "repository string, a string, b string")
+    commits = spark.createDataFrame([("r", "c", 1)], "repository string, commit_id string, generation long")
+    parents = spark.createDataFrame([], "repository string, commit_id string, pos int, parent_id string")
+    assert C.merge_base(none, commits, parents).count() == 0
+
+
+def test_listing_without_stored_stats_is_not_empty(spark):
+    e = entries(spark, {"x": {"a": "1"}, "y": {"b": "2", "c": "3"}})
+    whole = L.listing_identity(L.listing_stats(e))
+    stored = whole.where("meta_range_id = 'x'")
+    wanted = spark.createDataFrame([("r", "x"), ("r", "y"), ("r", "z")], "repository string, meta_range_id string")
+    got = L.listing_identity(L.stats_for(e, wanted, stored))
+    assert rows(got, "meta_range_id", "listing_id") == rows(whole, "meta_range_id", "listing_id")
 
 
 def test_branch_view_equals_simulation_with_a_hot_path(spark):
@@ -318,7 +340,7 @@ def test_three_way_and_merged_listing_equal_simulation(spark):
     e = entries(spark, {"b": base, "s": src, "d": dst})
     t = spark.createDataFrame([("r", "b", "s", "d")], "repository string, base_range string, source_range string, "
                                                       "dest_range string")
-    got = L.three_way_summary(t, e, skip_identical=False).first()
+    got = L.three_way_summary(t, e).first()
     counts, merged = {c: 0 for c in L.CLASSES}, {}
     for p in set(base) | set(src) | set(dst):
         b, s, d = base.get(p), src.get(p), dst.get(p)

@@ -89,21 +89,3 @@ def test_wait_stream_ignores_late_looks(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(src)
         ST.run_available(ST.wait_commits_stream(stream), out, ck)
     assert rows(spark.read.parquet(out), "seq", "commit_id") == [(5, "c1"), (6, "c2"), (8, "c3")]
-
-
-def test_merge_with_forced_bucket_skipping_matches_oracle(spark):
-    import duckdb
-    from strata.sources.tables import DRIVER_TABLES
-    con = duckdb.connect()
-    for t in DRIVER_TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
-    spark.conf.set("spark.strata.threeWay.bucketSkip", "true")
-    try:
-        sdf = entry.queries()["merge_refs"](spark, SF_SMALL)
-        got = sorted(map(repr, (tuple(r[c] for c in sorted(sdf.columns)) for r in sdf.collect())))
-    finally:
-        spark.conf.unset("spark.strata.threeWay.bucketSkip")
-    cur = con.execute(entry.oracle_sql()["merge_refs"])
-    names = [d[0] for d in cur.description]
-    idx = sorted(range(len(names)), key=lambda i: names[i])
-    assert got == sorted(map(repr, (tuple(r[i] for i in idx) for r in cur.fetchall())))
