@@ -71,11 +71,13 @@ def rule_allowed(name: str, values: list[str]) -> tuple[Column, str]:
 
 
 def validate(df: DataFrame, rules: list[tuple[Column, str]], out: str = "error_code") -> DataFrame:
-    """``error_code`` = code of the first failing rule, else of a value that
-    ``bind`` could not parse (null when valid)."""
-    expr = F.col("_bad_type") if "_bad_type" in df.columns else F.lit(None).cast("string")
+    """``error_code`` = code of a value that ``bind`` could not parse, else of
+    the first failing rule (null when valid)."""
+    expr = F.lit(None).cast("string")
     for cond, code in reversed(rules):
         expr = F.when(cond, F.lit(code)).otherwise(expr)
+    if "_bad_type" in df.columns:
+        expr = F.coalesce(F.col("_bad_type"), expr)
     res = df.withColumn(out, expr)
     return res.drop("_bad_type", *[c for c in res.columns if c.startswith("_raw_")])
 

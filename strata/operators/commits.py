@@ -11,6 +11,7 @@ from strata.functions import outcomes as O
 from strata.functions.params import Param, bind, rule_positive, rule_required, validate
 from strata.functions.render import kept_metadata, render_list, render_map, render_ts, sorted_metadata_text
 from strata.operators import listing as L
+from strata.operators.state import commit_delta
 
 CKEY = ["repository", "commit_id"]
 
@@ -193,8 +194,8 @@ def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
     r = validate(bind(req, COMMIT_PARAMS),
                  [rule_required("repository"), rule_required("branch"), rule_positive("date")])
     r = r.withColumn("metadata", kept_metadata("metadata"))
-    heads = refs.select("repository", "branch", F.col("commit_id").alias("head"))
-    r = r.join(heads, ["repository", "branch"], "left")
+    heads = refs.select("repository", "branch", F.col("commit_id").alias("head"), "hidden")
+    r = r.drop("hidden").join(heads, ["repository", "branch"], "left")
     r = L.head_range(r, commits, "head", out="head_range", generation_out="head_generation")
     r = r.withColumn("base_range", F.coalesce(F.col("source_metarange"), F.col("head_range")))
     r = r.checkpoint(eager=True)   # small request side, reused by every branch below
@@ -269,29 +270,21 @@ def last_staged_for(staging: DataFrame, branches: DataFrame) -> DataFrame:
     return L.last_staged(staging).join(wanted, ["repository", "branch"], "left_semi")
 
 
-def commit_deltas(outcomes: DataFrame, entries: DataFrame, staging: DataFrame) -> dict[str, DataFrame]:
-    """State deltas of committed requests: new commits, new ref heads, new
-    listing entries (only for listing ids not stored yet), consumed staging."""
+def commit_deltas(outcomes: DataFrame, entries: DataFrame, staging: DataFrame,
+                  listings: DataFrame | None = None) -> dict[str, DataFrame]:
+    """State deltas of committed requests: commits, parents, refs, the entries
+    and rows of listings that are not stored yet, and the staging that is left."""
     done = outcomes.where(F.col("outcome") == O.COMMITTED)
-    new_commits = done.select(
-        "repository", "commit_id", "committer", "message", "meta_range_id", "metadata",
-        F.timestamp_add("SECOND", F.col("creation_seconds"),
-                        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("creation_date"),
-        F.lit(1).alias("version"), "generation", F.array("head").alias("parents"))
-    new_refs = done.select("repository", "branch", "commit_id")
-    firsts = done.select("repository", "branch", "base_range", F.col("meta_range_id").alias("new_range"))
-    base = L.listing_rows(firsts, entries, "base_range")
-    last = last_staged_for(staging, firsts)
+    key = ["repository", "meta_range_id"]
+    stored = (listings if listings is not None else entries).select(*key).distinct()
+    # two branches may reach the same content-addressed listing: it is stored once, and known ones not at all
+    fresh = (done.select("repository", "branch", "base_range", "meta_range_id").dropDuplicates(key)
+             .join(stored, key, "left_anti").checkpoint(eager=True))
+    base = L.listing_rows(fresh, entries, "base_range")
+    last = last_staged_for(staging, fresh)
+    cols = [*key, "path", "physical_address", "checksum", "size_bytes"]
     kept = base.join(last.select("repository", "branch", "path"), ["repository", "branch", "path"], "left_anti")
-    puts = (last.where(F.col("op") == "put").join(firsts, ["repository", "branch"])
-            .select("repository", "branch", "new_range", "path", "checksum", "size_bytes", "physical_address"))
-    listing = kept.select("repository", "branch", "new_range", "path", "checksum", "size_bytes",
-                          "physical_address").unionByName(puts)
-    # two branches may reach the same content-addressed listing: store it once
-    new_entries = (listing.select("repository", F.col("new_range").alias("meta_range_id"), "path",
-                                  "physical_address", "checksum", "size_bytes")
-                   .dropDuplicates(["repository", "meta_range_id", "path"])
-                   .join(entries.select("repository", "meta_range_id").distinct(),
-                         ["repository", "meta_range_id"], "left_anti"))
-    staging_left = staging.join(done.select("repository", "branch"), ["repository", "branch"], "left_anti")
-    return {"commits": new_commits, "refs": new_refs, "entries": new_entries, "staging": staging_left}
+    puts = last.where(F.col("op") == "put").join(small_side(fresh), ["repository", "branch"])
+    new_entries = kept.select(*cols).unionByName(puts.select(*cols))
+    staging_left = staging.join(small_side(done.select("repository", "branch")), ["repository", "branch"], "left_anti")
+    return commit_delta(done, "branch", F.array("head"), new_entries) | {"staging": staging_left}

@@ -19,6 +19,7 @@ from strata.functions.render import kept_metadata, sorted_metadata_text
 from strata.operators import commits as C
 from strata.operators import listing as L
 from strata.operators.refs import resolve_refs
+from strata.operators.state import commit_delta
 
 NO_RANGE = ""   # stands for an empty listing (no common ancestor / no parent)
 
@@ -85,10 +86,10 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
     r = r.withColumn("metadata", kept_metadata("metadata"))
     r = resolve_refs(r, refs, commits, ref="source_ref", out="source_commit", kind="source_kind")
     dest = refs.select("repository", F.col("branch").alias("destination_branch"),
-                       F.col("commit_id").alias("dest_commit"))
+                       F.col("commit_id").alias("dest_commit"), "hidden")
     # requests are small next to listings: cut their lineage once (reliable
     # checkpoint) so the merge-base loop and every later branch reuse them
-    r = r.join(dest, ["repository", "destination_branch"], "left").checkpoint(eager=True)
+    r = r.drop("hidden").join(dest, ["repository", "destination_branch"], "left").checkpoint(eager=True)
     found = F.col("error_code").isNull() & F.col("source_commit").isNotNull() & F.col("dest_commit").isNotNull()
     pairs = r.where(found).select("repository", F.col("source_commit").alias("a"), F.col("dest_commit").alias("b"))
     mb = C.merge_base(pairs, commits, parents).select(
@@ -125,17 +126,12 @@ def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents
              .drop("_merged_range", "_is_first", "source_kind"))
 
 
-def merge_deltas(outcomes: DataFrame, entries: DataFrame) -> dict[str, DataFrame]:
-    """State deltas of ``merge_refs`` outcomes: new two-parent commits, the
-    destination refs moved to them, and the merged listings' entries."""
+def merge_deltas(outcomes: DataFrame, entries: DataFrame, listings: DataFrame | None = None) -> dict[str, DataFrame]:
+    """State deltas of ``merge_refs`` outcomes: two-parent commits, their
+    parents, the destination refs moved to them, and the merged listings."""
     done = outcomes.where(F.col("outcome") == O.MERGED)
-    commits = done.select(
-        "repository", "commit_id", "committer", "message", "meta_range_id", "metadata",
-        F.timestamp_add("SECOND", F.col("creation_seconds"),
-                        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("creation_date"),
-        F.lit(1).alias("version"), "generation", F.array("dest_commit", "source_commit").alias("parents"))
-    refs = done.select("repository", F.col("destination_branch").alias("branch"), "commit_id")
-    return {"commits": commits, "refs": refs, "entries": L.merged_listing(done, entries)}
+    return commit_delta(done, "destination_branch", F.array("dest_commit", "source_commit"),
+                        L.merged_listing(done, entries, listings))
 
 
 def _first_parent(commits_rows: DataFrame, parents: DataFrame, commit_col: str, out: str) -> DataFrame:
@@ -155,7 +151,7 @@ def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFram
     r = validate(bind(requests, PICK_PARAMS),
                  [rule_required("repository"), rule_required("branch"), rule_required("commit_ref"), rule_positive("date")])
     r = resolve_refs(r, refs, commits, ref="commit_ref", out="target_commit", kind="target_kind")
-    r = r.join(refs.select("repository", "branch", F.col("commit_id").alias("dest_commit")),
+    r = r.drop("hidden").join(refs.select("repository", "branch", F.col("commit_id").alias("dest_commit"), "hidden"),
                ["repository", "branch"], "left")
     r = _first_parent(r, parents, "target_commit", "parent_commit")
     r = L.head_range(r, commits, "target_commit", out="target_range")
@@ -197,18 +193,12 @@ def _single_commit_merge(requests: DataFrame, refs: DataFrame, commits: DataFram
              .drop("_merged_range", "_is_first", "target_kind"))
 
 
-def single_commit_deltas(outcomes: DataFrame, entries: DataFrame) -> dict[str, DataFrame]:
+def single_commit_deltas(outcomes: DataFrame, entries: DataFrame, listings: DataFrame | None = None) -> dict[str, DataFrame]:
     """State deltas of revert / cherry-pick outcomes: a one-parent commit on
-    the branch, the branch moved to it, and the new listing's entries."""
-    done = outcomes.where(F.col("outcome").isin(O.REVERTED, O.PICKED))
-    commits = done.select(
-        "repository", "commit_id", "committer", "message", "meta_range_id",
-        F.create_map().cast("map<string,string>").alias("metadata"),
-        F.timestamp_add("SECOND", F.col("creation_seconds"),
-                        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias("creation_date"),
-        F.lit(1).alias("version"), "generation", F.array("dest_commit").alias("parents"))
-    refs = done.select("repository", "branch", "commit_id")
-    return {"commits": commits, "refs": refs, "entries": L.merged_listing(done, entries)}
+    the branch, the branch moved to it, and the new listing."""
+    done = (outcomes.where(F.col("outcome").isin(O.REVERTED, O.PICKED))
+            .withColumn("metadata", F.create_map().cast("map<string,string>")))
+    return commit_delta(done, "branch", F.array("dest_commit"), L.merged_listing(done, entries, listings))
 
 
 def revert_commit(requests, refs, commits, parents, entries, listings=None) -> DataFrame:

@@ -137,17 +137,31 @@ def put_objects(requests: DataFrame, refs, commits, entries, staging) -> DataFra
              .drop("ref", "_kind", "_visible_ck", "_first"))
 
 
-def put_deltas(outcomes: DataFrame, contents: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Staging rows for stored uploads and content rows not stored yet
-    (once per checksum; append them, partitioned by checksum prefix)."""
+def _after_stored(staged: DataFrame, staging: DataFrame | None) -> DataFrame:
+    """Batch rows numbered after all stored ones of their branch, so that a
+    batch whose ``seq`` starts again at 1 does not lose to older changes."""
+    if staging is None:
+        return staged
+    last = staging.groupBy("repository", "branch").agg(F.max("seq").alias("_last"))
+    return (staged.join(last, ["repository", "branch"], "left")
+            .withColumn("seq", F.col("seq") + F.greatest(F.coalesce("_last", F.lit(0)), F.lit(0))).drop("_last"))
+
+
+def put_deltas(outcomes: DataFrame, contents: DataFrame | None = None,
+               staging: DataFrame | None = None) -> dict[str, DataFrame]:
+    """``staged`` rows for stored uploads (after those of ``staging``) and content
+    rows not stored yet (once per checksum; append them, partitioned by
+    checksum prefix).  Checksums are decided on first, then the bytes of the
+    chosen requests are picked by ``seq``."""
     stored = outcomes.where(F.col("outcome") == O.STORED)
     staged = stored.select("repository", "branch", "path", F.lit("put").alias("op"),
                            F.col("checksum").alias("physical_address"), "checksum", "size_bytes", "seq")
-    new_contents = stored.select("checksum", "content").dropDuplicates(["checksum"])
+    chosen = stored.groupBy("checksum").agg(F.min("seq").alias("seq"))
     if contents is not None:
-        new_contents = new_contents.join(contents.select("checksum"), "checksum", "left_anti")
-    new_contents = new_contents.withColumn("prefix", content_prefix(F.col("checksum")))
-    return {"staging": staged, "contents": new_contents}
+        chosen = chosen.join(contents.select("checksum"), "checksum", "left_anti")
+    new_contents = (stored.select("seq", "content").join(chosen, "seq")
+                    .select("checksum", "content", content_prefix(F.col("checksum")).alias("prefix")))
+    return {"staged": _after_stored(staged, staging), "contents": new_contents}
 
 
 def _mutation_requests(requests: DataFrame, extra: list[Param]) -> DataFrame:
@@ -186,8 +200,8 @@ def copy_objects(requests: DataFrame, refs, commits, entries, staging) -> DataFr
     return r.withColumn("outcome", outcome).withColumn("ok", O.ok_col()).drop("ref")
 
 
-def mutation_deltas(outcomes: DataFrame) -> DataFrame:
-    """Staging rows of ``delete_objects`` / ``copy_objects`` outcomes: a
+def mutation_deltas(outcomes: DataFrame, staging: DataFrame | None = None) -> DataFrame:
+    """Staging rows (after those of ``staging``) of ``delete_objects`` / ``copy_objects`` outcomes: a
     'delete' per deleted path, a 'put' at ``dest_path`` with the source's
     address (no bytes move) per copy."""
     deleted = outcomes.where(F.col("outcome") == O.DELETED).select(
@@ -195,11 +209,11 @@ def mutation_deltas(outcomes: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("physical_address"), F.lit(None).cast("string").alias("checksum"),
         F.lit(None).cast("long").alias("size_bytes"), "seq")
     if "dest_path" not in outcomes.columns:
-        return deleted
+        return _after_stored(deleted, staging)
     copied = outcomes.where(F.col("outcome") == O.COPIED).select(
         "repository", "branch", F.col("dest_path").alias("path"), F.lit("put").alias("op"),
         "physical_address", "checksum", "size_bytes", "seq")
-    return deleted.unionByName(copied)
+    return _after_stored(deleted.unionByName(copied), staging)
 
 
 def reset_branch(staging: DataFrame, requests: DataFrame) -> DataFrame:
@@ -208,8 +222,10 @@ def reset_branch(staging: DataFrame, requests: DataFrame) -> DataFrame:
     req = requests.select("repository", "branch",
                           F.coalesce(F.col("prefix"), F.lit("")).alias("_prefix")
                           if "prefix" in requests.columns else F.lit("").alias("_prefix"))
-    hit = staging.join(req, ["repository", "branch"]).where(F.col("path").startswith(F.col("_prefix")))
-    return staging.join(hit.select(*PKEY, "seq"), [*PKEY, "seq"], "left_anti")
+    req = small_side(req).alias("q")
+    return staging.alias("s").join(
+        req, (F.col("s.repository") == F.col("q.repository")) & (F.col("s.branch") == F.col("q.branch"))
+        & F.col("s.path").startswith(F.col("q._prefix")), "left_anti")
 
 
 def list_objects(view: DataFrame, prefix: str = "", delimiter: str | None = "/",

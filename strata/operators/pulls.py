@@ -182,7 +182,7 @@ def merge_pull_requests(requests: DataFrame, prs: DataFrame, refs: DataFrame, co
 
 
 MERGE_FIELDS = ["outcome", "commit_id", "committer", "message", "metadata", "meta_range_id", "generation", "creation_seconds",
-                "dest_commit", "source_commit", "base_range", "source_range", "dest_range", "force", "destination_branch"]
+                "hidden", "dest_commit", "source_commit", "base_range", "source_range", "dest_range", "force", "destination_branch"]
 
 
 def merge_pr_deltas(outcomes: DataFrame, entries: DataFrame, listings: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -199,6 +199,7 @@ def apply_pr_outcomes(prs: DataFrame, outcomes: DataFrame) -> DataFrame:
     fields = [c for c in ("status", "title", "description", "merged_commit_id", "closed_date") if c in done.columns]
     last = (done.groupBy(*PKEY).agg(F.max_by(F.struct(*fields), F.col("seq")).alias("_n"))
                 .select(*PKEY, *[F.col(f"_n.{c}").alias(f"_new_{c}") for c in fields]))
+    # closing sets the closed date (the request's, if it has one), reopening clears it
     j = prs.join(last, PKEY, "left")
     for c in fields:
         j = j.withColumn(c, F.when(F.col("_new_status").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)))

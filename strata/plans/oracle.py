@@ -138,13 +138,13 @@ ORACLE["bind_validate"] = with_fixtures(f"""
 SELECT seq, repository, op, branch, source, coalesce(TRY_CAST(force_text AS BOOLEAN), false) AS force, ignore_exists,
        TRY_CAST(date_text AS BIGINT) AS date, coalesce(TRY_CAST(amount_text AS INTEGER), 1) AS amount, error_code,
        error_code IS NULL AS valid
-FROM (SELECT *, CASE WHEN repository IS NULL OR trim(repository) = '' THEN 'empty:repository'
+FROM (SELECT *, CASE WHEN TRY_CAST(force_text AS BOOLEAN) IS NULL THEN 'bad_type:force'
+                     WHEN TRY_CAST(date_text AS BIGINT) IS NULL THEN 'bad_type:date'
+                     WHEN TRY_CAST(amount_text AS INTEGER) IS NULL THEN 'bad_type:amount'
+                     WHEN repository IS NULL OR trim(repository) = '' THEN 'empty:repository'
                      WHEN branch IS NULL THEN 'empty:branch'
                      WHEN TRY_CAST(date_text AS BIGINT) <= 0 THEN 'not_positive:date'
-                     WHEN coalesce(TRY_CAST(amount_text AS INTEGER), 1) <= 0 THEN 'not_positive:amount'
-                     WHEN TRY_CAST(force_text AS BOOLEAN) IS NULL THEN 'bad_type:force'
-                     WHEN TRY_CAST(date_text AS BIGINT) IS NULL THEN 'bad_type:date'
-                     WHEN TRY_CAST(amount_text AS INTEGER) IS NULL THEN 'bad_type:amount' END AS error_code
+                     WHEN TRY_CAST(amount_text AS INTEGER) <= 0 THEN 'not_positive:amount' END AS error_code
       FROM (SELECT seq, repository, op,
                    CASE WHEN seq % 23 = 0 THEN 'feature/x' WHEN seq % 29 = 0 THEN '_tmp' ELSE {blank('branch')} END AS branch,
                    coalesce({blank('source')}, 'main') AS source,
@@ -218,7 +218,7 @@ o AS (SELECT v.*, CASE WHEN error_code IS NOT NULL THEN 'invalid'
 SELECT seq, repository, branch, force, outcome, outcome IN {OK_CODES} AS ok,
        CASE WHEN outcome = 'deleted' THEN head END AS commit_id FROM o""", "fx_requests", "fx_refs", "fx_commits")
 
-ORACLE["apply_ref_log"] = with_fixtures(f"""
+REF_LOG = f"""
 WITH q AS (SELECT seq, repository, op, {blank('branch')} AS branch, coalesce({blank('source')}, 'main') AS source,
                   seq % 3 = 0 AS force, seq % 2 = 0 AS ignore_exists
            FROM fx_requests WHERE op IN ('create', 'delete')),
@@ -240,10 +240,21 @@ o AS (SELECT p.*, CASE WHEN op = 'create' THEN
                          WHEN force THEN 'overwritten'
                          WHEN ignore_exists THEN 'ignored' ELSE 'branch_exists' END
                   ELSE CASE WHEN error_code IS NOT NULL THEN 'invalid'
-                            WHEN exists_before THEN 'deleted' ELSE 'branch_not_found' END END AS outcome FROM p)
+                            WHEN exists_before THEN 'deleted' ELSE 'branch_not_found' END END AS outcome FROM p)"""
+
+ORACLE["apply_ref_log"] = with_fixtures(f"""{REF_LOG}
 SELECT seq, repository, op, branch, outcome, outcome IN {OK_CODES} AS ok, exists_before FROM o""",
                                         "fx_requests", "fx_refs", "fx_commits")
 
+ORACLE["ref_log_state"] = with_fixtures(f"""{REF_LOG},
+l AS (SELECT repository, branch, outcome, source_commit, seq % 11 = 0 AS hidden FROM o
+      WHERE outcome IN ('created', 'overwritten', 'deleted')
+      QUALIFY row_number() OVER (PARTITION BY repository, branch ORDER BY seq DESC) = 1)
+SELECT repository, branch, commit_id, hidden FROM fx_refs r
+WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.repository = r.repository AND l.branch = r.branch)
+UNION ALL SELECT repository, branch, source_commit, hidden FROM l WHERE outcome <> 'deleted'""",
+                                        "fx_requests", "fx_refs", "fx_commits")
+
 ORACLE["fetch_branches"] = with_fixtures(f"""
 WITH q AS (SELECT seq, repository, {blank('branch')} AS branch FROM fx_requests WHERE op = 'fetch'),
 v AS (SELECT q.*, {BRANCH_ERR} AS error_code, r.commit_id, r.hidden
@@ -434,7 +445,7 @@ def lane_delta_sql(i: int, path: str, old: str, new: str) -> str:
             f" - CASE WHEN {old} IS NOT NULL THEN {lane_sql(i, path, old)} ELSE 0 END)")
 
 
-ORACLE["commit_branches"] = with_fixtures(f"""
+COMMITS = f"""
 WITH q AS (SELECT seq, repository, CASE WHEN trim(b) = '' THEN NULL ELSE b END AS branch,
                   concat('commit ', seq) AS message, 'unknown' AS committer,
                   CAST(epoch_ms(ts) // 1000 AS BIGINT) AS date, seq % 3 = 0 AS force, seq % 4 = 0 AS allow_empty,
@@ -470,7 +481,9 @@ o0 AS (SELECT v2.*, CAST(coalesce(d.n_changes, 0) AS BIGINT) AS n_changes,
       FROM v2 LEFT JOIN delta d USING (repository, branch) LEFT JOIN stats s USING (repository, base_range)),
 f AS (SELECT repository, branch, min(seq) AS first_seq FROM o0 WHERE no IS NULL GROUP BY 1, 2),
 o AS (SELECT o0.*, coalesce(no, CASE WHEN seq = first_seq THEN 'committed' ELSE 'retry_next_batch' END) AS outcome
-      FROM o0 LEFT JOIN f USING (repository, branch))
+      FROM o0 LEFT JOIN f USING (repository, branch))"""
+
+ORACLE["commit_branches"] = with_fixtures(f"""{COMMITS}
 SELECT seq, repository, branch, outcome, outcome IN {OK_CODES} AS ok, head, n_changes,
        CASE WHEN outcome = 'committed' THEN new_range END AS meta_range_id,
        CAST(CASE WHEN outcome = 'committed' THEN head_generation + 1 END AS BIGINT) AS generation,
@@ -478,6 +491,20 @@ SELECT seq, repository, branch, outcome, outcome IN {OK_CODES} AS ok, head, n_ch
                                                               CAST(date AS VARCHAR), metadata_text)) END AS commit_id
 FROM o""", "fx_requests", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
 
+ORACLE["commit_then_commit"] = with_fixtures(f"""{COMMITS},
+one AS (SELECT repository, branch, head_generation + 2 AS generation, new_range,
+               sha256(concat_ws('|', repository, head, new_range, committer, message, CAST(date AS VARCHAR), metadata_text)) AS head
+        FROM o WHERE outcome = 'committed'),
+now AS (SELECT b.repository, b.branch, b.path, b.checksum FROM base b JOIN one USING (repository, branch)
+        WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.repository = b.repository AND l.branch = b.branch AND l.path = b.path)
+        UNION ALL SELECT l.repository, l.branch, l.path, l.checksum FROM last l JOIN one USING (repository, branch) WHERE l.op = 'put'),
+ids AS (SELECT repository, branch, count(*) AS n_entries,
+               {listing_id_sql('sum(' + lane_sql(0, 'path', 'checksum') + ')', 'sum(' + lane_sql(1, 'path', 'checksum') + ')', 'count(*)')} AS listing_id
+        FROM now GROUP BY 1, 2)
+SELECT one.repository, one.branch, head, 'committed' AS outcome, new_range AS meta_range_id, CAST(generation AS BIGINT) AS generation,
+       sha256(concat_ws('|', one.repository, head, new_range, 'unknown', 'again', '1700000000', '')) AS commit_id, n_entries, listing_id
+FROM one LEFT JOIN ids USING (repository, branch)""", "fx_requests", "fx_refs", "fx_commits", "fx_entries", "fx_staging")
+
 # --------------------------------------------------------------- merges ------
 def tw_summary_sql(triples: str = "triples") -> str:
     """CTEs tsides/tw/tw_sum: per-triple class counts and source-side lane deltas."""

@@ -22,6 +22,7 @@ from strata.operators import merge as MG
 from strata.operators import objects as OB
 from strata.operators import pulls as PR
 from strata.operators import refs as R
+from strata.operators import state as STATE
 from strata.operators import wait as WT
 from strata.session import scratch_path
 from strata.sources.fixtures import Fixtures, observations_from
@@ -255,6 +256,37 @@ def q_commit_branches(spark, sf_dir):
                       "meta_range_id", "generation", "commit_id")
 
 
+@query
+def q_ref_log_state(spark, sf_dir):
+    """Refs after a batch of interleaved creates and deletes."""
+    fx = Fixtures(spark, sf_dir)
+    s = F.col("seq")
+    req = fx.requests_where_op("create", "delete").select(
+        "seq", "repository", "op", "branch", "source", (s % 3 == 0).alias("force"),
+        (s % 2 == 0).alias("ignore_exists"), (s % 11 == 0).alias("hidden"))
+    return R.refs_after_log(R.apply_ref_log(req, fx.refs, fx.commits), fx.refs)
+
+
+@query
+def q_commit_then_commit(spark, sf_dir):
+    """Two batches on the same branches: the second reads the state after the
+    first; listing identities are made again from the raw entries."""
+    fx = Fixtures(spark, sf_dir)
+    state = {"refs": fx.refs.select("repository", "branch", "commit_id", "hidden"), "commits": fx.commits, "parents": fx.parents,
+             "entries": fx.entries, "listings": fx.listings, "staging": fx.staging}
+    out = C.commit_branches(_commit_requests(fx), fx.refs, fx.commits, fx.entries, fx.staging, listings=fx.listings)
+    deltas = {k: v.checkpoint(eager=True) for k, v in C.commit_deltas(out.checkpoint(eager=True), fx.entries, fx.staging,
+                                                                      fx.listings).items()}
+    after = STATE.apply_deltas(state, deltas)
+    again = deltas["refs"].select(F.lit(1).cast("long").alias("seq"), "repository", "branch", F.lit("again").alias("message"),
+                                  F.lit(1700000000).cast("long").alias("date"), F.lit(True).alias("allow_empty"))
+    second = C.commit_branches(again, after["refs"], after["commits"], after["entries"], after["staging"],
+                               listings=after["listings"])
+    ids = L.listing_identity(L.listing_stats(after["entries"], second.select("repository", "meta_range_id")))
+    return (second.join(ids.select("repository", "meta_range_id", "n_entries", "listing_id"), ["repository", "meta_range_id"], "left")
+            .select("repository", "branch", "head", "outcome", "meta_range_id", "generation", "commit_id", "n_entries", "listing_id"))
+
+
 # --------------------------------------------------------------- merges ------
 
 
@@ -400,7 +432,7 @@ def _state_after_doc_puts(fx):
         req = fx.objects.select(F.col("doc_id").alias("seq"), "repository", F.lit("main").alias("branch"),
                                 "path", "content", F.lit(True).alias("overwrite"))
         return OB.put_deltas(OB.put_objects(req, fx.refs, fx.commits, fx.entries, fx.staging))
-    staging = fx.stored("staging_after_puts", lambda: fx.staging.unionByName(puts()["staging"]),
+    staging = fx.stored("staging_after_puts", lambda: fx.staging.unionByName(puts()["staged"]),
                         cluster_by=("path",))
     contents = fx.stored("contents", lambda: puts()["contents"], partition_by=("prefix",),
                          cluster_by=("checksum",))
@@ -519,8 +551,7 @@ def q_changed_since(spark, sf_dir):
 def q_stream_wait_commits(spark, sf_dir):
     """Events file as a stream → keyed state → parquet sink; read back."""
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    events = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir.rstrip("/")))
+    events = ST.file_stream(spark, sf_dir.rstrip("/"), schema, glob="events.parquet")
     out, ck = scratch_path(spark, "wait-out"), scratch_path(spark, "wait-ck")
     ST.run_available(ST.wait_commits_stream(observations_from(events)), out, ck)
     return spark.read.schema(ST.OUT_SCHEMA).parquet(out)

@@ -45,14 +45,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a private folder is created.  On a cluster the setting must
-    point at shared storage so checkpoints survive executor loss.
+    and Spark runs in one local process (tests) a private folder is created.
+    On a cluster the setting must name shared storage, so that checkpoints and
+    stored tables survive the loss of an executor: without it, this fails.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
     if d is None and sc_dir:
         d = sc_dir
     if d is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc_dir:

@@ -20,7 +20,7 @@ def test_bind_precedence_and_types(spark):
     v = validate(b, [rule_positive("amount"),
                      rule_allowed("status", ["open", "closed", "all"])])
     assert rows(v, "seq", "branch", "amount", "status", "error_code") == [
-        (1, "a", 5, "open", None), (2, "main", 1, "all", None), (3, "main", 1, "all", None)]
+        (1, "a", 5, "open", None), (2, "main", 1, "all", "bad_type:amount"), (3, "main", 1, "all", None)]
     b2 = bind(df, [Param("amount", "int")])
     v2 = validate(b2, [rule_required("amount")])
     assert rows(v2, "seq", "error_code") == [(1, None), (2, "bad_type:amount"), (3, "empty:amount")]
