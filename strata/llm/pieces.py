@@ -9,7 +9,7 @@ and the state before it is dropped (``Encoder.stream``).
 A boundary that no piece can cross needs no search for convergence: no piece
 holds a word's first space (written as U+2581) after another character.  So the
 text is cut there first, and the ids of such units are remembered (up to
-``Encoder.most`` of them); every new unit goes through the streaming search.
+twice ``Encoder.most`` of them); every new unit goes through the streaming search.
 
 Piece scores: this model file ranks its pieces, so a piece of rank r gets the
 Zipf log-probability -ln(r + 1); characters outside the vocabulary become byte
@@ -45,7 +45,7 @@ def model_path(name: str = MODEL) -> str:
 
 
 class Encoder:
-    most = 300_000  # remembered units
+    most = 400_000  # remembered units (of two generations each)
     long = 64       # characters of a unit that is remembered
 
     def __init__(self, path: str):
@@ -65,18 +65,20 @@ class Encoder:
             self.table[i] = p.replace(SPACE, " ").encode()
         for b, i in enumerate(self.byte):
             self.table[i] = bytes([b])
+        # remembered units, and those of the generation before
         self.known: dict[str, bytes] = {}
-        # a trie: character -> (children, ids or None, score); in it spaces are spaces
+        self.older: dict[str, bytes] = {}
+        # a trie: character -> (children, id as int32 or None, score); in it spaces are spaces
         self.trie: dict = {}
         for p, (i, gain) in self.pieces.items():
             level, p = self.trie, p.replace(SPACE, " ")
             for c in p[:-1]:
                 level = level.setdefault(c, [{}, None, 0.0])[0]
-            level.setdefault(p[-1], [{}, None, 0.0])[1:] = (i,), gain
+            level.setdefault(p[-1], [{}, None, 0.0])[1:] = i.to_bytes(4, "little"), gain
 
-    def stream(self, parts: Iterable[str]) -> Iterator[list[int]]:
-        """Ids of the best segmentation of the text that ``parts`` make up, in
-        lists as they are committed."""
+    def stream(self, parts: Iterable[str]) -> Iterator[bytes]:
+        """Ids (int32) of the best segmentation of the text that ``parts`` make
+        up, as they are committed."""
         width, window = self.max_piece, ""
         # per position of the window, from the last committed boundary on
         score, back = [0.0], [None]
@@ -110,14 +112,15 @@ class Encoder:
                 if node is None:
                     break
                 j += 1
-                level, ids, gain = node
-                if ids is not None:
-                    single = single or j == i + 1
+                level, code, gain = node
+                if code is not None:
+                    if j == i + 1:
+                        single = True
                     if here + gain > score[j] + 1e-12:
-                        score[j], back[j] = here + gain, (i, ids)
+                        score[j], back[j] = here + gain, (i, code)
             if not single and here + self.unknown > score[i + 1] + 1e-12:
                 score[i + 1] = here + self.unknown
-                back[i + 1] = (i, [self.byte[x] for x in window[i].encode("utf-8", "surrogatepass")])
+                back[i + 1] = (i, b"".join([self.byte[x].to_bytes(4, "little") for x in window[i].encode("utf-8", "surrogatepass")]))
 
     @staticmethod
     def _converged(back: list, score: list[float], at: int) -> int:
@@ -131,23 +134,27 @@ class Encoder:
         return alive.pop() if alive else 0
 
     @staticmethod
-    def _ids(back: list, to: int) -> list[int]:
-        out: list[list[int]] = []
-        while back[to] is not None:
-            to, ids = back[to]
-            out.append(ids)
-        return [i for ids in reversed(out) for i in ids]
+    def _ids(back: list, to: int) -> bytes:
+        out = []
+        while to:
+            to, code = back[to]
+            out.append(code)
+        out.reverse()
+        return b"".join(out)
 
     def unit(self, text: str) -> bytes:
         """Ids (int32) of one unit."""
-        found = self.known.get(text)
+        found = self.known.get(text) or self.older.get(text)
         if found is None:
-            parts = [text[i:i + 4096] for i in range(0, len(text), 4096)] if len(text) > 4096 else (text,)
-            found = b"".join(np.array(ids, np.int32).tobytes() for ids in self.stream(parts))
-            if len(text) <= self.long:
-                if len(self.known) >= self.most:
-                    self.known.clear()
-                self.known[text] = found
+            if len(text) > self.long:
+                return b"".join(self.stream(text[i:i + 4096] for i in range(0, len(text), 4096)))
+            # a short unit ends before the window is full: nothing to commit on the way
+            score, back = [0.0], [None]
+            self._extend(text, score, back, 0, len(text))
+            found = self._ids(back, len(text))
+        if len(self.known) >= self.most:
+            self.older, self.known = self.known, {}
+        self.known[text] = found
         return found
 
     def encode(self, text: str) -> bytes:
