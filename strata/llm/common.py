@@ -40,8 +40,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _clean() -> None:
-    for spark, path in _written:
+def written() -> int:
+    """How many tables ``stored`` has written so far."""
+    return len(_written)
+
+
+def release(tables: list[tuple[SparkSession, str]]) -> None:
+    """Removes stored tables that nothing reads any more."""
+    for spark, path in tables:
         try:
             jvm = spark._jvm
             where = jvm.org.apache.hadoop.fs.Path(path)
@@ -50,6 +56,14 @@ def _clean() -> None:
             return
 
 
+def tables_since(count: int) -> list[tuple[SparkSession, str]]:
+    return _written[count:]
+
+
+def _clean() -> None:
+    release(_written)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -87,7 +101,7 @@ def with_member_flag(df: DataFrame, key: str, pages: DataFrame, out: str,
 # --- text in Arrow batches --------------------------------------------------
 
 def slices(batches: Iterator[pa.RecordBatch], column: str,
-           limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+           limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of about ``limit`` bytes of ``column`` (a
     longer text is a slice of its own), to bound the memory of array work."""
     for batch in batches:
@@ -263,6 +277,7 @@ def reduced(packed: DataFrame, reduce, schema: str) -> DataFrame:
                 held.setdefault(part, {}).setdefault(kind, []).append(data)
         for part in sorted(held):
             yield from reduce(part, held.pop(part))
+        trim()
 
     return packed.repartition(partitions(packed.sparkSession), "part").mapInArrow(run, schema)
 
@@ -339,7 +354,7 @@ def passed_on(part: int, blocks: list[bytes], kind: int = 0) -> Iterator[pa.Reco
 class Held:
     """Entries of a map task, handed to ``send`` when many or at the end."""
 
-    def __init__(self, send, limit: int = 3_000_000):
+    def __init__(self, send, limit: int = 800_000):
         self.send, self.limit, self.rows, self.size = send, limit, [], 0
 
     def add(self, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -353,6 +368,19 @@ class Held:
             arrays = [np.concatenate(a) for a in zip(*self.rows, strict=True)]
             self.rows, self.size = [], 0
             yield from self.send(*arrays)
+            del arrays
+            trim()
+
+
+def trim() -> None:
+    """Gives freed memory back to the system: Python workers live as long as
+    their executor, and each stage would otherwise keep the peak of the last."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
 
 
 def runs(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

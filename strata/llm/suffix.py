@@ -6,17 +6,17 @@ or more, never across documents) are found in these steps:
 1. Texts are cut into phrases at winnowed anchors: every window of ``length``
    bytes has the anchor with the smallest hash of its ``k``-byte grams, so equal
    windows have equal anchors.  Anchors that occur only once cannot lie in a
-   repeat; documents keep their shared anchors as strings of phrase names.
-2. ``suffix_order`` sorts all suffixes of these strings with the difference
-   cover {1, 2} mod 3: sampled triples are sorted and named, the strings of
-   names are sorted by recursion, and the remaining suffixes are merged in by
-   their first symbol and the rank that follows it.
+   repeat; runs of shared anchors are segments, strings of phrase names.  Equal
+   segments are kept once, with the number of places that they have.
+2. ``suffix_order`` sorts all suffixes of the segments with the difference cover
+   {1, 2} mod 3: sampled triples are sorted and named, the strings of names are
+   sorted by recursion, and the remaining suffixes are merged in by their first
+   symbol and the rank that follows it.
 3. Prefixes of adjacent suffixes are compared: what they share is a repeat,
-   known to whole phrases.
+   known to whole phrases (and a segment with several places is one to its end).
 4. Only the windows that this leaves open (where a repeat ends inside a phrase)
    are compared byte by byte: by the hash of the whole window with the open
-   windows and with those of one representative of each class of adjacent equal
-   suffixes (equal phrases to the right, equal bytes to the left).
+   windows and with those of one place of each segment.
 
 Memory: a task holds parts of bounded size; names, ranks and order are made by
 range-partitioned sorts; of anchors and windows that are frequent in a task one
@@ -62,8 +62,8 @@ from strata.llm.common import (
 )
 
 LENGTH, GRAM = 200, 32
-STEP = 1 << 20  # window starts that are handled at once
-PHRASE = [np.uint64, np.int64, np.int64, np.int32, np.int32, np.uint64, np.uint64]  # gram, id, salt, place, gap, name, left
+STEP = 1 << 18  # window starts that are handled at once
+PHRASE = [np.uint64, np.int64, np.int64, np.int32, np.int32, np.uint64]  # gram, id, salt, place, gap, name
 ENTRY = [np.uint64, np.int64, np.int64, np.int32, np.int8]                         # window, id, salt, place, asks
 _NONE = -(1 << 63)
 
@@ -116,7 +116,7 @@ def _phrases(parts: int, length: int, k: int):
         yield from packed_rows(parts, arrays[0][sent], [a[sent] for a in arrays])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Held(send, 1_000_000)
+        held = Held(send, 400_000)
         for batch in slices(batches, "text"):
             raw, ends = text_bytes(batch["text"])
             found, owners = [], []
@@ -137,10 +137,8 @@ def _phrases(parts: int, length: int, k: int):
             # no other text has the phrase after a text's last anchor
             own = mixed(ords.view(np.uint64) ^ mixed(salts.view(np.uint64) + at.astype(np.uint64)))
             name = np.where(last, name ^ own, name)
-            left = np.maximum(begin, at - (length - k))
-            lefts = word_hashes(raw, left, at + 1)
             yield from held.add(word_hashes(raw, at, at + k), ords, salts, (at - begin).astype(np.int32),
-                                gap.astype(np.int32), name, lefts)
+                                gap.astype(np.int32), name)
         yield from held.flush()
     return run
 
@@ -158,21 +156,33 @@ def _shared_phrases(part: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.Re
     yield from packed_rows(_shared_phrases.parts, mixed(arrays[1].view(np.uint64)), arrays)
 
 
-def _strings(part: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
-    """The shared anchors of each document as one row."""
-    _, ords, salts, at, gap, name, left = unpacked([b for bs in blocks.values() for b in bs], PHRASE)
+def _segments(part: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+    """The runs of shared anchors of the documents: one row per run, without
+    its last anchor, whose phrase has no other place."""
+    _, ords, salts, at, gap, name = unpacked([b for bs in blocks.values() for b in bs], PHRASE)
     order = np.lexsort((at, salts, ords))
-    ords, salts, at, gap, name, left = (a[order] for a in (ords, salts, at, gap, name, left))
+    ords, salts, at, gap, name = (a[order] for a in (ords, salts, at, gap, name))
     keep = np.ones(len(ords), bool)
     keep[1:] = (ords[1:] != ords[:-1]) | (salts[1:] != salts[:-1]) | (at[1:] != at[:-1])
-    ords, salts, at, gap, name, left = (a[keep] for a in (ords, salts, at, gap, name, left))
+    ords, salts, at, gap, name = (a[keep] for a in (ords, salts, at, gap, name))
     if not len(ords):
         return
-    new = np.append(True, (ords[1:] != ords[:-1]) | (salts[1:] != salts[:-1]))
-    offsets = pa.array(np.append(np.flatnonzero(new), len(ords)).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(a)) for a in (at, gap, name.view(np.int64), left.view(np.int64))]
-    yield pa.RecordBatch.from_arrays([pa.array(ords[new]), pa.array(salts[new]), *lists],
-                                     ["_ord", "_salt", "at", "gap", "name", "lefts"])
+    ends = np.append((ords[1:] != ords[:-1]) | (salts[1:] != salts[:-1]) | (at[:-1] + gap[:-1] != at[1:]), True)
+    new = np.append(True, ends[:-1])
+    run = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    # the name of a run: a hash of its names in order, and of how many they are
+    count = np.bincount(run) - 1
+    weight = mixed((np.arange(len(run)) - first[run]).astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D))
+    sums = np.zeros(len(first), np.uint64)
+    inner = ~ends
+    np.add.at(sums, run[inner], mixed(name[inner] ^ weight[inner]))
+    segment = mixed(sums + mixed(count.astype(np.uint64))).view(np.int64)
+    offsets = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(a[inner])) for a in (gap, name.view(np.int64))]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(segment), pa.array(ords[first]), pa.array(salts[first]), pa.array(at[first]), pa.array(count.astype(np.int32)), *lists],
+        ["segment", "_ord", "_salt", "at", "size", "gap", "name"])
 
 
 # --- the difference cover ----------------------------------------------------
@@ -268,16 +278,16 @@ def suffix_order(strings: DataFrame, carried: list[str] = (), depth: int = 40, n
 # --- the repeats ---------------------------------------------------------------
 
 def _prefixes(reach: int):
-    """For each suffix of a document's string: id, salt, place, left, and the
-    hashes of its prefixes of 1, 2, .. phrases up to ``reach`` bytes, each with
-    the bytes that it covers in the low 16 bits."""
+    """For each suffix of a segment: its rank and the hashes of its prefixes of
+    1, 2, .. phrases up to ``reach`` bytes, each with the bytes that it covers in
+    the low 16 bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends = batch["at"].offsets.to_numpy()
+            ends = batch["gap"].offsets.to_numpy().astype(np.int64)
+            ends = ends - ends[0]
             n = len(ends) - 1
             gap = batch["gap"].flatten().to_numpy().astype(np.int64)
             name = batch["name"].flatten().to_numpy().view(np.uint64)
-            ends = ends - ends[0]
             owner = np.repeat(np.arange(n), np.diff(ends))
             stop = ends[1:][owner]
             chain, covered = np.zeros(len(name), np.uint64), np.zeros(len(name), np.int64)
@@ -294,23 +304,21 @@ def _prefixes(reach: int):
             offsets = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(name)))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch["sid"].take(pa.array(owner)), pa.array((np.arange(len(name)) - ends[:-1][owner]).astype(np.int32)),
-                 batch["_ord"].take(pa.array(owner)), batch["_salt"].take(pa.array(owner)),
-                 pa.array(batch["at"].flatten().to_numpy()), pa.array(batch["lefts"].flatten().to_numpy()),
+                 pa.array(batch["ranks"].flatten().to_numpy()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[order].view(np.int64)))],
-                ["sid", "i", "_ord", "_salt", "at", "left", "pre"])
+                ["sid", "i", "rank", "pre"])
     return run
 
 
 def _adjacent(k: int):
     """Compares the prefixes of adjacent suffixes in sorted partitions: per
-    suffix the bytes that it shares with a neighbour, and whether it represents
-    its class (equal prefixes, equal bytes to the left)."""
+    suffix the bytes that it shares with a neighbour."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if rows is None or not len(rows):
+        batches = [b for b in batches if len(b)]
+        if not batches:
             return
-        rows = rows.combine_chunks()
-        pre = rows["pre"].chunk(0)
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        pre = rows["pre"].combine_chunks()
         ends = pre.offsets.to_numpy().astype(np.int64)
         keys = pre.values.to_numpy()
         size, n = np.diff(ends), len(rows)
@@ -323,15 +331,34 @@ def _adjacent(k: int):
             d += 1
         most = np.maximum(np.append(shared, 0), np.append(0, shared))
         cover = np.where(most > 0, (keys[ends[:-1] + np.maximum(most, 1) - 1] & 0xFFFF) + k, 0)
-        same = np.append(False, (shared == size[:-1]) & (shared == size[1:]))
-        group = np.cumsum(~same)
-        left = rows["left"].to_numpy()
-        order = np.lexsort((left, group))
-        lead = np.ones(n, bool)
-        lead[order[1:]] = (group[order][1:] != group[order][:-1]) | (left[order][1:] != left[order][:-1])
-        yield pa.RecordBatch.from_arrays(
-            [rows["_ord"].combine_chunks(), rows["_salt"].combine_chunks(), rows["at"].combine_chunks(),
-             pa.array(cover.astype(np.int32)), pa.array(lead)], ["_ord", "_salt", "at", "cover", "lead"])
+        yield pa.RecordBatch.from_arrays([rows["sid"].combine_chunks(), rows["i"].combine_chunks(),
+                                          pa.array(cover.astype(np.int32))], ["sid", "i", "cover"])
+    return run
+
+
+def _marks(k: int):
+    """The marks of each place of a segment, its last anchor included: the
+    bytes repeated from there on, and whether its closed windows are sent.
+    Closed windows start at or after the segment's first anchor and end with
+    its last gram, so they are the same in all its places, and one sends them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for at, gap, cover, n, head in zip(batch["at"].to_numpy(), batch["gap"], batch["covers"], batch["n"].to_numpy(),
+                                               batch["head"].to_pylist(), strict=True):
+                g = gap.values.to_numpy().astype(np.int64) if len(gap.values) else np.zeros(0, np.int64)
+                place = np.append(0, np.cumsum(g))
+                c = np.append(cover.values.to_numpy(), 0) if len(g) else np.zeros(1, np.int64)
+                if n > 1:
+                    c = np.maximum(c, place[-1] - place + k)
+                out.append((at + place, c, np.full(len(c), head)))
+            size = np.array([len(x) for x, _, _ in out])
+            offsets = pa.array(np.append(0, np.cumsum(size)).astype(np.int32))
+            at, cover, lead = (np.concatenate([o[i] for o in out]) if out else np.zeros(0) for i in range(3))
+            marks = pa.StructArray.from_arrays([pa.array(at.astype(np.int32)), pa.array(cover.astype(np.int32)), pa.array(lead.astype(bool))],
+                                               ["at", "cover", "lead"])
+            yield pa.RecordBatch.from_arrays([batch["_ord"], batch["_salt"], pa.ListArray.from_arrays(offsets, marks)],
+                                             ["_ord", "_salt", "marks"])
     return run
 
 
@@ -350,7 +377,7 @@ def _open_windows(parts: int, length: int, k: int):
         yield from packed_rows(parts, h[sent], [h[sent], where[0], where[1], where[2].astype(np.int32), asks[sent].astype(np.int8)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Held(send, 2_000_000)
+        held = Held(send)
         for batch in slices(batches, "text"):
             raw, ends = text_bytes(batch["text"])
             marks = batch["marks"]
@@ -409,16 +436,27 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     rows = keyed(docs, id_col, text_col)
     parts = parts_of(docs)
     shared = reduced(rows.mapInArrow(_phrases(parts, length, k), PACKED), _with_parts(_shared_phrases, parts), PACKED)
-    strings = reduced(shared, _strings, "_ord long, _salt long, at array<int>, gap array<int>, name array<long>, lefts array<long>")
-    strings = stored(strings.withColumn("sid", F.monotonically_increasing_id()), "phrase-strings")
-    order = suffix_order(strings, depth=depth, name="name")
+    places = stored(reduced(shared, _segments, "segment long, _ord long, _salt long, at int, size int, gap array<int>, name array<long>"),
+                    "segment-places")
+    head = F.min(F.struct("_ord", "_salt", "at"))
+    distinct = stored(places.groupBy("segment").agg(F.first("gap").alias("gap"), F.first("name").alias("name"), F.count("*").alias("n"),
+                                                    head.alias("head"))
+                      .withColumn("sid", F.monotonically_increasing_id()), "segments")
+    order = suffix_order(distinct.filter(F.size("name") > 0), depth=depth, name="name")
+    ranks = order.groupBy("sid").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "rank"))), lambda x: x["rank"]).alias("ranks"))
     reach = 2 * length - k + 1  # a window's anchor lies at most length - k bytes after its start
-    suffixes = strings.mapInArrow(_prefixes(reach), "sid long, i int, _ord long, _salt long, at int, left long, pre array<long>")
-    ranked = suffixes.join(order, ["sid", "i"]).drop("sid", "i")
+    suffixes = (distinct.select("sid", "gap", "name").join(ranks, "sid")
+                .mapInArrow(_prefixes(reach), "sid long, i int, rank long, pre array<long>"))
     n = partitions(docs.sparkSession)
-    compared = (ranked.repartitionByRange(n, "rank").sortWithinPartitions("rank")
-                .mapInArrow(_adjacent(k), "_ord long, _salt long, at int, cover int, lead boolean"))
-    marks = stored(compared.groupBy("_ord", "_salt").agg(F.sort_array(F.collect_list(F.struct("at", "cover", "lead"))).alias("marks")), "marks")
+    compared = (suffixes.repartitionByRange(n, "rank").sortWithinPartitions("rank")
+                .mapInArrow(_adjacent(k), "sid long, i int, cover int"))
+    covers = compared.groupBy("sid").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "cover"))), lambda x: x["cover"]).alias("covers"))
+    known = stored(distinct.select("sid", "segment", "n", "head").join(covers, "sid", "left").drop("sid"), "segment-covers")
+    marked = (places.select("segment", "_ord", "_salt", "at", "gap").join(known, "segment")
+              .withColumn("head", F.struct("_ord", "_salt", "at") == F.col("head"))
+              .select("_ord", "_salt", "at", "gap", F.coalesce("covers", F.array().cast("array<int>")).alias("covers"), "n", "head")
+              .mapInArrow(_marks(k), "_ord long, _salt long, marks array<struct<at: int, cover: int, lead: boolean>>"))
+    marks = stored(marked.groupBy("_ord", "_salt").agg(F.flatten(F.collect_list("marks")).alias("marks")), "marks")
     opened = with_answers(rows, marks, only=True).mapInArrow(_open_windows(parts, length, k), PACKED)
     more = by_document(reduced(opened, _with_parts(_repeated_windows, parts), PACKED)).drop("flags")
     return with_answers(rows, marks.join(more, ["_ord", "_salt"], "left"), only=False)
