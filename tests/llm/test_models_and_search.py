@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import pieces, quality, token_counts, topk
+from strata.llm.common import stored
 from strata.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -176,7 +177,7 @@ def test_top_k_beyond_doubles(spark):
 def test_pipeline_stages(spark, rng):
     docs = odd_documents(spark, near_copies(rng, 40))
     for name, stage in corpus_pipeline.STAGES[1:]:
-        out = stage(spark, docs, SF)
+        out = stored(stage(spark, docs, SF), "stage-test")
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == docs.columns
             docs = out
