@@ -52,7 +52,6 @@ from strata.llm.common import (
     parts_of,
     passed_on,
     reduced,
-    runs,
     slices,
     stored,
     text_bytes,
