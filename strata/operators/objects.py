@@ -269,7 +269,8 @@ def symlink_manifest(view: DataFrame) -> DataFrame:
 
 
 def write_symlinks(view: DataFrame, location: str, num_partitions: int | None = None) -> str:
-    """One output directory per listing directory (``dir=<escaped>``) whose
+    """One output directory per repository, branch and listing directory
+    (``dir=<escaped>``; the view's own columns) whose
     text files list physical addresses ordered by path.
 
     Range partitioning on (dir, path) splits a huge directory over several
@@ -277,12 +278,31 @@ def write_symlinks(view: DataFrame, location: str, num_partitions: int | None =
     directory never lands in one task; no global sort."""
     n = num_partitions or int(view.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     addr = [F.col(c) for c in ("physical_address", "checksum") if c in view.columns]
-    rows = view.select(_dir_of(F.col("path")).alias("dir"), "path", F.coalesce(*addr).alias("value"))
-    (rows.repartitionByRange(n, "dir", "path").sortWithinPartitions("dir", "path")
-         .select("dir", "value").write.mode("overwrite").partitionBy("dir").text(location))
+    keys = [*[c for c in ("repository", "branch") if c in view.columns], "dir"]
+    rows = view.withColumn("dir", _dir_of(F.col("path"))).select(*keys, "path", F.coalesce(*addr).alias("value"))
+    (rows.repartitionByRange(n, *keys, "path").sortWithinPartitions(*keys, "path")
+         .select(*keys, "value").write.mode("overwrite").partitionBy(*keys).text(location))
     return location
 
 
+def create_symlinks(requests: DataFrame, refs: DataFrame, commits: DataFrame, entries: DataFrame, staging: DataFrame,
+                    location: str) -> DataFrame:
+    """Symlink files of the requested branches, written in one job under
+    ``location``; one outcome row per request: invalid → branch_not_found →
+    created, with the ``location`` of its branch's files."""
+    r = validate(bind(requests, [Param("repository"), Param("branch")]), [rule_required("repository"), rule_required("branch")])
+    heads = refs.select("repository", "branch", F.lit(True).alias("_head"))
+    r = r.join(heads, ["repository", "branch"], "left").checkpoint(eager=True)
+    outcome = O.first_match((F.col("error_code").isNotNull(), O.INVALID),
+                            (F.col("_head").isNull(), O.BRANCH_NOT_FOUND), default=O.CREATED)
+    r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
+    wanted = r.where("ok").select("repository", "branch").distinct()
+    write_symlinks(L.branch_view(wanted, refs, commits, entries, staging), location)
+    where = F.concat_ws("/", F.lit(location), F.concat(F.lit("repository="), F.col("repository")),
+                        F.concat(F.lit("branch="), F.url_encode("branch")))
+    return r.withColumn("location", F.when(F.col("ok"), where)).drop("_head")
+
+
 def read_at_ref(view: DataFrame, prefix: str, address_to_path=None, fmt: str = "parquet",
                 **options) -> DataFrame:
     """Table form of A13: read the data files a ref shows under ``prefix``

@@ -10,6 +10,7 @@ from strata.functions.ordered import previous_value, running_sum
 from strata.functions.params import Param, bind, rule_allowed, rule_positive, rule_required, validate
 from strata.functions.render import render_ts
 from strata.operators.merge import merge_deltas, merge_refs
+from strata.operators.state import naive_time
 
 PKEY = ["repository", "id"]
 OPEN, CLOSED, MERGED, ALL = "open", "closed", "merged", "all"
@@ -206,7 +207,7 @@ def apply_pr_outcomes(prs: DataFrame, outcomes: DataFrame) -> DataFrame:
     return j.drop(*[f"_new_{c}" for c in fields])
 
 
-UPDATE_PARAMS = [Param("repository"), Param("id"), Param("title"), Param("description"), Param("status")]
+UPDATE_PARAMS = [Param("repository"), Param("id"), Param("title"), Param("description"), Param("status"), Param("date", "long")]
 UPDATE_FIELDS = ("title", "description", "status")
 
 
@@ -216,8 +217,9 @@ def update_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
     the value set by this or the last earlier successful update of the same
     PR in the batch, else the stored value."""
     r = validate(bind(requests, UPDATE_PARAMS),
-                 [rule_required("repository"), rule_required("id"), rule_allowed("status", [OPEN, CLOSED])])
-    p = prs.select("repository", "id", *[F.col(f).alias(f"old_{f}") for f in UPDATE_FIELDS])
+                 [rule_required("repository"), rule_required("id"), rule_allowed("status", [OPEN, CLOSED]), rule_positive("date")])
+    p = prs.select("repository", "id", *([F.col("closed_date").alias("old_closed")] if "closed_date" in prs.columns
+                                         else [F.lit(None).cast("timestamp_ntz").alias("old_closed")]), *[F.col(f).alias(f"old_{f}") for f in UPDATE_FIELDS])
     r = r.join(p, PKEY, "left")
     outcome = O.first_match(
         (F.col("error_code").isNotNull(), O.INVALID),
@@ -231,4 +233,8 @@ def update_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
     for f in UPDATE_FIELDS:
         r = previous_value(r, PKEY, "seq", f"_u_{f}", f"_p_{f}", ignore_nulls=True)
     r = r.withColumns({f: F.coalesce(F.col(f"_u_{f}"), F.col(f"_p_{f}"), F.col(f"old_{f}")) for f in UPDATE_FIELDS})
+    # closing sets the closed date (the request's date, or now), reopening clears it
+    now = F.coalesce(naive_time(F.col("date")), F.current_timestamp().cast("timestamp_ntz"))
+    r = r.withColumn("closed_date", F.when(done & (F.col("status") == CLOSED), F.coalesce("old_closed", now))
+                     .when(~done | (F.col("status") != OPEN), F.col("old_closed"))).drop("old_closed")
     return r.drop(*[f"{pre}{f}" for pre in ("_u_", "_p_", "old_") for f in UPDATE_FIELDS])

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from strata.operators import listing as L
 from strata.operators import objects as OB
 from strata.operators import pulls as PR
 from tests.conftest import rows
@@ -230,3 +231,23 @@ def test_root_directory_and_paging(spark):
     assert rows(OB.symlink_manifest(view), "dir", "n_files") == [("", 1), ("p", 1), ("p/A", 2)]
     assert rows(OB.list_objects(view, "p/", "/", after="p/A/"), "entry") == [("p/B",)]
     assert rows(OB.list_objects(view, "p/", "/", amount=1), "entry") == [("p/A/",)]
+
+
+def test_closing_and_reopening_set_the_closed_date(spark):
+    prs = spark.sql("SELECT 'r' AS repository, id, status, 't' AS title, 'd' AS description, closed AS closed_date FROM VALUES "
+                    "('a', 'open', NULL), ('b', 'closed', TIMESTAMP_NTZ '2024-01-01 00:00:00') AS t(id, status, closed)")
+    req = spark.createDataFrame([(1, "r", "a", "closed", 86400), (2, "r", "b", "open", None)],
+                                "seq long, repository string, id string, status string, date long")
+    after = PR.apply_pr_outcomes(prs, PR.update_pull_requests(req, prs))
+    got = {r.id: (r.status, r.closed_date and r.closed_date.isoformat()) for r in after.collect()}
+    assert got == {"a": ("closed", "1970-01-02T00:00:00"), "b": ("open", None)}
+
+
+def test_symlinks_by_request(spark, tmp_path):
+    refs, commits, entries, staging = _objects_state(spark)
+    req = spark.createDataFrame([(1, "r", "main"), (2, "r", "gone"), (3, "r", "")], "seq long, repository string, branch string")
+    out = OB.create_symlinks(req, refs, commits, entries, staging, str(tmp_path / "links"))
+    assert rows(out, "seq", "outcome") == [(1, "created"), (2, "branch_not_found"), (3, "invalid")]
+    where = out.where("ok").first().location
+    lines = [r.value for r in spark.read.option("recursiveFileLookup", "true").text(where).collect()]
+    assert len(lines) == L.branch_view(refs.select("repository", "branch").where("branch = 'main'"), refs, commits, entries, staging).count()
