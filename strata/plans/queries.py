@@ -29,6 +29,8 @@ from strata.sources.fixtures import Fixtures, observations_from
 from strata.streaming import watch as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+#: The queries whose SQL asks for ``main`` only, over every ref and with staging on many branches.
+ALL_REFS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
@@ -36,6 +38,11 @@ def query(fn):
     return fn
 
 
+def all_refs(fn):
+    ALL_REFS[fn.__name__.removeprefix("q_")] = fn
+    return fn
+
+
 # ---------------------------------------------------------------- F1-F3, B1 --
 @query
 def q_bind_validate(spark, sf_dir):
@@ -148,25 +155,53 @@ def _main_branches(fx):
     return fx.refs.where(F.col("branch") == "main").select("repository", "branch")
 
 
+def _all_branches(fx):
+    return fx.refs.select("repository", "branch")
+
+
+def _spread_staging(fx):
+    """The fixture's staging, two thirds of it moved from ``main`` to 25 other
+    branches of its repository, by order key."""
+    k = F.substring_index("path", "/", -1).cast("long")
+    return fx.staging.withColumn("branch", F.when(k % 3 == 0, F.lit("main")).otherwise(
+        F.concat(F.lit("b_"), (k % 5 + 5 * (1 + k % 25)).cast("string"))))
+
+
+def _view_rows(view):
+    return view.select("repository", "branch", "path", "checksum", "size_bytes", "origin")
+
+
 @query
 def q_branch_view(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    v = L.branch_view(_main_branches(fx), fx.refs, fx.commits, fx.entries, fx.staging)
-    return v.select("repository", "branch", "path", "checksum", "size_bytes", "origin")
+    return _view_rows(_main_view(Fixtures(spark, sf_dir)))
 
 
-@query
-def q_diff_branch(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    mains = _main_branches(fx)
-    heads = L.head_range(mains.join(fx.refs, ["repository", "branch"]).select("repository", "branch", "commit_id"),
+@all_refs
+def q_branch_view_all(spark, sf_dir):
+    return _view_rows(_all_view(Fixtures(spark, sf_dir)))
+
+
+def _diff_branch(fx, branches, staging):
+    heads = L.head_range(branches.join(fx.refs, ["repository", "branch"]).select("repository", "branch", "commit_id"),
                          fx.commits, "commit_id")
     base = L.listing_rows(heads, fx.entries).select("repository", "branch", "path", "checksum", "size_bytes")
-    last = C.last_staged_for(fx.staging, mains)
+    last = C.last_staged_for(staging, branches)
     ch = L.staged_changes(last, base, ["repository", "branch"])
     return ch.select("repository", "branch", "path", "change", "old_checksum", "new_checksum")
 
 
+@query
+def q_diff_branch(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return _diff_branch(fx, _main_branches(fx), fx.staging)
+
+
+@all_refs
+def q_diff_branch_all(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return _diff_branch(fx, _all_branches(fx), _spread_staging(fx))
+
+
 @query
 def q_diff_refs(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
@@ -227,13 +262,22 @@ def q_merge_base(spark, sf_dir):
                     "base_id", F.col("base_generation").cast("long").alias("base_generation")))
 
 
+def _log(fx, refs):
+    heads = refs.select("repository", F.col("branch").alias("ref_name"), "commit_id")
+    return C.log_commits(heads, fx.commits, fx.parents).select(
+        "repository", "ref_name", "commit_id", "generation", "message", "position")
+
+
 @query
 def q_log_commits(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    heads = fx.refs.where(F.col("branch") == "main").select(
-        "repository", F.col("branch").alias("ref_name"), "commit_id")
-    return C.log_commits(heads, fx.commits, fx.parents).select(
-        "repository", "ref_name", "commit_id", "generation", "message", "position")
+    return _log(fx, fx.refs.where(F.col("branch") == "main"))
+
+
+@all_refs
+def q_log_commits_all(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return _log(fx, fx.refs)
 
 
 def _commit_requests(fx):
@@ -500,18 +544,32 @@ def _main_view(fx):
     return L.branch_view(_main_branches(fx), fx.refs, fx.commits, fx.entries, fx.staging)
 
 
+def _all_view(fx):
+    return L.branch_view(_all_branches(fx), fx.refs, fx.commits, fx.entries, _spread_staging(fx))
+
+
 @query
 def q_list_objects(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return OB.list_objects(_main_view(fx), prefix="orders/", delimiter="/")
 
 
+@all_refs
+def q_list_objects_all(spark, sf_dir):
+    return OB.list_objects(_all_view(Fixtures(spark, sf_dir)), prefix="orders/", delimiter="/")
+
+
 @query
 def q_symlink_manifest(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return OB.symlink_manifest(_main_view(fx))
 
 
+@all_refs
+def q_symlink_manifest_all(spark, sf_dir):
+    return OB.symlink_manifest(_all_view(Fixtures(spark, sf_dir)))
+
+
 # ------------------------------------------------------------------ watch ----
 
 
