@@ -61,6 +61,7 @@ from strata.llm.common import (
 )
 
 LENGTH, GRAM = 200, 32
+DEPTH = 40  # more levels than any string has: a level's strings have a third of the length
 STEP = 1 << 18  # window starts that are handled at once
 PHRASE = [np.uint64, np.int64, np.int64, np.int32, np.int32, np.uint64]  # gram, id, salt, place, gap, name
 ENTRY = [np.uint64, np.int64, np.int64, np.int32, np.int8]                         # window, id, salt, place, asks
@@ -223,12 +224,13 @@ def _greatest_before(rows: DataFrame, keys: list[str], value: str, out: str) ->
             .withColumn(out, F.greatest("_in", "_carry")).drop("_in", "_carry", "_chunk"))
 
 
-def suffix_order(strings: DataFrame, carried: list[str] = (), depth: int = 40, name: str = "syms") -> DataFrame:
+def suffix_order(strings: DataFrame, carried: list[str] = (), depth: int = DEPTH, name: str = "syms") -> DataFrame:
     """All suffixes of the strings (columns ``sid`` long, ``name`` array<long>)
     in order: sid, i, rank.  Ranks are order-preserving, not dense.
 
     A string that ends is smaller than one that goes on.  Recursion ends when
-    all triples have different names, or at ``depth``, from where suffixes with
+    all triples have different names or no string has a second symbol, or at
+    ``depth``, from where suffixes with
     equal prefixes of 3 ** depth symbols are in no special order."""
     s = strings.select("sid", F.col(name).alias("s"))
     sampled = s.select("sid", F.explode(F.expr(
@@ -426,7 +428,7 @@ def _with_parts(reduce, parts: int):
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, k: int = GRAM,
-            depth: int = 3) -> DataFrame:
+            depth: int = DEPTH) -> DataFrame:
     """doc_id, text, ``marks`` (array of at, cover, lead: ``cover`` bytes from
     byte ``at`` on are repeated elsewhere if they are ``length`` or more) and ``at``
     (binary int32: more first bytes of repeated windows); both null if none."""
@@ -480,7 +482,7 @@ def _covered(marks, at: bytes | None, length: int) -> tuple[np.ndarray, np.ndarr
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, k: int = GRAM,
-                 depth: int = 3, with_bytes: bool = False) -> DataFrame:
+                 depth: int = DEPTH, with_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (array<int>: start
     and end byte of each maximal run), and on request ``kept``, the bytes left."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
