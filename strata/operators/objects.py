@@ -304,18 +304,21 @@ def create_symlinks(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
 
 
 def read_at_ref(view: DataFrame, prefix: str, address_to_path=None, fmt: str = "parquet",
-                **options) -> DataFrame:
+                schema=None, **options) -> DataFrame:
     """Table form of A13: read the data files a ref shows under ``prefix``
     (e.g. the parquet files of one table) as one DataFrame.
 
     ``view`` is a ``branch_view`` / listing of the ref.  Only the file list
     (one path per object, the same metadata Spark's own file index keeps on
     the driver) is gathered; executors read the rows.  ``address_to_path``
-    maps a physical address to a storage path (identity by default)."""
+    maps a physical address to a storage path (identity by default).  With a
+    ``schema`` the files are read by it, and a ref without files gives an empty
+    table of it; without one there is nothing to tell the columns from."""
     spark = view.sparkSession
     addr = [F.col(c) for c in ("physical_address", "checksum") if c in view.columns]
     files = view.where(F.col("path").startswith(prefix)).select(F.coalesce(*addr).alias("a")).distinct()
     paths = sorted((address_to_path or (lambda a: a))(r.a) for r in files.toLocalIterator())
     if not paths:
-        return spark.createDataFrame([], "value string")
-    return spark.read.format(fmt).options(**options).load(paths)
+        return spark.createDataFrame([], schema or "value string")
+    reader = spark.read.format(fmt).options(**options)
+    return (reader.schema(schema) if schema else reader).load(paths)
