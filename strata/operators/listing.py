@@ -14,7 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import hashing as H
+from strata.functions import outcomes as O
 from strata.functions.joins import small_side
+from strata.functions.params import Param, bind, rule_required, validate
+from strata.operators.refs import resolve_refs
 
 PATH_KEY = ["repository", "path"]
 
@@ -187,6 +190,54 @@ def diff_ranges(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     return g.withColumn("change", change).where(F.col("change").isNotNull())
 
 
+def _counted(requests: DataFrame, changes: DataFrame, on: Sequence[str], missing: tuple[Column, str]) -> DataFrame:
+    """One outcome row per request: invalid → not found → fetched, with the
+    changes counted by kind (null where there is no answer)."""
+    kinds = ("added", "removed", "changed")
+    counts = changes.groupBy(*on).agg(*[F.count(F.when(F.col("change") == k, 1)).cast("long").alias(f"n_{k}") for k in kinds])
+    out = requests.join(counts, list(on), "left")
+    found = F.col("error_code").isNull() & ~missing[0]
+    out = out.withColumns({f"n_{k}": F.when(found, F.coalesce(F.col(f"n_{k}"), F.lit(0).cast("long"))) for k in kinds})
+    outcome = O.first_match((F.col("error_code").isNotNull(), O.INVALID), missing, default=O.FETCHED)
+    return out.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
+
+
+def diff_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, entries: DataFrame) -> DataFrame:
+    """Changes from ``left_ref`` to ``right_ref`` (branches or commit ids): one
+    outcome row per request, invalid → ref_not_found → fetched, with
+    n_added, n_removed, n_changed.  Each distinct pair of listings is compared
+    once; ``diff_ranges`` of range_a, range_b has the paths."""
+    r = validate(bind(requests, [Param("repository"), Param("left_ref"), Param("right_ref")]),
+                 [rule_required("repository"), rule_required("left_ref"), rule_required("right_ref")])
+    for ref, commit, out in (("left_ref", "left_commit", "range_a"), ("right_ref", "right_commit", "range_b")):
+        r = resolve_refs(r, refs, commits, ref=ref, out=commit, kind=f"_{ref}").drop(f"_{ref}")
+        r = head_range(r, commits, commit, out=out)
+    on = ["repository", "range_a", "range_b"]
+    changes = diff_ranges(r.where(F.col("error_code").isNull() & F.col("range_a").isNotNull() & F.col("range_b").isNotNull()), entries)
+    return _counted(r, changes, on, (F.col("left_commit").isNull() | F.col("right_commit").isNull(), O.REF_NOT_FOUND))
+
+
+def branch_changes(branches: DataFrame, refs: DataFrame, commits: DataFrame, entries: DataFrame, staging: DataFrame) -> DataFrame:
+    """Path-level staged changes of the (repository, branch) rows that exist."""
+    heads = branches.select("repository", "branch").distinct().join(refs.select("repository", "branch", "commit_id"), ["repository", "branch"])
+    base = (listing_rows(head_range(heads, commits, "commit_id"), entries)
+            .select("repository", "branch", "path", "checksum", "size_bytes"))
+    last = last_staged(staging).join(small_side(heads.select("repository", "branch")), ["repository", "branch"], "left_semi")
+    return staged_changes(last, base, ["repository", "branch"])
+
+
+def diff_branch(requests: DataFrame, refs: DataFrame, commits: DataFrame, entries: DataFrame, staging: DataFrame) -> DataFrame:
+    """Staged changes of branches against their heads: one outcome row per
+    request, invalid → branch_not_found → fetched, with n_added,
+    n_removed, n_changed; ``branch_changes`` has the paths."""
+    r = validate(bind(requests, [Param("repository"), Param("branch")]), [rule_required("repository"), rule_required("branch")])
+    heads = refs.select("repository", "branch", F.col("commit_id").alias("head"))
+    r = r.join(heads, ["repository", "branch"], "left")
+    wanted = r.where(F.col("error_code").isNull() & F.col("head").isNotNull())
+    return _counted(r, branch_changes(wanted, refs, commits, entries, staging), ["repository", "branch"],
+                    (F.col("head").isNull(), O.BRANCH_NOT_FOUND))
+
+
 def classify(b: Column, s: Column, d: Column) -> Column:
     """Three-way class of one path from base/source/dest checksums (null = absent)."""
     return (F.when(s.eqNullSafe(d) & s.eqNullSafe(b), F.lit(UNCHANGED))

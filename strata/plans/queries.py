@@ -182,11 +182,7 @@ def q_branch_view_all(spark, sf_dir):
 
 
 def _diff_branch(fx, branches, staging):
-    heads = L.head_range(branches.join(fx.refs, ["repository", "branch"]).select("repository", "branch", "commit_id"),
-                         fx.commits, "commit_id")
-    base = L.listing_rows(heads, fx.entries).select("repository", "branch", "path", "checksum", "size_bytes")
-    last = C.last_staged_for(staging, branches)
-    ch = L.staged_changes(last, base, ["repository", "branch"])
+    ch = L.branch_changes(branches, fx.refs, fx.commits, fx.entries, staging)
     return ch.select("repository", "branch", "path", "change", "old_checksum", "new_checksum")
 
 
@@ -205,18 +201,10 @@ def q_diff_branch_all(spark, sf_dir):
 @query
 def q_diff_refs(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    main = fx.refs.where(F.col("branch") == "main").select("repository", F.col("commit_id").alias("main_head"))
-    req = fx.refs.where(F.col("branch") != "main").select("repository", "branch", "commit_id").join(main, "repository")
-    req = L.head_range(req, fx.commits, "main_head", out="range_a")
-    req = L.head_range(req, fx.commits, "commit_id", out="range_b")
-    d = L.diff_ranges(req, fx.entries)
-    counts = d.groupBy("repository", "range_a", "range_b").agg(
-        *[F.count(F.when(F.col("change") == c, 1)).cast("long").alias(f"n_{c}")
-          for c in ("added", "removed", "changed")])
-    out = req.join(counts, ["repository", "range_a", "range_b"], "left")
-    return out.select("repository", "branch",
-                      *[F.coalesce(F.col(f"n_{c}"), F.lit(0)).cast("long").alias(f"n_{c}")
-                        for c in ("added", "removed", "changed")])
+    mains = fx.refs.where(F.col("branch") == "main").select("repository", F.col("branch").alias("left_ref"))
+    req = (fx.refs.where(F.col("branch") != "main").select("repository", "branch", F.col("branch").alias("right_ref"))
+           .join(mains, "repository"))
+    return L.diff_refs(req, fx.refs, fx.commits, fx.entries).select("repository", "branch", "n_added", "n_removed", "n_changed")
 
 
 # -------------------------------------------------------------- commits ------
