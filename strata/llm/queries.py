@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact, jaccard, mixing, pieces, quality, substring, suffix, token_counts, topk
+from strata.llm import chat, exact, jaccard, mixing, periodic, pieces, quality, substring, suffix, token_counts, topk, whitening
 from strata.llm.common import KEY, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,3 +247,56 @@ WHERE rank <= 10""")
 def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 10 by integer inner product for every 100th vector."""
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+# --- 11 embedding whitening ---------------------------------------------------
+
+@query()
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 32 whitened components of every vector, fitted on all of them."""
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
+# --- 12 periodic run detection --------------------------------------------------
+
+@query(r"""
+WITH bits AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+         flatten([[(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) >> j) & 1 for j in range(8)]
+                  for i in range(1, length(CAST(doc_id AS VARCHAR)) + 1)]) AS bits FROM documents),
+hashed AS (
+  SELECT row, doc_id, w, len(w) AS n,
+         xor(list_reduce([4294967295::BIGINT] || list_transform(bits, lambda b: CAST(b AS BIGINT)),
+                         lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) AS h FROM bits),
+places AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a, 3 + (h // 10) % 8 AS parts FROM hashed),
+docs AS (
+  SELECT row, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i:
+           w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END]) END AS w FROM places),
+grams AS (
+  SELECT row, n, i, array_to_string(w[i + 1:i + 5], ' ') AS gram
+  FROM (SELECT row, n, w, unnest(range(0, n - 4)) AS i FROM docs WHERE n >= 6)),
+pairs AS (
+  SELECT a.row, b.i - a.i AS q, a.i FROM grams a JOIN grams b ON a.row = b.row AND a.gram = b.gram AND a.i < b.i
+  WHERE 4 * (b.i - a.i) <= a.n),
+islands AS (
+  SELECT row, q, min(i) AS start, max(i) - min(i) + 5 + q AS length
+  FROM (SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM pairs)
+  GROUP BY row, q, island HAVING max(i) - min(i) + 5 + q >= greatest(6, 4 * q)),
+runs AS (
+  SELECT * FROM islands x WHERE NOT EXISTS (
+    SELECT 1 FROM islands y WHERE y.row = x.row AND y.q < x.q AND y.start <= x.start AND y.start + y.length >= x.start + x.length)),
+per AS (
+  SELECT row, count(*) AS n_runs, arg_min({'s': start, 'n': length, 'q': q}, [-length, start, q]) AS best,
+         string_agg(concat(start, ',', length, ',', q, chr(10)), '' ORDER BY start, q) AS lines FROM runs GROUP BY row),
+gone AS (SELECT DISTINCT row, unnest(range(start + q, start + length)) AS i FROM runs),
+words AS (
+  SELECT d.row, string_agg(word, ' ' ORDER BY d.i) AS t
+  FROM (SELECT row, unnest(w) AS word, unnest(range(0, n)) AS i FROM docs) d ANTI JOIN gone ON gone.row = d.row AND gone.i = d.i GROUP BY d.row)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.n AS BIGINT) AS length,
+       CAST(best.q AS BIGINT) AS period, CAST(1000 * best.n // best.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM docs LEFT JOIN per ON per.row = docs.row LEFT JOIN words ON words.row = docs.row""")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in all documents, of which a tenth is made periodic."""
+    return periodic.periodic_runs(periodic.planted(read(spark, sf_dir, "documents")))
