@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact, jaccard, mixing, periodic, pieces, quality, substring, suffix, token_counts, topk, whitening
+from strata.llm import chat, exact, jaccard, mixing, periodic, pieces, pii, quality, substring, suffix, token_counts, topk, whitening
 from strata.llm.common import KEY, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,3 +300,11 @@ FROM docs LEFT JOIN per ON per.row = docs.row LEFT JOIN words ON words.row = doc
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of words in all documents, of which a tenth is made periodic."""
     return periodic.periodic_runs(periodic.planted(read(spark, sf_dir, "documents")))
+
+
+# --- 13 personal data -----------------------------------------------------------
+
+@query()
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: base spans and those that the trees add."""
+    return pii.digests(pii.found(read(spark, sf_dir, "documents")))
