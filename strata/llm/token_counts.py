@@ -2,11 +2,12 @@
 
 No token of this vocabulary crosses ASCII white space, so the count of a prefix
 that ends with a word is the count up to the word before plus the word's own:
-running sums over the words give the exact count at every word's end.  A prefix
+running sums over the words give the exact count at every word's end: the prefix
+table of a text, whose last entry is the count of the whole text.  A prefix
 that ends inside a word adds the count of that part of the word, from a table
 with the exact count of every prefix of the word (``Counter.within``).  Words'
-counts come from the library and are remembered, so each distinct word is
-encoded once per task (up to ``Counter.most`` remembered words).
+counts come from the library and are remembered for two generations of
+``Counter.most`` words, so frequent words are encoded once per Python worker.
 
 A word is what stands between ASCII white space, so a text without it is one
 word.  Words of over ``Counter.long`` bytes are cut where no token can cross in
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import slices
+from strata.llm.common import _SPACE, slices
 
 VOCABULARY = "word_bpe_49k.json"
 SPACES = frozenset("\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
@@ -147,7 +148,7 @@ class Merges:
 class Counter:
     """Token counts of words and of all prefixes of a word."""
 
-    most = 300_000  # remembered words; words of over ``long`` bytes are not
+    most = 500_000  # words of a generation that are remembered; words of over ``long`` bytes are not
     long = 100
     run = 300  # characters from which a run's prefixes are counted in one pass
 
@@ -156,7 +157,9 @@ class Counter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # remembered words, and those of the generation before
         self.known: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}
         self.prefixes: dict[str, np.ndarray] = {}
 
     @cached_property
@@ -192,22 +195,37 @@ class Counter:
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """The count of each word."""
-        known = self.known
-        missing = [w for w in set(words) if w not in known]
-        if missing:
-            if len(known) + len(missing) > self.most:
-                known.clear()
-                missing = list(set(words))
-            # many long words at once would hold all their tokens in memory
-            for at in range(0, len(missing), 2000):
-                part = missing[at:at + 2000]
-                known.update(zip(part, self.joined(part).tolist(), strict=True))
+        if len(self.known) > self.most:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing = set(words).difference(known)
+        if older:
+            again = missing.intersection(older)
+            known.update(zip(again, map(older.__getitem__, again), strict=True))
+            missing -= again
+        missing = list(missing)
+        # many long words at once would hold all their tokens in memory
+        for at in range(0, len(missing), 2000):
+            part = missing[at:at + 2000]
+            known.update(zip(part, self.joined(part).tolist(), strict=True))
         out = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         for w in missing:
             if len(w) > self.long:
                 del known[w]
         return out
 
+    def table(self, texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
+        """The prefix table of each text: its words and pieces of long words,
+        where they begin among those of all texts (one more entry than texts),
+        and the text's exact count up to the end of each."""
+        pieces = [t.split() for t in texts]
+        for i, t in enumerate(texts):
+            if len(t) > self.long and any(len(w) > self.long for w in pieces[i]):
+                pieces[i] = [p for w in pieces[i] for p in self.pieces(w)]
+        first = np.append(0, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))))
+        sums = np.append(0, np.cumsum(self.of([p for ps in pieces for p in ps])))
+        return pieces, first, sums[1:] - np.repeat(sums[first[:-1]], np.diff(first))
+
     def within(self, word: str) -> np.ndarray:
         """The exact count of ``word[:j]`` for j = 0 .. len(word)."""
         found = self.prefixes.get(word)
@@ -262,11 +280,16 @@ def word_ends(raw: bytes) -> np.ndarray:
     return words_of(a, np.array([0, len(a)]))[1]
 
 
-def _piece_table(raw: bytes, pieces: list[list[bytes]]) -> np.ndarray:
-    """The byte at which each piece of each word ends (exclusive)."""
-    sizes = [np.array([len(p) for p in w]) for w in pieces]
-    ends = [e - s.sum() + np.cumsum(s) for e, s in zip(word_ends(raw), sizes, strict=True)]
-    return np.concatenate(ends) if ends else np.zeros(0, np.int64)
+def _piece_ends(raw: bytes, pieces: list[bytes]) -> np.ndarray:
+    """The byte at which each word, or piece of a word, ends (exclusive)."""
+    size = np.array([len(p) for p in pieces], np.int64)
+    stops = word_ends(raw)
+    if len(stops) == len(size):
+        return stops
+    # the pieces of a word add up to it, without white space between
+    a = np.frombuffer(raw, np.uint8)
+    black = np.flatnonzero(~_SPACE[a]) + 1
+    return black[np.cumsum(size) - 1]
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
@@ -283,22 +306,13 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         c = counter(where or vocabulary())
         for batch in slices(batches, "text"):
             texts = [t.as_py() or b"" for t in batch.column("text").cast(pa.binary())]
-            words = [t.split() for t in texts]
-            if at_words:
-                pieces = [[c.pieces(w) for w in ws] for ws in words]
-                ends_of = [_piece_table(t, ps) for t, ps in zip(texts, pieces, strict=True)]
-                words = [[p for w in ws for p in w] for ws in pieces]
-            sizes = np.fromiter(map(len, words), np.int64, len(words))
-            counts = c.of([w for ws in words for w in ws])
-            sums = np.concatenate([[0], np.cumsum(counts)])
-            ends = np.cumsum(sizes)
-            columns = [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()),
-                       pa.array(sums[ends] - sums[ends - sizes])]
+            pieces, first, tokens = c.table(texts)
+            # a text's count is the last entry of its prefix table
+            total = np.where(np.diff(first) > 0, np.append(tokens, 0)[first[1:] - 1], 0)
+            columns = [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(total)]
             if at_words:
-                starts = ends - sizes
-                columns += [pa.array(ends_of, pa.list_(pa.int32())),
-                            pa.array([sums[a + 1:b + 1] - sums[a] for a, b in zip(starts, ends, strict=True)],
-                                     pa.list_(pa.int32()))]
+                columns += [pa.array([_piece_ends(t, ps) for t, ps in zip(texts, pieces, strict=True)], pa.list_(pa.int32())),
+                            pa.array([tokens[a:b] for a, b in zip(first[:-1], first[1:], strict=True)], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -196,5 +196,5 @@ def test_pipeline_over_documents(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
-    assert set(QUERIES) - set(ORACLE) == {"op5_quality_classifier", "op7_sentencepiece", "op9_token_counts"}
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert set(QUERIES) - set(ORACLE) == {"op5_quality_classifier", "op7_sentencepiece", "op9_token_counts", "op11_embedding_whitening", "op13_personal_data"}
