@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import atexit
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     if not _written:
         atexit.register(_clean)
     _written.append((spark, path))
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffle_files_removed(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_in = path
+    return out
+
+
+@contextmanager
+def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs here are removed when it ends: the table that
+    was written replaces them, so they would only fill the executors' disks."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def written() -> int:
@@ -60,6 +80,13 @@ def tables_since(count: int) -> list[tuple[SparkSession, str]]:
     return _written[count:]
 
 
+def release_since(count: int, *keep: DataFrame) -> None:
+    """Removes the tables that ``stored`` has written since it had written
+    ``count``, but for those of ``keep`` (as ``stored`` returned them)."""
+    kept = {df._stored_in for df in keep}
+    release([t for t in _written[count:] if t[1] not in kept])
+
+
 def _clean() -> None:
     release(_written)
 
