@@ -52,11 +52,9 @@ from strata.llm.common import (
     parts_of,
     passed_on,
     reduced,
-    release,
     release_since,
     slices,
     stored,
-    tables_since,
     text_bytes,
     unpacked,
     with_answers,
@@ -270,7 +268,7 @@ def suffix_order(strings: DataFrame, carried: list[str] = (), depth: int = DEPTH
         F.when(F.col("i") % 3 != 0, rank_at(0)).alias("own"),
         F.when(F.col("i") % 3 != 2, rank_at(1)).alias("next"),
         F.when(F.col("i") % 3 != 1, rank_at(2)).alias("after")), "places")
-    release(tables_since(mark)[:-1])  # names, their strings and order
+    release_since(mark, every)  # names, their strings and order
     # merge: where the remaining suffixes stand among the sampled ones of either class
     rest = _greatest_before(every.filter("cls <> 2"), ["a", "next", "own"], "own", "p1")
     # (nulls first: a remaining suffix that ties with a sampled one stands before it)
@@ -279,9 +277,11 @@ def suffix_order(strings: DataFrame, carried: list[str] = (), depth: int = DEPTH
     merged = (rest.select("sid", "i", F.greatest("p1", "p2").alias("k0"), F.lit(1).alias("k1"), "a", "next")
               .unionByName(every.filter("cls <> 0").select("sid", "i", F.col("own").alias("k0"), F.lit(0).alias("k1"),
                                                            F.lit(_NONE).alias("a"), F.lit(_NONE).alias("next"))))
-    order = _in_order(merged, ["k0", "k1", "a", "next"], "order").select("sid", "i", F.col("_place").alias("rank"))
-    release(tables_since(mark)[:-1])
-    return order
+    order = _in_order(merged, ["k0", "k1", "a", "next"], "order")
+    release_since(mark, order)
+    out = order.select("sid", "i", F.col("_place").alias("rank"))
+    out._stored_in = order._stored_in
+    return out
 
 
 # --- the repeats ---------------------------------------------------------------
@@ -467,7 +467,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
               .select("_ord", "_salt", "at", "gap", F.coalesce("covers", F.array().cast("array<int>")).alias("covers"), "n", "head")
               .mapInArrow(_marks(k), "_ord long, _salt long, marks array<struct<at: int, cover: int, lead: boolean>>"))
     marks = stored(marked.groupBy("_ord", "_salt").agg(F.flatten(F.collect_list("marks")).alias("marks")), "marks")
-    release_since(begin, distinct, marks)
+    release_since(begin, distinct, order, marks)
     opened = with_answers(rows, marks, only=True).mapInArrow(_open_windows(parts, length, k), PACKED)
     more = by_document(reduced(opened, _with_parts(_repeated_windows, parts), PACKED)).drop("flags")
     return with_answers(rows, marks.join(more, ["_ord", "_salt"], "left"), only=False)
