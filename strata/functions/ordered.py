@@ -104,3 +104,19 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: str,
     if first_flag:
         res = res.withColumn(first_flag, (F.col("_rn") == 1) & F.col("_carry").isNull())
     return res.drop("_local_prev", "_rn", "_carry", CHUNK)
+
+
+def last_values(df: DataFrame, keys: Sequence[str], order: str, values: dict[str, str]) -> DataFrame:
+    """Per key, for each ``value`` -> ``out`` the last non-null ``value`` before the
+    row in ``order``: all of them in one pass over one exchange."""
+    t = with_chunks(df, keys, [order])
+    earlier = (Window.partitionBy(*keys, CHUNK).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    rows = t.withColumns({f"_local_{out}": F.last(v, ignorenulls=True).over(earlier) for v, out in values.items()})
+    tails = t.groupBy(*keys, CHUNK).agg(*[F.max_by(F.col(v), F.when(F.col(v).isNotNull(), F.col(order))).alias(f"_tail_{out}")
+                                          for v, out in values.items()])
+    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select(*keys, CHUNK, *[F.last(f"_tail_{out}", ignorenulls=True).over(before).alias(f"_carry_{out}")
+                                           for out in values.values()])
+    res = rows.join(carried, [*keys, CHUNK], "left")
+    res = res.withColumns({out: F.coalesce(f"_local_{out}", f"_carry_{out}") for out in values.values()})
+    return res.drop(CHUNK, *[f"{pre}{out}" for pre in ("_local_", "_carry_") for out in values.values()])

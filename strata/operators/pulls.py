@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
-from strata.functions.ordered import previous_value, running_sum
+from strata.functions.ordered import last_values, running_sum
 from strata.functions.params import Param, bind, rule_allowed, rule_positive, rule_required, validate
 from strata.functions.render import render_ts
 from strata.operators.merge import merge_deltas, merge_refs
@@ -20,14 +20,20 @@ CREATE_PARAMS = [Param("repository"), Param("title"), Param("description"),
                  Param("author", default="unknown")]
 
 
-def pr_id(repository: Column, seq: Column, title: Column) -> Column:
-    """Deterministic id of a new pull request."""
-    return F.concat(F.lit("pr_"), F.substring(F.sha2(F.concat_ws("|", repository, seq.cast("string"), title),
-                                                     256), 1, 16))
+def pr_id(repository: Column, seq: Column, title: Column, stored: Column | None = None) -> Column:
+    """Deterministic id of a new pull request; ``stored``: how many its
+    repository has already (null: none), so that no later batch makes it again."""
+    parts = [repository, seq.cast("string"), title, *([F.when(stored > 0, stored.cast("string"))] if stored is not None else [])]
+    return F.concat(F.lit("pr_"), F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16))
 
 
-def create_pull_requests(requests: DataFrame, refs: DataFrame) -> DataFrame:
-    """invalid → branch_not_found (either side) → same_branch → created (open)."""
+def create_pull_requests(requests: DataFrame, refs: DataFrame, prs: DataFrame | None = None) -> DataFrame:
+    """invalid → branch_not_found (either side) → same_branch → created (open).
+
+    With the stored ``prs`` an id also depends on how many pull requests its
+    repository has, so batches whose ``seq`` and titles repeat get new ids; an
+    id that is taken all the same (a hash collision, or a ``seq`` that the batch
+    has twice) is not given again: ``retry_next_batch``."""
     r = validate(bind(requests, CREATE_PARAMS),
                  [rule_required("repository"), rule_required("title")])
     names = refs.select("repository", "branch")
@@ -40,10 +46,22 @@ def create_pull_requests(requests: DataFrame, refs: DataFrame) -> DataFrame:
         (F.col("_src").isNull() | F.col("_dst").isNull(), O.BRANCH_NOT_FOUND),
         (F.col("source_branch") == F.col("destination_branch"), O.SAME_BRANCH),
         default=O.CREATED)
-    r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
+    r = r.withColumn("outcome", outcome)
     done = F.col("outcome") == O.CREATED
-    return (r.withColumn("id", F.when(done, pr_id(F.col("repository"), F.col("seq"), F.col("title"))))
-             .withColumn("status", F.when(done, F.lit(OPEN)))
+    if prs is None:
+        r = r.withColumn("id", F.when(done, pr_id(F.col("repository"), F.col("seq"), F.col("title"))))
+    else:
+        stored = prs.groupBy("repository").agg(F.count(F.lit(1)).alias("_stored"))
+        r = r.join(stored, "repository", "left")
+        r = r.withColumn("id", F.when(done, pr_id(F.col("repository"), F.col("seq"), F.col("title"), F.col("_stored"))))
+        once = (r.where(done).groupBy(*PKEY).agg(F.count(F.lit(1)).alias("_times"))
+                .join(prs.select(*PKEY, F.lit(True).alias("_taken")), PKEY, "left")
+                .where("_times > 1 OR _taken").select(*PKEY, F.lit(True).alias("_again")))
+        r = r.join(once, PKEY, "left")
+        r = r.withColumn("outcome", F.when(done & F.col("_again").isNotNull(), F.lit(O.RETRY_NEXT_BATCH)).otherwise(F.col("outcome")))
+        r = r.withColumn("id", F.when(F.col("outcome") == O.CREATED, F.col("id"))).drop("_stored", "_again")
+    return (r.withColumn("ok", O.ok_col())
+             .withColumn("status", F.when(F.col("outcome") == O.CREATED, F.lit(OPEN)))
              .drop("_src", "_dst"))
 
 
@@ -230,8 +248,7 @@ def update_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
     r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
     done = F.col("outcome") == O.UPDATED
     r = r.withColumns({f"_u_{f}": F.when(done, F.col(f)) for f in UPDATE_FIELDS})
-    for f in UPDATE_FIELDS:
-        r = previous_value(r, PKEY, "seq", f"_u_{f}", f"_p_{f}", ignore_nulls=True)
+    r = last_values(r, PKEY, "seq", {f"_u_{f}": f"_p_{f}" for f in UPDATE_FIELDS})
     r = r.withColumns({f: F.coalesce(F.col(f"_u_{f}"), F.col(f"_p_{f}"), F.col(f"old_{f}")) for f in UPDATE_FIELDS})
     # closing sets the closed date (the request's date, or now), reopening clears it
     now = F.coalesce(naive_time(F.col("date")), F.current_timestamp().cast("timestamp_ntz"))

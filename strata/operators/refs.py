@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
+from strata.functions.joins import small_side
 from strata.functions.ordered import previous_value
 from strata.functions.params import Param, bind, rule_allowed, rule_required, validate
 
@@ -160,10 +161,26 @@ def refs_after_log(outcomes: DataFrame, refs: DataFrame) -> DataFrame:
     return kept.unionByName(last.where(F.col("outcome") != O.DELETED).drop("outcome"))
 
 
-def staging_after_delete(staging: DataFrame, refs_now: DataFrame) -> DataFrame:
-    """Staged rows of branches that still exist: a deleted branch takes its
+def branch_deltas(outcomes: DataFrame) -> dict[str, DataFrame]:
+    """State deltas of ``create_branches``, ``delete_branches`` or ``apply_ref_log``
+    outcomes: ``refs`` has the last effect on each branch, with ``deleted`` on the
+    tombstone of one that is gone; ``dropped`` names the branches that were deleted
+    at some point, also if they were made anew, whose staging goes."""
+    made = F.col("outcome").isin(O.CREATED, O.OVERWRITTEN)
+    hidden = F.coalesce("hidden", F.lit(False)) if "hidden" in outcomes.columns else F.lit(False)
+    last = (outcomes.where(made | (F.col("outcome") == O.DELETED)).groupBy(*KEY)
+            .agg(F.max_by(F.struct("outcome", "commit_id", hidden.alias("hidden")), F.col("seq")).alias("_v"),
+                 F.max((F.col("outcome") == O.DELETED).cast("int")).alias("_dropped")))
+    gone = F.col("_v.outcome") == O.DELETED
+    refs = last.select(*KEY, F.when(~gone, F.col("_v.commit_id")).alias("commit_id"),
+                       F.when(~gone, F.col("_v.hidden")).alias("hidden"), gone.alias("deleted"))
+    return {"refs": refs, "dropped": last.where("_dropped = 1").select(*KEY)}
+
+
+def staging_after_delete(staging: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Staged rows without those of deleted branches: a deleted branch takes its
     uncommitted changes with it, so re-creating it does not revive them."""
-    return staging.join(refs_now.select(*KEY), KEY, "left_semi")
+    return staging.join(small_side(dropped.select(*KEY).distinct()), KEY, "left_anti")
 
 
 def branch_attributes(refs: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A delta is a dictionary of tables.  ``commits``, ``parents``, ``entries``,
 ``listings``, ``contents`` and ``staged`` hold rows to add; ``refs`` and
-``pull_requests`` hold rows that replace those of the same key; ``staging``, if
-there, is all staging that is left.  ``apply_deltas`` makes the next state, which
+``pull_requests`` hold rows that replace those of the same key, or, where their
+column ``deleted`` is true, remove it (tombstones).  ``dropped`` names branches whose
+staging goes; ``staging``, if there, is all staging that is left.  ``apply_deltas`` makes the next state, which
 the next batch reads, so a commit finds the listing, the parents and the
 statistics that an earlier one made.
 """
@@ -50,9 +51,14 @@ def commit_delta(done: DataFrame, branch: str, parents: Column, entries: DataFra
 def apply_deltas(state: dict[str, DataFrame], *deltas: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The state after the deltas.  Applying the same delta twice changes
     nothing; columns that a delta lacks are null."""
+    from strata.operators.refs import staging_after_delete
     out = dict(state)
     for delta in deltas:
+        if "dropped" in delta and "staging" in out:  # before rows that the delta stages
+            out["staging"] = staging_after_delete(out["staging"], delta["dropped"])
         for name, rows in delta.items():
+            if name == "dropped":
+                continue
             if name == "staging":
                 out[name] = rows
             elif name == "staged":
@@ -61,7 +67,9 @@ def apply_deltas(state: dict[str, DataFrame], *deltas: dict[str, DataFrame]) ->
                 old, key = out[name], KEYS[name]
                 new = rows.select(*[c for c in rows.columns if c in old.columns])
                 if name in REPLACED:
-                    out[name] = old.join(new.select(*key), key, "left_anti").unionByName(new, allowMissingColumns=True)
+                    live = new if "deleted" not in rows.columns else (
+                        rows.where(~F.coalesce("deleted", F.lit(False))).select(*new.columns))
+                    out[name] = old.join(new.select(*key), key, "left_anti").unionByName(live, allowMissingColumns=True)
                 else:
                     add = new.dropDuplicates(key).join(old.select(*key), key, "left_anti")
                     out[name] = old.unionByName(add, allowMissingColumns=True)
