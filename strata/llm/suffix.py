@@ -16,7 +16,10 @@ or more, never across documents) are found in these steps:
    known to whole phrases (and a segment with several places is one to its end).
 4. Only the windows that this leaves open (where a repeat ends inside a phrase)
    are compared byte by byte: by the hash of the whole window with the open
-   windows and with those of one place of each segment.
+   windows and with those of one place of each segment.  Before, the windows of an
+   anchor are dealt to buckets by where the anchor lies in them; what all
+   windows of a bucket have in common is a longer gram, and buckets whose gram has
+   no other place are left out.
 
 Memory: a task holds parts of bounded size; names, ranks and order are made by
 range-partitioned sorts; of anchors and windows that are frequent in a task one
@@ -68,6 +71,8 @@ STEP = 1 << 18  # window starts that are handled at once
 PHRASE = [np.uint64, np.int64, np.int64, np.int32, np.int32, np.uint64]  # gram, id, salt, place, gap, name
 ENTRY = [np.uint64, np.int64, np.int64, np.int32, np.int8]                         # window, id, salt, place, asks
 _NONE = -(1 << 63)
+BUCKETS = 8  # of the windows of an anchor, by how far it is from their start
+WHICH, ASKS, TOLD = BUCKETS - 1, 16, 32  # flags of a bucket's entry
 
 
 def _spans(raw: np.ndarray, n: int) -> np.ndarray:
@@ -192,8 +197,7 @@ def _segments(part: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBa
 def _in_order(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """``df`` sorted by ``keys`` over all partitions and stored; the column
     ``_place`` follows this order."""
-    n = partitions(df.sparkSession)
-    return stored(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return stored(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
                   .withColumn("_place", F.monotonically_increasing_id()), name)
 
 
@@ -216,9 +220,8 @@ def _greatest_before(rows: DataFrame, keys: list[str], value: str, out: str) ->
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(filled), pa.array([chunk] * len(filled), pa.int32())],
                                              [*batch.schema.names, "_in", "_chunk"])
 
-    n = partitions(rows.sparkSession)
     schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes) + ", _in long, _chunk int"
-    filled = stored(rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys).mapInArrow(fill, schema), "merge")
+    filled = stored(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(fill, schema), "merge")
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = (filled.groupBy("_chunk").agg(F.max("_in").alias("_most"))
               .select("_chunk", F.max("_most").over(before).alias("_carry")))
@@ -371,6 +374,81 @@ def _marks(k: int):
     return run
 
 
+def _closed_and_leads(raw: np.ndarray, ends: np.ndarray, marks: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """From the marks of a batch: the places of anchors and whose they are,
+    whether they are leads, and which window starts are closed."""
+    count = np.diff(marks.offsets.to_numpy())
+    flat = marks.flatten()
+    owner = np.repeat(np.arange(len(count)), count)
+    at, cover, lead = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("at", "cover", "lead"))
+    at = at + ends[owner]
+    closed = np.zeros(len(raw) + 1, np.int32)
+    long = cover >= length
+    np.add.at(closed, at[long], 1)
+    np.add.at(closed, (at + cover - length + 1)[long], -1)
+    return at, owner, lead, np.cumsum(closed)[:-1] > 0
+
+
+def _bucket(ahead: np.ndarray, length: int, k: int) -> np.ndarray:
+    """The bucket of windows whose anchor is ``ahead`` bytes after their start."""
+    return np.minimum(ahead // ((length - k) // BUCKETS or 1), BUCKETS - 1)
+
+
+def _long_grams(parts: int, length: int, k: int):
+    """Map side of the join on long grams: all windows of one bucket of an anchor
+    have the bytes in common that begin before the anchor where the last of
+    them does and end where the first does.  Entries tell the bucket, whether it has
+    an open window (asks) and whether they were answered in their task already."""
+    step = (length - k) // BUCKETS or 1
+
+    def send(h: np.ndarray, ords: np.ndarray, salts: np.ndarray, at: np.ndarray, flags: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(h, kind="stable")
+        h, ords, salts, at, flags = (a[order] for a in (h, ords, salts, at, flags))
+        asks = (flags & ASKS) > 0
+        group = np.cumsum(np.append(True, h[1:] != h[:-1])) - 1
+        told = (np.bincount(group) > 1)[group] & (np.bincount(group, asks) > 0)[group]
+        yield from answers(parts, ords[told], salts[told], at[told], flags[told] & WHICH, kind=1)
+        head = told & np.append(True, h[1:] != h[:-1])
+        sent = ~told | head
+        where = [np.where(told, 0, a)[sent] for a in (ords, salts, at)]
+        flags = np.where(told, ASKS | TOLD, flags).astype(np.int8)[sent]
+        yield from packed_rows(parts, h[sent], [h[sent], where[0], where[1], where[2].astype(np.int32), flags])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Held(send)
+        for batch in slices(batches, "text"):
+            raw, ends = text_bytes(batch["text"])
+            at, owner, lead, closed = _closed_and_leads(raw, ends, batch["marks"], length)
+            up, down = _power_table(len(raw) + 1)
+            sums = np.zeros(len(raw) + 1, np.uint64)
+            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
+            shut = np.append(0, np.cumsum(closed))
+            ids = [batch[c].to_numpy() for c in ("_ord", "_salt")]
+            for m in range(BUCKETS):
+                most = length - k if m == BUCKETS - 1 else (m + 1) * step - 1
+                first, last = at - most, at - m * step  # starts of the bucket's windows
+                a, b = last, first + length
+                inside = (a >= ends[owner]) & (b <= ends[owner + 1])
+                first = np.maximum(first, ends[owner])
+                asks = shut[np.where(inside, last, 0) + 1] - shut[np.where(inside, first, 0)] < last - first + 1
+                use = inside & (asks | lead)
+                h = mixed((sums[b[use]] - sums[a[use]]) * down[a[use]] + np.uint64(m + 1))
+                yield from held.add(h, ids[0][owner[use]], ids[1][owner[use]], (at[use] - ends[owner[use]]).astype(np.int32),
+                                    (m | np.where(asks[use], ASKS, 0)).astype(np.int8))
+        yield from held.flush()
+    return run
+
+
+def _shared_buckets(part: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
+    """Reduce side: buckets whose long gram occurs again, if some of them ask."""
+    yield from passed_on(part, blocks.get(1, []))
+    h, ords, salts, at, flags = unpacked(blocks.get(0, []), ENTRY)
+    _, group = np.unique(h, return_inverse=True)
+    asks = np.bincount(group, (flags & ASKS) > 0) > 0
+    keep = (np.bincount(group) > 1)[group] & asks[group] & ((flags & TOLD) == 0) if len(h) else np.zeros(0, bool)
+    yield from answers(_shared_buckets.parts, ords[keep], salts[keep], at[keep], flags[keep] & WHICH)
+
+
 def _open_windows(parts: int, length: int, k: int):
     """Map side of the comparison of open windows."""
     def send(h: np.ndarray, ords: np.ndarray, salts: np.ndarray, at: np.ndarray, asks: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -389,26 +467,20 @@ def _open_windows(parts: int, length: int, k: int):
         held = Held(send)
         for batch in slices(batches, "text"):
             raw, ends = text_bytes(batch["text"])
-            marks = batch["marks"]
-            count = np.diff(marks.offsets.to_numpy())
-            flat = marks.flatten()
-            owner = np.repeat(np.arange(len(count)), count)
-            at, cover, lead = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("at", "cover", "lead"))
-            at = at + ends[owner]
-            shared, leads = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
-            shared[at] = True
+            at, _, lead, closed = _closed_and_leads(raw, ends, batch["marks"], length)
+            leads = np.zeros(len(raw), bool)
             leads[at] = lead
-            closed = np.zeros(len(raw) + 1, np.int32)
-            long = cover >= length
-            np.add.at(closed, at[long], 1)
-            np.add.at(closed, (at + cover - length + 1)[long], -1)
-            closed = np.cumsum(closed)[:-1] > 0
+            # the buckets of anchors that are compared
+            wanted = np.sort(np.concatenate([
+                (begin + np.frombuffer(places, np.int32)) * BUCKETS + np.frombuffer(which, np.int8)
+                for begin, places, which in zip(ends[:-1], batch["places"].to_pylist(), batch["buckets"].to_pylist(), strict=True)]))
             ids = [batch[c].to_numpy() for c in ("_ord", "_salt")]
             for begin, anchor, owner in anchored(raw, ends, length, k):
                 if not len(begin):
                     continue
                 asks = ~closed[begin]
-                sent = shared[anchor] & (asks | leads[anchor])
+                key = anchor * BUCKETS + _bucket(anchor - begin, length, k)
+                sent = (wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key) & (asks | leads[anchor])
                 begin, owner, asks = begin[sent], owner[sent], asks[sent]
                 lo = int(begin[0]) if len(begin) else 0
                 hashes = _spans(raw[lo:(int(begin[-1]) if len(begin) else -1) + length], length)
@@ -468,9 +540,13 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
               .mapInArrow(_marks(k), "_ord long, _salt long, marks array<struct<at: int, cover: int, lead: boolean>>"))
     marks = stored(marked.groupBy("_ord", "_salt").agg(F.flatten(F.collect_list("marks")).alias("marks")), "marks")
     release_since(begin, distinct, order, marks)
-    opened = with_answers(rows, marks, only=True).mapInArrow(_open_windows(parts, length, k), PACKED)
-    more = by_document(reduced(opened, _with_parts(_repeated_windows, parts), PACKED)).drop("flags")
-    return with_answers(rows, marks.join(more, ["_ord", "_salt"], "left"), only=False)
+    asked = with_answers(rows, marks, only=True).mapInArrow(_long_grams(parts, length, k), PACKED)
+    kept = by_document(reduced(asked, _with_parts(_shared_buckets, parts), PACKED))
+    kept = stored(kept.select("_ord", "_salt", F.col("at").alias("places"), F.col("flags").alias("buckets")), "buckets")
+    opened = with_answers(rows, marks.join(kept, ["_ord", "_salt"]), only=True).mapInArrow(_open_windows(parts, length, k), PACKED)
+    more = stored(by_document(reduced(opened, _with_parts(_repeated_windows, parts), PACKED)).drop("flags"), "windows")
+    covered = marks.filter(F.exists("marks", lambda m: m["cover"] >= length))
+    return with_answers(rows, covered.join(more, ["_ord", "_salt"], "full"), only=False)
 
 
 def _covered(marks, at: bytes | None, length: int) -> tuple[np.ndarray, np.ndarray]:
