@@ -40,9 +40,11 @@ NOTHING_TO_REVERT = "nothing_to_revert"
 NO_PARENT = "no_parent"
 PICKED = "picked"
 NOTHING_TO_PICK = "nothing_to_pick"
+RESET = "reset"
+NOTHING_TO_RESET = "nothing_to_reset"
 
 SUCCESS = frozenset({CREATED, OVERWRITTEN, IGNORED, DELETED, FETCHED, COMMITTED, MERGED,
-                     UPDATED, STORED, COPIED, CHANGED, REVERTED, PICKED})
+                     UPDATED, STORED, COPIED, CHANGED, REVERTED, PICKED, RESET})
 
 
 def ok_col(outcome: Column | str = "outcome") -> Column:
@@ -78,6 +80,15 @@ def route_each(write_ok, write_failed, outcome: str = "outcome"):
     return run
 
 
+def write_once(path: str):
+    """A writer for ``route_each``: the rows of a batch replace what an earlier
+    try of the same batch wrote, so a restart repeats nothing.  Read the folder
+    as a table; ``batch`` is a column of it."""
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+    return write
+
+
 def route_counts(df: DataFrame, outcome: str = "outcome") -> DataFrame:
     """Outcome histogram (the relation sizes of the success/failure routes)."""
     return (df.groupBy(F.col(outcome).alias("outcome"))

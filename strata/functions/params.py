@@ -9,6 +9,7 @@ and the first failing rule wins.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 from typing import Any
 
@@ -86,3 +87,17 @@ def self_requests(spark: SparkSession, **values: Any) -> DataFrame:
     """Input mode "allowed": no incoming requests → one request of literals."""
     row = {"seq": 0, **values}
     return spark.createDataFrame([row])
+
+
+def without_requests(operator):
+    """Input mode "allowed": with ``requests=None`` an operator runs once, on one
+    request (seq 0) made of ``values``; parameters without a value take their
+    defaults as in any request.  Columns and types are those of the values."""
+    @functools.wraps(operator)
+    def run(requests: DataFrame | None, *state, values: dict[str, Any] | None = None, **given):
+        if requests is None:
+            requests = self_requests(state[0].sparkSession, **(values or {}))
+        elif values is not None:
+            raise ValueError("values: only without requests")
+        return operator(requests, *state, **given)
+    return run

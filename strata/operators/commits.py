@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions import hashing as H
 from strata.functions.joins import small_side
 from strata.functions import outcomes as O
-from strata.functions.params import Param, bind, rule_positive, rule_required, validate
+from strata.functions.params import Param, bind, rule_positive, rule_required, validate, without_requests
 from strata.functions.render import kept_metadata, render_list, render_map, render_ts, sorted_metadata_text
 from strata.operators import listing as L
 from strata.operators.state import commit_delta
@@ -41,6 +41,7 @@ def commit_attributes(commits: DataFrame, parents: DataFrame) -> DataFrame:
         render_map(F.coalesce(F.col("metadata"), F.create_map().cast("map<string,string>"))).alias("metadata"))
 
 
+@without_requests
 def fetch_commits(requests: DataFrame, commits: DataFrame, parents: DataFrame) -> DataFrame:
     """Look commits up by id; unmatched requests are kept as ``not_found``."""
     r = validate(bind(requests, [Param("repository"), Param("commit_id")]),
@@ -176,6 +177,7 @@ COMMIT_PARAMS = [
 ]
 
 
+@without_requests
 def commit_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame, entries: DataFrame,
                     staging: DataFrame, batch_seconds: Column | None = None,
                     listings: DataFrame | None = None) -> DataFrame:

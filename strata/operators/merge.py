@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import hashing as H
 from strata.functions import outcomes as O
-from strata.functions.params import Param, bind, rule_positive, rule_required, validate
+from strata.functions.params import Param, bind, rule_positive, rule_required, validate, without_requests
 from strata.functions.render import kept_metadata, sorted_metadata_text
 from strata.operators import commits as C
 from strata.operators import listing as L
@@ -70,6 +70,7 @@ MERGE_PARAMS = [
 ]
 
 
+@without_requests
 def merge_refs(requests: DataFrame, refs: DataFrame, commits: DataFrame, parents: DataFrame,
                entries: DataFrame, batch_seconds: Column | None = None,
                listings: DataFrame | None = None) -> DataFrame:

@@ -8,15 +8,20 @@ contents are stored once.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions import outcomes as O
 from strata.functions.joins import small_side
 from strata.functions.ordered import row_number_within
-from strata.functions.params import Param, bind, rule_required, validate
+from strata.functions.paging import pages, prefix_counts
+from strata.functions.params import Param, bind, rule_positive, rule_required, validate
 from strata.operators import listing as L
 from strata.operators.refs import resolve_refs
+from strata.sources.files import read_paths
 
 PKEY = ["repository", "branch", "path"]
 
@@ -114,11 +119,13 @@ def put_objects(requests: DataFrame, refs, commits, entries, staging) -> DataFra
     share one address.  Create-only requests fail with ``exists`` when the
     path is visible on the branch or an earlier valid request in the batch
     wrote it; with ``overwrite`` every valid request is stored and the last
-    by ``seq`` stays visible."""
+    by ``seq`` (unique in the batch) stays visible."""
     r = validate(bind(requests, PUT_PARAMS),
                  [rule_required("repository"), rule_required("branch"), rule_required("path"),
                   (F.col("content").isNull(), "empty:content")])
-    r = r.withColumn("ref", F.col("branch"))
+    # decisions are made without the bytes, which join once, last
+    r = (r.withColumn("checksum", F.sha2("content", 256)).withColumn("size_bytes", F.octet_length("content").cast("long"))
+         .withColumn("ref", F.col("branch")).drop("content"))
     looked = lookup_paths(r.select("seq", "repository", "ref", "path"), refs, commits, entries, staging)
     looked = looked.select("seq", F.col("ref_kind").alias("_kind"), F.col("checksum").alias("_visible_ck"))
     r = r.join(looked, "seq", "left")
@@ -131,10 +138,8 @@ def put_objects(requests: DataFrame, refs, commits, entries, staging) -> DataFra
         (F.col("_kind").isNull() | (F.col("_kind") != "branch"), O.BRANCH_NOT_FOUND),
         (~F.col("overwrite") & (F.col("_visible_ck").isNotNull() | earlier), O.EXISTS),
         default=O.STORED)
-    return (r.withColumn("checksum", F.sha2("content", 256))
-             .withColumn("size_bytes", F.octet_length("content").cast("long"))
-             .withColumn("outcome", outcome).withColumn("ok", O.ok_col())
-             .drop("ref", "_kind", "_visible_ck", "_first"))
+    r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col()).drop("ref", "_kind", "_visible_ck", "_first")
+    return r.join(requests.select("seq", "content"), "seq", "left")
 
 
 def _after_stored(staged: DataFrame, staging: DataFrame | None) -> DataFrame:
@@ -228,6 +233,72 @@ def reset_branch(staging: DataFrame, requests: DataFrame) -> DataFrame:
         & F.col("s.path").startswith(F.col("q._prefix")), "left_anti")
 
 
+def reset_branches(requests: DataFrame, refs: DataFrame, staging: DataFrame) -> DataFrame:
+    """Drop staged changes of a branch, all or under ``prefix`` (default: all): one
+    outcome row per request, invalid → branch_not_found → nothing_to_reset →
+    reset, with ``n_dropped``, the staged operations that it drops (each request
+    sees the staging before the batch).  ``reset_branch`` gives the staging left."""
+    r = validate(bind(requests, [Param("repository"), Param("branch"), Param("prefix", default="")]),
+                 [rule_required("repository"), rule_required("branch")])
+    r = r.join(refs.select("repository", "branch", F.lit(True).alias("_head")), ["repository", "branch"], "left")
+    probes = r.where(F.col("error_code").isNull() & F.col("_head")).select("seq", "repository", "branch", "prefix")
+    items = staging.select("repository", "branch", F.col("path").alias("key"))
+    r = r.join(prefix_counts(items, probes, ["repository", "branch"], "n_dropped"), "seq", "left")
+    outcome = O.first_match((F.col("error_code").isNotNull(), O.INVALID), (F.col("_head").isNull(), O.BRANCH_NOT_FOUND),
+                            (F.col("n_dropped") == 0, O.NOTHING_TO_RESET), default=O.RESET)
+    return r.withColumn("outcome", outcome).withColumn("ok", O.ok_col()).drop("_head")
+
+
+LIST_PARAMS = [Param("repository"), Param("ref"), Param("prefix", default=""), Param("delimiter", default=""),
+               Param("after", default=""), Param("amount", "int", 1000)]
+
+
+def list_objects_at(requests: DataFrame, refs: DataFrame, commits: DataFrame, entries: DataFrame, staging: DataFrame) -> DataFrame:
+    """One page of a listing per request: the entries of ``ref`` (a branch with its
+    staged changes, or a commit) under ``prefix`` and after ``after``, in order, the
+    first ``amount``; with a ``delimiter`` deeper paths are one entry, ``kind`` 'prefix',
+    with counts.  invalid → ref_not_found → fetched; a request whose page is empty has
+    one row without entry.  ``next_after`` is the cursor of the next page, if any.
+
+    A prefix is a directory (up to its last delimiter) and the rest, a stem.  Paths
+    meet only the requested directories that they lie in, and become a few entries
+    there; entries and requests are then sorted in one pass (``functions.paging``), so
+    a request costs its page, not its listing."""
+    r = validate(bind(requests, LIST_PARAMS), [rule_required("repository"), rule_required("ref"), rule_positive("amount")])
+    r = resolve_refs(r, refs, commits, ref="ref", out="ref_commit", kind="ref_kind")
+    r = r.withColumn("dir", F.when(F.col("delimiter") == "", F.lit("")).otherwise(F.expr(
+        "left(prefix, length(prefix) - length(substring_index(prefix, delimiter, -1)))"))).checkpoint(eager=True)
+    valid = F.col("error_code").isNull() & F.col("ref_commit").isNotNull()
+    asked = r.where(valid).select("repository", "ref", "ref_kind", "ref_commit", "delimiter", "dir").distinct()
+    at = ["repository", "ref"]
+    branches = asked.where("ref_kind = 'branch'").select("repository", F.col("ref").alias("branch")).distinct()
+    shown = (L.branch_view(branches, refs, commits, entries, staging)
+             .select("repository", F.col("branch").alias("ref"), "path", "size_bytes"))
+    fixed = L.head_range(asked.where("ref_kind = 'commit'").select(*at, "ref_commit").distinct(), commits, "ref_commit")
+    shown = shown.unionByName(L.listing_rows(fixed, entries).select(*at, "path", "size_bytes"))
+    # the directories that a path lies in, for each delimiter asked for there
+    cuts = shown.join(small_side(asked.select(*at, "delimiter").distinct()), at)
+    dirs = F.when(F.col("delimiter") == "", F.array(F.lit(""))).otherwise(F.expr(
+        "transform(sequence(0, size(split(path, '\\\\Q' || delimiter || '\\\\E')) - 1), "
+        "n -> IF(n = 0, '', substring_index(path, delimiter, n) || delimiter))"))
+    inside = cuts.withColumn("dir", F.explode(dirs)).join(
+        small_side(asked.select(*at, "delimiter", "dir").distinct()), [*at, "delimiter", "dir"], "left_semi")
+    deep = F.expr("delimiter <> '' AND instr(substring(path, length(dir) + 1), delimiter) > 0")
+    below = F.expr("substring_index(substring(path, length(dir) + 1), delimiter, 1)")
+    entry = F.when(deep, F.concat("dir", below, "delimiter")).otherwise(F.col("path"))
+    group = [*at, "delimiter", "dir"]
+    found = (inside.select(*group, entry.alias("key"), F.when(deep, F.lit("prefix")).otherwise(F.lit("object")).alias("kind"), "size_bytes")
+             .groupBy(*group, "key").agg(F.max("kind").alias("kind"), F.count(F.lit(1)).cast("long").alias("n_objects"),
+                                         F.sum("size_bytes").cast("long").alias("total_bytes")).checkpoint(eager=True))
+    probes = r.where(valid).select("seq", *group, "prefix", "after", "amount")
+    page = (pages(found.select(*group, "key"), probes, group).join(r.select("seq", *group), "seq")
+            .join(found, [*group, "key"]).select("seq", F.col("key").alias("entry"), "kind", "n_objects", "total_bytes", "position",
+                                                 "has_more", "next_after"))
+    outcome = O.first_match((F.col("error_code").isNotNull(), O.INVALID), (F.col("ref_commit").isNull(), O.REF_NOT_FOUND), default=O.FETCHED)
+    return (r.select("seq", "repository", "ref", "prefix", outcome.alias("outcome")).withColumn("ok", O.ok_col())
+            .join(page, "seq", "left").withColumn("has_more", F.coalesce("has_more", F.lit(False))))
+
+
 def list_objects(view: DataFrame, prefix: str = "", delimiter: str | None = "/",
                  after: str = "", amount: int | None = None) -> DataFrame:
     """Entries under ``prefix``; with a delimiter, deeper paths collapse into
@@ -268,6 +339,14 @@ def symlink_manifest(view: DataFrame) -> DataFrame:
                      F.sum("size_bytes").cast("long").alias("total_bytes")))
 
 
+def _folder(name: str, value: Column) -> Column:
+    """The folder that Spark writes a partition value to: what a path cannot
+    hold is escaped."""
+    odd = r"""["#%'*/:=?\\{\[\]^\x01-\x1f\x7f]"""
+    char = lambda c: F.when(c.rlike(odd), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c)
+    return F.concat(F.lit(f"{name}="), F.array_join(F.transform(F.split(value, ""), char), ""))
+
+
 def write_symlinks(view: DataFrame, location: str, num_partitions: int | None = None) -> str:
     """One output directory per repository, branch and listing directory
     (``dir=<escaped>``; the view's own columns) whose
@@ -285,11 +364,31 @@ def write_symlinks(view: DataFrame, location: str, num_partitions: int | None =
     return location
 
 
+def _publish(folders: DataFrame, staged: str, location: str) -> None:
+    """Replaces each folder (one row, column ``folder``) under ``location`` by the
+    one under ``staged``, or removes it if there is none: renames only, one
+    after another, as Spark's own commit of a job moves its partitions."""
+    spark = folders.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(location).getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in folders.toLocalIterator():
+        new, old = path(f"{staged}/{row.folder}"), path(f"{location}/{row.folder}")
+        fs.delete(old, True)
+        if fs.exists(new):
+            fs.mkdirs(old.getParent())
+            if not fs.rename(new, old):
+                raise OSError(f"cannot move {new} to {old}")
+
+
 def create_symlinks(requests: DataFrame, refs: DataFrame, commits: DataFrame, entries: DataFrame, staging: DataFrame,
                     location: str) -> DataFrame:
-    """Symlink files of the requested branches, written in one job under
-    ``location``; one outcome row per request: invalid → branch_not_found →
-    created, with the ``location`` of its branch's files."""
+    """Symlink files of the requested branches under ``location``; one outcome
+    row per request: invalid → branch_not_found → created, with the ``location``
+    of its branch's files.
+
+    All files are written by one job to a folder beside, then each requested
+    branch's files replace those that it had before (directories that the branch
+    no longer has go); the files of other branches stay as they are."""
     r = validate(bind(requests, [Param("repository"), Param("branch")]), [rule_required("repository"), rule_required("branch")])
     heads = refs.select("repository", "branch", F.lit(True).alias("_head"))
     r = r.join(heads, ["repository", "branch"], "left").checkpoint(eager=True)
@@ -297,28 +396,42 @@ def create_symlinks(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
                             (F.col("_head").isNull(), O.BRANCH_NOT_FOUND), default=O.CREATED)
     r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
     wanted = r.where("ok").select("repository", "branch").distinct()
-    write_symlinks(L.branch_view(wanted, refs, commits, entries, staging), location)
-    where = F.concat_ws("/", F.lit(location), F.concat(F.lit("repository="), F.col("repository")),
-                        F.concat(F.lit("branch="), F.url_encode("branch")))
-    return r.withColumn("location", F.when(F.col("ok"), where)).drop("_head")
+    folder = F.concat(_folder("repository", F.col("repository")), F.lit("/"), _folder("branch", F.col("branch")))
+    location = location.rstrip("/")
+    staged = f"{location}/_staged-{uuid.uuid4().hex}"  # no reader looks into folders that begin so
+    write_symlinks(L.branch_view(wanted, refs, commits, entries, staging), staged)
+    _publish(wanted.select(folder.alias("folder")), staged, location)
+    _removed(r.sparkSession, staged)
+    return r.withColumn("location", F.when(F.col("ok"), F.concat(F.lit(location + "/"), folder))).drop("_head")
+
+
+def _removed(spark, folder: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def read_at_ref(view: DataFrame, prefix: str, address_to_path=None, fmt: str = "parquet",
-                schema=None, **options) -> DataFrame:
+                schema=None, contents: DataFrame | None = None, keep: tuple[str, ...] = (), **options) -> DataFrame:
     """Table form of A13: read the data files a ref shows under ``prefix``
     (e.g. the parquet files of one table) as one DataFrame.
 
-    ``view`` is a ``branch_view`` / listing of the ref.  Only the file list
-    (one path per object, the same metadata Spark's own file index keeps on
-    the driver) is gathered; executors read the rows.  ``address_to_path``
-    maps a physical address to a storage path (identity by default).  With a
-    ``schema`` the files are read by it, and a ref without files gives an empty
-    table of it; without one there is nothing to tell the columns from."""
+    ``view`` is a ``branch_view`` / listing of the ref, which may show a file at
+    several paths: it is read once, or with ``keep`` (columns of the view that lead
+    each row) once for each of their values.  With a ``schema`` the paths stay
+    in the cluster and tasks read the files, from ``contents`` if given
+    (``sources.files.read_paths``; formats: parquet, csv, json, text).  Without one
+    it is taken from one file by Spark's reader; a ref without files then gives an
+    empty table of one column.  ``address_to_path`` maps a physical address to a
+    storage path (identity by default)."""
     spark = view.sparkSession
     addr = [F.col(c) for c in ("physical_address", "checksum") if c in view.columns]
-    files = view.where(F.col("path").startswith(prefix)).select(F.coalesce(*addr).alias("a")).distinct()
-    paths = sorted((address_to_path or (lambda a: a))(r.a) for r in files.toLocalIterator())
-    if not paths:
-        return spark.createDataFrame([], schema or "value string")
-    reader = spark.read.format(fmt).options(**options)
-    return (reader.schema(schema) if schema else reader).load(paths)
+    files = view.where(F.col("path").startswith(prefix)).select(*keep, F.coalesce(*addr).alias("address")).distinct()
+    if schema is None:
+        some = files.select("address").limit(1).collect()
+        if not some:
+            return spark.createDataFrame([], "value string")
+        one = (address_to_path or (lambda a: a))(some[0].address)
+        schema = spark.read.format(fmt).options(**options).load(one).schema
+    elif isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    return read_paths(files, schema, fmt, contents=contents, keep=keep, to_path=address_to_path, **options)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
 from strata.functions.ordered import last_values, running_sum
-from strata.functions.params import Param, bind, rule_allowed, rule_positive, rule_required, validate
+from strata.functions.params import Param, bind, rule_allowed, rule_positive, rule_required, validate, without_requests
 from strata.functions.render import render_ts
 from strata.operators.merge import merge_deltas, merge_refs
 from strata.operators.state import naive_time
@@ -27,6 +27,7 @@ def pr_id(repository: Column, seq: Column, title: Column, stored: Column | None
     return F.concat(F.lit("pr_"), F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16))
 
 
+@without_requests
 def create_pull_requests(requests: DataFrame, refs: DataFrame, prs: DataFrame | None = None) -> DataFrame:
     """invalid → branch_not_found (either side) → same_branch → created (open).
 
@@ -82,6 +83,7 @@ def pr_attributes(prs: DataFrame) -> DataFrame:
                       render_ts("closed_date").alias("closed_date"))
 
 
+@without_requests
 def fetch_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
     r = validate(bind(requests, [Param("repository"), Param("id")]),
                  [rule_required("repository"), rule_required("id")])
@@ -104,6 +106,7 @@ def _status_class(status: Column) -> Column:
     return F.when(status == OPEN, F.lit(OPEN)).otherwise(F.lit(CLOSED))
 
 
+@without_requests
 def list_pull_requests(requests: DataFrame, prs: DataFrame) -> DataFrame:
     """One page per request: ids > ``after`` starting with ``prefix`` in
     status class open / closed (= not open) / all, ascending, first

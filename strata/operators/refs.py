@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions import outcomes as O
 from strata.functions.joins import small_side
 from strata.functions.ordered import previous_value
-from strata.functions.params import Param, bind, rule_allowed, rule_required, validate
+from strata.functions.params import Param, bind, rule_allowed, rule_required, validate, without_requests
 
 KEY = ["repository", "branch"]
 
@@ -67,6 +67,7 @@ def _create_outcome(exists_before: Column) -> Column:
         default=O.BRANCH_EXISTS)
 
 
+@without_requests
 def create_branches(requests: DataFrame, refs: DataFrame, commits: DataFrame) -> DataFrame:
     """Create branches from a source ref (default ``main``).
 
@@ -102,6 +103,7 @@ def refs_after_create(outcomes: DataFrame, refs: DataFrame) -> DataFrame:
 DELETE_PARAMS = [Param("repository"), Param("branch"), Param("force", "boolean", False)]
 
 
+@without_requests
 def delete_branches(requests: DataFrame, refs: DataFrame) -> DataFrame:
     """The first valid request on an existing branch deletes it; any other
     valid request reports ``branch_not_found``.  ``force`` is carried."""
@@ -192,6 +194,7 @@ def branch_attributes(refs: DataFrame) -> DataFrame:
 FETCH_PARAMS = [Param("repository"), Param("branch")]
 
 
+@without_requests
 def fetch_branches(requests: DataFrame, refs: DataFrame) -> DataFrame:
     """Enrich requests with the branch head; unmatched → ``not_found``."""
     r = _bind_branch_requests(requests, FETCH_PARAMS)

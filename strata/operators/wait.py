@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import outcomes as O
 from strata.functions.ordered import previous_value
-from strata.functions.params import Param, bind, rule_required, validate
+from strata.functions.params import Param, bind, rule_required, validate, without_requests
 
 KEY = ["repository", "branch"]
 
@@ -55,9 +55,11 @@ def poll_sample(observations: DataFrame, interval: str = "1 hour") -> DataFrame:
                     "_last.commit_id")
 
 
-def changed_since(requests: DataFrame, refs: DataFrame) -> DataFrame:
+@without_requests
+def changed_since(requests: DataFrame, refs: DataFrame, commits: DataFrame | None = None, parents: DataFrame | None = None) -> DataFrame:
     """Per request: has the branch head moved away from ``previous_commit_id``?
-    ``unchanged`` is not a success: such a request is not passed on."""
+    ``unchanged`` is not a success: such a request is not passed on.  With
+    ``commits`` and ``parents`` a changed one has the attributes of its head."""
     r = validate(bind(requests, [Param("repository"), Param("branch"), Param("previous_commit_id")]),
                  [rule_required("repository"), rule_required("branch")])
     heads = refs.select(*KEY, F.col("commit_id").alias("head"))
@@ -66,4 +68,7 @@ def changed_since(requests: DataFrame, refs: DataFrame) -> DataFrame:
                             (F.col("head").isNull(), O.BRANCH_NOT_FOUND),
                             (F.col("head").eqNullSafe(F.col("previous_commit_id")), O.UNCHANGED),
                             default=O.CHANGED)
-    return r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
+    r = r.withColumn("outcome", outcome).withColumn("ok", O.ok_col())
+    if commits is None:
+        return r
+    return with_commit(r.withColumn("_moved", F.when(F.col("ok"), F.col("head"))), commits, parents, head="_moved").drop("_moved")

@@ -886,3 +886,18 @@ UNION ALL
 SELECT repository, branch, commit_id FROM last l
 WHERE NOT EXISTS (SELECT 1 FROM fx_refs r WHERE r.repository = l.repository AND r.branch = l.branch)""",
                                               "fx_requests", "fx_refs", "fx_commits")
+
+# ------------------------------------------- the forms over every ref ---------
+_ON_MAIN = "'main' AS branch,\n             concat('orders/'"
+_SPREAD = ("CASE WHEN l_orderkey % 3 = 0 THEN 'main' ELSE concat('b_', l_orderkey % 5 + 5 * (1 + l_orderkey % 25)) END AS branch,\n"
+           "             concat('orders/'")
+
+
+def over_every_ref(sql: str) -> str:
+    """The SQL of a query on ``main`` without its filter, with staging on many branches."""
+    return (sql.replace("WHERE r.branch = 'main'", "").replace("FROM fx_refs WHERE branch = 'main'", "FROM fx_refs")
+            .replace(_ON_MAIN, _SPREAD))
+
+
+# (the view of every branch has millions of rows at sf0.01: tests compare it at sf0.001)
+ALL_REFS_ORACLE = {f"{name}_all": over_every_ref(ORACLE[name]) for name in ("diff_branch", "list_objects", "symlink_manifest", "log_commits")}
