@@ -290,9 +290,8 @@ def suffix_order(strings: DataFrame, carried: list[str] = (), depth: int = DEPTH
 # --- the repeats ---------------------------------------------------------------
 
 def _prefixes(reach: int):
-    """For each suffix of a segment: its rank and the hashes of its prefixes of
-    1, 2, .. phrases up to ``reach`` bytes, each with the bytes that it covers in
-    the low 16 bits."""
+    """For each suffix of a segment: its rank, and for its prefixes of 1, 2, ..
+    phrases up to ``reach`` bytes their hashes and the bytes that they cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends = batch["gap"].offsets.to_numpy().astype(np.int64)
@@ -307,44 +306,53 @@ def _prefixes(reach: int):
             while len(alive):
                 chain[alive] = mixed(chain[alive] * np.uint64(0x9E3779B97F4A7C15) + name[alive + at])
                 covered[alive] += gap[alive + at]
-                level.append((alive, (chain[alive] & ~np.uint64(0xFFFF)) | np.minimum(covered[alive], 0xFFFF).astype(np.uint64)))
+                level.append((alive, chain[alive], covered[alive]))
                 at += 1
                 alive = alive[(covered[alive] < reach) & (alive + at < stop[alive])]
-            which = np.concatenate([a for a, _ in level]) if level else np.zeros(0, np.int64)
-            keys = np.concatenate([x for _, x in level]) if level else np.zeros(0, np.uint64)
+            which, keys, reached = (np.concatenate(c) for c in zip(*level, strict=True)) if level else (np.zeros(0, np.int64),) * 3
             order = np.argsort(which, kind="stable")
-            offsets = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(name)))]).astype(np.int32)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(name)))]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch["sid"].take(pa.array(owner)), pa.array((np.arange(len(name)) - ends[:-1][owner]).astype(np.int32)),
                  pa.array(batch["ranks"].flatten().to_numpy()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[order].view(np.int64)))],
-                ["sid", "i", "rank", "pre"])
+                 pa.ListArray.from_arrays(offsets, pa.array(keys[order].view(np.int64))),
+                 pa.ListArray.from_arrays(offsets, pa.array(reached[order].astype(np.int32)))],
+                ["sid", "i", "rank", "pre", "bytes"])
     return run
 
 
 def _adjacent(k: int):
     """Compares the prefixes of adjacent suffixes in sorted partitions: per
-    suffix the bytes that it shares with a neighbour."""
+    suffix the bytes that it shares with a neighbour.  The last suffix of a batch
+    waits for the first of the next."""
+    def covers(rows: pa.RecordBatch, most: np.ndarray) -> pa.RecordBatch:
+        ends = rows["bytes"].offsets.to_numpy().astype(np.int64)
+        reached = rows["bytes"].values.to_numpy()
+        cover = np.where(most > 0, reached[ends[:-1] + np.maximum(most, 1) - 1] + k, 0)
+        return pa.RecordBatch.from_arrays([rows["sid"], rows["i"], pa.array(cover.astype(np.int32))], ["sid", "i", "cover"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if len(b)]
-        if not batches:
-            return
-        rows = pa.Table.from_batches(batches).combine_chunks()
-        pre = rows["pre"].combine_chunks()
-        ends = pre.offsets.to_numpy().astype(np.int64)
-        keys = pre.values.to_numpy()
-        size, n = np.diff(ends), len(rows)
-        shared = np.zeros(max(n - 1, 0), np.int64)  # phrases shared with the next suffix
-        alive, d = np.arange(n - 1), 0
-        while len(alive):
-            alive = alive[(size[alive] > d) & (size[alive + 1] > d)]
-            alive = alive[keys[ends[alive] + d] == keys[ends[alive + 1] + d]]
-            shared[alive] += 1
-            d += 1
-        most = np.maximum(np.append(shared, 0), np.append(0, shared))
-        cover = np.where(most > 0, (keys[ends[:-1] + np.maximum(most, 1) - 1] & 0xFFFF) + k, 0)
-        yield pa.RecordBatch.from_arrays([rows["sid"].combine_chunks(), rows["i"].combine_chunks(),
-                                          pa.array(cover.astype(np.int32))], ["sid", "i", "cover"])
+        held, before = None, 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = pa.concat_batches([held, batch]) if held is not None else batch
+            ends = rows["pre"].offsets.to_numpy().astype(np.int64)
+            keys = rows["pre"].values.to_numpy()
+            size, n = np.diff(ends), len(rows)
+            shared = np.zeros(n - 1, np.int64)  # phrases shared with the next suffix
+            alive, d = np.arange(n - 1), 0
+            while len(alive):
+                alive = alive[(size[alive] > d) & (size[alive + 1] > d)]
+                alive = alive[keys[ends[alive] + d] == keys[ends[alive + 1] + d]]
+                shared[alive] += 1
+                d += 1
+            if n > 1:
+                yield covers(rows.slice(0, n - 1), np.maximum(shared, np.append(before, shared[:-1])))
+                before = int(shared[-1])
+            held = pa.RecordBatch.from_pylist(rows.slice(n - 1).to_pylist(), schema=rows.schema)  # holds no batch
+        if held is not None:
+            yield covers(held, np.array([before]))
     return run
 
 
@@ -528,7 +536,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     ranks = order.groupBy("sid").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "rank"))), lambda x: x["rank"]).alias("ranks"))
     reach = 2 * length - k + 1  # a window's anchor lies at most length - k bytes after its start
     suffixes = (distinct.select("sid", "gap", "name").join(ranks, "sid")
-                .mapInArrow(_prefixes(reach), "sid long, i int, rank long, pre array<long>"))
+                .mapInArrow(_prefixes(reach), "sid long, i int, rank long, pre array<long>, bytes array<int>"))
     n = partitions(docs.sparkSession)
     compared = (suffixes.repartitionByRange(n, "rank").sortWithinPartitions("rank")
                 .mapInArrow(_adjacent(k), "sid long, i int, cover int"))
