@@ -9,7 +9,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
@@ -423,9 +423,17 @@ def runs(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 KEY = "__row_key"
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A 128-bit hash of id and text (nulls apart from all values), the same in
+    every scan: rows with equal keys are equal in both."""
+    def told(c: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    return F.unhex(F.md5(F.concat(told(id_col), F.lit("\x00"), told(text_col))))
+
+
 def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with a hash of id and text, the same in every scan."""
-    return docs.withColumn(KEY, F.xxhash64(F.col(id_col), F.col(text_col)))
+    """``docs`` with their ``row_key``."""
+    return docs.withColumn(KEY, row_key(id_col, text_col))
 
 
 def without_keys(docs: DataFrame, keys: DataFrame, bits: int = 1 << 23) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import KEY, LOWER, UPPER, member_pages, stored, with_key, with_member_flag, without_keys
+from strata.llm.common import KEY, LOWER, UPPER, member_pages, row_key, stored, with_key, with_member_flag, without_keys
 
 
 def normalised(text: Column | str) -> Column:
@@ -45,7 +45,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if keep not in ("smallest", "largest"):
         raise ValueError("keep: smallest or largest")
     norm = docs.select(F.col(id_col).alias("doc_id"), normalised(text_col).alias("_norm"),
-                       F.xxhash64(id_col, text_col).alias(KEY))
+                       row_key(id_col, text_col).alias(KEY))
     norm = norm.withColumn("_h", hash_of(F.col("_norm")))
     prints = stored(norm.select("doc_id", "_h", KEY, F.sha2("_norm", 256).alias("text_sha256"),
                                 F.monotonically_increasing_id().alias("_row")), "exact-prints")

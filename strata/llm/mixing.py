@@ -3,7 +3,8 @@ equal-token blocks.  Built-in functions only.
 
 1. A document's size is its number of words.  Each source gets a target
    (``source_targets``) or the caller's.
-2. The house of ``target / block_words`` blocks is shared out to the sources by
+2. The house of ``target / block_words`` blocks (of fewer words, where the smallest
+   target is not ``LEAST_BLOCKS`` of them) is shared out to the sources by
    highest quotients ``target / (2k - 1)``, and each source's seats to its
    shards (parts of about ``shard_words`` words, dealt by a seeded hash) in the
    same way, so each shard has an integer quota (``apportion``).
@@ -29,10 +30,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.ordered import running_sum
-from strata.llm.common import KEY, WORD, stored, with_key
+from strata.llm.common import KEY, WORD, row_key, stored, with_key
 
 BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 16
+LEAST_BLOCKS = 8  # blocks of the smallest target, unless a block is one word
 
 
 def seeded(id_col: str, seed: int) -> Column:
@@ -113,33 +115,38 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sizes = stored(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(id_col, text_col).alias(KEY)), "mix-sizes")
+        row_key(id_col, text_col).alias(KEY)), "mix-sizes")
     per = targets(sizes)
     # null sources join as a number: the sources' order
     per = running_sum(per.withColumn("_null", F.col("source").isNull().cast("int")),
                       [], ["_null", "source"], F.lit(1), "_source")
     per = per.withColumn("_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long"))
-    house = per.agg(F.floor(F.sum("target") / block_words).cast("long").alias("house"))
+    # blocks are smaller where the smallest target would be few of them
+    fine = F.floor(F.min(F.when(F.col("target") > 0, F.col("target"))) / LEAST_BLOCKS)
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.coalesce(fine, F.lit(1)))).cast("long")
+    house = per.agg(block.alias("_block"), F.floor(F.sum("target") / block).cast("long").alias("house"))
     seats = apportion(with_row(per.withColumn("votes", F.col("target").cast("double")), house), [], ["_source"])
-    per = stored(seats.select("source", "_source", "source_size", "target", "_shards", "seats"), "mix-sources")
+    per = stored(seats.select("source", "_source", "source_size", "target", "_shards", "seats", "_block"), "mix-sources")
     spot = seeded("doc_id", seed)
     rows = (sizes.join(per, sizes["source"].eqNullSafe(per["source"])).drop(per["source"])
             .withColumn("_spot", spot)
             .withColumn("_shard", F.pmod(F.conv(F.substring("_spot", 1, 8), 16, 10).cast("long"), F.col("_shards"))))
-    shards = (rows.groupBy("_source", "_shard").agg(F.sum("size").alias("_ring"), F.max("seats").alias("house"))
+    shards = (rows.groupBy("_source", "_shard").agg(F.sum("size").alias("_ring"), F.max("seats").alias("house"), F.max("_block").alias("_block"))
               .withColumn("votes", F.col("_ring").cast("double")))
     quotas = (apportion(shards, ["_source"], ["_shard"], "_quota")
-              .withColumn("_blocks", F.least("_quota", F.floor(F.col("_ring") * 2 / block_words)) * block_words)
+              .withColumn("_blocks", F.least("_quota", F.floor(F.col("_ring") * 2 / F.col("_block"))) * F.col("_block"))
               .select("_source", "_shard", "_ring", "_blocks"))
     frame = (Window.partitionBy("_source", "_shard").orderBy("_spot", "doc_id", "size")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = (rows.withColumn("_end", F.sum("size").over(frame))
+    # texts without words take nothing, and however many there are they sort nowhere
+    empty = rows.filter("size = 0").select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), KEY)
+    rows = (rows.filter("size > 0").withColumn("_end", F.sum("size").over(frame))
             .join(quotas, ["_source", "_shard"]))
     rounds = F.when(F.col("_ring") > 0, F.floor(F.col("_blocks") / F.col("_ring"))).otherwise(0)
     rest = F.col("_blocks") - rounds * F.col("_ring")
     part = F.greatest(F.lit(0), F.least("_end", rest) - (F.col("_end") - F.col("size")))
     return rows.select("doc_id", "source", "size", "source_size", "target",
-                       (rounds * F.col("size") + part).cast("long").alias("taken"), KEY)
+                       (rounds * F.col("size") + part).cast("long").alias("taken"), KEY).unionByName(empty)
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
@@ -147,7 +154,7 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken words make up its size, rounded (0, 1 or 2 times; rows equal in id
     and text share their mean)."""
     taken = (mix(docs, id_col, text_col, source_col, **options).filter("size > 0")
-             .groupBy(KEY).agg((F.floor(F.sum("taken") / F.sum("size") + 0.5)).cast("int").alias("__times"))
-             .filter("__times > 0"))
+             .groupBy(KEY).agg((F.floor(F.sum("taken") / F.sum("size") + 0.5)).cast("int").alias(KEY + "_times"))
+             .filter(F.col(KEY + "_times") > 0))
     rows = with_key(docs, id_col, text_col).join(taken, KEY)
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    return rows.withColumn(KEY + "_copy", F.explode(F.sequence(F.lit(1), F.col(KEY + "_times")))).select(*docs.columns)

@@ -78,7 +78,9 @@ levels AS (
 targets AS (
   SELECT *, least(lim, coalesce(weight * (SELECT min_by(level, (ratio, pos)) FROM levels WHERE level <= ratio), lim)) AS target,
          CAST(greatest(1, ceil(source_size / {mixing.SHARD_WORDS})) AS BIGINT) AS shards FROM levels),
-house AS (SELECT CAST(floor(sum(target) / {mixing.BLOCK_WORDS}) AS BIGINT) AS n FROM targets),
+blocks AS (SELECT CAST(greatest(1, least({mixing.BLOCK_WORDS}, coalesce(floor(min(target) FILTER (WHERE target > 0) / {mixing.LEAST_BLOCKS}), 1))) AS BIGINT) AS words
+           FROM targets),
+house AS (SELECT CAST(floor(sum(target) / (SELECT words FROM blocks)) AS BIGINT) AS n FROM targets),
 quotients AS (
   SELECT pos, target / (2 * k - 1) AS q, k
   FROM (SELECT pos, target, unnest(range(1, CAST((SELECT n FROM house) AS BIGINT) + 1)) AS k FROM targets WHERE target > 0)),
@@ -98,7 +100,7 @@ quotas AS (
   FROM (SELECT pos, shard, seats, row_number() OVER (PARTITION BY pos ORDER BY q DESC, shard, k) AS r FROM shard_quotients)
   WHERE r <= seats GROUP BY pos, shard),
 taken AS (
-  SELECT r.pos, r.shard, r.ring, least(coalesce(quota, 0), CAST(floor(r.ring * 2 / {mixing.BLOCK_WORDS}) AS BIGINT)) * {mixing.BLOCK_WORDS} AS blocks
+  SELECT r.pos, r.shard, r.ring, least(coalesce(quota, 0), CAST(floor(r.ring * 2 / (SELECT words FROM blocks)) AS BIGINT)) * (SELECT words FROM blocks) AS blocks
   FROM rings r LEFT JOIN quotas q ON q.pos = r.pos AND q.shard = r.shard),
 placed AS (
   SELECT d.*, t.ring, t.blocks, CASE WHEN t.ring > 0 THEN CAST(floor(t.blocks / t.ring) AS BIGINT) ELSE 0 END AS rounds,

@@ -84,6 +84,36 @@ def test_mix(spark, rng):
     assert sorted(rows, key=repr) == sorted(again, key=repr)
 
 
+def test_small_sources_come_near_their_targets(spark):
+    docs = [(i, "x y z", s) for i, s in enumerate(["a", "b", "b"])] + [(9, "", "b"), (10, None, "a")]
+    rows = mixing.mix(odd_documents(spark, docs)).collect()
+    for s, target in (("a", 6.0), ("b", 7.5)):
+        mine = [r for r in rows if r.source == s]
+        assert {r.target for r in mine} == {target} and abs(sum(r.taken for r in mine) - target) <= 1
+    assert {r.taken for r in rows if r.size == 0} == {0}
+
+
+def test_rows_as_often_as_the_mix_takes_them(spark):
+    docs = [(i, "w " * n, s) for i, (n, s) in enumerate([(40, "a"), (3, "a"), (500, "b"), (0, "b"), (60, "c"), (7, None)] * 4)] + [(3, "w " * 0, "b"), (None, "q r", "a")]
+    df = odd_documents(spark, docs, "__times int, __copy string, __row_key_x string, _end long, kept boolean")
+    taken = {(r.doc_id, r.size): (r.size, r.taken) for r in mixing.mix(df).collect()}
+    got = {}
+    for r in mixing.mixed_rows(df).collect():
+        k = (r.doc_id, len((r.text or "").split()))
+        got[k] = got.get(k, 0) + 1
+    assert got == {k: n for k, (size, t) in taken.items() if size and (n := int(t / size + 0.5))}
+    assert mixing.mixed_rows(df).columns == df.columns and mixing.mixed_rows(df.limit(0)).count() == 0
+
+
+def test_keys_tell_all_rows_apart(spark):
+    from strata.llm.common import row_key
+    odd = [(None, None), (None, ""), (None, "="), (1, None), (1, ""), (11, "x"), (1, "1x"), (1, "\x00"), (0, "a"), (0, "A")]
+    df = spark.createDataFrame(odd, "doc_id long, text string")
+    assert df.select(row_key("doc_id", "text")).distinct().count() == len(odd)
+    kept = exact.deduplicated(df, keep="largest").collect()
+    assert sorted((r.text or "").lower() for r in kept) == ["", "\x00", "1x", "=", "a", "x"]  # one of each text
+
+
 def test_mix_empty_and_wordless(spark):
     none = odd_documents(spark, [])
     assert mixing.mix(none).count() == 0
