@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from strata.operators import listing as L
 from strata.operators.state import commit_delta
 
 CKEY = ["repository", "commit_id"]
+# Fixed: generations that one job of a merge-base walk takes, and pieces of a closure that are read one by one.
+ROUNDS = 3
+MOST_PIECES = 16
 
 
 def epoch_seconds(ts: Column) -> Column:
@@ -102,12 +107,16 @@ def ancestors(seeds: DataFrame, parents: DataFrame) -> DataFrame:
     edges, owners = key_history(parents, start.select("repository", "commit_id"))
     edges = edges.select(F.col("repository").alias("_e_repo"), F.col("child").alias("_e_child"), F.col("ancestor").alias("_e_parent"))
     frontier = start.checkpoint(eager=True)
-    seen = frontier
+    key, seen = ["repository", "seed", "commit_id"], [frontier]
     while not frontier.isEmpty():
         step = (frontier.join(edges, (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_e_child")))
                 .select("repository", "seed", F.col("_e_parent").alias("commit_id")).distinct())
-        frontier = step.join(seen, ["repository", "seed", "commit_id"], "left_anti").checkpoint(eager=True)
-        seen = seen.unionByName(frontier).checkpoint(eager=True)
+        # each round writes its own commits only; now and then the pieces become one
+        frontier = step.join(reduce(DataFrame.unionByName, seen), key, "left_anti").checkpoint(eager=True)
+        seen.append(frontier)
+        if len(seen) > MOST_PIECES:
+            seen = [reduce(DataFrame.unionByName, seen).checkpoint(eager=True)]
+    seen = reduce(DataFrame.unionByName, seen)
     own = owners.select("repository", F.col("owner").alias("commit_id"), F.col("commit_id").alias("_member"))
     inner = seen.join(own, ["repository", "commit_id"]).select("repository", "seed", F.col("_member").alias("commit_id"))
     return seen.unionByName(inner)
@@ -124,7 +133,8 @@ def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame) -> Data
     generation; every child of a popped commit has a higher generation, so its
     mask is complete.  The first popped level with a mask-3 commit holds the
     answer, and the pair leaves the walk; the walk ends when no commit is
-    left.  Each frontier is a reliable checkpoint."""
+    left.  A job takes ``ROUNDS`` generations, and what it leaves, answers and
+    frontier, is one reliable checkpoint."""
     p = pairs.select("repository", "a", "b").distinct()
     pair = ["repository", "a", "b"]
     ends = p.select("repository", F.col("a").alias("commit_id")).unionByName(p.select("repository", F.col("b").alias("commit_id")))
@@ -138,22 +148,34 @@ def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame) -> Data
              .unionByName(p.select(*pair, F.col("b").alias("commit_id"), F.lit(2).alias("mask"))))
     frontier = (start.groupBy(*pair, "commit_id").agg(F.bit_or("mask").alias("mask"))
                 .join(gen, CKEY).select(*pair, "commit_id", "mask", "generation").checkpoint(eager=True))
-    best = frontier.select(*pair, F.col("commit_id").alias("base_id"), F.col("generation").alias("base_generation")).limit(0)
+    found = []
     while not frontier.isEmpty():
-        # a pair's frontier is small (its width), so a window per pair is cheap
-        f = frontier.withColumn("_top", F.max("generation").over(Window.partitionBy(*pair)))
-        popped = f.where(F.col("generation") == F.col("_top"))
-        hit = (popped.where(F.col("mask") == 3).groupBy(*pair)
-               .agg(F.min("commit_id").alias("base_id"), F.max("generation").alias("base_generation"))
-               .checkpoint(eager=True))
-        best = best.unionByName(hit)
-        grow = (popped.join(edges, (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_child")))
-                .select(*pair, F.col("_parent").alias("commit_id"), "mask", F.col("_pgen").alias("generation")))
-        rest = f.where(F.col("generation") < F.col("_top")).select(*pair, "commit_id", "mask", "generation")
-        frontier = (rest.unionByName(grow).join(hit.select(*pair), pair, "left_anti")
-                    .groupBy(*pair, "commit_id", "generation").agg(F.bit_or("mask").alias("mask"))
-                    .select(*pair, "commit_id", "mask", "generation").checkpoint(eager=True))
-    return p.join(best.checkpoint(eager=True), pair, "left")
+        rows = frontier.withColumn("hit", F.lit(False))
+        for _ in range(ROUNDS):  # several rounds a job; a pair that has its answer takes no part in the next
+            rows = _popped(rows, pair, edges)
+        rows = rows.checkpoint(eager=True)
+        found.append(rows.where("hit"))
+        frontier = rows.where("NOT hit").drop("hit")
+    best = reduce(DataFrame.unionByName, found) if found else frontier
+    return p.join(best.select(*pair, F.col("commit_id").alias("base_id"), F.col("generation").alias("base_generation")), pair, "left")
+
+
+def _popped(rows: DataFrame, pair: list[str], edges: DataFrame) -> DataFrame:
+    """One round of ``merge_base``: of each pair the highest generation of its
+    frontier gives way to its parents, or, if the pair has a common commit there, all
+    its rows to the answer (``hit``).  A pair's frontier is small (its width)."""
+    top = Window.partitionBy(*pair)
+    f = rows.withColumn("_top", F.max("generation").over(top))
+    at_top = F.col("generation") == F.col("_top")
+    common = F.min(F.when(at_top & (F.col("mask") == 3), F.col("commit_id"))).over(top)
+    f = f.withColumn("_best", F.when(F.col("hit"), F.col("commit_id")).otherwise(common))
+    done = f.where(F.col("_best") == F.col("commit_id")).select(*pair, "commit_id", "generation", F.lit(3).alias("mask"), F.lit(True).alias("hit"))
+    open_ = f.where("_best IS NULL")
+    grown = (open_.where(at_top).join(edges, (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_child")))
+             .select(*pair, F.col("_parent").alias("commit_id"), F.col("_pgen").alias("generation"), "mask"))
+    rest = open_.where(~at_top).select(*pair, "commit_id", "generation", "mask")
+    next_ = rest.unionByName(grown).groupBy(*pair, "commit_id", "generation").agg(F.bit_or("mask").alias("mask"))
+    return done.unionByName(next_.withColumn("hit", F.lit(False)))
 
 
 def log_commits(heads: DataFrame, commits: DataFrame, parents: DataFrame) -> DataFrame:
