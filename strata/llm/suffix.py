@@ -59,6 +59,7 @@ from strata.llm.common import (
     slices,
     stored,
     text_bytes,
+    trim,
     unpacked,
     with_answers,
     word_hashes,
@@ -293,7 +294,7 @@ def _prefixes(reach: int):
     """For each suffix of a segment: its rank, and for its prefixes of 1, 2, ..
     phrases up to ``reach`` bytes their hashes and the bytes that they cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_names(batches):
             ends = batch["gap"].offsets.to_numpy().astype(np.int64)
             ends = ends - ends[0]
             n = len(ends) - 1
@@ -318,9 +319,21 @@ def _prefixes(reach: int):
                  pa.ListArray.from_arrays(offsets, pa.array(keys[order].view(np.int64))),
                  pa.ListArray.from_arrays(offsets, pa.array(reached[order].astype(np.int32)))],
                 ["sid", "i", "rank", "pre", "bytes"])
+        trim()
     return run
 
 
+def few_names(batches: Iterator[pa.RecordBatch], most: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about ``most`` phrases, as each has several
+    prefixes (a longer segment is a slice of its own)."""
+    for batch in batches:
+        ends, at = batch["gap"].offsets.to_numpy(), 0
+        while at < len(batch):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def _adjacent(k: int):
     """Compares the prefixes of adjacent suffixes in sorted partitions: per
     suffix the bytes that it shares with a neighbour.  The last suffix of a batch
@@ -353,6 +366,7 @@ def _adjacent(k: int):
             held = pa.RecordBatch.from_pylist(rows.slice(n - 1).to_pylist(), schema=rows.schema)  # holds no batch
         if held is not None:
             yield covers(held, np.array([before]))
+        trim()
     return run
 
 
@@ -423,7 +437,7 @@ def _long_grams(parts: int, length: int, k: int):
         yield from packed_rows(parts, h[sent], [h[sent], where[0], where[1], where[2].astype(np.int32), flags])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Held(send)
+        held = Held(send, 400_000)
         for batch in slices(batches, "text"):
             raw, ends = text_bytes(batch["text"])
             at, owner, lead, closed = _closed_and_leads(raw, ends, batch["marks"], length)
@@ -472,7 +486,7 @@ def _open_windows(parts: int, length: int, k: int):
         yield from packed_rows(parts, h[sent], [h[sent], where[0], where[1], where[2].astype(np.int32), asks[sent].astype(np.int8)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Held(send)
+        held = Held(send, 400_000)
         for batch in slices(batches, "text"):
             raw, ends = text_bytes(batch["text"])
             at, _, lead, closed = _closed_and_leads(raw, ends, batch["marks"], length)
