@@ -291,22 +291,29 @@ def parts_of(docs: DataFrame) -> int:
     It follows the data, not the cluster, so parts fit in memory and blocks do
     not get smaller when there are more tasks.  Results do not depend on it."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return min(1 << 16, max(16, min(size // PART_BYTES, 4096), size // (32 * PART_BYTES)))
+    return max(16, min(size // PART_BYTES, 4096), size // (32 * PART_BYTES))
 
 
 def reduced(packed: DataFrame, reduce, schema: str) -> DataFrame:
     """Brings the rows of each part together and reduces them:
-    ``reduce(part, blocks)`` gets the part's blocks by kind and yields record batches."""
+    ``reduce(part, blocks)`` gets the part's blocks by kind and yields record
+    batches.  Rows come sorted by part, so a task holds one part at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, dict[int, list[bytes]]] = {}
+        at: int | None = None
+        held: dict[int, list[bytes]] = {}
         for batch in batches:
             for part, kind, data in zip(*[batch.column(c).to_pylist() for c in ("part", "kind", "data")], strict=True):
-                held.setdefault(part, {}).setdefault(kind, []).append(data)
-        for part in sorted(held):
-            yield from reduce(part, held.pop(part))
+                if part != at and held:
+                    yield from reduce(at, held)
+                    held = {}
+                at = part
+                held.setdefault(kind, []).append(data)
+        if held:
+            yield from reduce(at, held)
         trim()
 
-    return packed.repartition(partitions(packed.sparkSession), "part").mapInArrow(run, schema)
+    parts = packed.repartition(partitions(packed.sparkSession), "part").sortWithinPartitions("part")
+    return parts.mapInArrow(run, schema)
 
 
 #: A document is known by its id and, where ids repeat, a hash of its text.
