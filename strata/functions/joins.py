@@ -13,14 +13,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed bound: rows of a key side that may be broadcast.
+# Fixed bounds: rows and bytes (as text) of a key side that may be broadcast.
 MAX_BROADCAST_KEYS = 200_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
-def small_side(keys: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """``keys`` with a broadcast hint if it has at most ``limit`` rows.
+def small_side(keys: DataFrame, limit: int = MAX_BROADCAST_KEYS, most_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``keys`` with a broadcast hint if it has at most ``limit`` rows and
+    ``most_bytes`` bytes in them.
 
     The check reads at most ``limit + 1`` rows, so it is cheap and its cost
     does not grow with the key side."""
-    n = keys.limit(limit + 1).count()
-    return F.broadcast(keys) if n <= limit else keys
+    wide = F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0))
+    n, size = keys.limit(limit + 1).agg(F.count(F.lit(1)), wide).first()
+    return F.broadcast(keys) if n <= limit and size <= most_bytes else keys

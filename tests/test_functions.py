@@ -116,3 +116,11 @@ def test_wait_commits_equals_simulation_on_a_hot_branch(spark):
             want.append(seq)
         last[branch] = head
     assert got == want
+
+
+def test_a_key_side_is_broadcast_by_rows_and_bytes(spark):
+    from strata.functions.joins import small_side
+    keys = spark.range(50).selectExpr("id", "repeat('x', 100) AS branch", "map('k', id) AS more")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(small_side(keys)) and hinted(small_side(keys.limit(0)))
+    assert not hinted(small_side(keys, limit=49)) and not hinted(small_side(keys, most_bytes=5000))
