@@ -551,8 +551,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     reach = 2 * length - k + 1  # a window's anchor lies at most length - k bytes after its start
     suffixes = (distinct.select("sid", "gap", "name").join(ranks, "sid")
                 .mapInArrow(_prefixes(reach), "sid long, i int, rank long, pre array<long>, bytes array<int>"))
+    # the partitions of the order (upper bits of its ranks) as they are: a new range exchange would make
+    # all prefixes once more, to sample them
     n = partitions(docs.sparkSession)
-    compared = (suffixes.repartitionByRange(n, "rank").sortWithinPartitions("rank")
+    compared = (suffixes.repartition(n, F.shiftright("rank", 33)).sortWithinPartitions("rank")
                 .mapInArrow(_adjacent(k), "sid long, i int, cover int"))
     covers = compared.groupBy("sid").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "cover"))), lambda x: x["cover"]).alias("covers"))
     known = stored(distinct.select("sid", "segment", "n", "head").join(covers, "sid", "left").drop("sid"), "segment-covers")
