@@ -38,7 +38,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         atexit.register(_clean)
     _written.append((spark, path))
     with _shuffle_files_removed(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_in = path
     return out
