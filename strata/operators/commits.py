@@ -17,7 +17,7 @@ from strata.operators.state import commit_delta
 
 CKEY = ["repository", "commit_id"]
 # Fixed: generations that one job of a merge-base walk takes, and pieces of a closure that are read one by one.
-ROUNDS = 3
+ROUNDS = 6
 MOST_PIECES = 16
 
 
@@ -133,8 +133,8 @@ def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame) -> Data
     generation; every child of a popped commit has a higher generation, so its
     mask is complete.  The first popped level with a mask-3 commit holds the
     answer, and the pair leaves the walk; the walk ends when no commit is
-    left.  A job takes ``ROUNDS`` generations, and what it leaves, answers and
-    frontier, is one reliable checkpoint."""
+    left.  A job takes ``ROUNDS`` generations (one, where the edges are too
+    many to be sent to all tasks); what it leaves, answers and frontier, is one reliable checkpoint."""
     p = pairs.select("repository", "a", "b").distinct()
     pair = ["repository", "a", "b"]
     ends = p.select("repository", F.col("a").alias("commit_id")).unionByName(p.select("repository", F.col("b").alias("commit_id")))
@@ -148,11 +148,14 @@ def merge_base(pairs: DataFrame, commits: DataFrame, parents: DataFrame) -> Data
              .unionByName(p.select(*pair, F.col("b").alias("commit_id"), F.lit(2).alias("mask"))))
     frontier = (start.groupBy(*pair, "commit_id").agg(F.bit_or("mask").alias("mask"))
                 .join(gen, CKEY).select(*pair, "commit_id", "mask", "generation").checkpoint(eager=True))
-    found = []
+    found, few = [], small_side(edges)
     while not frontier.isEmpty():
         rows = frontier.withColumn("hit", F.lit(False))
-        for _ in range(ROUNDS):  # several rounds a job; a pair that has its answer takes no part in the next
+        if few is edges:
             rows = _popped(rows, pair, edges)
+        else:  # several rounds a job; a pair that has its answer takes no part in the next
+            for _ in range(ROUNDS):
+                rows = _popped_in_place(rows, pair, few)
         rows = rows.checkpoint(eager=True)
         found.append(rows.where("hit"))
         frontier = rows.where("NOT hit").drop("hit")
@@ -178,6 +181,23 @@ def _popped(rows: DataFrame, pair: list[str], edges: DataFrame) -> DataFrame:
     return done.unionByName(next_.withColumn("hit", F.lit(False)))
 
 
+def _popped_in_place(rows: DataFrame, pair: list[str], edges: DataFrame) -> DataFrame:
+    """``_popped`` with few edges, which are sent to all tasks: a row gives way to its
+    parents where it is, so rows stay dealt by pair and a round moves none of them."""
+    top = Window.partitionBy(*pair)
+    f = rows.withColumn("_top", F.max("generation").over(top))
+    at_top = F.col("generation") == F.col("_top")
+    f = f.withColumn("_best", F.when(F.col("hit"), F.col("commit_id")).otherwise(
+        F.min(F.when(at_top & (F.col("mask") == 3), F.col("commit_id"))).over(top)))
+    f = f.where("_best IS NULL OR _best = commit_id").withColumn("_pop", F.col("_best").isNull() & at_top)
+    up = F.col("_pop") & (F.col("repository") == F.col("_e_repo")) & (F.col("commit_id") == F.col("_child"))
+    f = f.join(edges, up, "left").where("NOT _pop OR _parent IS NOT NULL")
+    grown = f.select(*pair, F.when(F.col("_pop"), F.col("_parent")).otherwise(F.col("commit_id")).alias("commit_id"),
+                     F.when(F.col("_pop"), F.col("_pgen")).otherwise(F.col("generation")).alias("generation"),
+                     F.when(F.col("_best").isNotNull(), F.lit(3)).otherwise(F.col("mask")).alias("mask"), F.col("_best").isNotNull().alias("hit"))
+    return grown.groupBy(*pair, "commit_id", "generation", "hit").agg(F.bit_or("mask").alias("mask"))
+
+
 def log_commits(heads: DataFrame, commits: DataFrame, parents: DataFrame) -> DataFrame:
     """Commit log of each (repository, ref_name, commit_id) head: all
     ancestors, newest generation first (ties by id), with their position."""

@@ -354,3 +354,37 @@ def test_three_way_and_merged_listing_equal_simulation(spark):
     done = t.withColumn("force", F.lit(True)).withColumn("meta_range_id", F.lit("m"))
     out = L.merged_listing(done, e)
     assert rows(out, "path", "checksum") == sorted(merged.items())
+
+
+def test_merge_bases_with_few_and_with_many_edges(spark, monkeypatch):
+    import random
+    rng = random.Random(8)
+    parents, gen = {0: []}, {0: 0}
+    for i in range(1, 24):
+        parents[i] = rng.sample(range(max(0, i - 9), i), min(i, rng.choice([1, 1, 2])))
+        gen[i] = 1 + max(gen[p] for p in parents[i])
+    parents[70], gen[70] = [], 0  # of no kin
+
+    def above(c):
+        out, todo = set(), [c]
+        while todo:
+            x = todo.pop()
+            if x not in out:
+                out.add(x)
+                todo += parents[x]
+        return out
+
+    name = "c{:02d}".format
+    pairs = [(rng.randrange(24), rng.randrange(24)) for _ in range(30)] + [(70, 5), (70, 70)]
+    want = []
+    for a, b in set(pairs):
+        both = above(a) & above(b)
+        best = min(both, key=lambda c: (-gen[c], name(c))) if both else None
+        want.append((name(a), name(b), name(best) if both else None))
+    commits = spark.createDataFrame([("r", name(c), g) for c, g in gen.items()], "repository string, commit_id string, generation long")
+    edges = spark.createDataFrame([("r", name(c), k, name(p)) for c, ps in parents.items() for k, p in enumerate(ps)],
+                                  "repository string, commit_id string, pos int, parent_id string")
+    df = spark.createDataFrame([("r", name(a), name(b)) for a, b in pairs], "repository string, a string, b string")
+    for small in (C.small_side, lambda d: d):
+        monkeypatch.setattr(C, "small_side", small)
+        assert rows(C.merge_base(df, commits, edges), "a", "b", "base_id") == sorted(want, key=repr)
