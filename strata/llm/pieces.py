@@ -45,7 +45,7 @@ def model_path(name: str = MODEL) -> str:
 
 
 class Encoder:
-    most = 250_000  # remembered units (of two generations each)
+    most = 150_000  # remembered units (of two generations each)
     long = 64       # characters of a unit that is remembered
 
     def __init__(self, path: str):
