@@ -17,7 +17,7 @@ from strata.operators.state import commit_delta
 
 CKEY = ["repository", "commit_id"]
 # Fixed: generations that one job of a merge-base walk takes, and pieces of a closure that are read one by one.
-ROUNDS = 6
+ROUNDS = 2
 MOST_PIECES = 16
 
 
