@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.ordered import running_sum
+from strata.functions.ordered import row_number_within, running_sum
 
 # Fixed: ranks per block of the page join, and what follows every string with a prefix.
 RANK_BLOCK = 1024
@@ -57,6 +57,53 @@ def pages(items: DataFrame, probes: DataFrame, group: Sequence[str]) -> DataFram
             .select("seq", "key", "position", "has_more", F.when(F.col("has_more"), F.col("_last")).alias("next_after")))
 
 
+def overlaid_pages(items: DataFrame, probes: DataFrame, group: Sequence[str], own: Sequence[str],
+                   hidden: DataFrame, more: DataFrame) -> DataFrame:
+    """``pages`` where the probes of an ``own`` group see its base ``group``'s items
+    without its ``hidden`` ones (``own``, ``group``, key: keys of items) and with
+    ``more`` (``own``, key).
+
+    The n-th item that is left is found by counting the hidden ones before it, so a
+    probe costs its page and a base its items, whatever is hidden; a probe without a
+    base (null) sees ``more`` only."""
+    group, own = list(group), list(own)
+    probes = probes.checkpoint(eager=True)
+    both = [*own, *[c for c in group if c not in own]]
+    ranked = _counted(items, probes, group, {"prefix": (F.col("prefix"), False), "after": (F.col("after"), True)})
+    ranks = ranked.where("kind = 1").select(*group, "rank", "key")
+    lo = ranked.where("kind <> 1").groupBy("seq").agg(F.max("rank").alias("lo"))
+    gone = hidden.join(ranks, [*group, "key"]).select(*own, F.col("rank").alias("at"), F.lit(None).cast("long").alias("seq")).checkpoint(eager=True)
+
+    def before(points: DataFrame, out: str) -> DataFrame:
+        """Points (``own``, at, seq) with the number of hidden items up to them."""
+        rows = gone_at.select(*own, "at", "seq", F.lit(0).alias("kind"), F.lit(1).alias("w")).unionByName(
+            points.select(*own, "at", "seq", F.lit(1).alias("kind"), F.lit(0).alias("w")))
+        return running_sum(rows, own, ["at", "kind", "seq"], "w", out)
+
+    gone_at = gone
+    counted = before(probes.join(lo, "seq").select(*own, F.col("lo").alias("at"), "seq"), "i")
+    # places among the items that are left: after ``lo`` less the hidden ones up to there
+    left = (items.groupBy(*group).agg(F.count(F.lit(1)).alias("_total")))
+    lost = gone.groupBy(*own).agg(F.count(F.lit(1)).alias("_lost"))
+    want = (probes.join(counted.where("kind = 1").select("seq", (F.col("at") - F.col("i")).alias("_lo")), "seq")
+            .join(left, group).join(lost, own, "left")
+            .withColumn("_hi", F.least(F.col("_lo") + F.col("amount").cast("long") + 1, F.col("_total") - F.coalesce("_lost", F.lit(0))))
+            .where("_hi > _lo"))
+    places = want.select(*both, "seq", F.explode(F.sequence(F.col("_lo") + 1, F.col("_hi"))).alias("at"))
+    # a hidden item stands before the n-th one left if fewer than n of those left stand before it
+    gone_at = counted.where("kind = 0").select(*own, (F.col("at") - F.col("i") + 1).alias("at"), "seq")
+    ranks_of = before(places, "j").where("kind = 1").select("seq", *own, (F.col("at") + F.col("j")).alias("rank"))
+    kept = (ranks_of.join(want.select("seq", "prefix", *[c for c in group if c not in own]), "seq")
+            .join(ranks, [*group, "rank"]).where(F.col("key").startswith(F.col("prefix"))).select("seq", "key"))
+    added = pages(more, probes.withColumn("amount", F.col("amount").cast("long") + 1), own).select("seq", "key")
+    page = (row_number_within(kept.unionByName(added), ["seq"], ["key"], "position")
+            .join(probes.select("seq", "amount"), "seq").where("position <= amount + 1"))
+    summary = page.groupBy("seq").agg((F.max("position") > F.max("amount")).alias("has_more"),
+                                      F.max(F.when(F.col("position") == F.col("amount"), F.col("key"))).alias("_last"))
+    return (page.where("position <= amount").join(summary, "seq")
+            .select("seq", "key", "position", "has_more", F.when(F.col("has_more"), F.col("_last")).alias("next_after")))
+
+
 def prefix_counts(items: DataFrame, probes: DataFrame, group: Sequence[str], out: str) -> DataFrame:
     """seq and ``out``: how many of its group's ``key``s begin with each probe's
     ``prefix``.  Keys may repeat and are counted each."""

@@ -10,14 +10,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions import outcomes as O
 from strata.functions.joins import small_side
 from strata.functions.ordered import row_number_within
-from strata.functions.paging import pages, prefix_counts
+from strata.functions.paging import overlaid_pages, pages, prefix_counts
 from strata.functions.params import Param, bind, rule_positive, rule_required, validate
 from strata.operators import listing as L
 from strata.operators.refs import resolve_refs
@@ -264,43 +264,84 @@ def list_objects_at(requests: DataFrame, refs: DataFrame, commits: DataFrame, en
     with counts.  invalid → ref_not_found → fetched; a request whose page is empty has
     one row without entry.  ``next_after`` is the cursor of the next page, if any.
 
-    A prefix is a directory (up to its last delimiter) and the rest, a stem.  Paths
-    meet only the requested directories that they lie in, and become a few entries
-    there; entries and requests are then sorted in one pass (``functions.paging``), so
-    a request costs its page, not its listing."""
+    A prefix is a directory (up to its last delimiter) and the rest, a stem.  Each
+    listing's paths become entries of the requested directories once, however many refs
+    show it; entries and requests are sorted in one pass (``functions.paging``).  What a
+    branch has staged changes only the entries that it touches there, so a request
+    costs its page, not its listing (refs that several rows of ``refs`` lead to
+    different listings are listed on their own)."""
     r = validate(bind(requests, LIST_PARAMS), [rule_required("repository"), rule_required("ref"), rule_positive("amount")])
     r = resolve_refs(r, refs, commits, ref="ref", out="ref_commit", kind="ref_kind")
     r = r.withColumn("dir", F.when(F.col("delimiter") == "", F.lit("")).otherwise(F.expr(
         "left(prefix, length(prefix) - length(substring_index(prefix, delimiter, -1)))"))).checkpoint(eager=True)
     valid = F.col("error_code").isNull() & F.col("ref_commit").isNotNull()
-    asked = r.where(valid).select("repository", "ref", "ref_kind", "ref_commit", "delimiter", "dir").distinct()
-    at = ["repository", "ref"]
+    at, inner = ["repository", "ref"], ["delimiter", "dir"]
+    asked = r.where(valid).select(*at, "ref_kind", "ref_commit").distinct()
     branches = asked.where("ref_kind = 'branch'").select("repository", F.col("ref").alias("branch")).distinct()
-    shown = (L.branch_view(branches, refs, commits, entries, staging)
-             .select("repository", F.col("branch").alias("ref"), "path", "size_bytes"))
+    layers = L.branch_layers(branches, refs, commits, entries, staging)
     fixed = L.head_range(asked.where("ref_kind = 'commit'").select(*at, "ref_commit").distinct(), commits, "ref_commit")
-    shown = shown.unionByName(L.listing_rows(fixed, entries).select(*at, "path", "size_bytes"))
-    # the directories that a path lies in, for each delimiter asked for there
-    cuts = shown.join(small_side(asked.select(*at, "delimiter").distinct()), at)
+    named = (layers.heads.withColumnRenamed("branch", "ref").unionByName(
+        fixed.groupBy(*at, "meta_range_id").agg(F.count(F.lit(1)).alias("copies"))).where("meta_range_id IS NOT NULL"))
+    lists = named.groupBy(*at).agg(F.count(F.lit(1)).alias("_lists"))
+    named = named.join(lists, at).checkpoint(eager=True)
+    plain, odd = named.where("_lists = 1").drop("_lists"), named.where("_lists > 1").drop("_lists")
+    listed = (entries.join(small_side(named.select(*L.RANGE).distinct()), L.RANGE, "left_semi").select(*L.RANGE, "path", "size_bytes"))
+    want = r.where(valid).select(*at, *inner).distinct().join(plain, at, "left").checkpoint(eager=True)
+    sums = lambda n, size: [F.sum(n).alias("n"), F.sum(n * F.col(size)).alias("bytes"),
+                            F.sum(F.when(F.col(size).isNotNull(), n).otherwise(0)).alias("sized")]
+    base = (_placed(listed, want.where("meta_range_id IS NOT NULL").select(*L.RANGE, *inner), L.RANGE)
+            .groupBy(*L.RANGE, *inner, "key").agg(F.max("kind").alias("kind"), *sums(F.lit(1).cast("long"), "size_bytes"))
+            .checkpoint(eager=True))
+    # what branches have staged, as paths that are added or taken away
+    staged = layers.staged.withColumnRenamed("branch", "ref").select(*at, "path", "op", "size_bytes")
+    moved = named.drop("_lists").join(staged.select(*at).distinct(), at, "left_semi")
+    hidden = (staged.select(*at, "path").join(small_side(moved), at).join(listed, [*L.RANGE, "path"])
+              .select(*at, "path", "size_bytes", (-F.col("copies")).alias("_n")))
+    added = staged.where("op = 'put'").select(*at, "path", "size_bytes", F.lit(1).cast("long").alias("_n")).unionByName(
+        small_side(odd).join(listed, L.RANGE).select(*at, "path", "size_bytes", F.col("copies").alias("_n")))
+    over = hidden.unionByName(added).checkpoint(eager=True)
+    there = want.join(over.select(*at).distinct(), at, "left_semi").checkpoint(eager=True)
+    change = _placed(over, there.select(*at, *inner), at).groupBy(*at, *inner, "key").agg(F.max("kind").alias("kind"), *sums(F.col("_n"), "size_bytes"))
+    old = base.select(*L.RANGE, *inner, "key", *[F.col(c).alias(f"_{c}") for c in ("n", "bytes", "sized")])
+    total = lambda c: (F.coalesce(c, F.lit(0)) + F.coalesce(F.col(f"_{c}") * F.col("copies"), F.lit(0))).alias(c)
+    touched = (change.join(there, [*at, *inner]).join(old, [*L.RANGE, *inner, "key"], "left")
+               .select(*at, *L.RANGE[1:], *inner, "key", "kind", *map(total, ("n", "bytes", "sized")), F.col("_n").isNotNull().alias("listed"))
+               .checkpoint(eager=True))
+    probes = r.where(valid).select("seq", *at, *inner, "prefix", "after", "amount").dropDuplicates(["seq"]).join(
+        small_side(want), [*at, *inner])
+    changed = touched.select(*at, *inner).distinct()
+    group, own = [*L.RANGE, *inner], [*at, *inner]
+    page = pages(base.select(*group, "key"), probes.join(changed, own, "left_anti"), group)
+    if not touched.isEmpty():
+        page = page.unionByName(overlaid_pages(
+            base.select(*group, "key"), probes.join(changed, own, "left_semi"), group, own,
+            touched.where("listed").select(*own, "meta_range_id", "key"), touched.where("n > 0").select(*own, "key")))
+    # a seq that several requests have gives rows to each of them
+    asks = (r.where(valid).select("seq", *own, F.count(F.lit(1)).over(Window.partitionBy("seq")).alias("_c"))
+            .withColumn("_c", F.explode(F.sequence(F.lit(1).cast("long"), "_c"))).drop("_c").join(small_side(want), own))
+    now = touched.where("n > 0").select(*own, "key", F.col("kind").alias("_kind"), F.struct("n", "bytes", "sized").alias("_now"))
+    was = base.select(*group, "key", "kind", F.struct("n", "bytes", "sized").alias("_was"))
+    entry = page.join(asks, "seq").join(was, [*group, "key"], "left").join(now, [*own, "key"], "left")
+    count = lambda c: F.coalesce(F.col(f"_now.{c}"), F.col(f"_was.{c}") * F.col("copies"))
+    page = entry.select("seq", F.col("key").alias("entry"), F.coalesce("_kind", "kind").alias("kind"), count("n").cast("long").alias("n_objects"),
+                        F.when(count("sized") > 0, count("bytes")).cast("long").alias("total_bytes"), "position", "has_more", "next_after")
+    outcome = O.first_match((F.col("error_code").isNotNull(), O.INVALID), (F.col("ref_commit").isNull(), O.REF_NOT_FOUND), default=O.FETCHED)
+    return (r.select("seq", "repository", "ref", "prefix", outcome.alias("outcome")).withColumn("ok", O.ok_col())
+            .join(page, "seq", "left").withColumn("has_more", F.coalesce("has_more", F.lit(False))))
+
+
+def _placed(rows: DataFrame, asked: DataFrame, at: list[str]) -> DataFrame:
+    """Rows (``at``, path) in each directory of ``asked`` (``at``, delimiter, dir) that
+    they lie in, with the ``key`` and ``kind`` of their entry there."""
+    cuts = rows.join(small_side(asked.select(*at, "delimiter").distinct()), at)
     dirs = F.when(F.col("delimiter") == "", F.array(F.lit(""))).otherwise(F.expr(
         "transform(sequence(0, size(split(path, '\\\\Q' || delimiter || '\\\\E')) - 1), "
         "n -> IF(n = 0, '', substring_index(path, delimiter, n) || delimiter))"))
-    inside = cuts.withColumn("dir", F.explode(dirs)).join(
-        small_side(asked.select(*at, "delimiter", "dir").distinct()), [*at, "delimiter", "dir"], "left_semi")
+    inside = cuts.withColumn("dir", F.explode(dirs)).join(small_side(asked.distinct()), [*at, "delimiter", "dir"], "left_semi")
     deep = F.expr("delimiter <> '' AND instr(substring(path, length(dir) + 1), delimiter) > 0")
     below = F.expr("substring_index(substring(path, length(dir) + 1), delimiter, 1)")
-    entry = F.when(deep, F.concat("dir", below, "delimiter")).otherwise(F.col("path"))
-    group = [*at, "delimiter", "dir"]
-    found = (inside.select(*group, entry.alias("key"), F.when(deep, F.lit("prefix")).otherwise(F.lit("object")).alias("kind"), "size_bytes")
-             .groupBy(*group, "key").agg(F.max("kind").alias("kind"), F.count(F.lit(1)).cast("long").alias("n_objects"),
-                                         F.sum("size_bytes").cast("long").alias("total_bytes")).checkpoint(eager=True))
-    probes = r.where(valid).select("seq", *group, "prefix", "after", "amount")
-    page = (pages(found.select(*group, "key"), probes, group).join(r.select("seq", *group), "seq")
-            .join(found, [*group, "key"]).select("seq", F.col("key").alias("entry"), "kind", "n_objects", "total_bytes", "position",
-                                                 "has_more", "next_after"))
-    outcome = O.first_match((F.col("error_code").isNotNull(), O.INVALID), (F.col("ref_commit").isNull(), O.REF_NOT_FOUND), default=O.FETCHED)
-    return (r.select("seq", "repository", "ref", "prefix", outcome.alias("outcome")).withColumn("ok", O.ok_col())
-            .join(page, "seq", "left").withColumn("has_more", F.coalesce("has_more", F.lit(False))))
+    return inside.withColumns({"key": F.when(deep, F.concat("dir", below, "delimiter")).otherwise(F.col("path")),
+                               "kind": F.when(deep, F.lit("prefix")).otherwise(F.lit("object"))})
 
 
 def list_objects(view: DataFrame | L.Layers, prefix: str = "", delimiter: str | None = "/",
