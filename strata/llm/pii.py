@@ -8,7 +8,7 @@
    and its context (characters and words around it).  What makes a span a base
    span (the @, the plus sign, plain dots) is not among them, so a base span and
    the same data written otherwise look alike.
-4. For each kind boosted trees learn from the candidates of a sample of documents:
+4. For each kind boosted trees learn from the candidates of all documents:
    those that are base spans against all others (parts of base spans, numbers that
    fail the checks, phrases).  Documents of one in four hashes are not learnt from;
    on them the scores are calibrated (a logistic curve); the threshold is the least
@@ -17,10 +17,12 @@
 5. Candidates above their threshold are taken by falling score, if they overlap
    no base span and none taken before.
 
-The sample: documents whose hash falls under ``documents`` / (number of rows), of
-them at most ``examples`` candidates of each kind and label, ``each`` at most of
-one document, so that no long text decides alone.  Every document is
-searched whole, in the task that reads it; nothing is shuffled.  Offsets are code
+Nothing is sampled: the candidates' features are stored as codes (how many of at
+most 24 cuts a value is above), equal ones as one row with their weight, and a Spark
+job a level of a tree sums slopes and bends by node, feature and code over all of
+them.  The candidates of one document, kind and label weigh ``each`` together at
+most, so that no long text decides alone, and both labels weigh the same in the fit.
+Every document is searched whole, in the task that reads it.  Offsets are code
 points, ends exclusive.
 
 Results for odd input: a null text is empty and has no spans; texts of any length
@@ -42,10 +44,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import slices
+from strata.llm.common import release_since, slices, stored, written
 
 KINDS = ("email", "ip", "card", "phone")
-DOCUMENTS, EXAMPLES, EACH, PRECISION, ENOUGH = 200_000, 2_500, 10, 0.95, 40
+EACH, PRECISION, ENOUGH = 10, 0.95, 40
 Span = tuple[str, int, int]
 
 # The patterns and limits of the base spans.
@@ -183,11 +185,84 @@ def _label(kind: str, start: int, end: int, base: set[Span]) -> bool:
 
 # --- boosted trees ----------------------------------------------------------------
 
+BINS, ROUNDS, DEPTH, RATE, PENALTY = 24, 60, 3, 0.2, 1.0
+#: The code of a cut that nothing is above: a node that is not split.
+UNSPLIT = 255
+
+
+def _node(values: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
+    """The node of each row (of features or of their codes) after ``levels`` splits."""
+    node, rows = np.zeros(len(values), np.int64), np.arange(len(values))
+    for level in range(levels):
+        here = (1 << level) - 1 + node
+        node = 2 * node + (values[rows, feature[here]] > cut[here])
+    return node
+
+
+def _raised(values: np.ndarray, trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]], start: float, depth: int) -> np.ndarray:
+    """The score of each row: ``start`` and its leaf of each tree."""
+    out = np.full(len(values), start)
+    for feature, cut, value in trees:
+        out += value[_node(values, feature, cut, depth)]
+    return out
+
+
+def _codes(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """How many cuts of its feature a value is above: x > cut[i] if and only if code > i."""
+    return np.stack([np.searchsorted(c, v, "left") for c, v in zip(cuts, x.T, strict=True)], axis=1).astype(np.uint8)
+
+
+def _slopes(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and second derivative of the logistic loss."""
+    p = 1 / (1 + np.exp(-np.clip(score, -500, 500)))
+    return (p - y) * weight, np.maximum(p * (1 - p), 1e-9) * weight
+
+
+def _sums(code: np.ndarray, node: np.ndarray, value: np.ndarray, many: int, width: int) -> np.ndarray:
+    """Sums of ``value`` by node, feature and code."""
+    shape = many, code.shape[1], width
+    slot = (node[:, None] * shape[1] + np.arange(shape[1])) * width + code
+    return np.bincount(slot.ravel(), np.repeat(value, shape[1]), many * shape[1] * width).reshape(shape)
+
+
+def boosted(start: dict, cuts: dict[object, list[np.ndarray]], sums, rounds: int = ROUNDS, depth: int = DEPTH, rate: float = RATE,
+            penalty: float = PENALTY) -> dict:
+    """Boosted trees (on codes) of each key of ``cuts``.  ``sums(trees, growing, level)``
+    gives for each key the sums of slopes and bends by node of that level, feature
+    and code; all else needs no rows."""
+    trees: dict = {k: [] for k in cuts}
+    for _ in range(rounds):
+        growing = {k: (np.zeros((1 << depth) - 1, np.int64), np.full((1 << depth) - 1, UNSPLIT)) for k in cuts}
+        value = {k: np.zeros(1 << depth) for k in cuts}
+        for level in range(depth):
+            first, many = (1 << level) - 1, 1 << level
+            for k, (g, h) in sums(trees, growing, level).items():
+                g, h = g.cumsum(axis=2), h.cumsum(axis=2)
+                part = lambda a, b: a * a / (b + penalty)
+                gain = (part(g, h) + part(g[..., -1:] - g, h[..., -1:] - h) - part(g[..., -1:], h[..., -1:]))[..., :-1]
+                for f, c in enumerate(cuts[k]):
+                    gain[:, f, len(c):] = -np.inf
+                gain = gain.reshape(many, -1)
+                at = gain.argmax(axis=1)
+                better = gain[np.arange(many), at] > 1e-9
+                feature, cut = growing[k]
+                feature[first:first + many][better] = (at // (g.shape[2] - 1))[better]
+                cut[first:first + many][better] = (at % (g.shape[2] - 1))[better]
+                if level == depth - 1:
+                    for i in range(many):
+                        f, c = feature[first + i], min(cut[first + i], g.shape[2] - 1)
+                        for leaf, (a, b) in enumerate(((g[i, f, c], h[i, f, c]), (g[i, f, -1] - g[i, f, c], h[i, f, -1] - h[i, f, c]))):
+                            value[k][2 * i + leaf] = -rate * a / (b + penalty)
+        for k in cuts:
+            trees[k].append((*growing[k], value[k]))
+    return trees
+
+
 class Trees:
     """Boosted regression trees of a fixed depth on the logistic loss; splits are
     at quantiles of the features, leaves are Newton steps."""
 
-    def __init__(self, rounds: int = 60, depth: int = 3, bins: int = 24, rate: float = 0.2, penalty: float = 1.0):
+    def __init__(self, rounds: int = ROUNDS, depth: int = DEPTH, bins: int = BINS, rate: float = RATE, penalty: float = PENALTY):
         self.rounds, self.depth, self.bins, self.rate, self.penalty = rounds, depth, bins, rate, penalty
         self.trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.start = 0.0
@@ -196,128 +271,225 @@ class Trees:
         cuts = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T]
         cuts = [np.unique(np.concatenate([c, (np.unique(v)[:-1] + np.unique(v)[1:]) / 2])) if len(np.unique(v)) <= self.bins else c
                 for c, v in zip(cuts, x.T, strict=True)]
-        code = np.stack([np.searchsorted(c, v, "left") for c, v in zip(cuts, x.T, strict=True)], axis=1)
+        code = _codes(x, cuts)
         share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
-        self.start = float(np.log(share / (1 - share)))
-        score = np.full(len(x), self.start)
-        width = max(map(len, cuts)) + 1
-        for _ in range(self.rounds):
-            p = 1 / (1 + np.exp(-score))
-            slope, bend = p - y, np.maximum(p * (1 - p), 1e-9)
-            node = np.zeros(len(x), np.int64)
-            feature, cut = np.zeros((1 << self.depth) - 1, np.int64), np.full((1 << self.depth) - 1, np.inf)
-            for level in range(self.depth):
-                first, many = (1 << level) - 1, 1 << level
-                best = np.full(many, 1e-9)
-                for f, c in enumerate(cuts):
-                    if not len(c):
-                        continue
-                    slot = node * width + code[:, f]
-                    g = np.bincount(slot, slope, many * width).reshape(many, width).cumsum(axis=1)
-                    h = np.bincount(slot, bend, many * width).reshape(many, width).cumsum(axis=1)
-                    part = lambda a, b: a * a / (b + self.penalty)
-                    gain = part(g, h) + part(g[:, -1:] - g, h[:, -1:] - h) - part(g[:, -1:], h[:, -1:])
-                    gain = gain[:, :len(c)]
-                    at = gain.argmax(axis=1)
-                    top = gain[np.arange(many), at]
-                    better = top > best
-                    best = np.where(better, top, best)
-                    feature[first:first + many][better] = f
-                    cut[first:first + many][better] = c[at[better]]
-                here = first + node
-                node = 2 * node + (x[np.arange(len(x)), feature[here]] > cut[here])
-            leaves = 1 << self.depth
-            value = -self.rate * np.bincount(node, slope, leaves) / (np.bincount(node, bend, leaves) + self.penalty)
-            self.trees.append((feature, cut, value))
-            score += value[node]
+        start, width = float(np.log(share / (1 - share))), max(map(len, cuts)) + 1
+
+        def sums(trees: dict, growing: dict, level: int) -> dict:
+            node = _node(code, *growing[0], level)
+            return {0: tuple(_sums(code, node, v, 1 << level, width)
+                             for v in _slopes(_raised(code, trees[0], start, self.depth), y, np.ones(len(y))))}
+
+        return self.of_codes(boosted({0: start}, {0: cuts}, sums, self.rounds, self.depth, self.rate, self.penalty)[0], cuts, start)
+
+    def of_codes(self, trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]], cuts: list[np.ndarray], start: float) -> Trees:
+        """These trees, made on codes, with the cuts themselves."""
+        at = lambda f, c: cuts[f][c] if c < len(cuts[f]) else np.inf
+        self.start = start
+        self.trees = [(feature, np.array([at(f, c) for f, c in zip(feature, cut, strict=True)]), value) for feature, cut, value in trees]
         return self
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        out = np.full(len(x), self.start)
-        rows = np.arange(len(x))
-        for feature, cut, value in self.trees:
-            node = np.zeros(len(x), np.int64)
-            for level in range(self.depth):
-                here = (1 << level) - 1 + node
-                node = 2 * node + (x[rows, feature[here]] > cut[here])
-            out += value[node]
-        return out
-
-
-def calibrated(score: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+        return _raised(x, self.trees, self.start, self.depth)
+
+
+def calibrated(score: np.ndarray, y: np.ndarray, rounds: int = 50, weight: np.ndarray | None = None) -> tuple[float, float]:
     """a, b of the chance 1 / (1 + exp(-(a s + b))), with smoothed targets."""
-    good, bad = y.sum(), (1 - y).sum()
+    weight = np.ones(len(y)) if weight is None else weight
+    good, bad = (weight * y).sum(), (weight * (1 - y)).sum()
     target = np.where(y == 1, (good + 1) / (good + 2), 1 / (bad + 2))
     z = np.stack([score, np.ones(len(score))], axis=1)
     w = np.zeros(2)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 1e-6 * np.eye(2), z.T @ (p - target))
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + 1e-6 * np.eye(2), z.T @ (weight * (p - target)))
         w -= step
         if np.abs(step).max() < 1e-8:
             break
     return float(w[0]), float(w[1])
 
 
-def threshold(score: np.ndarray, y: np.ndarray, precision: float) -> float:
+def threshold(score: np.ndarray, y: np.ndarray, precision: float, weight: np.ndarray | None = None) -> float:
     """The least score at which the calibrated chance is ``precision`` and from
     where the share of ones among the held-out rows is too (infinite if none)."""
-    a, b = calibrated(score, y)
+    weight = np.ones(len(y)) if weight is None else weight
+    a, b = calibrated(score, y, weight=weight)
     if a <= 0:
         return float("inf")
     least = (np.log(precision / (1 - precision)) - b) / a
-    for start in (least, *np.unique(score[score > least]).tolist()):
-        if (score >= start).any() and y[score >= start].mean() >= precision:
-            return float(start)
-    return float("inf")
-
-
-def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", documents: int = DOCUMENTS, examples: int = EXAMPLES,
-            each: int = EACH, precision: float = PRECISION, enough: int = ENOUGH, seed: int = 7) -> dict[str, tuple[Trees, float]]:
-    """The trees and threshold of each kind that has enough examples."""
+    starts = np.concatenate([[least], np.unique(score[score > least])])
+    order = np.argsort(score, kind="stable")
+    from_on = lambda v: np.concatenate([np.cumsum(v[order][::-1])[::-1], [0.0]])[np.searchsorted(score[order], starts, "left")]
+    every, ones = from_on(weight), from_on(weight * y)
+    good = (every > 0) & (ones >= precision * every)
+    return float(starts[good.argmax()]) if good.any() else float("inf")
+
+
+def examples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", each: int = EACH, seed: int = 7) -> DataFrame:
+    """kind, y, held, w, x: all candidates of all documents.  The candidates of
+    one document, kind and label weigh ``each`` together, or one each if fewer
+    (w, in ``UNIT``-ths)."""
     rows = docs.select(F.xxhash64(F.col(id_col), F.length(text_col), F.lit(seed)).alias("_h"),
                        F.col(text_col).cast("string").alias("text"))
-    total = rows.count()
-    if total > documents:
-        bound = int((1 << 63) * documents / total)
-        rows = rows.filter(F.shiftrightunsigned("_h", 1) < F.lit(bound))
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            out = []
+            out: list[tuple] = []
             for h, text in zip(batch["_h"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                base = set(base_spans(text or ""))
-                turn: Counter = Counter()
-                for kind, a, b in candidates(text or ""):
-                    of = KINDS.index(kind), int(_label(kind, a, b, base))
-                    if turn[of] >= each:
-                        continue
-                    out.append((*of, turn[of], h, a, b, np.array(features(text, kind, a, b), np.float32).tobytes()))
-                    turn[of] += 1
+                text = text or ""
+                base = set(base_spans(text))
+                many = Counter((kind, _label(kind, a, b, base)) for kind, a, b in candidates(text))
+                for kind, a, b in candidates(text) if many else ():
+                    y = _label(kind, a, b, base)
+                    weight = max(1, UNIT * min(each, many[kind, y]) // many[kind, y])
+                    out.append((KINDS.index(kind), int(y), h % 4 == 0, weight, np.array(features(text, kind, a, b)).tobytes()))
                     if len(out) >= 20_000:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], _EXAMPLE)
                         out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], _EXAMPLE)
 
-    found = rows.mapInArrow(propose, "kind long, y long, turn long, h long, a long, b long, x binary")
-    ranked = found.selectExpr("*", "row_number() OVER (PARTITION BY kind, y ORDER BY turn, xxhash64(h, a, b), x) AS r")
-    got = ranked.filter(F.col("r") <= examples).drop("r").orderBy("kind", "y", "h", "a", "b").toPandas()
-    model = {}
-    for k, kind in enumerate(KINDS):
+    return rows.mapInArrow(propose, "kind long, y long, held boolean, w long, x binary")
+
+
+_EXAMPLE = ["kind", "y", "held", "w", "x"]
+# Fixed: parts of an example's weight, of a slope in the sums (whole numbers: the sums
+# do not depend on the order of rows), and of a score in the counts of held-out rows.
+UNIT, SCALE, STEP, MOST = 1 << 16, float(1 << 24), 256, 64
+
+
+def _features(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch["x"].to_pylist()), np.float64).reshape(-1, WIDTH)
+
+
+def feature_cuts(rows: DataFrame, totals: dict[tuple[int, int], int], bins: int = BINS) -> dict[int, list[np.ndarray]]:
+    """Of each kind of ``totals`` (weights by kind and label) the cuts of its features:
+    quantiles of all values that are learnt from, both labels weighing the same, or
+    all borders between values if these are few."""
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, y, w, x = *(batch[c].to_numpy() for c in ("kind", "y", "w")), _features(batch)
+            for k in np.unique(kind).tolist():
+                of = kind == k
+                for f in range(WIDTH):
+                    v, at = np.unique(x[of, f], return_inverse=True)
+                    sums = [np.bincount(at, w[of] * (y[of] == label), len(v)).astype(np.int64) for label in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), k)), pa.array(np.full(len(v), f)), pa.array(v), *map(pa.array, sums)],
+                                                     ["kind", "f", "v", "w0", "w1"])
+
+    share = F.lit(0.0)
+    for (k, y), total in totals.items():
+        share = share + F.when(F.col("kind") == k, F.col(f"w{y}") / F.lit(2.0 * total)).otherwise(0.0)
+    learnt = rows.filter(~F.col("held") & F.col("kind").isin(sorted({k for k, _ in totals})))
+    by = (learnt.select("kind", "y", "w", "x").mapInArrow(values, "kind long, f long, v double, w0 long, w1 long")
+          .groupBy("kind", "f", "v").agg(F.sum("w0").alias("w0"), F.sum("w1").alias("w1")).withColumn("s", share))
+    at = "OVER (PARTITION BY kind, f ORDER BY v)"
+    by = by.selectExpr("*", f"sum(s) {at} AS c", f"lead(v) {at} AS later", "count(*) OVER (PARTITION BY kind, f) AS many")
+    cut = (F.when(F.col("many") <= bins, (F.col("v") + F.col("later")) / 2)
+           .when(F.floor(F.col("c") * bins) > F.floor((F.col("c") - F.col("s")) * bins), F.col("v")))
+    got = by.filter("later IS NOT NULL").select("kind", "f", cut.alias("cut")).filter("cut IS NOT NULL").collect()
+    return {k: [np.array(sorted(r.cut for r in got if (r.kind, r.f) == (k, f))) for f in range(WIDTH)] for k in sorted({k for k, _ in totals})}
+
+
+def coded(rows: DataFrame, cuts: dict[int, list[np.ndarray]]) -> DataFrame:
+    """The examples by kind, label, part and codes of their features, with their weight."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, x = batch["kind"].to_numpy(), _features(batch)
+            code = np.zeros(x.shape, np.uint8)
+            for k in np.unique(kind).tolist():
+                code[kind == k] = _codes(x[kind == k], cuts[k])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("kind", "y", "held", "w")), pa.array([c.tobytes() for c in code], pa.binary())],
+                                             ["kind", "y", "held", "w", "code"])
+
+    some = rows.filter(F.col("kind").isin(sorted(cuts)))
+    return (some.mapInArrow(run, "kind long, y long, held boolean, w long, code binary")
+            .groupBy("kind", "y", "held", "code").agg(F.sum("w").alias("w")))
+
+
+def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """kind, y, weight and codes of the rows of a batch."""
+    kind, y, w = batch["kind"].to_numpy(), batch["y"].to_numpy().astype(np.float64), batch["w"].to_numpy() / UNIT
+    code = np.frombuffer(b"".join(batch["code"].to_pylist()), np.uint8).reshape(-1, WIDTH)
+    for k in np.unique(kind).tolist():
+        yield k, y[kind == k], w[kind == k], code[kind == k]
+
+
+def fitted(rows: DataFrame, cuts: dict[int, list[np.ndarray]], totals: dict[tuple[int, int], int]) -> dict[int, list]:
+    """Trees on the codes of each kind, from all ``coded`` rows that are learnt from:
+    a Spark job a level sums slopes and bends over them.  Both labels weigh the same."""
+    learnt = rows.filter(~F.col("held")).select("kind", "y", "w", "code")
+    factor = {k: np.array([sum(totals[k, y] for y in (0, 1)) / 2 / totals[k, label] for label in (0, 1)]) for k in cuts}
+    width = {k: max(map(len, c)) + 1 for k, c in cuts.items()}
+    shape = lambda k, level: (1 << level, WIDTH, width[k])
+
+    def sums(trees: dict, growing: dict, level: int) -> dict:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = {k: np.zeros((2, *shape(k, level))) for k in cuts}
+            for batch in batches:
+                for k, y, w, code in _rows_of(batch):
+                    node = _node(code, *growing[k], level)
+                    for i, v in enumerate(_slopes(_raised(code, trees[k], 0.0, DEPTH), y, w * factor[k][y.astype(np.int64)])):
+                        found[k][i] += _sums(code, node, np.rint(v * SCALE), 1 << level, width[k])
+            yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([v.astype(np.int64).tobytes() for v in found.values()], pa.binary())],
+                                             ["kind", "sums"])
+
+        # a task sends its sums (a few 10 KB a kind, however many rows it read)
+        out = {k: np.zeros((2, *shape(k, level)), np.int64) for k in cuts}
+        for r in learnt.mapInArrow(run, "kind long, sums binary").collect():
+            out[r.kind] += np.frombuffer(r.sums, np.int64).reshape(out[r.kind].shape)
+        return {k: (g / SCALE, h / SCALE) for k, (g, h) in out.items()}
+
+    return boosted(dict.fromkeys(cuts, 0.0), cuts, sums)
+
+
+def held_scores(rows: DataFrame, trees: dict[int, list]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each kind: scores (rounded down to ``STEP``-ths, at most ``MOST`` either
+    way), labels and weights of all held-out rows, counted by score and label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, y, w, code in _rows_of(batch):
+                score = np.floor(np.clip(_raised(code, trees[k], 0.0, DEPTH), -MOST, MOST) * STEP).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(y), k)), pa.array(score), pa.array(y.astype(np.int64)),
+                                                  pa.array((w * UNIT).astype(np.int64))], ["kind", "score", "y", "w"])
+
+    got = (rows.filter("held").select("kind", "y", "w", "code").mapInArrow(run, "kind long, score long, y long, w long")
+           .groupBy("kind", "score", "y").agg(F.sum("w").alias("w")).orderBy("kind", "score", "y").toPandas())
+    out = {}
+    for k in trees:
         part = got[got["kind"] == k]
-        y, held = part["y"].to_numpy(np.float64), part["h"].to_numpy() % 4 == 0
-        if min(y[held].sum(), y[~held].sum(), (1 - y[held]).sum(), (1 - y[~held]).sum()) < enough / 4 or y.sum() < enough:
-            continue
-        x = np.frombuffer(b"".join(part["x"]), np.float32).reshape(-1, WIDTH).astype(np.float64)
-        trees = Trees().fit(x[~held], y[~held])
-        least = threshold(trees.scores(x[held]), y[held], precision)
-        if np.isfinite(least):
-            model[kind] = (trees, least)
-    return model
+        out[k] = part["score"].to_numpy() / STEP, part["y"].to_numpy(np.float64), part["w"].to_numpy() / UNIT
+    return out
 
 
-_EXAMPLE = ["kind", "y", "turn", "h", "a", "b", "x"]
+def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", each: int = EACH, precision: float = PRECISION,
+            enough: int = ENOUGH, seed: int = 7) -> dict[str, tuple[Trees, float]]:
+    """The trees and threshold of each kind that has enough examples."""
+    before = written()
+    rows = stored(examples(docs, id_col, text_col, each, seed), "pii-examples")
+    counts: Counter = Counter()
+    totals = {}
+    for r in rows.groupBy("kind", "y", "held").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).collect():
+        counts[r.kind, r.y, r.held] = r.n
+        if not r.held:
+            totals[r.kind, r.y] = r.w
+    kinds = [k for k in range(len(KINDS)) if min(counts[k, y, held] for y in (0, 1) for held in (False, True)) >= enough / 4
+             and counts[k, 1, False] + counts[k, 1, True] >= enough]
+    model = {}
+    if kinds:
+        totals = {(k, y): w for (k, y), w in totals.items() if k in kinds}
+        cuts = feature_cuts(rows, totals)
+        rows = stored(coded(rows, cuts), "pii-coded")
+        trees = fitted(rows, cuts, totals)
+        for k, (score, y, weight) in held_scores(rows, trees).items():
+            least = np.ceil(threshold(score, y, precision, weight) * STEP) / STEP
+            if np.isfinite(least):
+                model[KINDS[k]] = (Trees().of_codes(trees[k], cuts[k], 0.0), float(least))
+    release_since(before)
+    return model
 
 
 # --- selection ----------------------------------------------------------------------
