@@ -417,7 +417,7 @@ def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarra
         yield k, y[kind == k], w[kind == k], code[kind == k]
 
 
-def fitted(rows: DataFrame, cuts: dict[int, list[np.ndarray]], totals: dict[tuple[int, int], int]) -> dict[int, list]:
+def fitted(rows: DataFrame, cuts: dict[int, list[np.ndarray]], totals: dict[tuple[int, int], int], rounds: int = ROUNDS) -> dict[int, list]:
     """Trees on the codes of each kind, from all ``coded`` rows that are learnt from:
     a Spark job a level sums slopes and bends over them.  Both labels weigh the same."""
     learnt = rows.filter(~F.col("held")).select("kind", "y", "w", "code")
@@ -442,7 +442,7 @@ def fitted(rows: DataFrame, cuts: dict[int, list[np.ndarray]], totals: dict[tupl
             out[r.kind] += np.frombuffer(r.sums, np.int64).reshape(out[r.kind].shape)
         return {k: (g / SCALE, h / SCALE) for k, (g, h) in out.items()}
 
-    return boosted(dict.fromkeys(cuts, 0.0), cuts, sums)
+    return boosted(dict.fromkeys(cuts, 0.0), cuts, sums, rounds)
 
 
 def held_scores(rows: DataFrame, trees: dict[int, list]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
