@@ -1,5 +1,7 @@
 """Batches one after another, request and stream forms, and what they must not lose."""
 
+import datetime
+import json
 import os
 import random
 
@@ -306,3 +308,22 @@ def test_routes_of_a_repeated_batch_are_written_once(spark, tmp_path):
         ST.run_routes(ST.file_stream(spark, src, schema), operator, ok, failed, ck)
     assert rows(spark.read.parquet(ok), "seq", "outcome") == [(1, "created")]
     assert rows(spark.read.parquet(failed), "seq", "outcome") == [(2, "invalid"), (3, "source_not_found")]
+
+
+def test_a_listing_hands_few_columns_to_its_state_function(spark, tmp_path):
+    """Each column costs a pandas column a branch; a timestamp costs the most."""
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    schema = "repository string, branch string, commit_id string, listing long, listed_at timestamp_ntz"
+    at = lambda h: datetime.datetime(2024, 1, 1, h)
+    # two listings in one batch, a text with commas, no commit, no branch name; then a late one
+    for batch in ([("r", "a", "c,1", 1, at(1)), ("r", "a", "c2", 2, at(2)), ("r", None, None, 1, at(1)), ("r", "b", None, 2, at(2)), ("r", "b", "x", 2, at(2))],
+                  [("r", "a", "c3", 4, at(4)), ("s", "a", "", 1, at(4))], [("r", "late", "c", 1, at(1)), ("s", "a", "c", 2, at(5))]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = ST.listed_branches_stream(ST.file_stream(spark, src, schema), keep_seconds=5400)
+        ST.run_available(stream, out, ck)
+    got = rows(spark.read.schema(ST.LISTED).parquet(out))
+    assert len(got) == 5 and set(got) - {("r", "b", "x", 2)} == {("r", None, None, 1), ("r", "a", "c,1", 1), ("r", "a", "c3", 4), ("r", "b", None, 2), ("s", "a", "", 1)}
+    assert stream.schema.simpleString() == spark.createDataFrame([], ST.LISTED).schema.simpleString()
+    node = next(n for n in json.loads(stream._jdf.queryExecution().analyzed().toJSON()) if n["class"].endswith("FlatMapGroupsInPandasWithState"))
+    args = [x for x in node["functionExpr"] if x["class"].endswith("AttributeReference")]
+    assert len(args) == 4 and {x["dataType"] for x in args} == {"string", "long"}
