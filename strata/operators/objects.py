@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions import outcomes as O
-from strata.functions.joins import small_side
+from strata.functions.joins import rows_among, small_side
 from strata.functions.ordered import row_number_within
 from strata.functions.paging import overlaid_pages, pages, prefix_counts
 from strata.functions.params import Param, bind, rule_positive, rule_required, validate
@@ -34,7 +34,12 @@ def lookup_paths(requests: DataFrame, refs: DataFrame, commits: DataFrame, entri
     only its committed listing.  Adds ref_commit, ref_kind, checksum,
     size_bytes, physical_address (null = path absent)."""
     # each ref is resolved once, however many requests name it
-    named = resolve_refs(requests.select("repository", ref).distinct(), refs, commits, ref=ref, out="ref_commit", kind="ref_kind")
+    refs_asked = requests.select("repository", ref).distinct()
+    if small_side(refs_asked) is not refs_asked:  # few refs are named: no other refs and commits move
+        refs = rows_among(refs.select("repository", "branch", "commit_id"), refs_asked.withColumnRenamed(ref, "branch"))
+        heads = refs.select("repository", "commit_id").unionByName(refs_asked.withColumnRenamed(ref, "commit_id"))
+        commits = rows_among(commits.select("repository", "commit_id", "meta_range_id"), heads)
+    named = resolve_refs(refs_asked, refs, commits, ref=ref, out="ref_commit", kind="ref_kind")
     named = L.head_range(named, commits, "ref_commit", out="_ref_range").checkpoint(eager=True)
     r = requests.join(small_side(named), ["repository", ref], "left")
     committed = entries.select(

@@ -459,13 +459,13 @@ def q_put_objects(spark, sf_dir):
 def _state_after_doc_puts(fx):
     """State after uploading every document to ``main``: staging with the
     staged puts, and content bytes once per checksum (partitioned by
-    checksum prefix).  Written once, as a put batch would write them."""
+    checksum prefix).  The puts' rows are written once beside the staging that
+    is there, as a put batch would append them."""
     def puts():
         req = fx.objects.select(F.col("doc_id").alias("seq"), "repository", F.lit("main").alias("branch"),
                                 "path", "content", F.lit(True).alias("overwrite"))
         return OB.put_deltas(OB.put_objects(req, fx.refs, fx.commits, fx.entries, fx.staging))
-    staging = fx.stored("staging_after_puts", lambda: fx.staging.unionByName(puts()["staged"]),
-                        cluster_by=("path",))
+    staging = fx.staging.unionByName(fx.stored("staged_puts", lambda: puts()["staged"], cluster_by=("path",)))
     contents = fx.stored("contents", lambda: puts()["contents"], partition_by=("prefix",),
                          cluster_by=("checksum",))
     return staging, contents

@@ -144,8 +144,8 @@ class Fixtures:
             "repository", "side", "path", self._checksum(), "size_bytes"))
 
     @staticmethod
-    def _checksum(name: str = "checksum") -> Column:
-        return F.md5(F.concat(_s("o_orderkey"), F.lit(":"), F.col("version"))).alias(name)
+    def _checksum() -> Column:
+        return F.md5(F.concat(_s("o_orderkey"), F.lit(":"), F.col("version"))).alias("checksum")
 
     def _listed(self) -> DataFrame:
         """fx_manifest: base / source / dest listings per repository (checksums follow from key and version)."""
@@ -169,20 +169,25 @@ class Fixtures:
     @cached_property
     def entries(self) -> DataFrame:
         # one directory per listing: lookups of a few listings prune the rest
-        return self.stored("entries", self._listed, partition_by=("repository", "meta_range_id"),
-                           cluster_by=("path",), derive=self._entry_columns, range_by=("repository", "side", "path"))
+        return self._addressed(self.stored("entries", self._listed, partition_by=("repository", "meta_range_id"),
+                                           cluster_by=("path",), derive=self._entry_columns, range_by=("repository", "side", "path")))
+
+    @staticmethod
+    def _addressed(rows: DataFrame) -> DataFrame:
+        """A physical address that is the checksum is not stored beside it."""
+        return rows.withColumn("physical_address", F.col("checksum"))
 
     def _entry_columns(self, m: DataFrame) -> DataFrame:
         """fx_manifest as the ``entries`` state table keyed by meta_range_id."""
         idx = F.when(F.col("side") == "base", 0).when(F.col("side") == "source", 1).otherwise(2)
         return m.select(
             "repository", range_id(F.col("repository"), idx).alias("meta_range_id"),
-            "path", self._checksum("physical_address"), self._checksum(), "size_bytes")
+            "path", self._checksum(), "size_bytes")
 
     @cached_property
     def staging(self) -> DataFrame:
-        return self.stored("staging", self._number_staging, cluster_by=("path",), derive=self._staging_columns,
-                           range_by=lambda: () if self._staged_paths_small else None)
+        return self._addressed(self.stored("staging", self._number_staging, cluster_by=("path",), derive=self._staging_columns,
+                                           range_by=lambda: () if self._staged_paths_small else None))
 
     @cached_property
     def _staged_paths_small(self) -> bool:
@@ -209,7 +214,7 @@ class Fixtures:
         checksum = F.when(F.col("put"), F.md5(F.concat_ws(":", _s("l_orderkey"), _s("l_partkey"), _s("l_suppkey"))))
         return s.select(
             "repository", F.lit("main").alias("branch"), "path", F.when(F.col("put"), "put").otherwise("delete").alias("op"),
-            checksum.alias("physical_address"), checksum.alias("checksum"),
+            checksum.alias("checksum"),
             F.when(F.col("put"), F.col("size_bytes")).alias("size_bytes"), "seq")
 
     @cached_property

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import shuffle_files_removed
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events", "documents", "embeddings", "pages",
                  "benchmark", "labels", "conversations")
@@ -42,14 +44,16 @@ def write_state(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("repo
     value is still split over several writer tasks.  ``derive`` makes the table's
     columns of the rows once they are in place, so that what follows from few source
     columns is not moved; ``range_by`` names source columns that group and order them
-    as the keys do (none: the rows are in place)."""
+    as the keys do (none: the rows are in place).  Shuffle files go once the table is there."""
     keys = [*partition_by, *cluster_by]
     if keys:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         by = keys if range_by is None else range_by
         df = df.repartitionByRange(n, *by) if by else df
         df = (derive(df) if derive else df).sortWithinPartitions(*keys)
-    w = df.write.mode(mode).option("compression", "zstd")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with shuffle_files_removed(df.sparkSession):
+        df = df.select("*")  # planned anew: what the caller holds keeps its files
+        w = df.write.mode(mode).option("compression", "zstd")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
